@@ -1,0 +1,28 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables (rules, pod labels) above this estimated size are joined
+# by shuffle; AQE may still broadcast them once their real size is measured.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (exact for local relations and
+    literal tables; an upper bound for scans)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - Connect sessions have no JVM handle
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is under ``max_bytes``,
+    otherwise ``df`` unchanged (shuffle join; AQE re-plans at run time)."""
+    size = estimated_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
+    return df

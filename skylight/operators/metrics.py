@@ -91,7 +91,8 @@ def explode_to_grid(df: DataFrame, grid: Grid, range_s: float, ts_col: str = "ts
     hi_ts = F.timestamp_micros(long_lit(grid.end_us)).cast("timestamp_ntz")
     kept = df.filter((F.col(ts_col) > lo_ts) & (F.col(ts_col) <= hi_ts))
     return (kept.withColumn("__t_us", t)
-            .withColumn(idx_col, F.explode(F.sequence(lo, hi))))
+            .withColumn(idx_col, F.explode(
+                F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>")))))
 
 
 def prev_sample(df: DataFrame, keys: Sequence[str], value_col: str = "value", ts_col: str = "ts",
