@@ -35,7 +35,8 @@ SELECT event_id, ts AS start_ts, CAST(ts AS DATE) AS span_date,
   'ns-' || CAST(user_id % 3 AS STRING) AS namespace, 'proj-' || CAST(user_id % 5 AS STRING) AS project_uid,
   'env-' || CAST(user_id % 2 AS STRING) AS environment_uid, 'comp-' || CAST(user_id % 10 AS STRING) AS component_uid, props,
   epoch_us(ts) * 1000 AS start_ns,
-  epoch_us(ts) * 1000 + CAST(round(value * 1000) AS BIGINT) * 1000 AS end_ns
+  epoch_us(ts) * 1000 + CAST(round(value * 1000) AS BIGINT) * 1000 AS end_ns,
+  'pod-' || CAST(user_id AS STRING) AS pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS pod_namespace
 FROM events WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE))""",
     "pods": """
 SELECT DISTINCT 'pod-' || CAST(user_id AS STRING) AS pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS pod_namespace,

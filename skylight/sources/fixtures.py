@@ -50,19 +50,24 @@ def _pod_cols(pod="pod", ns="pod_namespace") -> list[Column]:
     ]
 
 
-def logs(ev: DataFrame) -> DataFrame:
+def log_message() -> Column:
     et = F.col("event_type")
     prefix = (F.when(et == "error", "ERROR upstream call failed ")
               .when(et == "signup", "WARNING slow signup ")
               .when(et == "view", "debug page rendered ")
               .when(et == "purchase", "order placed 100% ok ")
               .otherwise("click_handled "))
+    return F.concat(prefix, F.col("props"))
+
+
+def logs(ev: DataFrame) -> DataFrame:
+    et = F.col("event_type")
     level = (F.when(et == "error", "ERROR").when(et == "signup", " WARN ")
              .when(et == "view", ""))
     c20 = _mod("event_id", 20)
     return ev.select(
         "event_id", "ts", _day().alias("log_date"),
-        F.concat(prefix, F.col("props")).alias("log"),
+        log_message().alias("log"),
         level.alias("log_level"),
         *_scope_cols(),
         F.concat(F.lit("run-"), _s(_mod("user_id", 7)), F.lit("-step-"), _s(_mod("event_id", 4))).alias("pod_name"),
@@ -104,6 +109,7 @@ def spans(ev: DataFrame) -> DataFrame:
         *_scope_cols(), "props",
         start_ns.alias("start_ns"),
         (start_ns + duration).alias("end_ns"),
+        *_pod_cols(),
     )
 
 
