@@ -240,43 +240,51 @@ def ratio(num: Column, den: Column) -> Column:
             .otherwise(num / den))
 
 
-def histogram_quantile(buckets: DataFrame, q: float, labels: Sequence[str], le_col: str = "le",
-                       value_col: str = "value") -> DataFrame:
-    """Quantile from cumulative buckets per (labels, ts).
-
-    The buckets of one series form a short array (one entry per bound), so
-    the interpolation runs as array expressions inside the aggregate; no
-    group holds more than the number of bucket bounds.
-    """
+def bucket_arrays(buckets: DataFrame, labels: Sequence[str], le_col: str = "le",
+                  value_col: str = "value") -> DataFrame:
+    """Per (labels, ts): the buckets as an array sorted by ``le`` with counts
+    lifted to their running maximum (non-monotonic input is repaired).  One
+    array holds one entry per bucket bound, never more."""
     labels = list(labels)
     arr = F.array_sort(F.collect_list(F.struct(F.col(le_col).alias("le"), F.col(value_col).alias("v"))))
-    g = buckets.groupBy(*labels, "ts").agg(arr.alias("b"))
-    vals = F.transform(F.col("b"), lambda x: x["v"])
-    # non-monotonic counts are lifted to the running maximum
-    mono = F.transform(F.col("b"), lambda x, i: F.struct(
+    g = buckets.groupBy(*labels, "ts").agg(arr.alias("__b"))
+    vals = F.transform(F.col("__b"), lambda x: x["v"])
+    mono = F.transform(F.col("__b"), lambda x, i: F.struct(
         x["le"].alias("le"), F.array_max(F.slice(vals, 1, i + 1)).alias("v")))
-    g = g.withColumn("m", mono).withColumn("k", F.size("m"))
-    last = F.element_at(F.col("m"), -1)
+    return g.select(*labels, "ts", mono.alias("m"))
+
+
+def quantile_of(m: Column, q: float) -> Column:
+    """PromQL bucket quantile over a prepared bucket array ``m``: rank =
+    q * total; first bucket whose count reaches the rank; linear inside it;
+    the ``+Inf`` bucket answers the highest finite bound; missing ``+Inf``,
+    fewer than two buckets or no observations give NULL (NaN)."""
+    k = F.size(m)
+    last = F.element_at(m, -1)
     total = last["v"]
     rank = F.lit(float(q)) * total
-    b = F.array_position(F.transform(F.col("m"), lambda x: x["v"] >= rank), True)
-    g = g.withColumn("__rank", rank).withColumn("__b", b)
-    at = lambda i: F.element_at(F.col("m"), i.cast("int"))
-    bi = F.col("__b")
-    prev = at(bi - 1)
-    cur = at(bi)
-    start = F.when(bi == 1, F.lit(0.0)).otherwise(prev["le"])
-    cnt = F.when(bi == 1, cur["v"]).otherwise(cur["v"] - prev["v"])
-    rk = F.when(bi == 1, F.col("__rank")).otherwise(F.col("__rank") - prev["v"])
+    b = F.array_position(F.transform(m, lambda x: x["v"] >= rank), True).cast("int")
+    at = lambda i: F.element_at(m, i)
+    prev = at(F.greatest(b - 1, F.lit(1)))
+    cur = at(F.greatest(b, F.lit(1)))
+    start = F.when(b == 1, F.lit(0.0)).otherwise(prev["le"])
+    cnt = F.when(b == 1, cur["v"]).otherwise(cur["v"] - prev["v"])
+    rk = F.when(b == 1, rank).otherwise(rank - prev["v"])
     interp = start + (cur["le"] - start) * F.try_divide(rk, cnt)
-    val = (F.when(F.lit(q) < 0, F.lit(float("-inf"))).when(F.lit(q) > 1, F.lit(float("inf")))
-           .when(last["le"] != F.lit(float("inf")), F.lit(None).cast("double"))
-           .when(F.col("k") < 2, F.lit(None).cast("double"))
-           .when(total == 0, F.lit(None).cast("double"))
-           .when(bi == F.col("k"), at(F.col("k") - 1)["le"])
-           .when((bi == 1) & (cur["le"] <= 0), cur["le"])
-           .otherwise(interp))
-    return g.select(*labels, "ts", val.alias("value"))
+    return (F.when(F.lit(q) < 0, F.lit(float("-inf"))).when(F.lit(q) > 1, F.lit(float("inf")))
+            .when(last["le"] != F.lit(float("inf")), F.lit(None).cast("double"))
+            .when(k < 2, F.lit(None).cast("double"))
+            .when(total == 0, F.lit(None).cast("double"))
+            .when(b == k, at(F.greatest(k - 1, F.lit(1)))["le"])
+            .when((b == 1) & (cur["le"] <= 0), cur["le"])
+            .otherwise(interp))
+
+
+def histogram_quantile(buckets: DataFrame, q: float, labels: Sequence[str], le_col: str = "le",
+                       value_col: str = "value") -> DataFrame:
+    """Quantile from cumulative buckets per (labels, ts)."""
+    g = bucket_arrays(buckets, labels, le_col, value_col)
+    return g.select(*labels, "ts", quantile_of(F.col("m"), q).alias("value"))
 
 
 def union_series(parts: dict[str, DataFrame]) -> DataFrame:

@@ -112,25 +112,64 @@ def http_latency_quantile(buckets: DataFrame, pods: DataFrame, scope: Scope, gri
 
 def resource_metrics(cpu, gauges, pods, scope, grid, range_s=M.DEFAULT_RATE_RANGE_S,
                      lookback_s=M.DEFAULT_LOOKBACK_S) -> DataFrame:
-    """The six resource series in one result."""
-    return M.union_series({
-        "cpu_usage": cpu_usage(cpu, pods, scope, grid, range_s),
-        "cpu_requests": cpu_requests(gauges, pods, scope, grid, lookback_s),
-        "cpu_limits": cpu_limits(gauges, pods, scope, grid, lookback_s),
-        "memory_usage": memory_usage(gauges, pods, scope, grid, lookback_s),
-        "memory_requests": memory_requests(gauges, pods, scope, grid, lookback_s),
-        "memory_limits": memory_limits(gauges, pods, scope, grid, lookback_s),
-    })
+    """The six resource series in one result.
+
+    One rate pass for CPU usage; one instant pass for all gauges of a pod
+    (they share sample rows), one join with the pod labels and one
+    aggregation with conditional sums: requests and limits count only pods
+    Running at that time (M7), usage counts every pod.
+    """
+    labels = scope.label_columns()
+    usage = cpu_usage(cpu, pods, scope, grid, range_s).select(
+        *labels, "ts", F.lit("cpu_usage").alias("series"), "value")
+    cols = ["memory_bytes", "cpu_request", "cpu_limit", "memory_request", "memory_limit", "phase_running"]
+    inst = M.instant(gauges, POD_KEYS, grid, cols, lookback_s)
+    j = M.join_pod_labels(inst, M.pod_labels(pods, scope), carry=labels)
+    run = F.col("phase_running") == 1
+    agg = j.groupBy(*labels, "ts").agg(
+        F.sum("memory_bytes").alias("memory_usage"),
+        *[F.sum(F.when(run, F.col(c))).alias(n) for c, n in (
+            ("cpu_request", "cpu_requests"), ("cpu_limit", "cpu_limits"),
+            ("memory_request", "memory_requests"), ("memory_limit", "memory_limits"))])
+    names = ["cpu_requests", "cpu_limits", "memory_usage", "memory_requests", "memory_limits"]
+    long = agg.select(*labels, "ts", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("series"), F.col(n).alias("value")) for n in names])).alias("p")).select(
+        *labels, "ts", "p.series", "p.value").filter(F.col("value").isNotNull())
+    return usage.unionByName(long)
 
 
 def http_metrics(http, latency_sum, buckets, pods, scope, grid, range_s=M.DEFAULT_RATE_RANGE_S) -> DataFrame:
-    """The seven HTTP series in one result."""
-    return M.union_series({
-        "requests": http_requests(http, pods, scope, grid, range_s),
-        "requests_success": http_requests(http, pods, scope, grid, range_s, SUCCESS_STATUS),
-        "requests_failed": http_requests(http, pods, scope, grid, range_s, FAILED_STATUS),
-        "latency_mean": http_latency_mean(latency_sum, http, pods, scope, grid, range_s),
-        "latency_p50": http_latency_quantile(buckets, pods, scope, grid, 0.5, range_s),
-        "latency_p90": http_latency_quantile(buckets, pods, scope, grid, 0.9, range_s),
-        "latency_p99": http_latency_quantile(buckets, pods, scope, grid, 0.99, range_s),
-    })
+    """The seven HTTP series in one result.
+
+    Request rates are computed once per (pod, status) series and summed
+    with status-class conditions; bucket rates are summed once and the
+    three quantiles read the same bucket array.
+    """
+    labels = scope.label_columns()
+    req = M.join_pod_labels(_http_rate(http, grid, range_s, None), M.pod_labels(pods, scope), on=DEST_KEYS,
+                            carry=labels, rename=DEST_RENAME)
+    st = F.col("status")
+    ok = st.rlike(SUCCESS_STATUS)
+    bad = st.rlike(FAILED_STATUS)
+    req_sum = req.groupBy(*labels, "ts").agg(
+        F.sum("value").alias("requests"), F.sum(F.when(ok, F.col("value"))).alias("requests_success"),
+        F.sum(F.when(bad, F.col("value"))).alias("requests_failed"))
+    num = _scoped_sum(M.rate(M.label_match(latency_sum, equal={"reporter": "client"}),
+                             DEST_KEYS + ["reporter"], grid, range_s),
+                      pods, scope, on=DEST_KEYS, rename=DEST_RENAME).withColumnRenamed("value", "__num")
+    with_lat = req_sum.join(num, labels + ["ts"], "left").withColumn(
+        "latency_mean", F.when(F.col("__num").isNotNull(), M.ratio(F.col("__num"), F.col("requests"))))
+    r = M.rate(buckets, DEST_KEYS + ["le"], grid, range_s)
+    jb = M.join_pod_labels(r, M.pod_labels(pods, scope), on=DEST_KEYS, carry=labels, rename=DEST_RENAME)
+    summed = jb.groupBy(*labels, "le", "ts").agg(F.sum("value").alias("value"))
+    arrays = M.bucket_arrays(summed, labels)
+    qs = arrays.select(*labels, "ts", *[M.quantile_of(F.col("m"), q).alias(n) for q, n in (
+        (0.5, "latency_p50"), (0.9, "latency_p90"), (0.99, "latency_p99"))])
+    a = with_lat.select(*labels, "ts", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("series"), F.col(n).alias("value"))
+        for n in ("requests", "requests_success", "requests_failed", "latency_mean")])).alias("p"))
+    b = qs.select(*labels, "ts", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("series"), F.col(n).alias("value"))
+        for n in ("latency_p50", "latency_p90", "latency_p99")])).alias("p"))
+    long = a.unionByName(b).select(*labels, "ts", "p.series", "p.value")
+    return M.nonnegative(long)
