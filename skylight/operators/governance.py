@@ -23,6 +23,9 @@ PII_PATTERNS = {
     "Email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
     "PhoneNumber": r"(\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}",
 }
+# A character every match of the pattern contains: texts without it skip
+# the regular expression (exact, and the email scan is the costly one).
+REQUIRED_CHAR = {"Email": "@", "Ssn": "-"}
 DEFAULT_DETECTORS = ("CreditCard", "Ssn", "Email")
 MASK = "<{name}>"
 DEFAULT_LIMIT = 60
@@ -33,24 +36,32 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _may_match(text: Column, name: str) -> Column:
+    ch = REQUIRED_CHAR.get(name)
+    return text.contains(ch) if ch else F.lit(True)
+
+
 def pii_counts(df: DataFrame, text_col: str, detectors: Sequence[str] = tuple(PII_PATTERNS),
                keep: Sequence[str] = ()) -> DataFrame:
     """Number of matches of each detector in each text."""
-    return df.select(*keep, *[F.regexp_count(_c(text_col), F.lit(PII_PATTERNS[d])).alias(d.lower())
-                              for d in detectors])
+    t = _c(text_col)
+    return df.select(*keep, *[
+        F.when(_may_match(t, d), F.regexp_count(t, F.lit(PII_PATTERNS[d]))).otherwise(
+            F.when(t.isNotNull(), F.lit(0))).alias(d.lower()) for d in detectors])
 
 
 def pii_hit(text_col, detectors: Sequence[str] = DEFAULT_DETECTORS) -> Column:
+    t = _c(text_col)
     cond = F.lit(False)
     for d in detectors:
-        cond = cond | F.coalesce(_c(text_col).rlike(PII_PATTERNS[d]), F.lit(False))
+        cond = cond | F.coalesce(_may_match(t, d) & t.rlike(PII_PATTERNS[d]), F.lit(False))
     return cond
 
 
 def pii_mask(text_col, detectors: Sequence[str] = DEFAULT_DETECTORS) -> Column:
     out = _c(text_col)
     for d in detectors:
-        out = F.regexp_replace(out, PII_PATTERNS[d], MASK.format(name=d))
+        out = F.when(_may_match(out, d), F.regexp_replace(out, PII_PATTERNS[d], MASK.format(name=d))).otherwise(out)
     return out
 
 
