@@ -4,15 +4,18 @@ Files follow the kubelet layout ``<pod>_<namespace>_<container>-<id>.log``.
 A line is either CRI text ``<rfc3339nano> <stream> <P|F> <message>`` or a
 docker JSON object ``{"log": ..., "stream": ..., "time": ...}``.  CRI
 splits long messages into ``P`` (partial) fragments closed by an ``F``
-line; stitching is a per-(file, stream) running count of ``F`` lines,
-bounded by the size of one rotated log file.
+line; stitching numbers messages by a per-(file, stream) running count of
+``F`` lines (a blocked scan, so no file is ever a single task) and joins
+the fragments of each message.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylight.functions.scan import running_total
+
 MAX_LINE_BYTES = 32 * 1024
 # Files the shipper writes next to container logs and must skip.
 SHIPPER_FILE_PATTERNS = ("fluent-bit", "fluentbit")
@@ -59,10 +62,11 @@ def decode_container_lines(lines: DataFrame) -> DataFrame:
         F.when(is_json, F.regexp_replace(j["log"], "\n$", "")).otherwise(F.regexp_extract(v, CRI_RE, 4)).alias("msg"),
         F.try_to_timestamp(ts_text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSX")).alias("ts_raw"),
     ).filter(F.col("stream") != "")
-    w = (Window.partitionBy("file", "stream").orderBy("line_no")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    grouped = parsed.withColumn("grp", F.coalesce(F.sum((F.col("flag") == "F").cast("bigint")).over(w),
-                                                  F.lit(0).cast("bigint")))
+    # message number = closing F lines before this line, as a blocked running
+    # count: even a huge file is never one task
+    parsed = parsed.withColumn("__f", (F.col("flag") == "F").cast("bigint"))
+    grouped = running_total(parsed, ["file", "stream"], "line_no", "__f", "__f_incl")
+    grouped = grouped.withColumn("grp", F.col("__f_incl") - F.col("__f"))
     out = grouped.groupBy("file", "stream", "grp").agg(
         F.array_sort(F.collect_list(F.struct("line_no", "msg"))).alias("parts"),
         F.max_by("ts_raw", "line_no").alias("ts"),
