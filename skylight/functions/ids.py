@@ -39,3 +39,11 @@ def record_id(*cols) -> Column:
     """A content hash over the given columns; a retried write produces the
     same id, so ``dropDuplicates(["doc_id"])`` makes writes idempotent."""
     return F.sha2(F.to_json(F.struct(*[_c(c) for c in cols])), 256)
+
+
+def map_text(col) -> Column:
+    """A string map as ``k=v`` pairs sorted and joined by ``;`` (a stable,
+    engine-independent rendering for reports and checks)."""
+    m = _c(col)
+    pairs = F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return F.array_join(F.array_sort(pairs), ";")

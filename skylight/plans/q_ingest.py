@@ -218,11 +218,19 @@ def label_keys_normalized(spark, sf_dir):
     return out
 
 
-@register("log_reshape")
+@register("log_reshape", oracle="""
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "@timestamp", log, pod_namespace AS k8s_namespace_name,
+  pod_name AS k8s_pod_name, container_name AS k8s_container_name,
+  array_to_string(list_sort(['openchoreo_dev_component_uid=' || component_uid, 'openchoreo_dev_environment_uid=' || environment_uid,
+    'openchoreo_dev_namespace=' || namespace, 'openchoreo_dev_project_uid=' || project_uid]), ';') AS resource_attributes
+FROM logs""")
 def log_reshape(spark, sf_dir):
+    from skylight.functions.ids import map_text
     from skylight.operators.logs import to_log_documents
     docs = to_log_documents(Views(spark, sf_dir).logs())
-    return I.reshape_log(docs)
+    r = I.reshape_log(docs)
+    return r.select("event_id", "`@timestamp`", "log", "k8s_namespace_name", "k8s_pod_name", "k8s_container_name",
+                    map_text("resource.attributes").alias("resource_attributes"))
 
 
 @register("service_name_set", oracle="SELECT event_id, component_uid AS service_name FROM logs")

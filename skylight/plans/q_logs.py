@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skylight.functions.ids import uuid_like_from, uuid_or_null
+from skylight.functions.ids import map_text, uuid_like_from, uuid_or_null
 from skylight.functions.levels import effective_level, level_from_text
 from skylight.functions.scope import Scope
 from skylight.operators import logs as L
@@ -121,8 +121,6 @@ def log_entry_projection(spark, sf_dir):
     return L.project_entries(docs)
 
 
-_UUID_CAND = ("CASE WHEN event_id % 4 = 0 THEN {u} WHEN event_id % 4 = 1 THEN upper(replace({u}, '-', '')) "
-              "WHEN event_id % 4 = 2 THEN '{{' || {u} || '}}' ELSE component_uid END")
 _MD5U = ("(substr(md5(CAST(event_id AS STRING)), 1, 8) || '-' || substr(md5(CAST(event_id AS STRING)), 9, 4) || '-' || "
          "substr(md5(CAST(event_id AS STRING)), 13, 4) || '-' || substr(md5(CAST(event_id AS STRING)), 17, 4) || '-' || "
          "substr(md5(CAST(event_id AS STRING)), 21, 12))")
@@ -156,10 +154,14 @@ def logs_workflow_label(spark, sf_dir):
     return L.workflow_logs_by_label(_logs(spark, sf_dir), "run-3", "ns-0", S, E, phrase="order")
 
 
-@register("workflow_log_metadata")
+@register("workflow_log_metadata", oracle="""
+SELECT ts, log, array_to_string(list_sort(list_filter(['container_name=' || container_name, 'log_level=' || log_level,
+  'pod_name=' || pod_name, 'step_name=' || step_name], lambda x: x IS NOT NULL)), ';') AS metadata
+FROM logs WHERE workflow_run = 'run-3'""")
 def workflow_log_metadata(spark, sf_dir):
     lg = _logs(spark, sf_dir).filter(F.col("workflow_run") == "run-3")
-    return L.workflow_metadata(lg.select("ts", "log", "pod_name", "container_name", "step_name", "log_level"))
+    m = L.workflow_metadata(lg.select("ts", "log", "pod_name", "container_name", "step_name", "log_level"))
+    return m.withColumn("metadata", map_text("metadata"))
 
 
 @register("logs_component_total", oracle=f"""

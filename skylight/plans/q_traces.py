@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skylight.functions.ids import map_text
 from skylight.functions.scope import Scope
 from skylight.operators import traces as T
 from skylight.plans import params as P
@@ -147,12 +148,21 @@ def span_duration(spark, sf_dir):
     return s.select("span_id", T.span_duration().alias("duration_ns"))
 
 
-@register("trace_spans_with_attrs")
+_ATTR_TEXT = ("array_to_string(list_sort(list_filter(['component_uid=' || component_uid, 'environment_uid=' || environment_uid, "
+              "'namespace=' || namespace, 'project_uid=' || project_uid, 'props=' || props, "
+              "'resource_host=host-' || namespace, 'service_name=svc-' || component_uid], lambda x: x IS NOT NULL)), ';')")
+
+
+@register("trace_spans_with_attrs", oracle=f"""
+SELECT {_SPAN_COLS}, {_ATTR_TEXT} AS attributes FROM spans
+WHERE trace_id = '{TRACE_ID}' AND namespace = '{NS}' AND {_IN_TIME}
+ORDER BY start_ns, span_id LIMIT 20""")
 def trace_spans_with_attrs(spark, sf_dir):
     s = Views(spark, sf_dir).spans().withColumn(
         "service_name", F.concat(F.lit("svc-"), F.col("component_uid"))).withColumn(
         "resource_host", F.concat(F.lit("host-"), F.col("namespace")))
-    return T.trace_spans(s, TRACE_ID, Scope(NS), S, E, limit=20, with_attributes=True)
+    out = T.trace_spans(s, TRACE_ID, Scope(NS), S, E, limit=20, with_attributes=True)
+    return out.withColumn("attributes", map_text("attributes"))
 
 
 @register("trace_scope_filter", oracle=f"""
