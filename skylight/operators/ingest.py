@@ -107,40 +107,112 @@ def metric_allowlist(df: DataFrame, metric_col: str = "metric", labels_col: str
             .withColumn(labels_col, F.map_filter(F.col(labels_col), lambda k, v: F.array_contains(keep, k))))
 
 
+def _trace_candidates(spans: DataFrame, wait_s: float, bucket_s: float, trace_col: str, ts_col: str) -> DataFrame:
+    """One row per trace: first span time, span count, decision bucket.
+    A partial aggregation, so a trace with many spans is combined map-side."""
+    per_trace = spans.groupBy(trace_col).agg(
+        F.min(F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("first_us"),
+        F.count(F.lit(1)).alias("n"))
+    dec = F.col("first_us") + F.lit(int(wait_s * 1_000_000)).cast("bigint")
+    b_us = F.lit(int(bucket_s * 1_000_000)).cast("bigint")
+    return (per_trace.withColumn("decision_us", dec)
+            .withColumn("bucket", ((dec - F.pmod(dec, b_us)) / b_us).cast("bigint")))
+
+
 def tail_sample(spans: DataFrame, wait_s: float = 10, limit: int = 10, bucket_s: float = 1,
-                trace_col: str = "trace_id", ts_col: str = "start_ts") -> DataFrame:
+                trace_col: str = "trace_id", ts_col: str = "start_ts", partitions: int | None = None) -> DataFrame:
     """Per trace, the decision falls ``wait_s`` after its first span, in
     bucket ``floor((first_seen + wait) / bucket)``; within a bucket traces are
     taken in (first seen, id) order and kept while the kept spans plus their
     own stay within ``limit``.  Returns ``(trace_id, decision_ts, spans)`` of
     kept traces.
 
-    One aggregation per trace (partial aggregation splits hot traces), then
-    one fold per decision bucket over its traces; a trace larger than the
-    limit can never be kept and is dropped before the fold.
+    The greedy rule is a scan with a small state (spans used, 0..limit), so
+    it runs as a parallel prefix over a range partitioning: no bucket, however
+    hot, is ever one task or one array.
+
+    1. traces sorted by (bucket, first seen, id) across ``partitions`` ranges;
+    2. per range, for every possible starting state at once (a vector of
+       ``limit + 1``), which traces are kept and the state at the end
+       (``mapInPandas``, vectorised over the states);
+    3. per bucket, the ranges' end-state tables chained in range order (one
+       entry per range of that bucket) give each range's true start state;
+    4. a trace is kept when its mask holds at its range's start state.
+    Traces larger than ``limit`` can never be kept and are dropped first.
     """
-    per_trace = spans.groupBy(trace_col).agg(
-        F.min(F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("first_us"),
-        F.count(F.lit(1)).alias("n"))
-    wait_us = int(wait_s * 1_000_000)
-    bucket_us = int(bucket_s * 1_000_000)
-    dec = F.col("first_us") + F.lit(wait_us).cast("bigint")
-    per_trace = per_trace.withColumn("bucket", ((dec - F.pmod(dec, F.lit(bucket_us).cast("bigint")))
-                                                / F.lit(bucket_us).cast("bigint")).cast("bigint"))
-    cand = per_trace.filter(F.col("n") <= limit)
+    import numpy as np
+    import pandas as pd
+
+    cand = _trace_candidates(spans, wait_s, bucket_s, trace_col, ts_col).filter(F.col("n") <= limit)
+    parts = partitions or int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (cand.repartitionByRange(parts, "bucket", "first_us", trace_col)
+              .sortWithinPartitions("bucket", "first_us", trace_col)
+              .withColumn("pid", F.spark_partition_id()))
+    states = limit + 1
+
+    def scan(batches):
+        cur_bucket, used = None, None
+        start = np.arange(states, dtype=np.int64)
+        pid = None
+        for pdf in batches:
+            rows = []
+            for t, b, n, d, p in zip(pdf[trace_col], pdf["bucket"], pdf["n"], pdf["decision_us"], pdf["pid"]):
+                pid = int(p)
+                if b != cur_bucket:
+                    if cur_bucket is not None:
+                        rows.append((None, cur_bucket, pid, None, None, None, used.tolist()))
+                    cur_bucket, used = b, start.copy()
+                fits = used + int(n) <= limit
+                rows.append((t, b, pid, int(n), int(d), fits.tolist(), None))
+                used = np.where(fits, used + int(n), used)
+            if rows:
+                yield pd.DataFrame(rows, columns=[trace_col, "bucket", "pid", "n", "decision_us", "mask", "table"])
+        if cur_bucket is not None:
+            yield pd.DataFrame([(None, cur_bucket, pid, None, None, None, used.tolist())],
+                               columns=[trace_col, "bucket", "pid", "n", "decision_us", "mask", "table"])
+
+    out_schema = (f"{trace_col} string, bucket bigint, pid int, n bigint, decision_us bigint, "
+                  "mask array<boolean>, table array<bigint>")
+    scanned = ranged.select(trace_col, "bucket", "first_us", "n", "decision_us", "pid").mapInPandas(scan, out_schema)
+    segs = scanned.filter(F.col("table").isNotNull()).select("bucket", "pid", "table")
+    per_bucket = segs.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("pid", "table"))).alias("segs"))
+    init = F.struct(F.lit(0).cast("bigint").alias("u"),
+                    F.array().cast("array<struct<pid:int,u_in:bigint>>").alias("out"))
+
+    def chain(acc, x):
+        return F.struct(F.element_at(x["table"], (acc["u"] + 1).cast("int")).alias("u"),
+                        F.array_append(acc["out"], F.struct(x["pid"].alias("pid"), acc["u"].alias("u_in")))
+                        .alias("out"))
+
+    starts = per_bucket.select("bucket", F.explode(F.aggregate("segs", init, chain)["out"]).alias("s")).select(
+        "bucket", F.col("s.pid").alias("pid"), F.col("s.u_in").alias("u_in"))
+    cands = scanned.filter(F.col("table").isNull()).drop("table")
+    kept = cands.join(starts, ["bucket", "pid"], "inner").filter(
+        F.element_at("mask", (F.col("u_in") + 1).cast("int")))
+    return kept.select(trace_col, F.timestamp_micros("decision_us").cast("timestamp_ntz").alias("decision_ts"),
+                       F.col("n").alias("spans"))
+
+
+def tail_sample_fold(spans: DataFrame, wait_s: float = 10, limit: int = 10, bucket_s: float = 1,
+                     trace_col: str = "trace_id", ts_col: str = "start_ts") -> DataFrame:
+    """I9 as one fold per decision bucket (all of a bucket's traces in one
+    array): the plain form, for small inputs and as a cross-check."""
+    cand = _trace_candidates(spans, wait_s, bucket_s, trace_col, ts_col).filter(F.col("n") <= limit)
     per_bucket = cand.groupBy("bucket").agg(
-        F.array_sort(F.collect_list(F.struct("first_us", trace_col, "n"))).alias("ts_"))
-    init = F.struct(F.lit(0).cast("bigint").alias("used"), F.array().cast(f"array<string>").alias("kept"))
+        F.array_sort(F.collect_list(F.struct("first_us", trace_col, "n", "decision_us"))).alias("ts_"))
+    init = F.struct(F.lit(0).cast("bigint").alias("used"),
+                    F.array().cast("array<struct<t:string,n:bigint,d:bigint>>").alias("kept"))
 
     def step(acc, x):
         fits = acc["used"] + x["n"] <= F.lit(limit).cast("bigint")
+        item = F.struct(x[trace_col].alias("t"), x["n"].alias("n"), x["decision_us"].alias("d"))
         return F.when(fits, F.struct((acc["used"] + x["n"]).alias("used"),
-                                     F.array_append(acc["kept"], x[trace_col]).alias("kept"))).otherwise(acc)
+                                     F.array_append(acc["kept"], item).alias("kept"))).otherwise(acc)
 
-    kept = per_bucket.select(F.explode(F.aggregate("ts_", init, step)["kept"]).alias(trace_col))
-    out = per_trace.join(kept, trace_col, "left_semi")
-    return out.select(trace_col, F.timestamp_micros(dec).cast("timestamp_ntz").alias("decision_ts"),
-                      F.col("n").alias("spans"))
+    kept = per_bucket.select(F.explode(F.aggregate("ts_", init, step)["kept"]).alias("k"))
+    return kept.select(F.col("k.t").alias(trace_col),
+                       F.timestamp_micros("k.d").cast("timestamp_ntz").alias("decision_ts"),
+                       F.col("k.n").alias("spans"))
 
 
 def searchable_projection(df: DataFrame, mapped: Sequence[str], extras_col: str = "extras") -> DataFrame:

@@ -90,3 +90,20 @@ def test_day_partitioned_sink_and_retention(spark):
     # a retried batch does not duplicate
     dup = K.dedupe_by_doc_id(K.with_doc_id(df.unionByName(df)))
     assert dup.count() == 10
+
+
+def test_tail_sampling_scan_equals_fold_on_hot_bucket(spark):
+    import random
+    rnd = random.Random(7)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(400):
+        tid = f"t{i:04d}"
+        # most traces share one decision second (a hot bucket), some spill into the next
+        start = t0 + dt.timedelta(milliseconds=rnd.randint(0, 1500))
+        rows += [(tid, start)] * rnd.randint(1, 6)
+    df = spark.createDataFrame(rows, "trace_id string, start_ts timestamp_ntz")
+    a = I.tail_sample(df, wait_s=10, limit=25, bucket_s=1, partitions=5)
+    b = I.tail_sample_fold(df, wait_s=10, limit=25, bucket_s=1)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
