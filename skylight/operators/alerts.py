@@ -60,7 +60,8 @@ def tick_grid(rules: DataFrame, start, end, interval_col: str = "interval_min")
     return rules.select("rule_name", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("k"))
 
 
-def log_alert_ticks(logs: DataFrame, rules: DataFrame, start, end, store: str = "search") -> DataFrame:
+def log_alert_ticks(logs: DataFrame, rules: DataFrame, start, end, store: str = "search",
+                    max_window_min: int | None = None, day_col: str = "log_date") -> DataFrame:
     """A1 (``store="search"``) / A2 (``store="sql"``): per enabled rule and tick,
     the number of lines matching the rule's ids and phrase in the window,
     and whether the rule's comparison holds.
@@ -73,10 +74,17 @@ def log_alert_ticks(logs: DataFrame, rules: DataFrame, start, end, store: str =
     s_us, e_us = epoch_micros(start), epoch_micros(end)
     r = rules.filter(F.col("enabled")).select("rule_name", *keys, "phrase", "op", "threshold", "window_min",
                                               "interval_min")
-    max_w = r.agg(F.max("window_min")).collect()[0][0] or 0  # one row per rule: a config-sized read
-    lo_ts = F.timestamp_micros(long_lit(s_us - max_w * MINUTE_US)).cast("timestamp_ntz")
+    if max_window_min is None:
+        # the widest rule window bounds the scan; rules are configuration (one
+        # row per rule), so this is a tiny read, and it lets the time bounds
+        # reach the parquet reader and prune day partitions
+        max_window_min = r.agg(F.max("window_min")).collect()[0][0] or 0
+    lo_ts = F.timestamp_micros(long_lit(s_us - max_window_min * MINUTE_US)).cast("timestamp_ntz")
     hi_ts = F.timestamp_micros(long_lit(e_us)).cast("timestamp_ntz")
-    lines = logs.filter((F.col("ts") >= lo_ts) & (F.col("ts") <= hi_ts)).select("ts", "log", *keys)
+    bounds = (F.col("ts") >= lo_ts) & (F.col("ts") <= hi_ts)
+    if day_col in logs.columns:
+        bounds = bounds & (F.col(day_col) >= lo_ts.cast("date")) & (F.col(day_col) <= hi_ts.cast("date"))
+    lines = logs.filter(bounds).select("ts", "log", *keys)
     rb = broadcast_if_small(r.select("rule_name", *[F.col(k).alias("r_" + k) for k in keys], "phrase",
                                      "window_min", "interval_min"))
     cond = None
