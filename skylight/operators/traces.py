@@ -137,7 +137,7 @@ def list_traces_span_page(spans: DataFrame, scope: Scope, start, end,
     page = s.orderBy(F.col("start_ns").desc(), F.col("span_id").asc()).limit(limit)
     w = Window.orderBy(F.col("start_ns").desc(), F.col("span_id").asc())
     # the page holds at most `limit` rows, so this global window is bounded
-    ranked = page.withColumn("rn", F.row_number().over(w)).filter(
+    ranked = page.withColumn("rn", F.row_number().over(w).cast("bigint")).filter(
         F.col("trace_id").isNotNull() & (F.trim(F.col("trace_id")) != ""))
     is_root = F.col("parent_span_id").isNull() | (F.col("parent_span_id") == "")
     root = F.when(is_root, F.struct(F.col("rn"), F.col("span_id"), F.col("name"), F.col("kind")))
