@@ -287,6 +287,23 @@ def histogram_quantile(buckets: DataFrame, q: float, labels: Sequence[str], le_c
     return g.select(*labels, "ts", quantile_of(F.col("m"), q).alias("value"))
 
 
+def first_series(df: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Only the first series (smallest label tuple) of a result.  The
+    scope labels are also equality filters upstream, so at most one series
+    normally exists; this makes the choice deterministic when more do.
+    A one-row aggregate picks the series, a semi-join keeps its points."""
+    labels = list(labels)
+    if not labels:
+        return df
+    first = df.agg(F.min(F.struct(*labels)).alias("__k")).select(*[F.col("__k")[c].alias(c) for c in labels])
+    return df.join(first, labels, "left_semi")
+
+
+def to_points(df: DataFrame, ts_col: str = "ts", value_col: str = "value") -> DataFrame:
+    """A series as ordered (timestamp, value) points."""
+    return df.select(F.col(ts_col).alias("ts"), F.col(value_col).cast("double").alias("value")).orderBy("ts")
+
+
 def union_series(parts: dict[str, DataFrame]) -> DataFrame:
     """Several named series in one result (``series`` column)."""
     out = None

@@ -2,9 +2,11 @@
 
 Spans are rows ``(trace_id, span_id, parent_span_id, name, kind,
 status_code, start_ns, end_ns, start_ts, scope ids, ...)``.  Trace
-roll-ups are one hash aggregation keyed by ``trace_id`` (partial
-aggregation before the shuffle, so a trace with millions of spans costs one
-buffer per task) followed by a top-k that never sorts the full result.
+roll-ups are one aggregation keyed by ``trace_id`` with a map-side partial
+step (so a trace with millions of spans costs one buffer per task, then one
+row in the shuffle); the root is a struct minimum, so Spark runs it
+sort-based, which spills instead of failing on large groups.  Pages are a
+top-k that never sorts the full result.
 """
 
 from __future__ import annotations
@@ -45,8 +47,7 @@ def time_contained(start, end) -> Column:
     """Spans that start at/after ``start`` and end at/before ``end``.
 
     The start bound is stated on the raw timestamp so it reaches the parquet
-    reader; the day column gives partition pruning with one day of slack for
-    spans that cross midnight.
+    reader; the day column (the start's UTC day) gives partition pruning.
     """
     s, e = ts_lit(start), ts_lit(end)
     return ((F.col("start_ts") >= s) & (F.col("end_ns") <= _ns(end))

@@ -395,3 +395,22 @@ def http_metrics(spark, sf_dir):
     v = _v(spark, sf_dir)
     u = R.http_metrics(v.http_samples(), v.http_duration_sum(), v.http_buckets(), v.pods(), SCOPE, GRID, RANGE)
     return u.select("environment_uid", "ts", round6("value").alias("value"), "series")
+
+
+@register("metric_first_series", oracle=f"""
+WITH {GRID_CTE}, s AS ({_sum_sql(rate_sql("cpu_samples", ["pod", "pod_namespace"]))})
+SELECT environment_uid, ts, round((value) + 1e-9, 6) AS value FROM s
+WHERE environment_uid = (SELECT min(environment_uid) FROM s)""")
+def metric_first_series(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return _rounded(M.first_series(R.cpu_usage(v.cpu_samples(), v.pods(), SCOPE, GRID, RANGE),
+                                   SCOPE.label_columns()))
+
+
+@register("metric_points", oracle=f"""
+WITH {GRID_CTE}
+SELECT ts, CAST(memory_bytes AS DOUBLE) AS value FROM {instant_sql('gauge_samples', ['pod', 'pod_namespace'], ['memory_bytes'])} i
+WHERE pod = 'pod-7'""")
+def metric_points(spark, sf_dir):
+    i = M.instant(_v(spark, sf_dir).gauge_samples(), R.POD_KEYS, GRID, ["memory_bytes"], LOOK)
+    return M.to_points(i.filter(F.col("pod") == "pod-7"), value_col="memory_bytes")
