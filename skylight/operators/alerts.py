@@ -52,26 +52,33 @@ def _fdiv(a: Column, b: Column) -> Column:
     return ((a - F.pmod(a, b)) / b).cast("bigint")
 
 
-def tick_grid(rules: DataFrame, start, end, interval_col: str = "interval_min") -> DataFrame:
-    """Evaluation ticks per rule: start, start+interval, .. <= end."""
+def tick_grid(rules: DataFrame, start, end, interval_col: str = "interval_min", anchor=None) -> DataFrame:
+    """Evaluation ticks per rule: ``anchor + k * interval`` within
+    [start, end] (the anchor defaults to ``start``)."""
     s, e = epoch_micros(start), epoch_micros(end)
+    a = epoch_micros(anchor) if anchor is not None else s
     i_us = F.col(interval_col) * long_lit(MINUTE_US)
-    last = _fdiv(long_lit(e - s), i_us)
-    return rules.select("rule_name", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("k"))
+    first = -_fdiv(long_lit(a - s), i_us)
+    last = _fdiv(long_lit(e - a), i_us)
+    ks = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    return rules.select("rule_name", F.explode(ks).alias("k"))
 
 
 def log_alert_ticks(logs: DataFrame, rules: DataFrame, start, end, store: str = "search",
-                    max_window_min: int | None = None, day_col: str = "log_date") -> DataFrame:
+                    max_window_min: int | None = None, day_col: str = "log_date", anchor=None) -> DataFrame:
     """A1 (``store="search"``) / A2 (``store="sql"``): per enabled rule and tick,
     the number of lines matching the rule's ids and phrase in the window,
     and whether the rule's comparison holds.
 
-    Search form: ids component+environment+project, window ``[tick-w, tick]``.
-    SQL form: ids component+environment, window ``[tick-w, tick)``.
+    Ticks are ``anchor + k * interval`` inside [start, end] (anchor defaults
+    to start).  Search form: ids component+environment+project, window
+    ``[tick-w, tick]``.  SQL form: ids component+environment, window
+    ``[tick-w, tick)``.
     """
     keys = ["component_uid", "environment_uid", "project_uid"] if store == "search" else [
         "component_uid", "environment_uid"]
     s_us, e_us = epoch_micros(start), epoch_micros(end)
+    a_us = epoch_micros(anchor) if anchor is not None else s_us
     r = rules.filter(F.col("enabled")).select("rule_name", *keys, "phrase", "op", "threshold", "window_min",
                                               "interval_min")
     if max_window_min is None:
@@ -93,31 +100,37 @@ def log_alert_ticks(logs: DataFrame, rules: DataFrame, start, end, store: str =
         cond = c if cond is None else cond & c
     cond = cond & F.col("log").contains(F.col("phrase"))
     j = lines.join(rb, cond, "inner")
-    t = micros_col("ts") - long_lit(s_us)
+    t = micros_col("ts") - long_lit(a_us)
     i_us = F.col("interval_min") * long_lit(MINUTE_US)
     w_us = F.col("window_min") * long_lit(MINUTE_US)
-    last = _fdiv(long_lit(e_us - s_us), i_us)
+    k_first = -_fdiv(long_lit(a_us - s_us), i_us)
+    k_last = _fdiv(long_lit(e_us - a_us), i_us)
     if store == "search":      # tick - w <= t <= tick
         lo = -_fdiv(-t, i_us)
     else:                      # tick - w <= t < tick
         lo = _fdiv(t, i_us) + F.lit(1).cast("bigint")
     hi = _fdiv(t + w_us, i_us)
-    lo = F.greatest(lo, F.lit(0).cast("bigint"))
-    hi = F.least(hi, last)
+    lo = F.greatest(lo, k_first)
+    hi = F.least(hi, k_last)
     ks = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
     x = j.select("rule_name", F.explode(ks).alias("k"))
     counts = x.groupBy("rule_name", "k").agg(F.count(F.lit(1)).alias("n"))
-    grid = tick_grid(r, start, end)
+    grid = tick_grid(r, start, end, anchor=_from_us(a_us))
     out = grid.join(counts, ["rule_name", "k"], "left").join(
         r.select("rule_name", "op", "threshold", "interval_min"), "rule_name")
     n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
-    tick = F.timestamp_micros(long_lit(s_us) + F.col("k") * F.col("interval_min") * long_lit(MINUTE_US)).cast(
+    tick = F.timestamp_micros(long_lit(a_us) + F.col("k") * F.col("interval_min") * long_lit(MINUTE_US)).cast(
         "timestamp_ntz")
     return out.select("rule_name", tick.alias("tick"), n.alias("n"),
                       F.coalesce(compare(n.cast("double"), F.col("op"), F.col("threshold")), F.lit(False))
                       .alias("firing"))
 
 
+def _from_us(us: int):
+    import datetime as _dt
+    return _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=us)
+
+
 def fire_after(df: DataFrame, keys: Sequence[str], ts_col: str, cond: Column, for_s: float,
                block_us: int = 86_400_000_000) -> DataFrame:
     """A6 pending -> firing: the condition must hold at every evaluation for

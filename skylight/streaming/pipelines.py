@@ -11,6 +11,10 @@
 * ``trace_sessions`` - trace roll-up once a trace has been quiet for the
   completion wait: ``session_window`` per trace id.
 * ``throttled_notifications`` - A7 with per-rule state.
+* ``pending_stream`` - A6 (``for``) with per-key island state.
+* ``alert_ticks_each_batch`` - the A1 batch form inside ``foreachBatch``:
+  zero-count ticks and every comparison operator, idempotent per epoch.
+* ``windowed_increase_stream`` - dashboard counters per tumbling step.
 * ``dedupe_stream`` - S4 with ``dropDuplicatesWithinWatermark``.
 * ``rate_limit_stream`` - G2 fixed windows, append mode.
 
@@ -168,6 +172,131 @@ def throttled_notifications(firing: DataFrame, every_s: float = 3600) -> DataFra
         _throttle_fn(every_s), _THROTTLE_OUT, _THROTTLE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+# --- A6 pending with state ---------------------------------------------------------
+
+_PENDING_STATE = "island_start timestamp, last_ts timestamp"
+
+
+def _pending_fn(key_cols, ts_col: str, for_s: float, out_cols):
+    hold = pd.Timedelta(seconds=for_s)
+
+    def fn(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        island, last = (state.get if state.exists else (None, None))
+        rows = []
+        for pdf in batches:
+            pdf = pdf.sort_values(ts_col, kind="stable")
+            for ts, c in zip(pdf[ts_col], pdf["__cond"]):
+                if last is not None and ts <= last:
+                    continue  # out of order for this key: already decided
+                last = ts
+                if c:
+                    island = ts if island is None else island
+                    rows.append((*key, ts, island, bool(ts - island >= hold)))
+                else:
+                    island = None
+                    rows.append((*key, ts, None, False))
+        state.update((island, last))
+        if rows:
+            yield pd.DataFrame(rows, columns=out_cols)
+    return fn
+
+
+def pending_stream(evals: DataFrame, key_cols, ts_col: str, cond, for_s: float) -> DataFrame:
+    """A6 on a stream of evaluations: per key, the start of the current run
+    of true conditions is the state; an evaluation fires once the run has
+    lasted ``for_s``.  Evaluations must arrive in time order per key."""
+    key_cols = list(key_cols)
+    out_cols = key_cols + [ts_col, "island_start", "firing"]
+    key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in evals.schema.fields if f.name in key_cols)
+    schema = f"{key_schema}, {ts_col} timestamp, island_start timestamp, firing boolean"
+    d = evals.select(*key_cols, F.col(ts_col).cast("timestamp").alias(ts_col), F.coalesce(cond, F.lit(False)).alias("__cond"))
+    return d.groupBy(*key_cols).applyInPandasWithState(
+        _pending_fn(key_cols, ts_col, for_s, out_cols), schema, _PENDING_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+# --- A1 batch form per micro-batch -------------------------------------------------
+
+def alert_ticks_each_batch(rules: DataFrame, store: str, sink: str, anchor, lateness_s: float = 0,
+                           store_day_col: str = "log_date"):
+    """A ``foreachBatch`` function: append the micro-batch of log lines to the
+    day-partitioned store, then evaluate every tick that became final since
+    the last batch (ticks up to the newest line time minus ``lateness_s``)
+    with the batch operator over the whole store, zero counts included.
+
+    Both writes are keyed by the epoch id and overwrite that epoch, so a
+    re-run of a failed epoch does not duplicate; ``latest_alert_ticks``
+    reads the result.  Progress (the last evaluated time) is a one-row file
+    per epoch next to the sink.
+    """
+    import datetime as _dt
+
+    from skylight.operators.alerts import log_alert_ticks
+    from skylight.functions.timeutil import parse_ts
+
+    anchor_dt = parse_ts(anchor)
+    progress = sink.rstrip("/") + "_progress"
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        hi = batch.agg(F.max("ts")).first()[0]
+        if hi is None:
+            return
+        (batch.withColumn(store_day_col, F.col("ts").cast("date")).write.mode("overwrite")
+         .partitionBy(store_day_col).parquet(f"{store}/epoch={epoch_id}"))
+        done = None
+        try:
+            prev = spark.read.parquet(progress).filter(F.col("epoch") < epoch_id)
+            done = prev.agg(F.max("upto")).first()[0]
+        except Exception:  # noqa: BLE001 - no progress yet
+            done = None
+        start = (done + _dt.timedelta(microseconds=1)) if done is not None else anchor_dt
+        upto = (hi if not isinstance(hi, str) else parse_ts(hi)) - _dt.timedelta(seconds=lateness_s)
+        if upto >= start:
+            lines = spark.read.parquet(store).drop("epoch")
+            ticks = log_alert_ticks(lines, rules, start, upto, anchor=anchor_dt)
+            ticks.write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
+            mark = upto
+        else:
+            mark = done
+        if mark is not None:
+            spark.createDataFrame([(mark,)], "upto timestamp_ntz").write.mode(
+                "overwrite").parquet(f"{progress}/epoch={epoch_id}")
+    return run
+
+
+def latest_alert_ticks(spark: SparkSession, sink: str) -> DataFrame:
+    """The newest evaluation of each (rule, tick) written by ``alert_ticks_each_batch``."""
+    t = spark.read.parquet(sink)
+    latest = t.groupBy("rule_name", "tick").agg(F.max_by(F.struct("n", "firing"), "epoch").alias("v"))
+    return latest.select("rule_name", "tick", F.col("v.n").alias("n"), F.col("v.firing").alias("firing"))
+
+
+# --- dashboards ----------------------------------------------------------------------
+
+def windowed_increase_stream(samples: DataFrame, keys, step: str = "5 minutes", watermark: str = "10 minutes",
+                             value_col: str = "value") -> DataFrame:
+    """Counter increase per series and tumbling step (last - first sample in
+    the window), emitted when the window closes.  Resets and extrapolation
+    need neighbouring windows; the batch ``rate`` is the exact form."""
+    keys = list(keys)
+    g = samples.withWatermark("event_time", watermark).groupBy(*keys, F.window("event_time", step).alias("w"))
+    out = g.agg(F.count(F.lit(1)).alias("samples"),
+                F.min_by(value_col, "event_time").alias("first_value"),
+                F.max_by(value_col, "event_time").alias("last_value"))
+    return out.select(*keys, F.col("w.start").alias("window_start"), "samples",
+                      (F.col("last_value") - F.col("first_value")).alias("increase"))
+
+
+def late_rows(query) -> int:
+    """Rows dropped by watermarks so far, from the query's progress reports."""
+    total = 0
+    for p in query.recentProgress or []:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", []):
+            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(op, "numRowsDroppedByWatermark", 0)
+            total += int(v or 0)
+    return total
+
+
 # --- S4 / G2 -----------------------------------------------------------------------
 
 def dedupe_stream(df: DataFrame, id_col: str = "doc_id", watermark: str = "1 hour") -> DataFrame:

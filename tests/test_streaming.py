@@ -64,3 +64,37 @@ def test_trace_sessions_stream(spark):
     per_trace = got.groupBy("trace_id").agg(F.sum("span_count").alias("n"))
     batch = v.spans().groupBy("trace_id").agg(F.count(F.lit(1)).alias("n"))
     assert per_trace.exceptAll(batch).count() == 0 and batch.exceptAll(per_trace).count() == 0
+
+
+def test_pending_stream_equals_islands(spark):
+    v = Views(spark, SF_CHECK)
+    ev = v.events.select("user_id", "event_id", "ts", "value")
+    src = _as_stream(spark, ev.coalesce(1), "stream-pending")
+    got = SP.run_to_memory(SP.pending_stream(src, ["user_id"], "ts", F.col("value") > 20, 86400), "pending")
+    batch = A.fire_after(ev, ["user_id"], "ts", F.col("value") > 20, 86400)
+    g = got.filter("firing").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    b = batch.filter("firing").select("user_id", "ts")
+    assert g.count() == b.count() > 0
+    assert g.exceptAll(b).count() == 0
+
+
+def test_alert_ticks_each_batch_equals_batch(spark):
+    import time
+    v = Views(spark, SF_CHECK)
+    logs = v.logs().select("ts", "log", "component_uid", "environment_uid", "project_uid")
+    src = K.scratch_path(spark, "stream-alert-src")
+    edges = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01"]
+    for lo, hi in zip(edges, edges[1:]):
+        logs.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))) \
+            .coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # distinct file times keep the micro-batches in time order
+    store, sink = K.scratch_path(spark, "stream-alert-store"), K.scratch_path(spark, "stream-alert-sink")
+    stream = spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (stream.writeStream.foreachBatch(SP.alert_ticks_each_batch(v.rules(), store, sink, "2024-01-02"))
+         .option("checkpointLocation", K.scratch_path(spark, "ckpt-alert")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = SP.latest_alert_ticks(spark, sink)
+    upto = logs.agg(F.max("ts")).first()[0]
+    batch = A.log_alert_ticks(v.logs(), v.rules(), "2024-01-02", upto)
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch).count() == 0
