@@ -52,4 +52,5 @@ def test_trace_total_is_capped(spark):
     rows = [_span(f"t{i}", f"s{i}", "", "x", i, i + 1) for i in range(30)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert T.trace_total(df, Scope("ns"), "2024-01-01", "2024-01-02", exact=True, cap=10).collect()[0][0] == 10
-    assert T.trace_total(df, Scope("ns"), "2024-01-01", "2024-01-02", exact=False).collect()[0][0] == 30
+    approx = T.trace_total(df, Scope("ns"), "2024-01-01", "2024-01-02", exact=False).collect()[0][0]
+    assert abs(approx - 30) <= 2  # HLL++ estimate, relative error about 5%
