@@ -177,10 +177,10 @@ def instant(samples: DataFrame, keys: Sequence[str], grid: Grid, value_cols: Seq
     gauge columns of the same sample row are carried together."""
     keys = list(keys)
     x = explode_to_grid(samples.select(*keys, ts_col, *value_cols), grid, lookback_s, ts_col)
-    latest = F.max_by(F.struct(*value_cols), "__t_us").alias("__v")
-    agg = x.groupBy(*keys, "g").agg(latest)
-    return agg.select(*keys, grid.ts(F.col("g")).alias("ts"),
-                      *[F.col("__v").getField(c).alias(c) for c in value_cols])
+    # one max_by per gauge (fixed-width buffers keep this a hash aggregation);
+    # sample times are unique within a series, so all pick the same row
+    agg = x.groupBy(*keys, "g").agg(*[F.max_by(c, "__t_us").alias(c) for c in value_cols])
+    return agg.select(*keys, grid.ts(F.col("g")).alias("ts"), *value_cols)
 
 
 def label_match(df: DataFrame, equal: dict | None = None, not_equal: dict | None = None,

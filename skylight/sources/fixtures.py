@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skylight.functions.scan import running_total
 from skylight.sources.tables import events as read_events
@@ -162,13 +161,11 @@ BUCKET_BOUNDS = (10.0, 50.0, 100.0, 500.0, float("inf"))
 
 
 def http_buckets(ev: DataFrame) -> DataFrame:
-    spark = ev.sparkSession
-    bounds = spark.createDataFrame([(b,) for b in BUCKET_BOUNDS],
-                                   T.StructType([T.StructField("le", T.DoubleType(), False)]))
-    # The bound list is a fixed five-row literal, so broadcasting it is safe.
+    """One cumulative counter per (pod, bucket bound): each event is exploded
+    to the five bounds (a literal array, no join)."""
+    bounds = F.array(*[F.lit(b) for b in BUCKET_BOUNDS])
     base = (ev.select(*_pod_cols("destination_pod", "destination_namespace"), "ts", "user_id",
-                      "event_id", "value")
-            .crossJoin(F.broadcast(bounds))
+                      "event_id", "value", F.explode(bounds).alias("le"))
             .withColumn("hit", F.when(F.col("value") <= F.col("le"), 1).otherwise(0).cast("bigint")))
     out = running_total(base, ["user_id", "le"], "event_id", "hit", "n")
     return out.select("destination_pod", "destination_namespace", "ts", "le",
