@@ -203,8 +203,8 @@ def span_detail(spans: DataFrame, trace_id: str, span_id: str) -> DataFrame:
 
 # Span fields that are not attributes in the flat span store.
 INTERNAL_SPAN_FIELDS = (
-    "trace_id", "span_id", "operation_name", "span_kind", "start_time", "end_time",
-    "duration", "reference_parent_span_id", "span_status", "_timestamp", "reference_ref_type",
+    "_timestamp", "span_id", "operation_name", "span_kind", "start_time", "end_time", "duration",
+    "parent_span_id", "reference_parent_span_id", "trace_id", "span_status",
 )
 
 RESOURCE_PREFIXES = ("service", "resource")
