@@ -107,6 +107,15 @@ def metric_allowlist(df: DataFrame, metric_col: str = "metric", labels_col: str
             .withColumn(labels_col, F.map_filter(F.col(labels_col), lambda k, v: F.array_contains(keep, k))))
 
 
+def _bucket_range(df: DataFrame, buckets) -> DataFrame:
+    lo, hi = buckets
+    if lo is not None:
+        df = df.filter(F.col("bucket") >= F.lit(int(lo)).cast("bigint"))
+    if hi is not None:
+        df = df.filter(F.col("bucket") <= F.lit(int(hi)).cast("bigint"))
+    return df
+
+
 def _trace_candidates(spans: DataFrame, wait_s: float, bucket_s: float, trace_col: str, ts_col: str) -> DataFrame:
     """One row per trace: first span time, span count, decision bucket.
     A partial aggregation, so a trace with many spans is combined map-side."""
@@ -120,7 +129,8 @@ def _trace_candidates(spans: DataFrame, wait_s: float, bucket_s: float, trace_co
 
 
 def tail_sample(spans: DataFrame, wait_s: float = 10, limit: int = 10, bucket_s: float = 1,
-                trace_col: str = "trace_id", ts_col: str = "start_ts", partitions: int | None = None) -> DataFrame:
+                trace_col: str = "trace_id", ts_col: str = "start_ts", partitions: int | None = None,
+                buckets: tuple[int | None, int | None] = (None, None)) -> DataFrame:
     """Per trace, the decision falls ``wait_s`` after its first span, in
     bucket ``floor((first_seen + wait) / bucket)``; within a bucket traces are
     taken in (first seen, id) order and kept while the kept spans plus their
@@ -139,11 +149,14 @@ def tail_sample(spans: DataFrame, wait_s: float = 10, limit: int = 10, bucket_s:
        entry per range of that bucket) give each range's true start state;
     4. a trace is kept when its mask holds at its range's start state.
     Traces larger than ``limit`` can never be kept and are dropped first.
+    ``buckets=(lo, hi)`` decides only buckets lo..hi (inclusive; buckets are
+    independent, so this is exact for them).
     """
     import numpy as np
     import pandas as pd
 
-    cand = _trace_candidates(spans, wait_s, bucket_s, trace_col, ts_col).filter(F.col("n") <= limit)
+    cand = _bucket_range(_trace_candidates(spans, wait_s, bucket_s, trace_col, ts_col), buckets)
+    cand = cand.filter(F.col("n") <= limit)
     parts = partitions or int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (cand.repartitionByRange(parts, "bucket", "first_us", trace_col)
               .sortWithinPartitions("bucket", "first_us", trace_col)

@@ -98,3 +98,28 @@ def test_alert_ticks_each_batch_equals_batch(spark):
     batch = A.log_alert_ticks(v.logs(), v.rules(), "2024-01-02", upto)
     assert got.count() == batch.count() > 0
     assert got.exceptAll(batch).count() == 0
+
+
+def test_tail_sample_each_batch_equals_batch(spark):
+    import time
+    from skylight.operators import ingest as I
+    v = Views(spark, SF_CHECK)
+    spans = v.spans().select("trace_id", "start_ts")
+    src = K.scratch_path(spark, "stream-spans-src")
+    edges = ["2024-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "2024-02-01"]
+    for lo, hi in zip(edges, edges[1:]):
+        spans.filter((F.col("start_ts") >= F.lit(lo).cast("timestamp_ntz"))
+                     & (F.col("start_ts") < F.lit(hi).cast("timestamp_ntz"))).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    store, sink = K.scratch_path(spark, "stream-ts-store"), K.scratch_path(spark, "stream-ts-sink")
+    stream = spark.readStream.schema(spans.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    fn = SP.tail_sample_each_batch(store, sink, wait_s=86400, limit=20, bucket_s=86400)
+    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", K.scratch_path(spark, "ckpt-ts"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(sink).drop("epoch")
+    # buckets decided by the stream: all but the last (its end never passed)
+    last_bucket = got.agg(F.max(F.unix_micros(F.col("decision_ts").cast("timestamp")))).first()[0] // 86400000000
+    batch = I.tail_sample(spans, wait_s=86400, limit=20, bucket_s=86400, buckets=(None, last_bucket))
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch).count() == 0
