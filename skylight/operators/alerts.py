@@ -150,12 +150,117 @@ def fire_after(df: DataFrame, keys: Sequence[str], ts_col: str, cond: Column, fo
             .drop("__cond", "__tus", "__breaks", "__island", "__island_start"))
 
 
-def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_THROTTLE_S) -> DataFrame:
+def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_THROTTLE_S,
+             partitions: int | None = None) -> DataFrame:
     """At most one notification per key per ``every_s``: the first firing
-    is sent, later ones only when ``every_s`` has passed since the last
-    sent one.  A fold over the key's sorted firing times."""
+    is sent, later ones only when ``every_s`` has passed since the last sent
+    one.
+
+    Runs as an exact parallel scan, so no key is ever one task: firing times
+    are range-partitioned by (key, time).  Inside a range, the unknown
+    incoming "last sent" only decides which tick is sent first, and that is
+    either a tick within ``every_s`` of the range's first tick or the first
+    tick after that; all such cases are walked together (``mapInPandas``),
+    each sent tick listing the cases that send it.  A chain over the ranges
+    of a key (one entry per range) picks each range's case, and a tick is
+    sent when its range's case is among its cases.
+    """
+    import numpy as np
+    import pandas as pd
+
+    gap = int(every_s * 1_000_000)
+    parts = partitions or int(firing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    t = firing.select(F.col(key).alias("__k"), micros_col(ts_col).alias("__t")).dropDuplicates(["__k", "__t"])
+    ranged = (t.repartitionByRange(parts, "__k", "__t").sortWithinPartitions("__k", "__t")
+              .withColumn("__pid", F.spark_partition_id()))
+
+    def segment_rows(k, pid, ticks):
+        """Walk every case's chain of sent ticks at once, in tick order.
+        Cases whose chains reach the same tick are merged (they coincide
+        from there on), so a tick carries the cases that send it, or ``[0]``
+        when every case does: the output stays about one entry per tick."""
+        import heapq
+        ticks = np.asarray(ticks, dtype=np.int64)
+        m = len(ticks)
+        near = int(np.searchsorted(ticks, ticks[0] + gap, side="left"))
+        starts = list(range(near)) + ([near] if near < m else [])
+        ncases = len(starts)
+        heads = {j: [c + 1] for c, j in enumerate(starts)}  # tick index -> cases (1-based) whose chain is there
+        heap = list(heads)
+        heapq.heapify(heap)
+        lasts = [None] * ncases
+        rows = []
+        while heap:
+            i = heapq.heappop(heap)
+            cs = heads.pop(i)
+            everyone = cs == [0] or len(cs) == ncases
+            cs = [0] if everyone else sorted(cs)
+            rows.append((k, pid, int(ticks[i]), cs, None, None))
+            nxt = int(np.searchsorted(ticks, ticks[i] + gap, side="left"))
+            if nxt >= m:
+                for c in (range(1, ncases + 1) if everyone else cs):
+                    lasts[c - 1] = int(ticks[i])
+                continue
+            if nxt in heads:
+                merged = heads[nxt]
+                heads[nxt] = [0] if (everyone or merged == [0]) else merged + cs
+            else:
+                heads[nxt] = cs
+                heapq.heappush(heap, nxt)
+        rows.append((k, pid, None, None, [int(ticks[j]) for j in starts], lasts))
+        return rows
+
+    cols = ["__k", "__pid", "__t", "mask", "case_starts", "case_lasts"]
+
+    def scan(batches):
+        cur, pid, buf = None, None, []
+        for pdf in batches:
+            out = []
+            for k, tt, p in zip(pdf["__k"], pdf["__t"], pdf["__pid"]):
+                if cur is not None and k != cur:
+                    out += segment_rows(cur, pid, buf)
+                    buf = []
+                cur, pid = k, int(p)
+                buf.append(int(tt))
+            if out:
+                yield pd.DataFrame(out, columns=cols)
+        if buf:
+            yield pd.DataFrame(segment_rows(cur, pid, buf), columns=cols)
+
+    kt = t.schema[0].dataType.simpleString()
+    schema = (f"__k {kt}, __pid int, __t bigint, mask array<int>, case_starts array<bigint>, "
+              "case_lasts array<bigint>")
+    scanned = ranged.mapInPandas(scan, schema)
+    segs = scanned.filter(F.col("case_starts").isNotNull()).select("__k", "__pid", "case_starts", "case_lasts")
+    per_key = segs.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("__pid", "case_starts", "case_lasts")))
+                                      .alias("segs"))
+    g = long_lit(gap)
+    init = F.struct(F.lit(None).cast("bigint").alias("last"),
+                    F.array().cast("array<struct<pid:int,case:int>>").alias("out"))
+
+    def chain(acc, x):
+        earliest = F.coalesce(acc["last"] + g, F.lit(-(2 ** 62)).cast("bigint"))
+        # the first case whose first sent tick is allowed; none -> nothing sent here
+        idx = F.array_position(F.transform(x["case_starts"], lambda st: st >= earliest), True).cast("int")
+        new_last = F.when(idx > 0, F.element_at(x["case_lasts"], F.greatest(idx, F.lit(1)))).otherwise(acc["last"])
+        return F.struct(new_last.alias("last"),
+                        F.array_append(acc["out"], F.struct(x["__pid"].alias("pid"), idx.alias("case")))
+                        .alias("out"))
+
+    cases = per_key.select("__k", F.explode(F.aggregate("segs", init, chain)["out"]).alias("c")).select(
+        "__k", F.col("c.pid").alias("__pid"), F.col("c.case").alias("__case"))
+    ticks = scanned.filter(F.col("__t").isNotNull()).select("__k", "__pid", "__t", "mask")
+    sent = ticks.join(cases, ["__k", "__pid"], "inner").filter(
+        (F.col("__case") > 0) & (F.array_contains("mask", F.lit(0)) | F.array_contains("mask", F.col("__case"))))
+    return sent.select(F.col("__k").alias(key),
+                       F.timestamp_micros(F.col("__t")).cast("timestamp_ntz").alias(ts_col))
+
+
+def throttle_fold(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_THROTTLE_S) -> DataFrame:
+    """A7 as one fold over each key's sorted firing times (the plain form,
+    for small inputs and as a cross-check of ``throttle``)."""
     gap = long_lit(int(every_s * 1_000_000))
-    per_key = firing.groupBy(key).agg(F.array_sort(F.collect_list(micros_col(ts_col))).alias("__ts"))
+    per_key = firing.groupBy(key).agg(F.array_sort(F.collect_set(micros_col(ts_col))).alias("__ts"))
     init = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("sent"))
 
     def step(acc, x):

@@ -86,3 +86,21 @@ def test_rule_diff(spark):
     e = spark.createDataFrame([("b", 2.0), ("c", 4.0), ("z", 1.0)], "rule_name string, threshold double")
     got = {r.rule_name: r.action for r in A.diff_rules(d, e, spec_cols=["threshold"]).collect()}
     assert got == {"a": "created", "b": "unchanged", "c": "updated", "z": "deleted"}
+
+
+def test_throttle_scan_equals_fold(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for rule in ("a", "b", "c"):
+        t = 0
+        for _ in range(300 if rule == "a" else 40):
+            t += rnd.choice([1, 1, 2, 5, 7, 30, 61, 90])
+            rows.append((rule, T0 + dt.timedelta(minutes=t)))
+    rows += [("dense", T0 + dt.timedelta(seconds=20 * i)) for i in range(1500)]  # chains that never merge
+    df = spark.createDataFrame(rows, "rule_name string, tick timestamp_ntz")
+    for parts in (1, 4, 9):
+        a = A.throttle(df, "rule_name", "tick", 3600, partitions=parts)
+        b = A.throttle_fold(df, "rule_name", "tick", 3600)
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
