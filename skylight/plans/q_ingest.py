@@ -20,6 +20,20 @@ from skylight.sources.fixtures import Views
 LOG_COLS = "event_id, ts, log, namespace, component_uid, environment_uid, project_uid"
 
 
+_CONTAINER_FILES: dict = {}
+
+
+def _container_files(spark, sf_dir) -> str:
+    """The container log files of ``sf_dir``, written once per session (the
+    fixture); the queries then list, read and decode them on every run."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _CONTAINER_FILES.get(key)
+    if path is None:
+        path = _write_container_files(spark, sf_dir)
+        _CONTAINER_FILES[key] = path
+    return path
+
+
 def _write_container_files(spark, sf_dir) -> str:
     """Container log files from ``events``: CRI text for even users (long
     lines split into a ``P`` fragment and a closing ``F`` line), docker JSON
@@ -46,7 +60,7 @@ def _write_container_files(spark, sf_dir) -> str:
 
 
 def _decoded(spark, sf_dir):
-    path = _write_container_files(spark, sf_dir)
+    path = _container_files(spark, sf_dir)
     raw = C.read_container_logs(spark, path, glob="*.txt")
     return C.decode_container_lines(raw)
 

@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # many small log folders: list them in a bounded number of parallel tasks
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
