@@ -14,7 +14,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (exact for local relations and
     literal tables; an upper bound for scans)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - Connect sessions have no JVM handle
         return None
 

@@ -195,8 +195,20 @@ RULE_ROWS = [
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    """Alert rules are configuration: a handful of rows, broadcast by users."""
-    return spark.createDataFrame(RULE_ROWS, RULES_SCHEMA)
+    """Alert rules are configuration: a handful of rows.  An inline VALUES
+    table is a local relation, so the optimizer knows its exact size and a
+    size-checked broadcast applies."""
+    def lit(v):
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return repr(v)
+    values = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in RULE_ROWS)
+    names = [c.split()[0] for c in RULES_SCHEMA.split(", ")]
+    typed = ", ".join(f"CAST({n} AS {t.split()[1].upper()}) AS {n}"
+                      for n, t in zip(names, RULES_SCHEMA.split(", ")))
+    return spark.sql(f"SELECT {typed} FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def webhooks(ev: DataFrame) -> DataFrame:
