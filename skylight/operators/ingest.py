@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylight.functions.joins import broadcast_if_small
+from skylight.functions.labels import COMPONENT_UID, ENVIRONMENT_UID, NAMESPACE, PROJECT_UID, label_key
 from skylight.sources.containers import file_metadata
 
 
@@ -89,14 +90,14 @@ def route_by_environment(df: DataFrame, env_col: str, routes: Sequence[str]) ->
     return df.filter(F.col(env_col).isin(list(routes))).withColumn("route", F.col(env_col))
 
 
-# The pod metrics kept by the metric scraper, and the pod labels kept on them.
+# The pod metrics kept by the metric scraper.
 METRIC_ALLOWLIST = (
     "kube_pod_completion_time", "kube_pod_container_resource_limits", "kube_pod_container_resource_requests",
     "kube_pod_info", "kube_pod_init_container_resource_limits", "kube_pod_init_container_resource_requests",
     "kube_pod_labels", "kube_pod_start_time", "kube_pod_status_phase",
 )
-LABEL_ALLOWLIST = ("openchoreo.dev/component-uid", "openchoreo.dev/project-uid",
-                   "openchoreo.dev/environment-uid", "openchoreo.dev/namespace")
+# The four scope labels (under the configured label domain) are the labels kept on pod metrics.
+LABEL_ALLOWLIST = tuple(label_key(n) for n in (COMPONENT_UID, PROJECT_UID, ENVIRONMENT_UID, NAMESPACE))
 
 
 def metric_allowlist(df: DataFrame, metric_col: str = "metric", labels_col: str = "labels",

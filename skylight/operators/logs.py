@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skylight.functions.labels import COMPONENT_UID, ENVIRONMENT_UID, NAMESPACE, PROJECT_UID, log_label_key
 from skylight.functions.levels import effective_level, level_from_text
 from skylight.functions.scope import Scope
 from skylight.functions.timeutil import ts_lit
@@ -177,10 +178,10 @@ def to_log_documents(logs: DataFrame) -> DataFrame:
     """Nested log documents (D1) as a shipper would index them: RFC 3339 time
     string, ``kubernetes`` struct with a normalised label map."""
     labels = F.create_map(
-        F.lit("openchoreo_dev_component_uid"), F.col("component_uid"),
-        F.lit("openchoreo_dev_environment_uid"), F.col("environment_uid"),
-        F.lit("openchoreo_dev_project_uid"), F.col("project_uid"),
-        F.lit("openchoreo_dev_namespace"), F.col("namespace"))
+        F.lit(log_label_key(COMPONENT_UID)), F.col("component_uid"),
+        F.lit(log_label_key(ENVIRONMENT_UID)), F.col("environment_uid"),
+        F.lit(log_label_key(PROJECT_UID)), F.col("project_uid"),
+        F.lit(log_label_key(NAMESPACE)), F.col("namespace"))
     return logs.select(
         "event_id",
         F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("@timestamp"),
@@ -204,10 +205,10 @@ def project_entries(docs: DataFrame) -> DataFrame:
         ts.cast("timestamp_ntz").alias("ts"),
         s(F.col("log")).alias("log"),
         level_from_text(s(F.col("log")), "search").alias("level"),
-        s(lab["openchoreo_dev_component_uid"]).alias("component_uid"),
-        s(lab["openchoreo_dev_environment_uid"]).alias("environment_uid"),
-        s(lab["openchoreo_dev_project_uid"]).alias("project_uid"),
-        s(lab["openchoreo_dev_namespace"]).alias("namespace"),
+        s(lab[log_label_key(COMPONENT_UID)]).alias("component_uid"),
+        s(lab[log_label_key(ENVIRONMENT_UID)]).alias("environment_uid"),
+        s(lab[log_label_key(PROJECT_UID)]).alias("project_uid"),
+        s(lab[log_label_key(NAMESPACE)]).alias("namespace"),
         s(F.col("kubernetes.namespace_name")).alias("pod_namespace"),
         s(F.col("kubernetes.pod_name")).alias("pod_name"),
         s(F.col("kubernetes.container_name")).alias("container_name"),

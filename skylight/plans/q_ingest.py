@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skylight.functions.labels import COMPONENT_UID, ENVIRONMENT_UID, NAMESPACE, PROJECT_UID, label_key, log_label_key
 from skylight.operators import alerts as A
 from skylight.operators import ingest as I
 from skylight.plans.q_alerts import WEBHOOKS_SQL
@@ -210,14 +211,14 @@ def resource_upsert(spark, sf_dir):
 def _labels(spark, sf_dir):
     lg = Views(spark, sf_dir).logs()
     return lg.select("event_id", F.create_map(
-        F.lit("openchoreo.dev/component-uid"), F.col("component_uid"),
+        F.lit(label_key(COMPONENT_UID)), F.col("component_uid"),
         F.lit("app.kubernetes.io/name"), F.col("pod_name"),
         F.lit("version-id"), F.col("step_name")).alias("labels"))
 
 
-@register("label_keys_normalized", oracle="""
+@register("label_keys_normalized", oracle=f"""
 WITH l AS (SELECT event_id, component_uid, pod_name, step_name FROM logs),
-kv AS (SELECT event_id, 'openchoreo.dev/component-uid' AS k, component_uid AS v FROM l
+kv AS (SELECT event_id, '{label_key(COMPONENT_UID)}' AS k, component_uid AS v FROM l
        UNION ALL SELECT event_id, 'app.kubernetes.io/name', pod_name FROM l UNION ALL SELECT event_id, 'version-id', step_name FROM l)
 SELECT event_id, 'logs' AS mode, replace(k, '.', '_') AS key, v AS value FROM kv
 UNION ALL
@@ -232,11 +233,11 @@ def label_keys_normalized(spark, sf_dir):
     return out
 
 
-@register("log_reshape", oracle="""
+@register("log_reshape", oracle=f"""
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "@timestamp", log, pod_namespace AS k8s_namespace_name,
   pod_name AS k8s_pod_name, container_name AS k8s_container_name,
-  array_to_string(list_sort(['openchoreo_dev_component_uid=' || component_uid, 'openchoreo_dev_environment_uid=' || environment_uid,
-    'openchoreo_dev_namespace=' || namespace, 'openchoreo_dev_project_uid=' || project_uid]), ';') AS resource_attributes
+  array_to_string(list_sort(['{log_label_key(COMPONENT_UID)}=' || component_uid, '{log_label_key(ENVIRONMENT_UID)}=' || environment_uid,
+    '{log_label_key(NAMESPACE)}=' || namespace, '{log_label_key(PROJECT_UID)}=' || project_uid]), ';') AS resource_attributes
 FROM logs""")
 def log_reshape(spark, sf_dir):
     from skylight.functions.ids import map_text
@@ -261,25 +262,25 @@ def route_by_environment(spark, sf_dir):
     return I.route_by_environment(lg, "environment_uid", ["env-1"]).select("event_id", "route")
 
 
-@register("metric_allowlist", oracle="""
+@register("metric_allowlist", oracle=f"""
 WITH g AS (SELECT g.pod, g.ts, g.cpu_limit, g.memory_bytes, g.phase_running, p.component_uid, p.project_uid,
              p.environment_uid, p.namespace FROM gauge_samples g JOIN pods p ON g.pod = p.pod AND g.pod_namespace = p.pod_namespace),
 m AS (SELECT pod, ts, 'kube_pod_container_resource_limits' AS metric, * EXCLUDE (pod, ts) FROM g
       UNION ALL SELECT pod, ts, 'container_memory_working_set_bytes', * EXCLUDE (pod, ts) FROM g
       UNION ALL SELECT pod, ts, 'kube_pod_status_phase', * EXCLUDE (pod, ts) FROM g)
 SELECT pod, ts, metric, k AS key, v AS value FROM (
-  SELECT pod, ts, metric, 'openchoreo.dev/component-uid' AS k, component_uid AS v FROM m
-  UNION ALL SELECT pod, ts, metric, 'openchoreo.dev/project-uid', project_uid FROM m
-  UNION ALL SELECT pod, ts, metric, 'openchoreo.dev/environment-uid', environment_uid FROM m
-  UNION ALL SELECT pod, ts, metric, 'openchoreo.dev/namespace', namespace FROM m) u
+  SELECT pod, ts, metric, '{label_key(COMPONENT_UID)}' AS k, component_uid AS v FROM m
+  UNION ALL SELECT pod, ts, metric, '{label_key(PROJECT_UID)}', project_uid FROM m
+  UNION ALL SELECT pod, ts, metric, '{label_key(ENVIRONMENT_UID)}', environment_uid FROM m
+  UNION ALL SELECT pod, ts, metric, '{label_key(NAMESPACE)}', namespace FROM m) u
 WHERE metric IN ('kube_pod_container_resource_limits', 'kube_pod_status_phase')""")
 def metric_allowlist(spark, sf_dir):
     v = Views(spark, sf_dir)
     g = v.gauge_samples().join(v.pods(), ["pod", "pod_namespace"])
     labels = F.create_map(
-        F.lit("openchoreo.dev/component-uid"), F.col("component_uid"), F.lit("openchoreo.dev/project-uid"),
-        F.col("project_uid"), F.lit("openchoreo.dev/environment-uid"), F.col("environment_uid"),
-        F.lit("openchoreo.dev/namespace"), F.col("namespace"), F.lit("app"), F.lit("web"),
+        F.lit(label_key(COMPONENT_UID)), F.col("component_uid"), F.lit(label_key(PROJECT_UID)),
+        F.col("project_uid"), F.lit(label_key(ENVIRONMENT_UID)), F.col("environment_uid"),
+        F.lit(label_key(NAMESPACE)), F.col("namespace"), F.lit("app"), F.lit("web"),
         F.lit("pod-template-hash"), F.lit("5d8f7c"))
     metric = F.explode(F.array(*[F.lit(m) for m in ("kube_pod_container_resource_limits",
                                                     "container_memory_working_set_bytes",

@@ -25,11 +25,11 @@ def test_cri_fragments_are_stitched(spark):
 
 
 def test_label_key_normalisation(spark):
-    df = spark.createDataFrame([({"openchoreo.dev/component-uid": "c", "a.b": "x"},)], "labels map<string,string>")
+    df = spark.createDataFrame([({"example.dev/component-uid": "c", "a.b": "x"},)], "labels map<string,string>")
     logs = I.normalize_label_keys(df, "logs").collect()[0].labels
     mets = I.normalize_label_keys(df, "metrics").collect()[0].labels
-    assert logs == {"openchoreo_dev/component-uid": "c", "a_b": "x"}
-    assert mets == {"label_openchoreo_dev_component_uid": "c", "label_a_b": "x"}
+    assert logs == {"example_dev/component-uid": "c", "a_b": "x"}
+    assert mets == {"label_example_dev_component_uid": "c", "label_a_b": "x"}
 
 
 def test_resource_upsert_only_when_source_present(spark):
@@ -39,10 +39,12 @@ def test_resource_upsert_only_when_source_present(spark):
 
 
 def test_metric_allowlist(spark):
-    df = spark.createDataFrame([("kube_pod_labels", {"openchoreo.dev/namespace": "n", "app": "a"}),
-                                ("node_cpu", {"openchoreo.dev/namespace": "n"})], "metric string, labels map<string,string>")
+    from skylight.functions.labels import NAMESPACE, label_key
+    ns = label_key(NAMESPACE)
+    df = spark.createDataFrame([("kube_pod_labels", {ns: "n", "app": "a"}),
+                                ("node_cpu", {ns: "n"})], "metric string, labels map<string,string>")
     out = I.metric_allowlist(df).collect()
-    assert [(r.metric, r.labels) for r in out] == [("kube_pod_labels", {"openchoreo.dev/namespace": "n"})]
+    assert [(r.metric, r.labels) for r in out] == [("kube_pod_labels", {ns: "n"})]
 
 
 def test_tail_sampling_greedy_per_second(spark):
