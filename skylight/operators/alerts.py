@@ -174,13 +174,16 @@ def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_
     ranged = (t.repartitionByRange(parts, "__k", "__t").sortWithinPartitions("__k", "__t")
               .withColumn("__pid", F.spark_partition_id()))
 
+    cols = ["__k", "__pid", "__t", "mask", "case_starts", "case_lasts"]
+    chunk = 65536
+
     def segment_rows(k, pid, ticks):
-        """Walk every case's chain of sent ticks at once, in tick order.
-        Cases whose chains reach the same tick are merged (they coincide
-        from there on), so a tick carries the cases that send it, or ``[0]``
-        when every case does: the output stays about one entry per tick."""
+        """Walk every case's chain of sent ticks at once, in tick order, and
+        yield output frames in bounded chunks.  Cases whose chains reach the
+        same tick are merged (they coincide from there on), so a tick carries
+        the cases that send it, or ``[0]`` when every case does: the output
+        stays about one entry per sent tick."""
         import heapq
-        ticks = np.asarray(ticks, dtype=np.int64)
         m = len(ticks)
         near = int(np.searchsorted(ticks, ticks[0] + gap, side="left"))
         starts = list(range(near)) + ([near] if near < m else [])
@@ -196,6 +199,9 @@ def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_
             everyone = cs == [0] or len(cs) == ncases
             cs = [0] if everyone else sorted(cs)
             rows.append((k, pid, int(ticks[i]), cs, None, None))
+            if len(rows) >= chunk:
+                yield pd.DataFrame(rows, columns=cols)
+                rows = []
             nxt = int(np.searchsorted(ticks, ticks[i] + gap, side="left"))
             if nxt >= m:
                 for c in (range(1, ncases + 1) if everyone else cs):
@@ -208,24 +214,28 @@ def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_
                 heads[nxt] = cs
                 heapq.heappush(heap, nxt)
         rows.append((k, pid, None, None, [int(ticks[j]) for j in starts], lasts))
-        return rows
-
-    cols = ["__k", "__pid", "__t", "mask", "case_starts", "case_lasts"]
+        yield pd.DataFrame(rows, columns=cols)
 
     def scan(batches):
-        cur, pid, buf = None, None, []
+        """Rows arrive sorted by (key, time); a key's ticks are gathered as
+        numpy arrays (split at key changes without a Python loop per row)."""
+        cur, pid, parts = None, None, []
         for pdf in batches:
-            out = []
-            for k, tt, p in zip(pdf["__k"], pdf["__t"], pdf["__pid"]):
+            if pdf.empty:
+                continue
+            keys = pdf["__k"].to_numpy()
+            ts = pdf["__t"].to_numpy(dtype=np.int64)
+            pids = pdf["__pid"].to_numpy()
+            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(keys)]):
+                k = keys[lo]
                 if cur is not None and k != cur:
-                    out += segment_rows(cur, pid, buf)
-                    buf = []
-                cur, pid = k, int(p)
-                buf.append(int(tt))
-            if out:
-                yield pd.DataFrame(out, columns=cols)
-        if buf:
-            yield pd.DataFrame(segment_rows(cur, pid, buf), columns=cols)
+                    yield from segment_rows(cur, pid, np.concatenate(parts))
+                    parts = []
+                cur, pid = k, int(pids[lo])
+                parts.append(ts[lo:hi])
+        if parts:
+            yield from segment_rows(cur, pid, np.concatenate(parts))
 
     kt = t.schema[0].dataType.simpleString()
     schema = (f"__k {kt}, __pid int, __t bigint, mask array<int>, case_starts array<bigint>, "
