@@ -123,3 +123,25 @@ def test_tail_sample_each_batch_equals_batch(spark):
     batch = I.tail_sample(spans, wait_s=86400, limit=20, bucket_s=86400, buckets=(None, last_bucket))
     assert got.count() == batch.count() > 0
     assert got.exceptAll(batch).count() == 0
+
+
+def test_late_rows_are_dropped_after_the_window_closed(spark):
+    import time
+    t0 = dt.datetime(2024, 1, 1, 12)
+    src = K.scratch_path(spark, "stream-late")
+    schema = "key string, event_time timestamp"
+    batches = [[0, 1, 30, 31], [45], [0, 2, 50]]  # minutes after 12:00; the last batch brings late rows
+    for mins in batches:
+        spark.createDataFrame([("k", t0 + dt.timedelta(minutes=m)) for m in mins], schema) \
+            .coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (SP.rate_limit_stream(stream, "key", unit="5 minutes", limit=1, watermark="5 minutes")
+         .writeStream.format("memory").queryName("late_rl").outputMode("append")
+         .option("checkpointLocation", K.scratch_path(spark, "ckpt-late")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = [(r.window_start, r.requests) for r in spark.table("late_rl").collect()]
+    # the 12:00 window was emitted once, before the late rows came, and they did not reopen it
+    assert [n for w, n in rows if w == t0] == [2]
+    # counted at the state operator, after partial aggregation merged the two late rows
+    assert SP.late_rows(q) >= 1
