@@ -104,3 +104,22 @@ def test_throttle_scan_equals_fold(spark):
         b = A.throttle_fold(df, "rule_name", "tick", 3600)
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_cpu_alert_rate_window_has_a_two_minute_minimum(spark):
+    from skylight.operators import metrics as M
+    cpu = spark.createDataFrame([("p", "ns", T0 + dt.timedelta(seconds=s), float(s)) for s in range(0, 600, 15)],
+                                "pod string, pod_namespace string, ts timestamp_ntz, value double")
+    gauges = spark.createDataFrame([("p", "ns", T0 + dt.timedelta(seconds=s), 2.0) for s in range(0, 600, 15)],
+                                   "pod string, pod_namespace string, ts timestamp_ntz, cpu_limit double")
+    pods = spark.createDataFrame([("p", "ns", "c", "pr", "e", "n")],
+                                 "pod string, pod_namespace string, component_uid string, project_uid string, "
+                                 "environment_uid string, namespace string")
+    grid = M.Grid.of(T0 + dt.timedelta(minutes=5), T0 + dt.timedelta(minutes=9), 60)
+    one_min = A.cpu_percent_alert(cpu, gauges, pods, "c", "pr", "e", grid, 60, "gt", 10.0).orderBy("ts").collect()
+    two_min = A.cpu_percent_alert(cpu, gauges, pods, "c", "pr", "e", grid, 120, "gt", 10.0).orderBy("ts").collect()
+    assert [r.value for r in one_min] == [r.value for r in two_min]
+    # 1 cpu-second per second against a limit of 2 cores: 50 %
+    assert all(abs(r.value - 50.0) < 1e-9 and r.firing for r in two_min)
+    with pytest.raises(ValueError):
+        A.cpu_percent_alert(cpu, gauges, pods, "c", "pr", "e", grid, 60, "neq", 10.0)
