@@ -28,6 +28,10 @@ class BadRequest(ValueError):
     """The request is rejected before any Spark work (HTTP 400 in the reference)."""
 
 
+class NotFound(LookupError):
+    """The requested object does not exist (HTTP 404 in the reference)."""
+
+
 @dataclass
 class Result:
     rows: DataFrame
@@ -111,6 +115,15 @@ def query_trace_spans(spans: DataFrame, trace_id: str, req: Mapping[str, Any]) -
     return Result(rows, T.span_total(spans, trace_id))
 
 
+def get_span(spans: DataFrame, trace_id: str, span_id: str):
+    """One span by (trace, span), no time bound; a missing span is an
+    error.  Reads at most one row."""
+    rows = T.span_detail(spans, trace_id, span_id).take(1)
+    if not rows:
+        raise NotFound(f"span {span_id} of trace {trace_id} not found")
+    return rows[0]
+
+
 def query_metrics(tables: Mapping[str, DataFrame], req: Mapping[str, Any]) -> Result:
     """``metric`` is ``resource`` (six series) or ``http`` (seven series),
     evaluated on the grid start..end by ``step`` (default 5 minutes)."""

@@ -46,3 +46,11 @@ def test_metrics_request(spark):
         "cpu_usage", "cpu_requests", "cpu_limits", "memory_usage", "memory_requests", "memory_limits"}
     with pytest.raises(api.BadRequest):
         api.query_metrics(tables, dict(req, metric="disk"))
+
+
+def test_span_lookup_not_found(spark):
+    v = Views(spark, SF_SMALL)
+    first = v.spans().select("trace_id", "span_id").orderBy("span_id").first()
+    assert api.get_span(v.spans(), first.trace_id, first.span_id).span_id == first.span_id
+    with pytest.raises(api.NotFound):
+        api.get_span(v.spans(), first.trace_id, "span-missing")
