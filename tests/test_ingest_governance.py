@@ -109,3 +109,12 @@ def test_tail_sampling_scan_equals_fold_on_hot_bucket(spark):
     b = I.tail_sample_fold(df, wait_s=10, limit=25, bucket_s=1)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_metric_label_names_follow_key_normalisation(spark):
+    from skylight.functions.labels import SCOPE_LABELS, label_key, log_label_key, metric_label_name
+    df = spark.createDataFrame([({label_key(n): n for n in SCOPE_LABELS},)], "labels map<string,string>")
+    mets = I.normalize_label_keys(df, "metrics").collect()[0].labels
+    logs = I.normalize_label_keys(df, "logs").collect()[0].labels
+    assert set(mets) == {metric_label_name(n) for n in SCOPE_LABELS}
+    assert set(logs) == {log_label_key(n) for n in SCOPE_LABELS}
