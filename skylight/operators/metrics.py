@@ -137,13 +137,55 @@ def _extrapolated(range_s: float) -> Column:
     return inc * (sampled + d_start + d_end) / sampled / F.lit(float(range_s))
 
 
+def _window_aggregates_by_step(samples: DataFrame, keys: list[str], grid: Grid, k: int, value_col: str,
+                               ts_col: str) -> DataFrame:
+    """Window aggregates when the range is ``k`` whole steps: samples are first
+    combined per (series, step bucket) - bucket ``j`` holds
+    ``start + (j-1)*step < t <= start + j*step`` - and only those partial
+    aggregates are exploded to the ``k`` grid points whose window they fill.
+    Every aggregate is decomposable, so the result equals the per-sample
+    form while the explode and the shuffle carry one row per bucket instead
+    of one per sample."""
+    t = micros_col(ts_col)
+    off = t - long_lit(grid.start_us)
+    bucket = -_floor_div(-off, grid.step_us)
+    b = samples.withColumn("__t_us", t).withColumn("__b", bucket)
+    per_bucket = b.groupBy(*keys, "__b").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("__t_us").alias("first_us"),
+        F.max("__t_us").alias("last_us"),
+        F.min_by(value_col, "__t_us").alias("first_value"),
+        F.max_by(value_col, "__t_us").alias("last_value"),
+        F.sum("__corr").alias("__corr_sum"),
+        F.min_by("__corr", "__t_us").alias("__corr_first"),
+    )
+    lo = F.greatest(F.col("__b"), F.lit(0).cast("bigint"))
+    hi = F.least(F.col("__b") + long_lit(k - 1), long_lit(grid.last_index))
+    gs = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+    x = per_bucket.withColumn("g", F.explode(gs))
+    return x.groupBy(*keys, "g").agg(
+        F.sum("n").alias("n"),
+        F.min("first_us").alias("first_us"),
+        F.max("last_us").alias("last_us"),
+        F.min_by("first_value", "first_us").alias("first_value"),
+        F.max_by("last_value", "last_us").alias("last_value"),
+        F.sum("__corr_sum").alias("__corr_sum"),
+        F.min_by("__corr_first", "first_us").alias("__corr_first"),
+    )
+
+
 def rate(samples: DataFrame, keys: Sequence[str], grid: Grid, range_s: float = DEFAULT_RATE_RANGE_S,
-         mode: str = "extrapolated", value_col: str = "value", ts_col: str = "ts") -> DataFrame:
+         mode: str = "extrapolated", value_col: str = "value", ts_col: str = "ts",
+         pre_aggregate: bool = False) -> DataFrame:
     """M2: per-second increase of a counter over ``range_s`` at each grid point.
 
     increase = last - first + values before each drop whose both samples lie
     in the window.  ``mode="simple"`` gives increase / range (cross-check).
     Windows with fewer than two samples produce no point.
+
+    ``pre_aggregate=True`` (range a whole number of steps) combines samples per
+    step bucket before the explode: worth it for dense samples over long
+    ranges; the default per-sample explode is already combined map-side.
     """
     keys = list(keys)
     # Only samples newer than (first grid point - range) can share a window
@@ -154,16 +196,22 @@ def rate(samples: DataFrame, keys: Sequence[str], grid: Grid, range_s: float = D
         (F.col(ts_col) > lo_ts) & (F.col(ts_col) <= hi_ts))
     with_prev = prev_sample(window_rows, keys, value_col, ts_col)
     corr = F.when(F.col(value_col) < F.col("prev_value"), F.col("prev_value")).otherwise(F.lit(0.0))
-    x = explode_to_grid(with_prev.withColumn("__corr", corr), grid, range_s, ts_col)
-    agg = x.groupBy(*keys, "g").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("__t_us").alias("first_us"),
-        F.max("__t_us").alias("last_us"),
-        F.min_by(value_col, "__t_us").alias("first_value"),
-        F.max_by(value_col, "__t_us").alias("last_value"),
-        F.sum("__corr").alias("__corr_sum"),
-        F.min_by("__corr", "__t_us").alias("__corr_first"),
-    ).filter(F.col("n") >= 2)
+    samples = with_prev.withColumn("__corr", corr)
+    range_us = int(range_s * 1_000_000)
+    if pre_aggregate and range_us % grid.step_us == 0 and range_us // grid.step_us > 1:
+        agg = _window_aggregates_by_step(samples, keys, grid, range_us // grid.step_us, value_col, ts_col)
+    else:
+        x = explode_to_grid(samples, grid, range_s, ts_col)
+        agg = x.groupBy(*keys, "g").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("__t_us").alias("first_us"),
+            F.max("__t_us").alias("last_us"),
+            F.min_by(value_col, "__t_us").alias("first_value"),
+            F.max_by(value_col, "__t_us").alias("last_value"),
+            F.sum("__corr").alias("__corr_sum"),
+            F.min_by("__corr", "__t_us").alias("__corr_first"),
+        )
+    agg = agg.filter(F.col("n") >= 2)
     agg = agg.withColumn("increase", F.col("last_value") - F.col("first_value")
                          + F.col("__corr_sum") - F.col("__corr_first"))
     agg = agg.withColumn("g_us", long_lit(grid.start_us) + F.col("g") * long_lit(grid.step_us))
