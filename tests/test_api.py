@@ -54,3 +54,20 @@ def test_span_lookup_not_found(spark):
     assert api.get_span(v.spans(), first.trace_id, first.span_id).span_id == first.span_id
     with pytest.raises(api.NotFound):
         api.get_span(v.spans(), first.trace_id, "span-missing")
+
+
+def test_trace_spans_request_and_webhooks(spark):
+    v = Views(spark, SF_SMALL)
+    tid = v.spans().select("trace_id").orderBy("trace_id").first().trace_id
+    ns = v.spans().filter(f"trace_id = '{tid}'").select("namespace").first().namespace
+    req = {"startTime": "2024-01-01", "endTime": "2024-02-01", "includeAttributes": True,
+           "searchScope": {"namespace": ns}}
+    res = api.query_trace_spans(v.spans(), tid, req)
+    rows = res.rows.collect()
+    assert rows and all(r.trace_id == tid for r in rows) and "attributes" in res.rows.columns
+    assert res.total.collect()[0].span_count >= len(rows)
+    hooks = api.receive_alert_webhooks(v.webhooks(), v.rules())
+    got = hooks.rows.collect()
+    assert got and all(r.rule_namespace for r in got)
+    # resolved alerts in the metrics shape are skipped, not rejected
+    assert hooks.total.count() == 0
