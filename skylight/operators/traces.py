@@ -169,7 +169,7 @@ def trace_spans(spans: DataFrame, trace_id: str, scope: Scope | None = None, sta
     cols = ["span_id", "trace_id", "parent_span_id", "name", "kind", "start_ns", "end_ns",
             span_duration().alias("duration_ns"), normalize_status().alias("status")]
     if with_attributes:
-        cols.append(span_attribute_map().alias("attributes"))
+        cols.append(span_attribute_map(s.columns).alias("attributes"))
     if limit is None or limit <= 0:
         limit = DEFAULT_TRACE_LIMIT
     return s.select(*cols).orderBy("start_ns", "span_id").limit(limit)
@@ -210,13 +210,15 @@ INTERNAL_SPAN_FIELDS = (
 RESOURCE_PREFIXES = ("service", "resource")
 
 
-def span_attribute_map(exclude: tuple = ()) -> Column:
-    """Every non-internal column of our span rows as a string map."""
-    fields = ["namespace", "project_uid", "environment_uid", "component_uid", "props",
-              "service_name", "resource_host"]
+ATTRIBUTE_FIELDS = ("namespace", "project_uid", "environment_uid", "component_uid", "props",
+                    "service_name", "resource_host")
+
+
+def span_attribute_map(columns, exclude: tuple = ()) -> Column:
+    """The span's attribute columns that are present, as a string map."""
+    fields = [f for f in ATTRIBUTE_FIELDS if f in columns and f not in exclude]
     return F.map_from_entries(F.array(*[
-        F.struct(F.lit(f).alias("key"), F.col(f).cast("string").alias("value"))
-        for f in fields if f not in exclude]))
+        F.struct(F.lit(f).alias("key"), F.col(f).cast("string").alias("value")) for f in fields]))
 
 
 def unpivot_attributes(df: DataFrame, id_cols: list[str], attr_cols: list[str]) -> DataFrame:
