@@ -250,7 +250,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         top = components(joined)
         lone = joined.select(F.col("u").alias("node")).unionByName(joined.select(F.col("v").alias("node"))).distinct()
         every = found.unionByName(lone.join(found, "node", "left_anti").select("node", F.col("node").alias("component")))
-        found = (every.join(top.withColumnsRenamed({"node": "component", "component": "c"}), "component", "left")
+        found = (every.join(top.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
                  .select("node", F.coalesce("c", "component").alias("component")))
     member = (rows.select("doc_id", "n_shingles", "d1", "d2").join(node.select("d1", "d2", "node"), ["d1", "d2"], "left")
               .join(found, "node", "left"))

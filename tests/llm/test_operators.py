@@ -195,6 +195,11 @@ def test_near_duplicates_bridge(spark):
         for _ in range(r.randrange(9)):
             w[r.randrange(120)] = f"x{r.randrange(10**6)}"
         rows.append((i, " ".join(w)))
+    for i in range(1000, 1250):  # mostly under the threshold to each other: late links in mixed buckets
+        w = [f"v{j}" for j in range(90)]
+        for _ in range(r.randrange(2, 6)):
+            w[r.randrange(90)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
     rows += [(100, "Some Words HERE"), (101, "some words here"), (7, "some words here"), (102, "a b c d e f"), (102, "g h i j k l")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in minhash.near_duplicates(df).collect())
