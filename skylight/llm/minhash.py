@@ -16,8 +16,10 @@ component of links is a group.
    rest are verified on the full shingle sets of their texts.
 5. Components of the verified links, by large-star and small-star.
 6. A bucket that still holds several components may hide a link between
-   them. Its rows outside its largest component are compared, after signature
-   verification, with its rows in other components, and verified as before.
+   them. Buckets are gathered by their largest component: its rows in such
+   buckets are members, rows of other components there are the query set.
+   Queries are compared with members and with each other in blocks of
+   ``BLOCK`` rows, by signature, then on full sets; only links leave a block.
    Two rows of the largest component need nothing. So every pair that shares
    a bucket is linked, in one component already, or verified not to link.
 
@@ -48,12 +50,15 @@ from pyspark.sql import types as T
 from . import textbatch as tb
 from .common import stored, unused
 from .components import components
+from .tokens import gather
 
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 64, 5
 #: Signature bound: this many standard deviations below the threshold.
 SLACK = 5.0
+#: Rows on either side of a block in which late links are sought.
+BLOCK = 1024
 _CHUNK = 1 << 15
 
 _rng = np.random.default_rng(5)
@@ -197,6 +202,59 @@ def _differing(a: str, b: str):
                F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
 
 
+def _sets(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of the texts of a table: (row, hash), by row."""
+    docs, hashes, at = [], [], 0
+    for batch in rows.select(["text"]).to_batches():
+        for part, s in tb.bounded(batch, "text"):
+            d, h = shingles(s)
+            docs.append(d + at)
+            hashes.append(h)
+            at += part.num_rows
+    return np.concatenate([np.zeros(0, np.int64), *docs]), np.concatenate([np.zeros(0, np.uint64), *hashes])
+
+
+def late_links(members: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int, bound: int) -> DataFrame:
+    """(u, v): links between rows of different components of the same k in
+    (k, node, c, sig), but for pairs of which both are in component k."""
+    queries = F.col("c") != F.col("k")
+    blocks = members.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("j_n"),
+                                      F.ceil(F.count(F.when(queries, 1)) / BLOCK).alias("i_n"))
+    dealt = members.join(blocks, "k")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+    left = dealt.filter(queries).select("k", own("i_n").alias("i"), every("j_n").alias("j"), "node", "c", "sig")
+    right = dealt.select("k", every("i_n").alias("i"), own("j_n").alias("j"), "node", "c", "sig")
+    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        if a.num_rows and b.num_rows:
+            column = lambda t, c: t.column(c).to_numpy()
+            sigs = [np.asarray(t.column("sig").combine_chunks().flatten()).view(np.uint64).reshape(-1, _WORDS) for t in (a, b)]
+            (da, ha), (db, hb) = _sets(a), _sets(b)
+            na, nb = np.bincount(da, minlength=a.num_rows), np.bincount(db, minlength=b.num_rows)
+            first_a, first_b = np.cumsum(na) - na, np.cumsum(nb) - nb
+            ua, ca, vb, cb = column(a, "node"), column(a, "c"), column(b, "node"), column(b, "c")
+            for i in range(a.num_rows):
+                differ = np.bitwise_count(sigs[0][i] ^ sigs[1]).sum(1, dtype=np.int64)
+                near = np.flatnonzero((differ <= bound) & (cb != ca[i]))
+                if not len(near):
+                    continue
+                at = gather(nb[near], first_b[near])
+                mine = ha[first_a[i]:first_a[i] + na[i]]  # sorted
+                place = np.minimum(np.searchsorted(mine, hb[at]), len(mine) - 1)
+                common = np.bincount(np.repeat(np.arange(len(near)), nb[near]), weights=mine[place] == hb[at]).astype(np.int64)
+                v = near[100 * common >= percent * (na[i] + nb[near] - common)]
+                found.append(np.stack([np.full(len(v), ua[i]), vb[v]], 1))
+        pairs = np.concatenate(found)
+        return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+    key = ["k", "i", "j"]
+    return (left.join(texts, "node").groupBy(*key).cogroup(right.join(texts, "node").groupBy(*key))
+            .applyInArrow(compare, "u long, v long"))
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
            slack: float = SLACK) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``."""
@@ -234,13 +292,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     sizes = label.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"))
     mixed = (sizes.groupBy("band").agg(F.max_by("c", F.struct("n", "c")).alias("most"), F.count(F.lit(1)).alias("k"))
              .filter("k > 1").select("band", "most"))
-    members = stored(label.join(mixed, "band").join(sig, "node"), "mixed")
-    a = members.filter("c <> most").select("band", F.col("node").alias("u"), F.col("c").alias("c1"), F.col("sig").alias("s1"))
-    b = members.select("band", F.col("node").alias("v"), F.col("c").alias("c2"), F.col("sig").alias("s2"), "most")
-    cross = (a.join(b, (a["band"] == b["band"]) & (F.col("c1") != F.col("c2")) & ((F.col("c2") == F.col("most")) | (F.col("u") < F.col("v")))
-                    & (_differing("s1", "s2") <= bound)).select("u", "v").distinct())
-    rest = cross.join(tested.unionByName(tested.select(F.col("v").alias("u"), F.col("u").alias("v"))), ["u", "v"], "left_anti")
-    more = stored(verified(rest, docs, doc_id, text, percent), "links")
+    members = label.join(mixed, "band").select(F.col("most").alias("k"), "node", "c").distinct()
+    members = stored(members.join(sig, "node"), "mixed")
+    more = stored(late_links(members, docs, doc_id, text, percent, bound), "links")
     if not more.isEmpty():
         # contract: links between components already found
         of = found.withColumnsRenamed({"component": "c"})

@@ -185,7 +185,7 @@ def test_near_duplicates(table):
     assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in got)
 
 
-def test_near_duplicates_bridge(spark):
+def test_near_duplicates_bridge(spark, monkeypatch):
     """Texts that are linked only through others, in one bucket or several."""
     r = random.Random(2)
     base = [f"w{i}" for i in range(120)]
@@ -202,8 +202,10 @@ def test_near_duplicates_bridge(spark):
         rows.append((i, " ".join(w)))
     rows += [(100, "Some Words HERE"), (101, "some words here"), (7, "some words here"), (102, "a b c d e f"), (102, "g h i j k l")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in minhash.near_duplicates(df).collect())
-    assert got == brute.near(rows)[0]
+    for block in (1024, 7):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        got = sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in minhash.near_duplicates(df).collect())
+        assert got == brute.near(rows)[0]
     kept = minhash.keep_first(df)
     assert kept.columns == df.columns
     assert {x["doc_id"] for x in kept.collect()} == {i for i, _, c in got if i == c}
