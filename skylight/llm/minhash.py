@@ -251,8 +251,9 @@ def late_links(members: DataFrame, docs: DataFrame, doc_id: str, text: str, perc
         return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
 
     key = ["k", "i", "j"]
-    return (left.join(texts, "node").groupBy(*key).cogroup(right.join(texts, "node").groupBy(*key))
-            .applyInArrow(compare, "u long, v long"))
+    # fresh attributes: both sides come from the same rows
+    a, b = (x.join(texts, "node").select(*[F.col(c).alias(c) for c in (*key, "node", "c", "sig", "text")]) for x in (left, right))
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(compare, "u long, v long")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
