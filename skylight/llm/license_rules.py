@@ -60,9 +60,9 @@ apache-2.0 | 2 | 0.9 | apache 2 | apache 2 0(?: license)?
 apache-2.0 | 2 | 0.9 | apache org licenses | apache org licenses license 2 0
 apache | 3 | 0.8 | apache | apache (?:software )?license
 mit | 1 | 1.0 | permission is hereby granted | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
-mit | 1 | 1.0 | mit | (?:released|licensed|distributed|available|published) under (?:the )?(?:terms of the )?mit license
+mit | 1 | 1.0 | mit license | (?:released|licensed|distributed|available|published) under (?:the )?(?:terms of the )?mit license
 mit | 2 | 0.9 | mit license | (?:the )?mit license
-mit | 3 | 0.8 | mit | (?:licensed|released) under mit
+mit | 3 | 0.8 | under mit | (?:licensed|released) under mit
 mit | 3 | 0.8 | expat license | (?:the )?expat license
 mit-0 | 1 | 1.0 | mit no attribution | mit no attribution(?: license)?
 x11 | 2 | 0.9 | x11 license | (?:mit )?x11 license
@@ -113,7 +113,7 @@ python-2.0 | 2 | 0.9 | python software foundation | python software foundation l
 psf | 3 | 0.8 | psf license | psf license
 php-3.01 | 2 | 0.9 | php license | php license(?: version 3 01)?
 ruby | 3 | 0.8 | ruby license | ruby license
-postgresql | 2 | 0.9 | postgresql license | postgresql licen[cs]e
+postgresql | 2 | 0.9 | postgresql licen | postgresql licen[cs]e
 openssl | 2 | 0.9 | openssl license | openssl license
 sleepycat | 2 | 0.9 | sleepycat | sleepycat license
 vim | 2 | 0.9 | vim license | vim license
@@ -187,7 +187,7 @@ all-rights-reserved | 2 | 0.9 | all rights reserved | all rights reserved
 proprietary | 2 | 0.9 | proprietary and confidential | proprietary and confidential
 proprietary | 2 | 0.9 | without the prior written | (?:may not be|no part of this [a-z]+ may be) reproduced .{1,120}? without the prior written (?:permission|consent)
 commercial | 3 | 0.8 | commercial license | commercial license
-eula | 3 | 0.8 | end user license | end user licen[cs]e agreement
+eula | 3 | 0.8 | end user licen | end user licen[cs]e agreement
 copyright | 4 | 0.3 | copyright | copyright (?:c )?(?:19|20)[0-9][0-9]
 """
 
@@ -198,6 +198,11 @@ gpl-2.0-only gpl-2.0-or-later gpl-3.0-only gpl-3.0-or-later isc lgpl-2.1-only lg
 lgpl-3.0-or-later mit mit-0 mpl-1.1 mpl-2.0 ms-pl mulanpsl-2.0 ncsa odbl-1.0 ofl-1.1 osl-3.0 postgresql python-2.0
 unlicense upl-1.0 wtfpl zlib""".split()
 
+#: Every match of every rule, and every base phrase, holds one of these.
+STEMS = ("licen", "gpl", "public", "creative", "bsd", "apache", "cc by", "clause", "cc0", "rights reserved", "copyright", "gfdl",
+         "mit no", "mpl 2", "the name of", "permission", "proprietary", "redistribution", "used for good", "under mit",
+         "unencumbered", "prior written", "wtfpl")
+
 
 def rules() -> list[tuple[int, str, int, float, str, str]]:
     """(number, label, priority, weight, keyword, pattern)."""

@@ -1,8 +1,8 @@
 """Operator 9: license scan by ordered signature rules (DataFrame functions).
 
 A text is normalised to its lower-case words. A keyword prefilter decides
-which texts, and then which rules of ``license_rules``, are looked at; the
-patterns run on those pairs only. Matches are word intervals. Overlaps are
+which texts (short stems that every match holds), and then which rules of
+``license_rules``, are looked at; the patterns run on those pairs only. Matches are word intervals. Overlaps are
 resolved by priority and containment: a match goes when another of the same
 or a better priority (a smaller number) contains it and is longer, or when
 one of a better priority covers the same words. What stays gives the labels;
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_key
-from .license_rules import rules
+from .license_rules import STEMS, rules
 
 #: What separates words: ASCII that is no letter and no digit.
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -73,19 +73,18 @@ def _base(words: Column) -> dict[str, list[Column]]:
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score) per row of ``docs``."""
-    table = rules()
-    keywords = sorted({r[4] for r in table})
     norm = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SEPARATOR, " "))
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(text).alias("h"), norm.alias("norm"))
-    n_words = F.when(F.col("norm") == "", 0).otherwise(_spaces(F.col("norm")) + 1)
-    # lower() folds more than A-Z, so it only widens this gate
+    # each exploded single value is computed once, whatever reads it later
+    once = lambda x: F.explode(F.array(x))
+    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(text).alias("h"), once(norm).alias("norm"))
+    # lower() folds more than A-Z, so it only widens the gate
+    d = d.select("doc_id", "h", "norm", once(F.lower("norm")).alias("low"))
     gate = F.lit(False)
-    low = F.lower("norm")
-    for k in sorted({*keywords, *BASE}):
-        if not any(o != k and o in k for o in {*keywords, *BASE}):
-            gate = gate | F.contains(low, F.lit(k))
+    for stem in STEMS:
+        gate = gate | F.contains("low", F.lit(stem))
     words = F.when(gate, F.concat(F.lit(" "), F.replace(F.translate("norm", _UPPER, _LOWER), F.lit(" "), F.lit("  ")), F.lit(" ")))
-    d = d.select("doc_id", "h", n_words.cast("long").alias("n_words"), words.alias("words"))
+    n_words = F.when(F.col("norm") == "", 0).otherwise(_spaces(F.col("norm")) + 1)
+    d = d.select("doc_id", "h", n_words.cast("long").alias("n_words"), once(words).alias("words"))
     base = _base(F.col("words"))
     labels = F.array_sort(F.array_compact(F.array(*[F.when(base[p][0] > 0, F.lit(label)) for p, label in BASE.items()])))
     first = F.array_min(F.array(*[base[p][1] for p in BASE]))
@@ -108,15 +107,16 @@ def matches(words: DataFrame) -> DataFrame:
     keywords = sorted({r[4] for r in rules()})
     spaced_keyword = lambda k: k.replace(" ", "  ")
     has = F.array_compact(F.array(*[F.when(F.contains("words", F.lit(spaced_keyword(k))), F.lit(k)) for k in keywords]))
-    pairs = words.distinct().select("doc_id", "h", "words", F.explode(has).alias("keyword")).join(F.broadcast(table), "keyword")
+    rows = words.withColumn("row", F.monotonically_increasing_id())  # equal rows apart
+    pairs = rows.select("doc_id", "h", "row", "words", F.explode(has).alias("keyword")).join(F.broadcast(table), "keyword")
     marked = F.split(F.regexp_replace("words", F.col("pattern"), F.lit("\x01$1\x02")), "\x01", -1)
-    parts = (pairs.select("doc_id", "h", "rule", "priority", "label", "weight", marked.alias("parts"))
+    parts = (pairs.select("doc_id", "h", "row", "rule", "priority", "label", "weight", marked.alias("parts"))
              .filter(F.size("parts") > 1)
-             .select("doc_id", "h", "rule", "priority", "label", "weight", F.posexplode(F.transform(
+             .select("doc_id", "h", "row", "rule", "priority", "label", "weight", F.posexplode(F.transform(
                  "parts", lambda x: F.struct((_spaces(x) / 2).cast("int").alias("all"),
                                              (_spaces(F.substring_index(x, "\x02", 1)) / 2).cast("int").alias("own"))))
                  .alias("k", "x")))
-    before = Window.partitionBy("doc_id", "h", "rule").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("row", "rule").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     placed = parts.withColumn("a", F.sum("x.all").over(before)).filter("k > 0")
     return placed.select("doc_id", "h", "a", (F.col("a") + F.col("x.own")).alias("b"), "priority", "label", "weight")
 

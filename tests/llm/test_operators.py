@@ -371,6 +371,44 @@ def test_license_overlaps(spark):
     assert got[4]["labels"] == "cc-by-sa-4.0"
 
 
+def sample(pattern, r):
+    """A random text that the pattern matches."""
+    import re._parser as parser
+
+    def walk(items):
+        out = ""
+        for op, x in items:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(x)
+            elif op == "ANY":
+                out += "z"
+            elif op == "IN":
+                kind, v = r.choice(x)
+                out += chr(v) if str(kind) == "LITERAL" else chr(r.randint(*v))
+            elif op == "BRANCH":
+                out += walk(r.choice(x[1]))
+            elif op == "SUBPATTERN":
+                out += walk(x[3])
+            else:  # repeats
+                out += "".join(walk(x[2]) for _ in range(r.randint(x[0], min(x[1], x[0] + 2))))
+        return out
+
+    return walk(parser.parse(pattern))
+
+
+def test_license_gates():
+    """Every match of a rule holds its keyword and one of the stems."""
+    from skylight.llm.license_rules import STEMS
+    r = random.Random(8)
+    for _, _, _, _, keyword, pattern in rules():
+        for _ in range(40):
+            text = sample(pattern, r)
+            assert keyword in text and any(s in text for s in STEMS), (keyword, text)
+    assert all(any(s in phrase for s in STEMS) for phrase in licenses.BASE)
+    assert len(rules()) > 200
+
+
 def test_license_scan_is_native(docs):
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
