@@ -240,6 +240,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with its own columns."""
     names = [unused(docs.columns, x) for x in ("bad_id", "bad_h")]
-    bad = matches(docs, items, doc_id, text, **options).select(
-        F.col("id").alias(names[0]), F.col("h").alias(names[1])).distinct()
+    bad = stored(matches(docs, items, doc_id, text, **options).select(
+        F.col("id").alias(names[0]), F.col("h").alias(names[1])).distinct(), "contaminated")
     return docs.join(bad, docs[doc_id].eqNullSafe(bad[names[0]]) & (text_key(text) == bad[names[1]]), "left_anti")

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Votes are whole numbers, so that sums do not depend on their order.
 VOTE = 1_000_000
 DEPTH_BONUS = 0.1
@@ -233,7 +235,8 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     p = pages.select(host_of(url).alias("host"), F.col(html).alias("html")).filter("host IS NOT NULL")
     summed = (p.mapInArrow(run, "host string, path string, score long").groupBy("host", "path")
               .agg(F.sum("score").alias("score")))
-    return summed.groupBy("host").agg(F.max_by("path", F.struct("score", "path")).alias("path"))
+    # stored, so that the join sees its real size: one that may be broadcast leaves the pages in place
+    return stored(summed.groupBy("host").agg(F.max_by("path", F.struct("score", "path")).alias("path")), "paths")
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unused
+from .common import stored, unused
 
 RATIO = 0.05
 MIN_PAGES = 5
@@ -49,7 +49,8 @@ def boilerplate(pages: DataFrame, text: str, site: str, ratio: float, min_pages:
     t = totals.select(F.col("site").alias("t_site"), "pages")
     hits = counts.join(t, counts["site"].eqNullSafe(t["t_site"])).filter(
         F.col("n").cast("double") > F.lit(float(ratio)) * F.col("pages"))
-    return hits.groupBy("site").agg(F.collect_list("line").alias("drop"))
+    # stored, so that the join sees its real size: one that may be broadcast leaves the texts in place
+    return stored(hits.groupBy("site").agg(F.collect_list("line").alias("drop")), "boilerplate")
 
 
 def drop_boilerplate(pages: DataFrame, text: str = "text", site: str = "source", ratio: float = RATIO,

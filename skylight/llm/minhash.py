@@ -322,6 +322,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are the first of their group; of rows with an
     equal doc_id, all or none."""
-    drop = near_duplicates(docs, doc_id, text, **options).filter(~F.col("kept")).select(
-        F.col("doc_id").alias(unused(docs.columns, "dropped"))).distinct()
+    drop = stored(near_duplicates(docs, doc_id, text, **options).filter(~F.col("kept")).select(
+        F.col("doc_id").alias(unused(docs.columns, "dropped"))).distinct(), "dropped")
     return docs.join(drop, docs[doc_id] == drop[drop.columns[0]], "left_anti")

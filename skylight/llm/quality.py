@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbatch as tb
-from .common import unused
+from .common import stored, unused
 
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -171,8 +171,9 @@ def thresholds(measured: DataFrame, lang: str, source: str, counts: dict[str, st
          .withColumn("one", F.lit(1)).join(every, "one", "left"))
     chosen = (F.when(F.col("total") >= min_group, F.col("t0")).when(F.col("n1") >= min_group, F.col("t1"))
               .otherwise(F.col("t2")))
-    return t.select("lang", "source", chosen.alias("t")).select(
-        "lang", "source", *[F.col(f"t.{r}").alias(f"t_{r}") for r in RULES])
+    # stored, so that the join sees its real size: one that may be broadcast leaves the texts in place
+    return stored(t.select("lang", "source", chosen.alias("t")).select(
+        "lang", "source", *[F.col(f"t.{r}").alias(f"t_{r}") for r in RULES]), "thresholds")
 
 
 def judge(measured: DataFrame, lang: str, source: str, counts: dict[str, str], failed: str, kept: str,
