@@ -166,11 +166,10 @@ def thresholds(measured: DataFrame, lang: str, source: str, counts: dict[str, st
     level = [wide.filter(F.col("level") == i) for i in range(3)]
     own = level[0].select("lang", "source", "total", F.col("t").alias("t0"))
     by_lang = level[1].select(F.col("lang").alias("l1"), F.col("total").alias("n1"), F.col("t").alias("t1"))
-    every = level[2].select(F.col("t").alias("t2"), F.lit(1).alias("one"))
-    t = (own.join(by_lang, own["lang"].eqNullSafe(by_lang["l1"]), "left")
-         .withColumn("one", F.lit(1)).join(every, "one", "left"))
+    every = level[2].select("t").scalar()  # one row
+    t = own.join(by_lang, own["lang"].eqNullSafe(by_lang["l1"]), "left")
     chosen = (F.when(F.col("total") >= min_group, F.col("t0")).when(F.col("n1") >= min_group, F.col("t1"))
-              .otherwise(F.col("t2")))
+              .otherwise(every))
     # stored, so that the join sees its real size: one that may be broadcast leaves the texts in place
     return stored(t.select("lang", "source", chosen.alias("t")).select(
         "lang", "source", *[F.col(f"t.{r}").alias(f"t_{r}") for r in RULES]), "thresholds")
