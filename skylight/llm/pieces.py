@@ -46,11 +46,12 @@ from pyspark.sql import types as T
 
 from . import textbatch as tb
 from .common import unused
-from .tokens import gather
+from .tokens import Store, gather
 
 MARK = "▁"
-BLOCK_BYTES = 8 << 20
-KEEP = 400_000
+BLOCK_BYTES = 2 << 20
+KEEP = 1_500_000
+PAIRS = 1_000_000
 _UNKNOWN = 10.0
 
 _models: dict[tuple[str, str], "Pieces"] = {}
@@ -89,11 +90,12 @@ class Pieces:
         self.sizes = np.array([len(x) for x in out], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(out), np.uint8)
-        self.coded: dict[str, list[int]] = {}
+        self.store = Store(KEEP)
         self.pairs: dict[tuple[str, str], bool] = {}
 
-    def code(self, words: list[str]) -> None:
-        """Put the ids of ``words`` (sorted, distinct) in ``coded``."""
+    def code(self, words: list[str]) -> dict[str, list[int]]:
+        """Ids of ``words`` (sorted, distinct)."""
+        coded: dict[str, list[int]] = {}
         forward = self._best if self.kind == "unigram" else self._only
         state: list = [0.0]  # of each prefix: what the pass needs from it
         back = [0]           # of each prefix: the length of its last piece
@@ -116,8 +118,9 @@ class Pieces:
                     ids.append(self.unk_id)
                 e -= back[e]
             ids.reverse()
-            self.coded[w] = ids
+            coded[w] = ids
             last = w
+        return coded
 
     def _best(self, w: str, first: int, state: list, back: list) -> None:
         """Viterbi: the state of a prefix is its highest score."""
@@ -178,29 +181,29 @@ class Pieces:
         cut[1:] = space[1:] & ~space[:-1]
         first = s.offsets[:-1][s.lengths > 0]
         cut[first] = True
-        # a text that starts with a space: its own mark runs on from the one put before
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(s.buf))
         at_start = np.zeros(len(s.buf), bool)
         at_start[first] = True
         lead = at_start[start]
         key = tb.range_hash(tb.prefix_hash(s.buf), start, end) ^ lead.astype(np.uint64)
-        _, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-        raw = s.buf.tobytes()
-        words = []
-        for a, b, f in zip(start[at].tolist(), end[at].tolist(), lead[at].tolist()):
-            w = raw[a:b].decode().replace(" ", MARK)
-            words.append(MARK + w if f else w)
-        if len(self.coded) > KEEP:
-            self.coded.clear()
-            self.pairs.clear()
-        self.code(sorted({p for w in words for p in _split(w)} - self.coded.keys()))
-        lists = [self.coded[w] if MARK not in w[1:].lstrip(MARK) else [i for p in _split(w) for i in self.coded[p]]
-                 for w in words]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.int32, int(sizes.sum()))
-        each = sizes[inverse]
-        return flat[gather(each, (np.cumsum(sizes) - sizes)[inverse])], s.count(s.doc_of(start), each)
+        keys, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+        new = self.store.missing(keys)
+        if len(new):
+            if len(self.pairs) > PAIRS:
+                self.pairs.clear()
+            raw = s.buf.tobytes()
+            words = []
+            for a, b, f in zip(start[at[new]].tolist(), end[at[new]].tolist(), lead[at[new]].tolist()):
+                w = raw[a:b].decode().replace(" ", MARK)
+                words.append(MARK + w if f else w)
+            parts = [_split(w) for w in words]
+            coded = self.code(sorted({p for ps in parts for p in ps}))
+            lists = [coded[ps[0]] if len(ps) == 1 else [i for p in ps for i in coded[p]] for ps in parts]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.store.put(keys[new], sizes, np.fromiter((i for x in lists for i in x), np.int32, int(sizes.sum())))
+        ids, each = self.store.get(keys, inverse)
+        return ids, s.count(s.doc_of(start), each)
 
     def decode(self, ids: np.ndarray, n: np.ndarray) -> list[str]:
         """Texts of ``n[i]`` ids each."""

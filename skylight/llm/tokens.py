@@ -42,7 +42,7 @@ from .common import new_folder, text_key
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-ENCODE_SLICE = 4 << 20
+ENCODE_SLICE = 2 << 20
 FILE_SCHEMA = "doc_id long, ord long, n_tokens int, ids array<int>"
 
 #: Unicode white space other than ASCII's (fixed values of the standard).
@@ -50,8 +50,8 @@ _OTHER_SPACE = re.compile("[\u0085   -     　]")
 
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
 
-#: Pieces a worker keeps coded, and pieces encoded in one string.
-KEEP = 500_000
+#: Pieces a worker keeps coded (emptied when full; speed only), and pieces encoded in one string.
+KEEP = 1_500_000
 JOINED = 500
 
 _tokenizers: dict[str, object] = {}
@@ -73,43 +73,73 @@ def gather(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.arange(end[-1] if len(end) else 0) + np.repeat(starts - (end - lengths), lengths)
 
 
+class Store:
+    """Lists of ids by 64-bit key: what a worker has coded so far."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the sorted ``keys`` are not held; a full store is emptied first."""
+        if len(self.keys) > self.limit:
+            self._clear()
+        at = np.searchsorted(self.keys, keys)
+        held = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        held[inside] = self.keys[at[inside]] == keys[inside]
+        return np.flatnonzero(~held)
+
+    def put(self, keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Add sorted ``keys`` with ``sizes`` ids each, in a row."""
+        at = np.searchsorted(self.keys, keys)
+        self.slots = np.insert(self.slots, at, np.arange(len(keys), dtype=np.int32) + len(self.starts))
+        self.keys = np.insert(self.keys, at, keys)
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def get(self, keys: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``keys[inverse]`` in a row, and how many each has."""
+        slot = self.slots[np.searchsorted(self.keys, keys)][inverse]
+        each = self.sizes[slot].astype(np.int64)
+        return self.ids[gather(each, self.starts[slot])], each
+
+
 class Coded:
-    """Ids of the pieces a worker has met (emptied when full; speed only)."""
+    """A tokenizer and the pieces a worker has met."""
 
     def __init__(self, path: str):
         self.t = tokenizer(path)
         size = self.t.get_vocab_size()
         # byte-level alphabet: a token has one character per byte
         self.width = np.array([len(self.t.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.clear()
-
-    def clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.store = Store(KEEP)
 
-    def add(self, keys: list[int], pieces: list[str]) -> None:
+    def add(self, keys: np.ndarray, pieces: list[str]) -> None:
         """Encode ``pieces``. Those that start with white space and end with
         another character are encoded joined, since the splitter cuts between
         them, and told apart by their bytes; the others one by one."""
-        joins = [len(p) > 1 and p[0] in _ASCII_SPACE and p[-1] not in _ASCII_SPACE for p in pieces]
-        single = [i for i, j in enumerate(joins) if not j]
-        many = [i for i, j in enumerate(joins) if j]
+        joins = np.array([len(p) > 1 and p[0] in _ASCII_SPACE and p[-1] not in _ASCII_SPACE for p in pieces], bool)
+        single, many = np.flatnonzero(~joins).tolist(), np.flatnonzero(joins).tolist()
         texts = [pieces[i] for i in single]
         texts += ["".join(pieces[i] for i in many[a:a + JOINED]) for a in range(0, len(many), JOINED)]
-        coded = [e.ids for e in self.t.encode_batch(texts, add_special_tokens=False)]
-        own = [np.array(c, np.int32) for c in coded]
-        sizes = np.fromiter((len(c) for c in own[:len(single)]), np.int64, len(single))
-        flat = np.concatenate(own) if own else np.zeros(0, np.int32)
-        joined = np.concatenate(own[len(single):]) if many else np.zeros(0, np.int32)
-        wide = np.fromiter((len(pieces[i].encode()) for i in many), np.int64, len(many))
-        until = np.searchsorted(np.cumsum(self.width[joined]), np.cumsum(wide)) + 1
-        sizes = np.concatenate([sizes, np.diff(until, prepend=0)]) if many else sizes
-        base = len(self.starts)
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, flat])
-        for at, i in enumerate(single + many):
-            self.slot[keys[i]] = base + at
+        own = [np.array(e.ids, np.int32) for e in self.t.encode_batch(texts, add_special_tokens=False)]
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[~joins] = [len(c) for c in own[:len(single)]]
+        flat = np.concatenate([np.zeros(0, np.int32), *own])
+        if many:
+            wide = np.fromiter((len(pieces[i].encode()) for i in many), np.int64, len(many))
+            joined = flat[sizes.sum():]
+            sizes[joins] = np.diff(np.searchsorted(np.cumsum(self.width[joined]), np.cumsum(wide)) + 1, prepend=0)
+        order = np.concatenate([single, many]).astype(np.int64)
+        starts = np.zeros(len(pieces), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        self.store.put(keys, sizes, flat[gather(sizes, starts)])
 
 
 def encode_slice(path: str, s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -123,21 +153,16 @@ def encode_slice(path: str, s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
     cut[s.offsets[:-1][s.lengths > 0]] = True
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(s.buf))
-    key = tb.range_hash(tb.prefix_hash(s.buf), start, end)
-    distinct, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-    keys = distinct.tolist()
+    keys, at, inverse = np.unique(tb.range_hash(tb.prefix_hash(s.buf), start, end), return_index=True, return_inverse=True)
     if path not in _coded:
         _coded[path] = Coded(path)
     coded = _coded[path]
-    if len(coded.slot) > KEEP:
-        coded.clear()
-    new = [i for i, k in enumerate(keys) if k not in coded.slot]
-    raw = s.buf.tobytes()
-    a, b = start[at[new]].tolist(), end[at[new]].tolist()
-    coded.add([keys[i] for i in new], [raw[x:y].decode() for x, y in zip(a, b)])
-    slot = np.fromiter(map(coded.slot.__getitem__, keys), np.int64, len(keys))[inverse]
-    each = coded.sizes[slot]
-    return coded.ids[gather(each, coded.starts[slot])], s.count(s.doc_of(start), each)
+    new = coded.store.missing(keys)
+    if len(new):
+        raw = s.buf.tobytes()
+        coded.add(keys[new], [raw[x:y].decode() for x, y in zip(start[at[new]].tolist(), end[at[new]].tolist())])
+    ids, each = coded.store.get(keys, inverse)
+    return ids, s.count(s.doc_of(start), each)
 
 
 def encode(path: str, part: pa.RecordBatch, column: str, s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:

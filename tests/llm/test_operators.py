@@ -435,7 +435,7 @@ def test_viterbi_is_best():
     """Unigram: no segmentation scores higher; shared prefixes change nothing."""
     p = pieces.Pieces(tokenizer_path("piece_bpe_32k.model"), "unigram")
     words = sorted(pieces.MARK + w for w in ("the", "then", "thence", "hest", "heston", "nation", "national", "ouere", "é☃x"))
-    p.code(words)
+    coded = p.code(words)
 
     def all_cuts(w):
         return [[w]] + [[w[:i], *c] for i in range(1, len(w)) for c in all_cuts(w[i:])]
@@ -443,9 +443,9 @@ def test_viterbi_is_best():
     cost = lambda c: sum(p.score.get(x, p.unknown if len(x) == 1 else -1e18) for x in c)
     for w in words:
         own = []
-        for i in p.coded[w]:
+        for i in coded[w]:
             own.append(p.text[i])
-        text = p.decode(np.array(p.coded[w]), np.array([len(p.coded[w])]))[0]
+        text = p.decode(np.array(coded[w]), np.array([len(coded[w])]))[0]
         assert text == w[1:]
         top = max(map(cost, all_cuts(w)))
         if all(x in p.score for x in own):
