@@ -53,7 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, piece_ids, n_pieces, decoded) of every document."""
     model = tokenizer_path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(docs.select("doc_id", "text"), model), model)
+    rows = pieces.encode(docs.select("doc_id", "text"), model, decoded="decoded")
     return rows.select("doc_id", "piece_ids", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "decoded")
 
 

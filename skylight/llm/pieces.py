@@ -50,8 +50,8 @@ from .tokens import Store, gather
 
 MARK = "▁"
 BLOCK_BYTES = 2 << 20
-KEEP = 1_500_000
-PAIRS = 1_000_000
+KEEP = 500_000
+PAIRS = 200_000
 _UNKNOWN = 10.0
 
 _models: dict[tuple[str, str], "Pieces"] = {}
@@ -91,7 +91,7 @@ class Pieces:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(out), np.uint8)
         self.store = Store(KEEP)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def code(self, words: list[str]) -> dict[str, list[int]]:
         """Ids of ``words`` (sorted, distinct)."""
@@ -137,24 +137,26 @@ class Pieces:
 
     def _only(self, w: str, first: int, state: list, back: list) -> None:
         """The state of a prefix is the last piece of its only valid path."""
-        score, ends, pairs = self.score, self.ends, self.pairs
+        id_of, ends, pairs = self.id_of, self.ends, self.pairs
         for e in range(first, len(w) + 1):
             for size in ends.get(w[e - 2:e], ()) if e > 1 else ():
-                if size > e or (p := w[e - size:e]) not in score:
+                if size > e or (i := id_of.get(p := w[e - size:e])) is None:
                     continue
                 if size == e:
                     ok = self._merged(p) == [p]
                 else:
-                    pair = (state[e - size], p)
+                    before = w[e - size - back[e - size]:e - size]
+                    # an unknown character is told apart by its code, below 0
+                    pair = (state[e - size] << 32) | i
                     ok = pairs.get(pair)
                     if ok is None:
-                        ok = pairs[pair] = self._merged(pair[0] + p) == [*pair]
+                        ok = pairs[pair] = self._merged(before + p) == [before, p]
                 if ok:
-                    state.append(p)
+                    state.append(i)
                     back.append(size)
                     break
             else:
-                state.append(w[e - 1])
+                state.append(id_of.get(w[e - 1], -1 - ord(w[e - 1])))
                 back.append(1)
 
     def _merged(self, text: str) -> list[str]:
@@ -243,19 +245,27 @@ def _lists(ids: np.ndarray, n: np.ndarray, missing: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
 
 
-def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "piece_ids",
-           kind: str = "bpe") -> DataFrame:
-    """``docs`` with an ``array<int>`` of piece ids appended."""
+def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "piece_ids", kind: str = "bpe",
+           decoded: str | None = None) -> DataFrame:
+    """``docs`` with an ``array<int>`` of piece ids appended, and, where a name
+    is given, the text that they decode to (in the same pass)."""
     ids = unused(docs.columns, ids)
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    new = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    if decoded:
+        decoded = unused([*docs.columns, ids], decoded)
+        new.append(T.StructField(decoded, T.StringType()))
+    schema = T.StructType([*docs.schema.fields, *new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_file, kind)
         for batch in batches:
             for part, s in tb.bounded(batch, text, BLOCK_BYTES):
                 missing = np.asarray(pc.is_null(part.column(text)))
-                yield pa.RecordBatch.from_arrays([*part.columns, _lists(*model.encode(s), missing)],
-                                                 names=[*part.schema.names, ids])
+                found, n = model.encode(s)
+                out = [_lists(found, n, missing)]
+                if decoded:
+                    out.append(pa.array(model.decode(found, n), pa.string(), mask=missing))
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

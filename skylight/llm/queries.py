@@ -58,7 +58,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = tokenizer_path("piece_bpe_32k.model")
-    back = pieces.decode(pieces.encode(docs, model), model)
+    back = pieces.encode(docs, model, decoded="decoded")
     return back.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids",
                        "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 

@@ -423,6 +423,7 @@ def test_pieces(table):
     model = tokenizer_path("piece_bpe_32k.model")
     m = sentencepiece.SentencePieceProcessor(model_file=model)
     rows = pieces.decode(pieces.encode(table, model), model)
+    assert pieces.encode(table, model, decoded="decoded").exceptAll(rows).count() == 0
     assert rows.columns == [*table.columns, "piece_ids", "decoded"]
     for r in rows.collect():
         assert (r["piece_ids"] is None) == (r["text"] is None)
