@@ -447,18 +447,26 @@ def _component_pods(pods: DataFrame, component: str, project: str, environment:
                        & (F.col("environment_uid") == environment)).select("pod")
 
 
+def _per_pod(series: DataFrame, pods: DataFrame) -> DataFrame:
+    """Many-to-one on the pod name alone: a name in two namespaces fails."""
+    from skylight.operators.metrics import unique_right
+    return series.join(unique_right(pods, ["pod"]), "pod", "inner")
+
+
 def cpu_percent_alert(cpu: DataFrame, gauges: DataFrame, pods: DataFrame, component: str, project: str,
                       environment: str, grid, window_s: float, op: str, threshold: float,
                       lookback_s: float = 300) -> DataFrame:
     """A4: 100 * sum(cpu rate) / sum(cpu limits), joined on pod only; the rate
     window is the rule window but at least 2 minutes."""
     from skylight.operators import metrics as M
+    from skylight.operators.resources import GAUGES, containers
     validate_op(op, "metrics")
     p = _component_pods(pods, component, project, environment)
     rate_s = max(window_s, MIN_RATE_WINDOW_S)
-    num = M.rate(cpu, ["pod", "pod_namespace"], grid, rate_s).join(p, "pod", "inner")
+    c, g = containers(cpu), containers(gauges)
+    num = _per_pod(M.rate(c, M.series_keys(c), grid, rate_s), p)
     num = num.groupBy("ts").agg(F.sum("value").alias("num"))
-    lim = M.instant(gauges, ["pod", "pod_namespace"], grid, ["cpu_limit"], lookback_s).join(p, "pod", "inner")
+    lim = _per_pod(M.instant(g, M.series_keys(g, GAUGES), grid, ["cpu_limit"], lookback_s), p)
     den = lim.groupBy("ts").agg(F.sum("cpu_limit").alias("den"))
     return _percent(num, den, op, threshold)
 
@@ -468,10 +476,11 @@ def memory_percent_alert(gauges: DataFrame, pods: DataFrame, component: str, pro
     """A5: 100 * sum(working set) / sum(memory limits), instant values; the
     rule window does not enter the value."""
     from skylight.operators import metrics as M
+    from skylight.operators.resources import GAUGES, containers
     validate_op(op, "metrics")
     p = _component_pods(pods, component, project, environment)
-    inst = M.instant(gauges, ["pod", "pod_namespace"], grid, ["memory_bytes", "memory_limit"], lookback_s)
-    inst = inst.join(p, "pod", "inner")
+    g = containers(gauges)
+    inst = _per_pod(M.instant(g, M.series_keys(g, GAUGES), grid, ["memory_bytes", "memory_limit"], lookback_s), p)
     agg = inst.groupBy("ts").agg(F.sum("memory_bytes").alias("num"), F.sum("memory_limit").alias("den"))
     return _percent(agg.select("ts", "num"), agg.select("ts", "den"), op, threshold)
 

@@ -6,7 +6,8 @@ evaluated on the grid ``start, start+step, .., end``:
 * **M1 range grid** - every sample is exploded to the grid points whose
   window contains it (``g - range < t <= g``); then an equi-``groupBy``
   on ``(series, g)``.  No range join, no cartesian product; the explode
-  factor is ``ceil(range/step)`` and is refused above ``MAX_POINTS``.
+  factor is ``ceil(range/step)``; rates over long ranges of dense samples
+  combine samples per step first (``pre_aggregate``).
 * **M2 rate** - counter resets need the previous sample of the series; that
   is a blocked lag (``prev_sample``): a window inside ``(series, day)`` plus
   the last value of the previous non-empty day, so a huge series is never a
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from skylight.functions.scope import Scope
 from skylight.functions.timeutil import epoch_micros, long_lit, micros_col
 
-MAX_POINTS = 1000
 DAY_US = 86_400_000_000
 DEFAULT_STEP_S = 300
 DEFAULT_RATE_RANGE_S = 120
@@ -78,8 +78,6 @@ def explode_to_grid(df: DataFrame, grid: Grid, range_s: float, ts_col: str = "ts
     range_us = int(range_s * 1_000_000)
     if range_us <= 0:
         raise ValueError("range must be positive")
-    if -(-range_us // grid.step_us) > MAX_POINTS:
-        raise ValueError("range/step too large: a sample would feed more than %d points" % MAX_POINTS)
     t = micros_col(ts_col)
     off = t - long_lit(grid.start_us)
     lo = F.greatest(-_floor_div(-off, grid.step_us), F.lit(0).cast("bigint"))
@@ -259,8 +257,22 @@ def join_pod_labels(series: DataFrame, pods: DataFrame, on: Sequence[str] = ("po
         for a, b in rename.items():
             right = right.withColumnRenamed(a, b)
     cols = list(dict.fromkeys(list(on) + list(carry)))
-    right = right.select(*cols)
-    return series.join(right, list(on), "inner")
+    return series.join(unique_right(right.select(*cols), on), list(on), "inner")
+
+
+def unique_right(right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The right side of a many-to-one join: the job fails where a key has
+    several rows, instead of counting samples twice."""
+    rest = [c for c in right.columns if c not in on]
+    g = right.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
+    key = F.when(F.col("__n") > 1, F.raise_error(F.concat_ws(
+        " ", F.lit("many-to-one join: several rows on the right side for"), *[F.col(c).cast("string") for c in on])).cast("string"))
+    return g.select(key.otherwise(F.col(on[0])).alias(on[0]), *[c for c in right.columns if c != on[0]])
+
+
+def series_keys(df: DataFrame, values: Sequence[str] = ("value",), ts_col: str = "ts") -> list[str]:
+    """The identity of a series: every label column."""
+    return [c for c in df.columns if c not in (*values, ts_col)]
 
 
 def running_semi(series: DataFrame, phase: DataFrame, on: Sequence[str] = ("pod", "pod_namespace"),

@@ -2,12 +2,12 @@
 
 Series inputs (column names of the sample tables):
 
-* ``cpu``: ``(pod, pod_namespace, ts, value)`` CPU-seconds counter;
-* ``gauges``: ``(pod, pod_namespace, ts, memory_bytes, cpu_request,
+* ``cpu``: ``(pod, pod_namespace, container, ts, value)`` CPU-seconds counter;
+* ``gauges``: ``(pod, pod_namespace, container, ts, memory_bytes, cpu_request,
   cpu_limit, memory_request, memory_limit, phase_running)``;
 * ``http``: ``(destination_pod, destination_namespace, reporter, status, ts, value)``
   request counter; ``latency_sum`` the duration-sum counter;
-* ``buckets``: ``(destination_pod, destination_namespace, ts, le, value)``;
+* ``buckets``: ``(destination_pod, destination_namespace, reporter, ts, le, value)``;
 * ``pods``: the pod-label dimension ``(pod, pod_namespace, namespace, project_uid,
   environment_uid, component_uid)``.
 """
@@ -24,6 +24,8 @@ POD_KEYS = ["pod", "pod_namespace"]
 DEST_KEYS = ["destination_pod", "destination_namespace"]
 DEST_RENAME = {"pod": "destination_pod", "pod_namespace": "destination_namespace"}
 # PromQL status classes for successful and failed requests.
+# Gauge columns of a sample row; every other column but the time is a label.
+GAUGES = ("memory_bytes", "cpu_request", "cpu_limit", "memory_request", "memory_limit", "phase_running")
 SUCCESS_STATUS = "^[123]..?$"
 FAILED_STATUS = "^[45]..?$"
 
@@ -37,14 +39,25 @@ def _scoped_sum(series: DataFrame, pods: DataFrame, scope: Scope, on=POD_KEYS, r
 def cpu_usage(cpu: DataFrame, pods: DataFrame, scope: Scope, grid: M.Grid,
               range_s: float = M.DEFAULT_RATE_RANGE_S) -> DataFrame:
     """M10 usage: rate of the CPU counter x pod labels, summed by scope labels."""
-    r = M.rate(cpu, POD_KEYS, grid, range_s)
-    return _scoped_sum(r, pods, scope)
+    c = containers(cpu)
+    return _scoped_sum(M.rate(c, M.series_keys(c), grid, range_s), pods, scope)
+
+
+def containers(df: DataFrame) -> DataFrame:
+    """``container!=""``: without the pod-level totals."""
+    return M.label_match(df, not_equal={"container": ""}) if "container" in df.columns else df
+
+
+def _client(df: DataFrame) -> DataFrame:
+    """``reporter="client"``: each request is reported by both sides."""
+    return M.label_match(df, equal={"reporter": "client"})
 
 
 def _requested(gauges: DataFrame, col: str, pods: DataFrame, scope: Scope, grid: M.Grid,
                lookback_s: float) -> DataFrame:
     """requests/limits: instant value AND pod Running, x pod labels, summed."""
-    inst = M.instant(gauges, POD_KEYS, grid, [col], lookback_s).withColumnRenamed(col, "value")
+    c = containers(gauges)
+    inst = M.instant(c, M.series_keys(c, GAUGES), grid, [col], lookback_s).withColumnRenamed(col, "value")
     phase = M.instant(gauges, POD_KEYS, grid, ["phase_running"], lookback_s)
     running = M.running_semi(inst, phase, POD_KEYS)
     return _scoped_sum(running, pods, scope)
@@ -61,7 +74,8 @@ def cpu_limits(gauges, pods, scope, grid, lookback_s=M.DEFAULT_LOOKBACK_S):
 def memory_usage(gauges: DataFrame, pods: DataFrame, scope: Scope, grid: M.Grid,
                  lookback_s: float = M.DEFAULT_LOOKBACK_S) -> DataFrame:
     """M11 usage: instant working-set bytes x pod labels, summed (no phase filter)."""
-    inst = M.instant(gauges, POD_KEYS, grid, ["memory_bytes"], lookback_s).withColumnRenamed(
+    c = containers(gauges)
+    inst = M.instant(c, M.series_keys(c, GAUGES), grid, ["memory_bytes"], lookback_s).withColumnRenamed(
         "memory_bytes", "value")
     return _scoped_sum(inst, pods, scope)
 
@@ -74,11 +88,9 @@ def memory_limits(gauges, pods, scope, grid, lookback_s=M.DEFAULT_LOOKBACK_S):
     return _requested(gauges, "memory_limit", pods, scope, grid, lookback_s)
 
 
-def _http_rate(http: DataFrame, grid: M.Grid, range_s: float, status_regex: str | None,
-               keys=("destination_pod", "destination_namespace", "reporter", "status")) -> DataFrame:
-    f = M.label_match(http, equal={"reporter": "client"},
-                      regex={"status": status_regex[1:-1]} if status_regex else None)
-    return M.rate(f, list(keys), grid, range_s)
+def _http_rate(http: DataFrame, grid: M.Grid, range_s: float, status_regex: str | None) -> DataFrame:
+    f = M.label_match(_client(http), regex={"status": status_regex[1:-1]} if status_regex else None)
+    return M.rate(f, M.series_keys(f), grid, range_s)
 
 
 def http_requests(http, pods, scope, grid, range_s=M.DEFAULT_RATE_RANGE_S, status_regex=None):
@@ -91,8 +103,7 @@ def http_latency_mean(latency_sum: DataFrame, http: DataFrame, pods: DataFrame,
                       grid: M.Grid, range_s: float = M.DEFAULT_RATE_RANGE_S) -> DataFrame:
     """Sum of duration-sum rates / sum of request rates, >= 0."""
     labels = scope.label_columns()
-    num = _scoped_sum(M.rate(M.label_match(latency_sum, equal={"reporter": "client"}),
-                             DEST_KEYS + ["reporter"], grid, range_s),
+    num = _scoped_sum(M.rate(_client(latency_sum), M.series_keys(latency_sum), grid, range_s),
                       pods, scope, on=DEST_KEYS, rename=DEST_RENAME).withColumnRenamed("value", "num")
     den = _scoped_sum(_http_rate(http, grid, range_s, None), pods, scope, on=DEST_KEYS,
                       rename=DEST_RENAME).withColumnRenamed("value", "den")
@@ -104,7 +115,7 @@ def http_latency_quantile(buckets: DataFrame, pods: DataFrame, scope: Scope, gri
                           range_s: float = M.DEFAULT_RATE_RANGE_S) -> DataFrame:
     """Histogram quantile of bucket rates summed by scope labels and le, >= 0."""
     labels = scope.label_columns()
-    r = M.rate(buckets, DEST_KEYS + ["le"], grid, range_s)
+    r = M.rate(_client(buckets), M.series_keys(buckets), grid, range_s)
     j = M.join_pod_labels(r, M.pod_labels(pods, scope), on=DEST_KEYS, carry=labels, rename=DEST_RENAME)
     summed = j.groupBy(*labels, "le", "ts").agg(F.sum("value").alias("value"))
     return M.nonnegative(M.histogram_quantile(summed, q, labels))
@@ -114,17 +125,18 @@ def resource_metrics(cpu, gauges, pods, scope, grid, range_s=M.DEFAULT_RATE_RANG
                      lookback_s=M.DEFAULT_LOOKBACK_S) -> DataFrame:
     """The six resource series in one result.
 
-    One rate pass for CPU usage; one instant pass for all gauges of a pod
-    (they share sample rows), one join with the pod labels and one
-    aggregation with conditional sums: requests and limits count only pods
-    Running at that time (M7), usage counts every pod.
+    One rate pass for CPU usage; one instant pass for all gauges of a
+    container (they share sample rows), one for the pod's phase, one join
+    with the pod labels and one aggregation with conditional sums: requests
+    and limits count only pods Running at that time (M7), usage counts all.
     """
     labels = scope.label_columns()
     usage = cpu_usage(cpu, pods, scope, grid, range_s).select(
         *labels, "ts", F.lit("cpu_usage").alias("series"), "value")
-    cols = ["memory_bytes", "cpu_request", "cpu_limit", "memory_request", "memory_limit", "phase_running"]
-    inst = M.instant(gauges, POD_KEYS, grid, cols, lookback_s)
-    j = M.join_pod_labels(inst, M.pod_labels(pods, scope), carry=labels)
+    c = containers(gauges)
+    inst = M.instant(c, M.series_keys(c, GAUGES), grid, [g for g in GAUGES if g != "phase_running"], lookback_s)
+    phase = M.instant(gauges, POD_KEYS, grid, ["phase_running"], lookback_s)
+    j = M.join_pod_labels(inst, M.pod_labels(pods, scope), carry=labels).join(phase, [*POD_KEYS, "ts"], "left")
     run = F.col("phase_running") == 1
     agg = j.groupBy(*labels, "ts").agg(
         F.sum("memory_bytes").alias("memory_usage"),
@@ -154,12 +166,11 @@ def http_metrics(http, latency_sum, buckets, pods, scope, grid, range_s=M.DEFAUL
     req_sum = req.groupBy(*labels, "ts").agg(
         F.sum("value").alias("requests"), F.sum(F.when(ok, F.col("value"))).alias("requests_success"),
         F.sum(F.when(bad, F.col("value"))).alias("requests_failed"))
-    num = _scoped_sum(M.rate(M.label_match(latency_sum, equal={"reporter": "client"}),
-                             DEST_KEYS + ["reporter"], grid, range_s),
+    num = _scoped_sum(M.rate(_client(latency_sum), M.series_keys(latency_sum), grid, range_s),
                       pods, scope, on=DEST_KEYS, rename=DEST_RENAME).withColumnRenamed("value", "__num")
     with_lat = req_sum.join(num, labels + ["ts"], "left").withColumn(
         "latency_mean", F.when(F.col("__num").isNotNull(), M.ratio(F.col("__num"), F.col("requests"))))
-    r = M.rate(buckets, DEST_KEYS + ["le"], grid, range_s)
+    r = M.rate(_client(buckets), M.series_keys(buckets), grid, range_s)
     jb = M.join_pod_labels(r, M.pod_labels(pods, scope), on=DEST_KEYS, carry=labels, rename=DEST_RENAME)
     summed = jb.groupBy(*labels, "le", "ts").agg(F.sum("value").alias("value"))
     arrays = M.bucket_arrays(summed, labels)

@@ -44,29 +44,32 @@ SELECT DISTINCT 'pod-' || CAST(user_id AS STRING) AS pod, 'k8s-' || CAST(user_id
   'env-' || CAST(user_id % 2 AS STRING) AS environment_uid, 'comp-' || CAST(user_id % 10 AS STRING) AS component_uid
 FROM events""",
     "cpu_samples": """
-SELECT 'pod-' || CAST(user_id AS STRING) AS pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS pod_namespace, ts,
-  CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id
+SELECT 'pod-' || CAST(user_id AS STRING) AS pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS pod_namespace,
+  CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 2 = 0 THEN 'main' ELSE 'side' END AS container, ts,
+  CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id, CAST(ts AS DATE), CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 2 = 0 THEN 'main' ELSE 'side' END ORDER BY event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / CAST(100 AS DOUBLE) AS value
 FROM events""",
     "gauge_samples": """
-SELECT 'pod-' || CAST(user_id AS STRING) AS pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS pod_namespace, ts,
+SELECT 'pod-' || CAST(user_id AS STRING) AS pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS pod_namespace,
+  CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 2 = 0 THEN 'main' ELSE 'side' END AS container, ts,
   round(value * 1000000) AS memory_bytes, CAST(1 + user_id % 4 AS DOUBLE) AS cpu_limit, CAST(500000000 AS DOUBLE) AS memory_limit,
   CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS phase_running,
   CAST(1 + user_id % 4 AS DOUBLE) / CAST(2 AS DOUBLE) AS cpu_request, CAST(250000000 AS DOUBLE) AS memory_request
 FROM events""",
     "http_samples": """
 SELECT 'pod-' || CAST(user_id AS STRING) AS destination_pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS destination_namespace,
-  'client' AS reporter, status, ts, CAST(row_number() OVER (PARTITION BY user_id, status ORDER BY event_id) AS DOUBLE) AS value
+  CASE WHEN event_id % 3 = 0 THEN 'server' ELSE 'client' END AS reporter, status, ts, CAST(row_number() OVER (PARTITION BY user_id, status, CASE WHEN event_id % 3 = 0 THEN 'server' ELSE 'client' END ORDER BY event_id) AS DOUBLE) AS value
 FROM (SELECT *, CASE event_type WHEN 'error' THEN '500' WHEN 'signup' THEN '404' WHEN 'purchase' THEN '201' WHEN 'click' THEN '302' ELSE '200' END AS status FROM events) e""",
     "http_buckets": """
-SELECT 'pod-' || CAST(user_id AS STRING) AS destination_pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS destination_namespace, ts, b.le,
-  CAST(sum(CASE WHEN value <= b.le THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, b.le ORDER BY event_id
+SELECT 'pod-' || CAST(user_id AS STRING) AS destination_pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS destination_namespace,
+  CASE WHEN event_id % 3 = 0 THEN 'server' ELSE 'client' END AS reporter, ts, b.le,
+  CAST(sum(CASE WHEN value <= b.le THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, CASE WHEN event_id % 3 = 0 THEN 'server' ELSE 'client' END, b.le ORDER BY event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value
 FROM events CROSS JOIN (SELECT CAST(le AS DOUBLE) AS le FROM (VALUES ('10'), ('50'), ('100'), ('500'), ('Infinity')) AS v(le)) b""",
     "http_duration_sum": """
 SELECT 'pod-' || CAST(user_id AS STRING) AS destination_pod, 'k8s-' || CAST(user_id % 4 AS STRING) AS destination_namespace,
-  'client' AS reporter, ts,
-  CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id
+  CASE WHEN event_id % 3 = 0 THEN 'server' ELSE 'client' END AS reporter, ts,
+  CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id, CASE WHEN event_id % 3 = 0 THEN 'server' ELSE 'client' END ORDER BY event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / CAST(100000 AS DOUBLE) AS value
 FROM events""",
     "rules": """

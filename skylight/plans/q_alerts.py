@@ -73,17 +73,17 @@ def _pct_sql(num: str, den: str) -> str:
 
 
 def _cpu_alert_sql() -> str:
-    from skylight.plans.q_metrics import GRID_CTE, instant_sql, rate_sql
-    num = (f"SELECT x.ts, sum(x.value) AS num FROM {rate_sql('cpu_samples', ['pod', 'pod_namespace'])} x "
+    from skylight.plans.q_metrics import CONTAINER, CPU_RATE_SQL, GAUGE_SRC, GRID_CTE, instant_sql
+    num = (f"SELECT x.ts, sum(x.value) AS num FROM {CPU_RATE_SQL} x "
            f"JOIN {_CPU_PODS} p ON x.pod = p.pod GROUP BY x.ts")
-    den = (f"SELECT x.ts, sum(x.cpu_limit) AS den FROM {instant_sql('gauge_samples', ['pod', 'pod_namespace'], ['cpu_limit'])} x "
+    den = (f"SELECT x.ts, sum(x.cpu_limit) AS den FROM {instant_sql(GAUGE_SRC, CONTAINER, ['cpu_limit'])} x "
            f"JOIN {_CPU_PODS} p ON x.pod = p.pod GROUP BY x.ts")
     return f"WITH {GRID_CTE} " + _pct_sql(num, den)
 
 
 def _mem_alert_sql() -> str:
-    from skylight.plans.q_metrics import GRID_CTE, instant_sql
-    inst = instant_sql("gauge_samples", ["pod", "pod_namespace"], ["memory_bytes", "memory_limit"])
+    from skylight.plans.q_metrics import CONTAINER, GAUGE_SRC, GRID_CTE, instant_sql
+    inst = instant_sql(GAUGE_SRC, CONTAINER, ["memory_bytes", "memory_limit"])
     num = f"SELECT x.ts, sum(x.memory_bytes) AS num FROM {inst} x JOIN {_CPU_PODS} p ON x.pod = p.pod GROUP BY x.ts"
     den = f"SELECT x.ts, sum(x.memory_limit) AS den FROM {inst} x JOIN {_CPU_PODS} p ON x.pod = p.pod GROUP BY x.ts"
     return f"WITH {GRID_CTE} " + _pct_sql(num, den)

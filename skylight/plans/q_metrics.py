@@ -57,6 +57,12 @@ FROM (SELECT s.*, grid.g_us, grid.gts FROM (SELECT *, epoch_us(ts) AS t_us FROM
 GROUP BY {k}, g_us, gts)"""
 
 
+# series of containers: every label is in the key, pod-level totals are left out
+CONTAINER = ["pod", "pod_namespace", "container"]
+CPU_RATE_SQL = rate_sql("cpu_samples", CONTAINER, where="container <> ''")
+GAUGE_SRC = "(SELECT * FROM gauge_samples WHERE container <> '')"
+
+
 SCOPED_PODS = f"(SELECT * FROM pods WHERE namespace = '{NS}' AND environment_uid = 'env-1')"
 DEST_PODS = (f"(SELECT pod AS destination_pod, pod_namespace AS destination_namespace, environment_uid "
              f"FROM pods WHERE namespace = '{NS}' AND environment_uid = 'env-1')")
@@ -68,43 +74,43 @@ def _v(spark, sf_dir):
 
 @register("metric_range_grid", oracle=f"""
 WITH {GRID_CTE}
-SELECT pod, pod_namespace, gts AS ts, count(*) AS n FROM (SELECT *, epoch_us(ts) AS t_us FROM cpu_samples) s
+SELECT pod, pod_namespace, container, gts AS ts, count(*) AS n FROM (SELECT *, epoch_us(ts) AS t_us FROM cpu_samples) s
 JOIN grid ON s.t_us > grid.g_us - {RANGE * 1_000_000} AND s.t_us <= grid.g_us
-GROUP BY pod, pod_namespace, gts""")
+GROUP BY pod, pod_namespace, container, gts""")
 def metric_range_grid(spark, sf_dir):
     x = M.explode_to_grid(_v(spark, sf_dir).cpu_samples(), GRID, RANGE)
-    return x.groupBy("pod", "pod_namespace", "g").agg(F.count(F.lit(1)).alias("n")).select(
-        "pod", "pod_namespace", GRID.ts(F.col("g")).alias("ts"), "n")
+    return x.groupBy(*CONTAINER, "g").agg(F.count(F.lit(1)).alias("n")).select(
+        *CONTAINER, GRID.ts(F.col("g")).alias("ts"), "n")
 
 
 @register("metric_rate", oracle=f"""
 WITH {GRID_CTE}
-SELECT pod, pod_namespace, ts, round((value) + 1e-9, 6) AS value FROM {rate_sql('cpu_samples', ['pod', 'pod_namespace'])} r""")
+SELECT pod, pod_namespace, container, ts, round((value) + 1e-9, 6) AS value FROM {rate_sql('cpu_samples', CONTAINER)} r""")
 def metric_rate(spark, sf_dir):
-    r = M.rate(_v(spark, sf_dir).cpu_samples(), R.POD_KEYS, GRID, RANGE)
-    return r.select("pod", "pod_namespace", "ts", round6("value").alias("value"))
+    r = M.rate(_v(spark, sf_dir).cpu_samples(), CONTAINER, GRID, RANGE)
+    return r.select(*CONTAINER, "ts", round6("value").alias("value"))
 
 
 @register("metric_rate_simple", oracle=f"""
 WITH {GRID_CTE}
-SELECT pod, pod_namespace, gts AS ts, round(((lv - fv + corr_extra) / CAST({RANGE} AS DOUBLE)) + 1e-9, 6) AS value FROM (
-  SELECT pod, pod_namespace, gts, count(*) AS n, arg_min(value, t_us) AS fv, arg_max(value, t_us) AS lv,
+SELECT pod, pod_namespace, container, gts AS ts, round(((lv - fv + corr_extra) / CAST({RANGE} AS DOUBLE)) + 1e-9, 6) AS value FROM (
+  SELECT pod, pod_namespace, container, gts, count(*) AS n, arg_min(value, t_us) AS fv, arg_max(value, t_us) AS lv,
     sum(corr) - arg_min(corr, t_us) AS corr_extra
   FROM (SELECT s.*, CASE WHEN value < prev THEN prev ELSE 0 END AS corr, grid.gts FROM
-        (SELECT pod, pod_namespace, value, epoch_us(ts) AS t_us,
-           lag(value) OVER (PARTITION BY pod, pod_namespace ORDER BY ts) AS prev FROM cpu_samples) s
+        (SELECT pod, pod_namespace, container, value, epoch_us(ts) AS t_us,
+           lag(value) OVER (PARTITION BY pod, pod_namespace, container ORDER BY ts) AS prev FROM cpu_samples) s
         JOIN grid ON s.t_us > grid.g_us - {RANGE * 1_000_000} AND s.t_us <= grid.g_us) w
-  GROUP BY pod, pod_namespace, gts HAVING count(*) >= 2) a""")
+  GROUP BY pod, pod_namespace, container, gts HAVING count(*) >= 2) a""")
 def metric_rate_simple(spark, sf_dir):
-    r = M.rate(_v(spark, sf_dir).cpu_samples(), R.POD_KEYS, GRID, RANGE, mode="simple")
-    return r.select("pod", "pod_namespace", "ts", round6("value").alias("value"))
+    r = M.rate(_v(spark, sf_dir).cpu_samples(), CONTAINER, GRID, RANGE, mode="simple")
+    return r.select(*CONTAINER, "ts", round6("value").alias("value"))
 
 
 @register("metric_instant", oracle=f"""
 WITH {GRID_CTE}
-SELECT * FROM {instant_sql('gauge_samples', ['pod', 'pod_namespace'], ['memory_bytes'])} i""")
+SELECT * FROM {instant_sql('gauge_samples', CONTAINER, ['memory_bytes'])} i""")
 def metric_instant(spark, sf_dir):
-    return M.instant(_v(spark, sf_dir).gauge_samples(), R.POD_KEYS, GRID, ["memory_bytes"], LOOK)
+    return M.instant(_v(spark, sf_dir).gauge_samples(), CONTAINER, GRID, ["memory_bytes"], LOOK)
 
 
 @register("metric_label_match", oracle="""
@@ -118,27 +124,27 @@ def metric_label_match(spark, sf_dir):
 
 @register("metric_pod_join", oracle=f"""
 WITH {GRID_CTE}
-SELECT r.pod, r.pod_namespace, r.ts, round((r.value) + 1e-9, 6) AS value, p.component_uid, p.environment_uid
-FROM {rate_sql('cpu_samples', ['pod', 'pod_namespace'])} r JOIN {SCOPED_PODS} p
+SELECT r.pod, r.pod_namespace, r.container, r.ts, round((r.value) + 1e-9, 6) AS value, p.component_uid, p.environment_uid
+FROM {CPU_RATE_SQL} r JOIN {SCOPED_PODS} p
   ON r.pod = p.pod AND r.pod_namespace = p.pod_namespace""")
 def metric_pod_join(spark, sf_dir):
     v = _v(spark, sf_dir)
-    r = M.rate(v.cpu_samples(), R.POD_KEYS, GRID, RANGE)
+    r = M.rate(R.containers(v.cpu_samples()), CONTAINER, GRID, RANGE)
     j = M.join_pod_labels(r, M.pod_labels(v.pods(), SCOPE), carry=["component_uid", "environment_uid"])
-    return j.select("pod", "pod_namespace", "ts", round6("value").alias("value"), "component_uid",
+    return j.select(*CONTAINER, "ts", round6("value").alias("value"), "component_uid",
                     "environment_uid")
 
 
 @register("metric_running_semi", oracle=f"""
 WITH {GRID_CTE},
-req AS {instant_sql('gauge_samples', ['pod', 'pod_namespace'], ['cpu_request'])},
+req AS {instant_sql(GAUGE_SRC, CONTAINER, ['cpu_request'])},
 ph AS {instant_sql('gauge_samples', ['pod', 'pod_namespace'], ['phase_running'])}
-SELECT pod, pod_namespace, ts, cpu_request AS value FROM req
+SELECT pod, pod_namespace, container, ts, cpu_request AS value FROM req
 WHERE EXISTS (SELECT 1 FROM ph WHERE ph.pod = req.pod AND ph.pod_namespace = req.pod_namespace
               AND ph.ts = req.ts AND ph.phase_running = 1)""")
 def metric_running_semi(spark, sf_dir):
     g = _v(spark, sf_dir).gauge_samples()
-    inst = M.instant(g, R.POD_KEYS, GRID, ["cpu_request"], LOOK).withColumnRenamed("cpu_request", "value")
+    inst = M.instant(R.containers(g), CONTAINER, GRID, ["cpu_request"], LOOK).withColumnRenamed("cpu_request", "value")
     phase = M.instant(g, R.POD_KEYS, GRID, ["phase_running"], LOOK)
     return M.running_semi(inst, phase, R.POD_KEYS)
 
@@ -163,13 +169,13 @@ def http_destination_join(spark, sf_dir):
 @register("metric_sum_by", oracle=f"""
 WITH {GRID_CTE}
 SELECT p.component_uid, p.project_uid, r.ts, round((sum(r.value)) + 1e-9, 6) AS value
-FROM {rate_sql('cpu_samples', ['pod', 'pod_namespace'])} r
+FROM {CPU_RATE_SQL} r
 JOIN (SELECT * FROM pods WHERE namespace = '{NS}') p ON r.pod = p.pod AND r.pod_namespace = p.pod_namespace
 GROUP BY p.component_uid, p.project_uid, r.ts""")
 def metric_sum_by(spark, sf_dir):
     v = _v(spark, sf_dir)
     scope = Scope(NS)
-    r = M.rate(v.cpu_samples(), R.POD_KEYS, GRID, RANGE)
+    r = M.rate(R.containers(v.cpu_samples()), CONTAINER, GRID, RANGE)
     j = M.join_pod_labels(r, M.pod_labels(v.pods(), scope), carry=["component_uid", "project_uid"])
     s = M.sum_by(j, ["component_uid", "project_uid"])
     return s.select("component_uid", "project_uid", "ts", round6("value").alias("value"))
@@ -186,9 +192,10 @@ def _sum_sql(series_sql: str, on_pod: bool = True) -> str:
 
 
 def _requested_sql(col: str) -> str:
-    inst = instant_sql("gauge_samples", ["pod", "pod_namespace"], [col, "phase_running"])
-    # the two instants pick the same latest row, so phase comes along with the value
-    return _sum_sql(f"(SELECT pod, pod_namespace, ts, {col} AS value FROM {inst} i WHERE phase_running = 1)")
+    inst = instant_sql(GAUGE_SRC, CONTAINER, [col])
+    phase = instant_sql("gauge_samples", ["pod", "pod_namespace"], ["phase_running"])  # a label of the pod
+    return _sum_sql(f"(SELECT i.pod, i.pod_namespace, i.ts, i.{col} AS value FROM {inst} i JOIN {phase} ph "
+                    "ON i.pod = ph.pod AND i.pod_namespace = ph.pod_namespace AND i.ts = ph.ts WHERE ph.phase_running = 1)")
 
 
 def _round(sql: str) -> str:
@@ -199,7 +206,7 @@ def _rounded(df):
     return df.select(*SCOPE.label_columns(), "ts", round6("value").alias("value"))
 
 
-@register("cpu_usage", oracle=f"WITH {GRID_CTE} " + _round(_sum_sql(rate_sql("cpu_samples", ["pod", "pod_namespace"]))))
+@register("cpu_usage", oracle=f"WITH {GRID_CTE} " + _round(_sum_sql(CPU_RATE_SQL)))
 def cpu_usage(spark, sf_dir):
     v = _v(spark, sf_dir)
     return _rounded(R.cpu_usage(v.cpu_samples(), v.pods(), SCOPE, GRID, RANGE))
@@ -219,7 +226,7 @@ def cpu_limits(spark, sf_dir):
 
 @register("memory_usage", oracle=f"WITH {GRID_CTE} " + _round(_sum_sql(
     f"(SELECT pod, pod_namespace, ts, memory_bytes AS value FROM "
-    f"{instant_sql('gauge_samples', ['pod', 'pod_namespace'], ['memory_bytes'])} i)")))
+    f"{instant_sql(GAUGE_SRC, CONTAINER, ['memory_bytes'])} i)")))
 def memory_usage(spark, sf_dir):
     v = _v(spark, sf_dir)
     return _rounded(R.memory_usage(v.gauge_samples(), v.pods(), SCOPE, GRID, LOOK))
@@ -279,7 +286,7 @@ def http_latency_mean(spark, sf_dir):
 
 
 def _quantile_sql(q: float) -> str:
-    rates = rate_sql("http_buckets", ["destination_pod", "destination_namespace", "le"])
+    rates = rate_sql("http_buckets", ["destination_pod", "destination_namespace", "reporter", "le"], where="reporter = 'client'")
     return f"""
 WITH {GRID_CTE},
 bs AS (SELECT p.environment_uid, x.le, x.ts, sum(x.value) AS v FROM {rates} x JOIN {DEST_PODS} p
@@ -332,11 +339,11 @@ def metric_nonnegative(spark, sf_dir):
 
 
 _RES_SERIES = {
-    "cpu_usage": _sum_sql(rate_sql("cpu_samples", ["pod", "pod_namespace"])),
+    "cpu_usage": _sum_sql(CPU_RATE_SQL),
     "cpu_requests": _requested_sql("cpu_request"),
     "cpu_limits": _requested_sql("cpu_limit"),
     "memory_usage": _sum_sql(f"(SELECT pod, pod_namespace, ts, memory_bytes AS value FROM "
-                             f"{instant_sql('gauge_samples', ['pod', 'pod_namespace'], ['memory_bytes'])} i)"),
+                             f"{instant_sql(GAUGE_SRC, CONTAINER, ['memory_bytes'])} i)"),
     "memory_requests": _requested_sql("memory_request"),
     "memory_limits": _requested_sql("memory_limit"),
 }
@@ -398,7 +405,7 @@ def http_metrics(spark, sf_dir):
 
 
 @register("metric_first_series", oracle=f"""
-WITH {GRID_CTE}, s AS ({_sum_sql(rate_sql("cpu_samples", ["pod", "pod_namespace"]))})
+WITH {GRID_CTE}, s AS ({_sum_sql(CPU_RATE_SQL)})
 SELECT environment_uid, ts, round((value) + 1e-9, 6) AS value FROM s
 WHERE environment_uid = (SELECT min(environment_uid) FROM s)""")
 def metric_first_series(spark, sf_dir):

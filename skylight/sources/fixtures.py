@@ -119,19 +119,28 @@ def pods(ev: DataFrame) -> DataFrame:
     return ev.select("user_id").distinct().select(*_pod_cols(), *_scope_cols())
 
 
+def _container() -> Column:
+    """Two containers a pod, and the pod-level series without a container."""
+    return F.when(_mod("event_id", 7) == 0, "").when(_mod("event_id", 2) == 0, "main").otherwise("side")
+
+
+def _reporter() -> Column:
+    return F.when(_mod("event_id", 3) == 0, "server").otherwise("client")
+
+
 def cpu_samples(ev: DataFrame) -> DataFrame:
-    """Cumulative CPU counter per pod that resets each day."""
-    base = ev.select(*_pod_cols(), "ts", "user_id", "event_id", _day().alias("d"),
+    """Cumulative CPU counter per pod and container that resets each day."""
+    base = ev.select(*_pod_cols(), _container().alias("container"), "ts", "user_id", "event_id", _day().alias("d"),
                      F.round(F.col("value") * 100).cast("bigint").alias("centi"))
-    out = running_total(base, ["user_id", "d"], "event_id", "centi", "cum")
-    return out.select("pod", "pod_namespace", "ts",
+    out = running_total(base, ["user_id", "d", "container"], "event_id", "centi", "cum")
+    return out.select("pod", "pod_namespace", "container", "ts",
                       (F.col("cum").cast("double") / F.lit(100.0)).alias("value"))
 
 
 def gauge_samples(ev: DataFrame) -> DataFrame:
     cpu_limit = (F.lit(1).cast("bigint") + _mod("user_id", 4)).cast("double")
     return ev.select(
-        *_pod_cols(), "ts",
+        *_pod_cols(), _container().alias("container"), "ts",
         F.round(F.col("value") * 1000000).alias("memory_bytes"),
         cpu_limit.alias("cpu_limit"),
         F.lit(500000000.0).alias("memory_limit"),
@@ -149,9 +158,9 @@ def _status() -> Column:
 
 def http_samples(ev: DataFrame) -> DataFrame:
     base = ev.select(*_pod_cols("destination_pod", "destination_namespace"),
-                     F.lit("client").alias("reporter"), _status().alias("status"), "ts",
+                     _reporter().alias("reporter"), _status().alias("status"), "ts",
                      "user_id", "event_id", F.lit(1).cast("bigint").alias("one"))
-    out = running_total(base, ["user_id", "status"], "event_id", "one", "n")
+    out = running_total(base, ["user_id", "status", "reporter"], "event_id", "one", "n")
     return out.select("destination_pod", "destination_namespace", "reporter", "status", "ts",
                       F.col("n").cast("double").alias("value"))
 
@@ -161,23 +170,23 @@ BUCKET_BOUNDS = (10.0, 50.0, 100.0, 500.0, float("inf"))
 
 
 def http_buckets(ev: DataFrame) -> DataFrame:
-    """One cumulative counter per (pod, bucket bound): each event is exploded
+    """One cumulative counter per (pod, reporter, bucket bound): each event is exploded
     to the five bounds (a literal array, no join)."""
     bounds = F.array(*[F.lit(b) for b in BUCKET_BOUNDS])
-    base = (ev.select(*_pod_cols("destination_pod", "destination_namespace"), "ts", "user_id",
+    base = (ev.select(*_pod_cols("destination_pod", "destination_namespace"), _reporter().alias("reporter"), "ts", "user_id",
                       "event_id", "value", F.explode(bounds).alias("le"))
             .withColumn("hit", F.when(F.col("value") <= F.col("le"), 1).otherwise(0).cast("bigint")))
-    out = running_total(base, ["user_id", "le"], "event_id", "hit", "n")
-    return out.select("destination_pod", "destination_namespace", "ts", "le",
+    out = running_total(base, ["user_id", "reporter", "le"], "event_id", "hit", "n")
+    return out.select("destination_pod", "destination_namespace", "reporter", "ts", "le",
                       F.col("n").cast("double").alias("value"))
 
 
 def http_duration_sum(ev: DataFrame) -> DataFrame:
-    """Latency-sum counter (seconds) per destination pod, reporter client."""
+    """Latency-sum counter (seconds) per destination pod and reporter."""
     base = ev.select(*_pod_cols("destination_pod", "destination_namespace"),
-                     F.lit("client").alias("reporter"), "ts", "user_id", "event_id",
+                     _reporter().alias("reporter"), "ts", "user_id", "event_id",
                      F.round(F.col("value") * 100).cast("bigint").alias("centi"))
-    out = running_total(base, ["user_id"], "event_id", "centi", "cum")
+    out = running_total(base, ["user_id", "reporter"], "event_id", "centi", "cum")
     return out.select("destination_pod", "destination_namespace", "reporter", "ts",
                       (F.col("cum").cast("double") / F.lit(100000.0)).alias("value"))
 

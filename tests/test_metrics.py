@@ -78,12 +78,6 @@ def test_ratio_promql_division(spark):
     assert got[0] == float("inf") and got[1] is None and got[2] == 1.5
 
 
-def test_grid_refuses_huge_explode(spark):
-    df = _samples(spark, [(0, 1)])
-    with pytest.raises(ValueError):
-        M.explode_to_grid(df, _grid(0, 60, 1), range_s=5000)
-
-
 def test_rate_pre_aggregated_by_step_equals_per_sample(spark):
     import random
     rnd = random.Random(5)
@@ -99,3 +93,42 @@ def test_rate_pre_aggregated_by_step_equals_per_sample(spark):
     rb = {r.ts: r.value for r in b.collect()}
     assert ra.keys() == rb.keys() and len(ra) > 0
     assert all(abs(ra[k] - rb[k]) < 1e-9 for k in ra)
+
+
+def test_series_identity_keeps_all_labels(spark):
+    """Two containers are two series: limits add up, counters do not mix; the
+    pod-level total is left out; a running pod is known by its phase alone."""
+    from skylight.functions.scope import Scope
+    from skylight.operators import resources as R
+    t = "2024-01-01 00:0%d:00"
+    pods = spark.createDataFrame([("p", "k", "n", "pr", "e", "c")],
+                                 "pod string, pod_namespace string, namespace string, project_uid string, environment_uid string, component_uid string")
+    gauges = spark.createDataFrame(
+        [("p", "k", c, t % 1, 1.0, lim, 1) for c, lim in (("a", 1.0), ("b", 2.0), ("", 50.0))],
+        "pod string, pod_namespace string, container string, t string, memory_bytes double, cpu_limit double, phase_running int"
+    ).withColumn("ts", F.col("t").cast("timestamp_ntz")).drop("t")
+    grid = M.Grid.of("2024-01-01 00:02:00", "2024-01-01 00:02:00", 60)
+    scope = Scope("n", environment="e")
+    assert [r["value"] for r in R.cpu_limits(gauges, pods, scope, grid).collect()] == [3.0]
+    rows = [("p", "k", c, t % m, v) for c, vs in (("a", (0.0, 60.0)), ("b", (1000.0, 1060.0)), ("", (9000.0, 9999.0)))
+            for m, v in zip((1, 2), vs)]
+    cpu = spark.createDataFrame(rows, "pod string, pod_namespace string, container string, t string, value double").withColumn(
+        "ts", F.col("t").cast("timestamp_ntz")).drop("t")
+    value = R.cpu_usage(cpu, pods, scope, grid, 120).collect()[0]["value"]
+    alone = R.cpu_usage(cpu.filter("container = 'a'"), pods, scope, grid, 120).collect()[0]["value"]
+    other = R.cpu_usage(cpu.filter("container = 'b'"), pods, scope, grid, 120).collect()[0]["value"]
+    assert abs(value - alone - other) < 1e-9
+
+
+def test_many_to_one_needs_unique_right_side(spark):
+    left = spark.createDataFrame([("p", "k", 1.0)], "pod string, pod_namespace string, value double")
+    twice = spark.createDataFrame([("p", "k", "c1"), ("p", "k", "c2")], "pod string, pod_namespace string, component_uid string")
+    with pytest.raises(Exception, match="many-to-one"):
+        M.join_pod_labels(left, twice, carry=["component_uid"]).collect()
+
+
+def test_long_range_over_short_step(spark):
+    """No limit on range / step."""
+    df = spark.createDataFrame([("a", "2024-01-01 00:00:30")], "k string, t string").select("k", F.col("t").cast("timestamp_ntz").alias("ts"))
+    grid = M.Grid.of("2024-01-01 00:00:00", "2024-01-01 23:59:00", 60)
+    assert M.explode_to_grid(df, grid, 2 * 86400).count() == 1439
