@@ -112,7 +112,7 @@ def query_trace_spans(spans: DataFrame, trace_id: str, req: Mapping[str, Any]) -
     s, e = _range(req)
     rows = T.trace_spans(spans, trace_id, _scope(req), s, e, limit=int(req.get("limit") or 0),
                          with_attributes=bool(req.get("includeAttributes")))
-    return Result(rows, T.span_total(spans, trace_id))
+    return Result(rows, T.span_total(spans, trace_id, _scope(req), s, e))
 
 
 def get_span(spans: DataFrame, trace_id: str, span_id: str):

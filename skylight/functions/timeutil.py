@@ -50,6 +50,18 @@ def micros_col(col: str | Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+_RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
+
+
+def rfc3339(col: str | Column) -> Column:
+    """RFC 3339 text -> UTC TIMESTAMP_NTZ: any fraction or none (cut to
+    micros), ``Z`` or a numeric offset; other text is NULL."""
+    c = F.col(col) if isinstance(col, str) else col
+    # digits beyond micros are cut: the cast reads at most nine
+    short = F.regexp_replace(F.upper(c), r"(\.[0-9]{6})[0-9]+", "$1")
+    return F.when(c.rlike(_RFC3339), short.try_cast("timestamp")).cast("timestamp_ntz")
+
+
 def long_lit(v: int) -> Column:
     return F.lit(int(v)).cast("bigint")
 

@@ -17,9 +17,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylight.functions.joins import broadcast_if_small
 from skylight.functions.scan import running_total
-from skylight.functions.timeutil import epoch_micros, long_lit, micros_col
+from skylight.functions.timeutil import epoch_micros, long_lit, micros_col, rfc3339
 
 # Comparison operators each store accepts.
 OPS_SEARCH = ("gt", "gte", "lt", "lte")
@@ -92,7 +91,7 @@ def log_alert_ticks(logs: DataFrame, rules: DataFrame, start, end, store: str =
     if day_col in logs.columns:
         bounds = bounds & (F.col(day_col) >= lo_ts.cast("date")) & (F.col(day_col) <= hi_ts.cast("date"))
     lines = logs.filter(bounds).select("ts", "log", *keys)
-    rb = broadcast_if_small(r.select("rule_name", *[F.col(k).alias("r_" + k) for k in keys], "phrase",
+    rb = (r.select("rule_name", *[F.col(k).alias("r_" + k) for k in keys], "phrase",
                                      "window_min", "interval_min"))
     cond = None
     for k in keys:
@@ -300,11 +299,15 @@ _SEARCH_SCHEMA = "ruleName string, ruleNamespace string, alertValue string, aler
 _SQL_SCHEMA = "alertName string, alertCount string, alertTriggerTimeMicroSeconds string"
 _METRICS_SCHEMA = ("alerts array<struct<status: string, startsAt: string, "
                    "annotations: struct<rule_name: string, rule_namespace: string, alert_value: string>>>")
-RFC3339 = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
 
-def _rfc3339(col: Column) -> Column:
-    return F.try_to_timestamp(col, F.lit(RFC3339)).cast("timestamp_ntz")
+def _body(schema: str) -> Column:
+    """The parsed body; ``bad`` is set where it is not such an object."""
+    return F.from_json("body", schema + ", bad string", {"columnNameOfCorruptRecord": "bad"})
+
+
+def _unreadable(j: str) -> Column:
+    return F.col(j).isNull() | F.col(f"{j}.bad").isNotNull()
 
 
 def normalize_webhooks(hooks: DataFrame, received_col: str = "received_at") -> tuple[DataFrame, DataFrame]:
@@ -316,17 +319,22 @@ def normalize_webhooks(hooks: DataFrame, received_col: str = "received_at") -> t
     sql: epoch-micros trigger time; the rule name doubles as alert name.
     metrics: ``alerts`` array exploded, only ``firing`` (trimmed, any case);
     name, namespace and value mandatory; unparseable time -> receive time.
+    A body that cannot be read, a number that is none, an empty ``alerts``
+    and an unknown shape are rejected; alerts that are not firing are skipped.
+    Every other payload is in exactly one frame.
     """
     rec = F.col(received_col)
-    s = hooks.filter(F.col("shape") == "search").withColumn("j", F.from_json("body", _SEARCH_SCHEMA))
+    s = hooks.filter(F.col("shape") == "search").withColumn("j", _body(_SEARCH_SCHEMA))
     s_out = s.select(
         "event_id", "shape", F.col("j.ruleName").alias("rule_name"),
         F.col("j.ruleNamespace").alias("rule_namespace"),
         F.col("j.alertValue").try_cast("double").alias("alert_value"),
-        F.coalesce(_rfc3339(F.col("j.alertTimestamp")), rec).alias("alert_ts"),
-        F.when(F.col("j.ruleName").isNull(), F.lit("missing ruleName")).alias("reject_reason"))
+        F.coalesce(rfc3339(F.col("j.alertTimestamp")), rec).alias("alert_ts"),
+        F.when(_unreadable("j"), F.lit("unreadable body")).when(F.col("j.ruleName").isNull(), F.lit("missing ruleName"))
+        .when(F.col("j.alertValue").isNotNull() & F.col("j.alertValue").try_cast("double").isNull(),
+              F.lit("bad alertValue")).alias("reject_reason"))
 
-    q = hooks.filter(F.col("shape") == "sql").withColumn("j", F.from_json("body", _SQL_SCHEMA))
+    q = hooks.filter(F.col("shape") == "sql").withColumn("j", _body(_SQL_SCHEMA))
     micros = F.col("j.alertTriggerTimeMicroSeconds").try_cast("bigint")
     q_out = q.select(
         "event_id", "shape", F.col("j.alertName").alias("rule_name"),
@@ -334,26 +342,35 @@ def normalize_webhooks(hooks: DataFrame, received_col: str = "received_at") -> t
         F.col("j.alertCount").try_cast("double").alias("alert_value"),
         F.when(F.col("j.alertTriggerTimeMicroSeconds").isNull(), rec)
         .otherwise(F.timestamp_micros(micros).cast("timestamp_ntz")).alias("alert_ts"),
-        F.when(F.col("j.alertName").isNull(), F.lit("missing alertName"))
+        F.when(_unreadable("j"), F.lit("unreadable body")).when(F.col("j.alertName").isNull(), F.lit("missing alertName"))
+        .when(F.col("j.alertCount").isNotNull() & F.col("j.alertCount").try_cast("double").isNull(), F.lit("bad alertCount"))
         .when(F.col("j.alertTriggerTimeMicroSeconds").isNotNull() & micros.isNull(),
               F.lit("bad alertTriggerTimeMicroSeconds")).alias("reject_reason"))
 
-    m = hooks.filter(F.col("shape") == "metrics").withColumn("j", F.from_json("body", _METRICS_SCHEMA))
-    m = m.select("event_id", "shape", rec.alias("__rec"), F.explode("j.alerts").alias("a"))
-    m = m.filter(F.lower(F.trim(F.col("a.status"))) == "firing")
+    m = hooks.filter(F.col("shape") == "metrics").withColumn("j", _body(_METRICS_SCHEMA))
+    m = m.select("event_id", "shape", rec.alias("__rec"), _unreadable("j").alias("__bad"),
+                 F.coalesce(F.size("j.alerts"), F.lit(0)).alias("__n"), F.explode_outer("j.alerts").alias("a"))
+    firing = F.coalesce(F.lower(F.trim(F.col("a.status"))) == "firing", F.lit(False))
+    m = m.filter(F.col("__bad") | (F.col("__n") <= 0) | firing)
     name = F.trim(F.col("a.annotations.rule_name"))
     ns = F.trim(F.col("a.annotations.rule_namespace"))
     val = F.trim(F.col("a.annotations.alert_value"))
     m_out = m.select(
         "event_id", "shape", name.alias("rule_name"), ns.alias("rule_namespace"),
         val.try_cast("float").cast("double").alias("alert_value"),
-        F.coalesce(_rfc3339(F.col("a.startsAt")), F.col("__rec")).alias("alert_ts"),
-        F.when(F.coalesce(name, F.lit("")) == "", F.lit("missing rule_name annotation"))
+        F.coalesce(rfc3339(F.col("a.startsAt")), F.col("__rec")).alias("alert_ts"),
+        F.when(F.col("__bad"), F.lit("unreadable body")).when(F.col("__n") <= 0, F.lit("no alerts"))
+        .when(F.coalesce(name, F.lit("")) == "", F.lit("missing rule_name annotation"))
         .when(F.coalesce(ns, F.lit("")) == "", F.lit("missing rule_namespace annotation"))
         .when(F.coalesce(val, F.lit("")) == "", F.lit("missing alert_value annotation"))
         .when(val.try_cast("double").isNull(), F.lit("invalid alert_value")).alias("reject_reason"))
 
-    allx = s_out.unionByName(q_out).unionByName(m_out)
+    known = F.coalesce(F.col("shape").isin("search", "sql", "metrics"), F.lit(False))
+    other = hooks.filter(~known).select(
+        "event_id", "shape", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("rule_name", "string"), ("rule_namespace", "string"), ("alert_value", "double"))],
+        rec.alias("alert_ts"), F.lit("unknown shape").alias("reject_reason"))
+    allx = s_out.unionByName(q_out).unionByName(m_out).unionByName(other)
     ok = allx.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     bad = allx.filter(F.col("reject_reason").isNotNull())
     return ok, bad
@@ -362,7 +379,7 @@ def normalize_webhooks(hooks: DataFrame, received_col: str = "received_at") -> t
 def namespace_lookup(events: DataFrame, rules: DataFrame) -> DataFrame:
     """A10: an event without namespace takes its rule's namespace; events
     whose rule is unknown are dropped."""
-    r = broadcast_if_small(rules.select(F.col("rule_name"), F.col("namespace").alias("__rule_ns")))
+    r = (rules.select(F.col("rule_name"), F.col("namespace").alias("__rule_ns")))
     j = events.join(r, "rule_name", "left")
     out = j.withColumn("rule_namespace", F.coalesce(F.col("rule_namespace"), F.col("__rule_ns")))
     return out.filter(F.col("rule_namespace").isNotNull()).drop("__rule_ns")

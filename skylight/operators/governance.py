@@ -59,10 +59,14 @@ def pii_hit(text_col, detectors: Sequence[str] = DEFAULT_DETECTORS) -> Column:
 
 
 def pii_mask(text_col, detectors: Sequence[str] = DEFAULT_DETECTORS) -> Column:
-    out = _c(text_col)
+    """Each detector's pattern is replaced once. The whole chain is guarded on
+    the original text: a mask brings in none of the characters tested for, so
+    a text without them has nothing to mask."""
+    text = _c(text_col)
+    out = text
     for d in detectors:
-        out = F.when(_may_match(out, d), F.regexp_replace(out, PII_PATTERNS[d], MASK.format(name=d))).otherwise(out)
-    return out
+        out = F.regexp_replace(out, PII_PATTERNS[d], MASK.format(name=d))
+    return F.when(pii_hit(text, detectors), out).otherwise(text)
 
 
 def guard(df: DataFrame, text_col: str = "text", role_col: str = "role",

@@ -8,7 +8,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylight.functions.joins import broadcast_if_small
 from skylight.functions.labels import COMPONENT_UID, ENVIRONMENT_UID, NAMESPACE, PROJECT_UID, label_key
 from skylight.sources.containers import file_metadata
 
@@ -18,7 +17,7 @@ def enrich_logs(lines: DataFrame, pods: DataFrame, file_col: str = "file",
     """Pod, namespace and container from the file name, then the pod's
     labels by a left join (broadcast only when the dimension is small)."""
     meta = file_metadata(lines, file_col)
-    dim = broadcast_if_small(pods.select("pod", "pod_namespace", *carry))
+    dim = (pods.select("pod", "pod_namespace", *carry))
     return meta.join(dim, ["pod", "pod_namespace"], "left")
 
 
@@ -26,7 +25,7 @@ def enrich_spans(spans: DataFrame, pods: DataFrame, resource_col: str = "resourc
                  label_cols: Sequence[str] = ("component_uid", "project_uid", "environment_uid", "namespace")) -> DataFrame:
     """Every pod label under its own key plus the five ``k8s.*`` fields
     merged into the span resource map (the new value wins on a clash)."""
-    dim = broadcast_if_small(pods.select("pod", "pod_namespace", *label_cols))
+    dim = (pods.select("pod", "pod_namespace", *label_cols))
     j = spans.join(dim, ["pod", "pod_namespace"], "left")
     add = F.create_map(
         *[x for c in label_cols for x in (F.lit(c), F.col(c))],

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from skylight.functions.labels import COMPONENT_UID, ENVIRONMENT_UID, NAMESPACE, PROJECT_UID, log_label_key
 from skylight.functions.levels import effective_level, level_from_text
 from skylight.functions.scope import Scope
-from skylight.functions.timeutil import ts_lit
+from skylight.functions.timeutil import rfc3339, ts_lit
 
 DEFAULT_LIMIT = 100
 WORKFLOW_NS_PREFIX = "workflows-"
@@ -199,10 +199,10 @@ def project_entries(docs: DataFrame) -> DataFrame:
     def s(c: Column) -> Column:
         return F.coalesce(c, F.lit(""))
 
-    ts = F.try_to_timestamp(F.col("`@timestamp`"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"))
+    ts = rfc3339(F.col("`@timestamp`"))
     return docs.select(
         "event_id",
-        ts.cast("timestamp_ntz").alias("ts"),
+        ts.alias("ts"),
         s(F.col("log")).alias("log"),
         level_from_text(s(F.col("log")), "search").alias("level"),
         s(lab[log_label_key(COMPONENT_UID)]).alias("component_uid"),

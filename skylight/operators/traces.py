@@ -106,12 +106,13 @@ def list_traces(spans: DataFrame, scope: Scope, start, end, limit: int = DEFAULT
 
 
 def trace_total(spans: DataFrame, scope: Scope, start, end, exact: bool = False,
-                cap: int = MAX_TRACE_TOTAL) -> DataFrame:
-    """T5: distinct traces, capped; ``exact=False`` uses HLL++ like the
+                cap: int | None = MAX_TRACE_TOTAL) -> DataFrame:
+    """T5: distinct traces, reported up to ``cap`` (None: no cap); ``exact=False`` uses HLL++ like the
     search store's cardinality aggregation."""
     s = scoped_spans(spans, scope, start, end)
     n = F.count_distinct("trace_id") if exact else F.approx_count_distinct("trace_id")
-    return s.agg(F.least(n.cast("bigint"), long_lit(cap)).alias("total"))
+    n = n.cast("bigint")
+    return s.agg((n if cap is None else F.least(n, long_lit(cap))).alias("total"))
 
 
 def trace_total_exact(spans: DataFrame, scope: Scope, start, end) -> DataFrame:
@@ -122,17 +123,18 @@ def trace_total_exact(spans: DataFrame, scope: Scope, start, end) -> DataFrame:
 
 
 def list_traces_span_page(spans: DataFrame, scope: Scope, start, end,
-                          limit: int = DEFAULT_SPAN_LIMIT) -> DataFrame:
+                          limit: int = DEFAULT_SPAN_LIMIT, cap: int | None = MAX_SPAN_LIMIT) -> DataFrame:
     """Take a page of spans first (newest first), then group that page.
 
     Counts cover the page only; a span whose parent is empty or NULL is a
     root and the last one seen in page order wins; traces come out in
-    first-seen order; blank trace ids are skipped.  The page is bounded by
-    ``limit`` (<= 1000), so everything after the top-k is tiny.
+    first-seen order; blank trace ids are skipped.  The page is the feature:
+    ``limit`` spans, at most ``cap`` (None: no cap), so everything after the
+    top-k is as small as the page.
     """
     if limit is None or limit <= 0:
         limit = DEFAULT_SPAN_LIMIT
-    limit = min(limit, MAX_SPAN_LIMIT)
+    limit = limit if cap is None else min(limit, cap)
     s = spans.filter(scope.predicate(with_namespace=True)).filter(
         (F.col("start_ts") >= ts_lit(start)) & (F.col("start_ts") < ts_lit(end)))
     page = s.orderBy(F.col("start_ns").desc(), F.col("span_id").asc()).limit(limit)
@@ -176,11 +178,12 @@ def trace_spans(spans: DataFrame, trace_id: str, scope: Scope | None = None, sta
 
 
 def trace_spans_page(spans: DataFrame, trace_id: str, start, end,
-                     limit: int = DEFAULT_SPAN_LIMIT) -> DataFrame:
-    """T7 (SQL-store variant): trace id and store time bounds only, newest-capped page."""
+                     limit: int = DEFAULT_SPAN_LIMIT, cap: int | None = MAX_SPAN_LIMIT) -> DataFrame:
+    """T7 (SQL-store variant): trace id and store time bounds only, one page of
+    ``limit`` spans, at most ``cap`` (None: no cap)."""
     if limit is None or limit <= 0:
         limit = DEFAULT_SPAN_LIMIT
-    limit = min(limit, MAX_SPAN_LIMIT)
+    limit = limit if cap is None else min(limit, cap)
     s = spans.filter((F.col("trace_id") == F.lit(trace_id))
                      & (F.col("start_ts") >= ts_lit(start)) & (F.col("start_ts") < ts_lit(end)))
     return (s.select("span_id", "trace_id", "parent_span_id", "name", "kind", "start_ns", "end_ns",
@@ -188,9 +191,11 @@ def trace_spans_page(spans: DataFrame, trace_id: str, start, end,
             .orderBy("start_ns", "span_id").limit(limit))
 
 
-def span_total(spans: DataFrame, trace_id: str) -> DataFrame:
-    """Number of spans in a trace."""
-    return spans.filter(F.col("trace_id") == F.lit(trace_id)).agg(F.count(F.lit(1)).alias("span_count"))
+def span_total(spans: DataFrame, trace_id: str, scope: Scope | None = None, start=None, end=None) -> DataFrame:
+    """Number of spans in a trace, within the scope and time of the page
+    it belongs to."""
+    s = scoped_spans(spans.filter(F.col("trace_id") == F.lit(trace_id)), scope, start, end)
+    return s.agg(F.count(F.lit(1)).alias("span_count"))
 
 
 def span_detail(spans: DataFrame, trace_id: str, span_id: str) -> DataFrame:

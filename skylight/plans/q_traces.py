@@ -109,6 +109,18 @@ def trace_span_total(spark, sf_dir):
     return T.span_total(Views(spark, sf_dir).spans(), TRACE_ID)
 
 
+@register("trace_span_total_scoped", oracle=f"""
+SELECT 'inside' AS scope, count(*) AS span_count FROM spans
+WHERE trace_id = '{TRACE_ID}' AND namespace = 'ns-1' AND {_IN_TIME}
+UNION ALL
+SELECT 'outside', count(*) FROM spans WHERE trace_id = '{TRACE_ID}' AND namespace = 'ns-2' AND {_IN_TIME}""")
+def trace_span_total_scoped(spark, sf_dir):
+    spans = Views(spark, sf_dir).spans()
+    inside, outside = (T.span_total(spans, TRACE_ID, Scope(ns), S, E).withColumn("scope", F.lit(name))
+                       for name, ns in (("inside", "ns-1"), ("outside", "ns-2")))
+    return inside.unionByName(outside).select("scope", "span_count")
+
+
 @register("span_detail", oracle=f"""
 SELECT trace_id, span_id, parent_span_id, name, kind, start_ns, end_ns,
   coalesce(end_ns - start_ns, 0) AS duration_ns, {_STATUS} AS status

@@ -75,7 +75,8 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) do we create a scratch folder.
+    Unset, a local session gets a scratch folder; on a cluster that would be
+    a folder of one machine, so it is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -85,6 +86,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and sc is not None and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="skylight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)

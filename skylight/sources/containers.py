@@ -15,21 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylight.functions.scan import running_total
+from skylight.functions.timeutil import rfc3339
 
-MAX_LINE_BYTES = 32 * 1024
-# Files the shipper writes next to container logs and must skip.
-SHIPPER_FILE_PATTERNS = ("fluent-bit", "fluentbit")
+# Fixed value: the names of the shipper's own files, which it must skip.
+SHIPPER_FILES = r"(^|/)fluent-bit-[^/]*\.log$"
 
 CRI_RE = r"^(\S+) (stdout|stderr) ([PF]) (.*)$"
 FILE_RE = r"([^/_=]+)_([^/_]+)_([^/]+)-([0-9a-f]+)\.log(/|$)"
 
 
 def read_container_logs(spark: SparkSession, path: str, stream: bool = False,
-                        max_line_bytes: int = MAX_LINE_BYTES, max_files_per_trigger: int = 1000,
+                        max_line_bytes: int | None = None, max_files_per_trigger: int = 1000,
                         glob: str = "*.log") -> DataFrame:
     """Every ``*.log`` under ``path`` (recursively), read from the start,
-    the shipper's own files skipped, over-long lines dropped; one row per
-    line with its file name."""
+    the shipper's own files skipped (by file name, not folder); one row per
+    line with its file name. No line is dropped unless ``max_line_bytes`` asks
+    for it; ``overlong_lines`` counts what it would skip."""
     if stream:
         reader = (spark.readStream.format("text").option("pathGlobFilter", glob)
                   .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files_per_trigger))
@@ -38,29 +39,48 @@ def read_container_logs(spark: SparkSession, path: str, stream: bool = False,
         df = (spark.read.format("text").option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true").load(path))
     df = df.withColumn("file", F.input_file_name())
-    skip = F.lit(False)
-    for pat in SHIPPER_FILE_PATTERNS:
-        skip = skip | F.col("file").contains(pat)
-    df = df.filter(~skip & (F.octet_length("value") <= max_line_bytes))
+    df = df.filter(~F.col("file").rlike(SHIPPER_FILES))
+    if max_line_bytes is not None:
+        df = df.filter(F.octet_length("value") <= max_line_bytes)
     if not stream:
         # file order of lines: ids grow with the split offset and within a split
         df = df.withColumn("line_no", F.monotonically_increasing_id())
     return df
 
 
+def overlong_lines(lines: DataFrame, max_line_bytes: int) -> DataFrame:
+    """Per file, the lines that a limit of ``max_line_bytes`` skips."""
+    return lines.filter(F.octet_length("value") > max_line_bytes).groupBy("file").agg(F.count(F.lit(1)).alias("skipped"))
+
+
+def _docker(value) -> tuple:
+    """A line's docker JSON object, and whether it is one with a stream."""
+    j = F.from_json(value, "log string, stream string, time string")
+    return j, F.coalesce(value.startswith("{") & j["stream"].isin("stdout", "stderr"), F.lit(False))
+
+
+def rejected_container_lines(lines: DataFrame) -> DataFrame:
+    """Lines that are neither CRI nor docker JSON, whole, with a reason;
+    ``decode_container_lines`` takes all others."""
+    v = F.col("value")
+    _, docker = _docker(v)
+    reason = (F.when(v == "", "empty line").when(v.startswith("{"), "JSON without log stream").otherwise("no known line format"))
+    return lines.filter(~docker & ~v.rlike(CRI_RE)).withColumn("reason", reason)
+
+
 def decode_container_lines(lines: DataFrame) -> DataFrame:
     """CRI or docker JSON lines -> ``(file, stream, ts, log)`` with partial
-    CRI fragments joined to their closing ``F`` line."""
+    CRI fragments joined to their closing ``F`` line. Other lines are in
+    ``rejected_container_lines``."""
     v = F.col("value")
-    is_json = v.startswith("{")
-    j = F.from_json(v, "log string, stream string, time string")
+    j, is_json = _docker(v)
     ts_text = F.when(is_json, j["time"]).otherwise(F.regexp_extract(v, CRI_RE, 1))
     parsed = lines.select(
         "file", "line_no",
         F.when(is_json, j["stream"]).otherwise(F.regexp_extract(v, CRI_RE, 2)).alias("stream"),
         F.when(is_json, F.lit("F")).otherwise(F.regexp_extract(v, CRI_RE, 3)).alias("flag"),
         F.when(is_json, F.regexp_replace(j["log"], "\n$", "")).otherwise(F.regexp_extract(v, CRI_RE, 4)).alias("msg"),
-        F.try_to_timestamp(ts_text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSX")).alias("ts_raw"),
+        rfc3339(ts_text).alias("ts_raw"),
     ).filter(F.col("stream") != "")
     # message number = closing F lines before this line, as a blocked running
     # count: even a huge file is never one task

@@ -32,10 +32,11 @@ def with_day(df: DataFrame, ts_col: str = "ts", day_col: str = "log_date") -> Da
 
 def write_logs(df: DataFrame, path: str, ts_col: str = "ts", day_col: str = "log_date",
                mode: str = "append", fmt: str = "parquet") -> None:
-    """One partition per UTC day.  Rows are clustered by day before
-    the write so each task writes few files."""
+    """One partition per UTC day.  Rows are rebalanced by day before
+    the write: small days share no file with others, and a large day is split
+    over tasks by size."""
     d = df if day_col in df.columns else with_day(df, ts_col, day_col)
-    w = d.repartition(day_col).write.mode(mode).partitionBy(day_col).format(fmt)
+    w = d.hint("rebalance", F.col(day_col)).write.mode(mode).partitionBy(day_col).format(fmt)
     if fmt == "json":
         w = w.option("timestampNTZFormat", JSON_TS_FORMAT).option("timestampFormat", JSON_TS_FORMAT + "XXX")
     w.save(path)

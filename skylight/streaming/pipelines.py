@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from skylight.sources.containers import CRI_RE, file_metadata
+from skylight.functions.timeutil import rfc3339
+from skylight.sources.containers import CRI_RE, _docker, file_metadata
 from skylight.sources.sinks import scratch_path
 
 
@@ -75,15 +76,13 @@ def decode_stream(lines: DataFrame) -> DataFrame:
     """Streaming S2 for CRI text lines (docker JSON lines carry whole
     messages and pass straight through)."""
     v = F.col("value")
-    is_json = v.startswith("{")
-    j = F.from_json(v, "log string, stream string, time string")
+    j, is_json = _docker(v)
     parsed = lines.select(
         "file",
         F.when(is_json, j["stream"]).otherwise(F.regexp_extract(v, CRI_RE, 2)).alias("stream"),
         F.when(is_json, F.lit("F")).otherwise(F.regexp_extract(v, CRI_RE, 3)).alias("flag"),
         F.when(is_json, F.regexp_replace(j["log"], "\n$", "")).otherwise(F.regexp_extract(v, CRI_RE, 4)).alias("msg"),
-        F.try_to_timestamp(F.when(is_json, j["time"]).otherwise(F.regexp_extract(v, CRI_RE, 1)),
-                           F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSX")).alias("ts"),
+        rfc3339(F.when(is_json, j["time"]).otherwise(F.regexp_extract(v, CRI_RE, 1))).cast("timestamp").alias("ts"),
         # P sorts before F for fragments sharing a timestamp
         F.when(F.regexp_extract(v, CRI_RE, 3) == "P", 0).otherwise(1).alias("seq"),
     ).filter(F.col("stream") != "")
@@ -94,11 +93,10 @@ def decode_stream(lines: DataFrame) -> DataFrame:
 def container_log_stream(spark: SparkSession, source: str, sink: str, pods: DataFrame,
                          checkpoint: str | None = None, glob: str = "*.log", trigger_once: bool = True):
     """Start S1 -> S2 -> I1 -> S3 and return the StreamingQuery."""
-    from skylight.functions.joins import broadcast_if_small
     from skylight.sources.containers import read_container_logs
     raw = read_container_logs(spark, source, stream=True, glob=glob)
     decoded = file_metadata(decode_stream(raw))
-    dim = broadcast_if_small(pods.select("pod", "pod_namespace", "namespace", "project_uid",
+    dim = (pods.select("pod", "pod_namespace", "namespace", "project_uid",
                                          "environment_uid", "component_uid"))
     enriched = decoded.join(dim, ["pod", "pod_namespace"], "left").withColumn(
         "log_date", F.to_date("ts"))
@@ -115,8 +113,7 @@ def sliding_log_counts(logs: DataFrame, rules: DataFrame, window_s: int, slide_s
                        watermark: str = "10 minutes") -> DataFrame:
     """Per rule and sliding window: matching lines (half-open windows, no
     empty ones).  ``logs`` is a stream with ``event_time`` (TIMESTAMP)."""
-    from skylight.functions.joins import broadcast_if_small
-    r = broadcast_if_small(rules.filter("enabled").select(
+    r = (rules.filter("enabled").select(
         "rule_name", F.col("component_uid").alias("r_c"), F.col("environment_uid").alias("r_e"),
         F.col("project_uid").alias("r_p"), "phrase"))
     j = logs.withWatermark("event_time", watermark).join(
