@@ -26,17 +26,24 @@ def running_total(df: DataFrame, keys: list[str], order_col: str, value_col: str
                   block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
     """Add ``out_col`` = inclusive running sum of ``value_col`` per ``keys``
     in ``order_col`` order (``order_col`` integral and unique per key)."""
+    return running_totals(df, keys, order_col, {value_col: out_col}, block_width)
+
+
+def running_totals(df: DataFrame, keys: list[str], order_col: str, columns: dict[str, str],
+                   block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+    """``running_total`` of several columns (value to output name) in one pass."""
     blk = "__blk"
     width = F.lit(block_width).cast("bigint")
     b = df.withColumn(blk, F.floor(F.col(order_col) / width).cast("bigint"))
     part = keys + [blk]
     w_in = (Window.partitionBy(*part).orderBy(order_col)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = b.withColumn("__local", F.sum(value_col).over(w_in))
-    totals = b.groupBy(*part).agg(F.sum(value_col).alias("__tot"))
     w_off = (Window.partitionBy(*keys).orderBy(blk)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*part, F.coalesce(F.sum("__tot").over(w_off), F.lit(0).cast("bigint"))
-                            .alias("__off"))
+    numbered = list(enumerate(columns.items()))
+    local = b.select("*", *[F.sum(v).over(w_in).alias(f"__local{i}") for i, (v, _) in numbered])
+    totals = b.groupBy(*part).agg(*[F.sum(v).alias(f"__tot{i}") for i, (v, _) in numbered])
+    offsets = totals.select(*part, *[F.coalesce(F.sum(f"__tot{i}").over(w_off), F.lit(0).cast("bigint")).alias(f"__off{i}")
+                                     for i, _ in numbered])
     out = local.join(offsets, part, "inner")
-    return out.withColumn(out_col, F.col("__local") + F.col("__off")).drop(blk, "__local", "__off")
+    return out.select(*df.columns, *[(F.col(f"__local{i}") + F.col(f"__off{i}")).alias(o) for i, (_, o) in numbered])

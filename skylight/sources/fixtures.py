@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylight.functions.scan import running_total
+from skylight.functions.scan import running_total, running_totals
 from skylight.sources.tables import events as read_events
 
 
@@ -170,15 +170,17 @@ BUCKET_BOUNDS = (10.0, 50.0, 100.0, 500.0, float("inf"))
 
 
 def http_buckets(ev: DataFrame) -> DataFrame:
-    """One cumulative counter per (pod, reporter, bucket bound): each event is exploded
-    to the five bounds (a literal array, no join)."""
-    bounds = F.array(*[F.lit(b) for b in BUCKET_BOUNDS])
-    base = (ev.select(*_pod_cols("destination_pod", "destination_namespace"), _reporter().alias("reporter"), "ts", "user_id",
-                      "event_id", "value", F.explode(bounds).alias("le"))
-            .withColumn("hit", F.when(F.col("value") <= F.col("le"), 1).otherwise(0).cast("bigint")))
-    out = running_total(base, ["user_id", "reporter", "le"], "event_id", "hit", "n")
-    return out.select("destination_pod", "destination_namespace", "reporter", "ts", "le",
-                      F.col("n").cast("double").alias("value"))
+    """One cumulative counter per (pod, reporter, bucket bound): the bounds
+    stay columns through the running totals and become rows at the end."""
+    hits = {f"hit{i}": f"n{i}" for i in range(len(BUCKET_BOUNDS))}
+    base = ev.select(*_pod_cols("destination_pod", "destination_namespace"), _reporter().alias("reporter"), "ts", "user_id",
+                     "event_id", *[F.when(F.col("value") <= F.lit(b), 1).otherwise(0).cast("bigint").alias(h)
+                                   for b, h in zip(BUCKET_BOUNDS, hits)])
+    out = running_totals(base, ["user_id", "reporter"], "event_id", hits)
+    rows = F.explode(F.array(*[F.struct(F.lit(b).alias("le"), F.col(n).alias("n")) for b, n in zip(BUCKET_BOUNDS, hits.values())]))
+    return (out.select("destination_pod", "destination_namespace", "reporter", "ts", rows.alias("b"))
+            .select("destination_pod", "destination_namespace", "reporter", "ts", "b.le",
+                    F.col("b.n").cast("double").alias("value")))
 
 
 def http_duration_sum(ev: DataFrame) -> DataFrame:

@@ -107,6 +107,15 @@ def container_log_stream(spark: SparkSession, source: str, sink: str, pods: Data
     return w.start()
 
 
+def _progress(spark: SparkSession, path: str, epoch_id: int):
+    """How far earlier epochs got; None before the first. Any failure to read
+    an existing file fails the batch, which is then retried."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+        return None
+    return spark.read.parquet(path).filter(F.col("epoch") < epoch_id).agg(F.max("upto")).first()[0]
+
+
 # --- A1 sliding window ------------------------------------------------------------
 
 def sliding_log_counts(logs: DataFrame, rules: DataFrame, window_s: int, slide_s: int,
@@ -242,12 +251,7 @@ def alert_ticks_each_batch(rules: DataFrame, store: str, sink: str, anchor, late
             return
         (batch.withColumn(store_day_col, F.col("ts").cast("date")).write.mode("overwrite")
          .partitionBy(store_day_col).parquet(f"{store}/epoch={epoch_id}"))
-        done = None
-        try:
-            prev = spark.read.parquet(progress).filter(F.col("epoch") < epoch_id)
-            done = prev.agg(F.max("upto")).first()[0]
-        except Exception:  # noqa: BLE001 - no progress yet
-            done = None
+        done = _progress(spark, progress, epoch_id)
         start = (done + _dt.timedelta(microseconds=1)) if done is not None else anchor_dt
         upto = (hi if not isinstance(hi, str) else parse_ts(hi)) - _dt.timedelta(seconds=lateness_s)
         if upto >= start:
@@ -294,10 +298,7 @@ def tail_sample_each_batch(store: str, sink: str, wait_s: float = 10, limit: int
         batch.select(trace_col, ts_col).write.mode("overwrite").parquet(f"{store}/epoch={epoch_id}")
         hi_us = (hi - _dt.datetime(1970, 1, 1)) // _dt.timedelta(microseconds=1)
         final = hi_us // b_us - 1          # buckets wholly before the newest span time
-        try:
-            done = spark.read.parquet(progress).filter(F.col("epoch") < epoch_id).agg(F.max("upto")).first()[0]
-        except Exception:  # noqa: BLE001 - no progress yet
-            done = None
+        done = _progress(spark, progress, epoch_id)
         lo = None if done is None else done + 1
         if lo is None or final >= lo:
             spans = spark.read.parquet(store).drop("epoch")
