@@ -51,7 +51,7 @@ _OTHER_SPACE = re.compile("[\u0085   -     　]")
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 #: Pieces a worker keeps coded (emptied when full; speed only), and pieces encoded in one string.
-KEEP = 600_000
+KEEP = 1_500_000
 JOINED = 500
 
 _tokenizers: dict[str, object] = {}
