@@ -180,6 +180,20 @@ def alert_events_normalized(spark, sf_dir):
     return ok
 
 
+# stated case by case from the payload rules: one outcome for every payload
+@register("alert_webhook_rejects", oracle="""
+SELECT event_id, CASE event_id % 9 WHEN 3 THEN 'sql' WHEN 4 THEN 'metrics' WHEN 5 THEN 'mail' WHEN 7 THEN 'sql' WHEN 8 THEN 'metrics'
+    ELSE 'search' END AS shape,
+  CASE event_id % 9 WHEN 1 THEN 'unreadable body' WHEN 2 THEN 'bad alertValue' WHEN 3 THEN 'bad alertCount' WHEN 4 THEN 'no alerts'
+    WHEN 5 THEN 'unknown shape' WHEN 6 THEN 'missing ruleName' WHEN 8 THEN 'missing alert_value annotation' ELSE 'accepted' END AS outcome,
+  CASE WHEN event_id % 9 = 0 THEN TIMESTAMP '2024-01-02 03:04:05.25' ELSE ts END AS alert_ts
+FROM events""")
+def alert_webhook_rejects(spark, sf_dir):
+    ok, bad = A.normalize_webhooks(_v(spark, sf_dir).odd_webhooks())
+    both = ok.withColumn("reject_reason", F.lit("accepted")).unionByName(bad)
+    return both.select("event_id", "shape", F.col("reject_reason").alias("outcome"), "alert_ts")
+
+
 @register("alert_namespace_lookup", oracle=f"""
 WITH {WEBHOOKS_SQL}
 SELECT h.event_id, h.rule_name, coalesce(h.rule_namespace, r.namespace) AS rule_namespace

@@ -240,6 +240,26 @@ def webhooks(ev: DataFrame) -> DataFrame:
     )
 
 
+# Payloads that are odd or must be rejected, by event_id % 9.
+ODD_WEBHOOKS = (
+    ("search", '{"ruleName":"r","alertValue":3,"alertTimestamp":"2024-01-02T05:04:05.250+02:00"}'),
+    ("search", "not json"),
+    ("search", '{"ruleName":"r","alertValue":"x"}'),
+    ("sql", '{"alertName":"a","alertCount":"x"}'),
+    ("metrics", '{"alerts":[]}'),
+    ("mail", "{}"),
+    ("search", '{"alertValue":1}'),
+    ("sql", '{"alertName":"a","alertCount":"3"}'),
+    ("metrics", '{"alerts":[{"status":"firing","annotations":{"rule_name":"r","rule_namespace":"n"}}]}'),
+)
+
+
+def odd_webhooks(ev: DataFrame) -> DataFrame:
+    case = _mod("event_id", len(ODD_WEBHOOKS)).cast("int")
+    pick = F.array(*[F.struct(F.lit(s).alias("shape"), F.lit(b).alias("body")) for s, b in ODD_WEBHOOKS])[case]
+    return ev.select("event_id", F.col("ts").alias("received_at"), pick["shape"].alias("shape"), pick["body"].alias("body"))
+
+
 class Views:
     """Lazy accessors for the derived tables of one scale-factor folder."""
 
@@ -281,6 +301,9 @@ class Views:
     def webhooks(self) -> DataFrame:
         return webhooks(self.events)
 
+    def odd_webhooks(self) -> DataFrame:
+        return odd_webhooks(self.events)
+
     def table(self, name: str) -> DataFrame:
         from skylight.sources.tables import read_table
         return read_table(self.spark, self.sf_dir, name)
