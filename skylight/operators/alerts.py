@@ -80,12 +80,11 @@ def log_alert_ticks(logs: DataFrame, rules: DataFrame, start, end, store: str =
     a_us = epoch_micros(anchor) if anchor is not None else s_us
     r = rules.filter(F.col("enabled")).select("rule_name", *keys, "phrase", "op", "threshold", "window_min",
                                               "interval_min")
-    if max_window_min is None:
-        # the widest rule window bounds the scan; rules are configuration (one
-        # row per rule), so this is a tiny read, and it lets the time bounds
-        # reach the parquet reader and prune day partitions
-        max_window_min = r.agg(F.max("window_min")).collect()[0][0] or 0
-    lo_ts = F.timestamp_micros(long_lit(s_us - max_window_min * MINUTE_US)).cast("timestamp_ntz")
+    # the widest rule window bounds the scan: a literal where it is given,
+    # else a scalar subquery that runs with the query, not while it is planned
+    widest = (F.lit(max_window_min).cast("bigint") if max_window_min is not None
+              else F.coalesce(r.agg(F.max("window_min").cast("bigint").alias("w")).scalar(), F.lit(0).cast("bigint")))
+    lo_ts = F.timestamp_micros(long_lit(s_us) - widest * long_lit(MINUTE_US)).cast("timestamp_ntz")
     hi_ts = F.timestamp_micros(long_lit(e_us)).cast("timestamp_ntz")
     bounds = (F.col("ts") >= lo_ts) & (F.col("ts") <= hi_ts)
     if day_col in logs.columns:
