@@ -1,3 +1,5 @@
+"""Tables that the operator tests share."""
+
 import os
 import sys
 

@@ -9,6 +9,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from llm_fixtures import docs, empty, odd  # noqa: F401 - fixtures
 from pyspark.sql import functions as F
 
 from skylight.llm import (components, decontam, html_extract, licenses, lines, minhash, pieces, quality, sharding, suffix,

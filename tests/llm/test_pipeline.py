@@ -1,10 +1,11 @@
 """The pipeline against plain versions of its stages."""
 
 import brute
-import corpus_pipeline
 import sentencepiece
+from llm_fixtures import odd  # noqa: F401 - fixture, and the path of the repository
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from skylight.llm import lines, quality
 from skylight.llm.queries import tokenizer_path
 
