@@ -149,33 +149,34 @@ def fire_after(df: DataFrame, keys: Sequence[str], ts_col: str, cond: Column, fo
 
 
 def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_THROTTLE_S,
-             partitions: int | None = None) -> DataFrame:
+             block_gaps: int = 64) -> DataFrame:
     """At most one notification per key per ``every_s``: the first firing
     is sent, later ones only when ``every_s`` has passed since the last sent
     one.
 
     Runs as an exact parallel scan, so no key is ever one task: firing times
-    are range-partitioned by (key, time).  Inside a range, the unknown
-    incoming "last sent" only decides which tick is sent first, and that is
-    either a tick within ``every_s`` of the range's first tick or the first
-    tick after that; all such cases are walked together (``mapInPandas``),
-    each sent tick listing the cases that send it.  A chain over the ranges
-    of a key (one entry per range) picks each range's case, and a tick is
-    sent when its range's case is among its cases.
+    are cut into blocks of ``block_gaps * every_s``, fixed by the time alone, so
+    every branch and every retried task sees the same blocks.  Inside a
+    block, the unknown incoming "last sent" only decides which tick is sent
+    first, and that is either a tick within ``every_s`` of the block's first
+    tick or the first tick after that; all such cases are walked together
+    (``mapInPandas``), each sent tick listing the cases that send it.  A chain
+    over the blocks of a key (one entry per block) picks each block's case, and
+    a tick is sent when its block's case is among its cases.
     """
     import numpy as np
     import pandas as pd
 
     gap = int(every_s * 1_000_000)
-    parts = partitions or int(firing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    t = firing.select(F.col(key).alias("__k"), micros_col(ts_col).alias("__t")).dropDuplicates(["__k", "__t"])
-    ranged = (t.repartitionByRange(parts, "__k", "__t").sortWithinPartitions("__k", "__t")
-              .withColumn("__pid", F.spark_partition_id()))
+    t = firing.select(F.col(key).alias("__k"), micros_col(ts_col).alias("__t")).filter(F.col("__t").isNotNull())
+    t = t.withColumn("__b", _fdiv(F.col("__t"), long_lit(gap * block_gaps)))
+    blocked = (t.repartition("__k", "__b").dropDuplicates(["__k", "__b", "__t"])
+               .sortWithinPartitions("__k", "__b", "__t"))
 
-    cols = ["__k", "__pid", "__t", "mask", "case_starts", "case_lasts"]
+    cols = ["__k", "__b", "__t", "mask", "case_starts", "case_lasts"]
     chunk = 65536
 
-    def segment_rows(k, pid, ticks):
+    def segment_rows(k, block, ticks):
         """Walk every case's chain of sent ticks at once, in tick order, and
         yield output frames in bounded chunks.  Cases whose chains reach the
         same tick are merged (they coincide from there on), so a tick carries
@@ -196,7 +197,7 @@ def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_
             cs = heads.pop(i)
             everyone = cs == [0] or len(cs) == ncases
             cs = [0] if everyone else sorted(cs)
-            rows.append((k, pid, int(ticks[i]), cs, None, None))
+            rows.append((k, block, int(ticks[i]), cs, None, None))
             if len(rows) >= chunk:
                 yield pd.DataFrame(rows, columns=cols)
                 rows = []
@@ -211,40 +212,39 @@ def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_
             else:
                 heads[nxt] = cs
                 heapq.heappush(heap, nxt)
-        rows.append((k, pid, None, None, [int(ticks[j]) for j in starts], lasts))
+        rows.append((k, block, None, None, [int(ticks[j]) for j in starts], lasts))
         yield pd.DataFrame(rows, columns=cols)
 
     def scan(batches):
-        """Rows arrive sorted by (key, time); a key's ticks are gathered as
-        numpy arrays (split at key changes without a Python loop per row)."""
-        cur, pid, parts = None, None, []
+        """Rows arrive sorted by (key, block, time); a block's ticks are gathered
+        as numpy arrays (split at changes without a Python loop per row)."""
+        cur, ticks = None, []
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = pdf["__k"].to_numpy()
+            keys, blocks = pdf["__k"].to_numpy(), pdf["__b"].to_numpy(dtype=np.int64)
             ts = pdf["__t"].to_numpy(dtype=np.int64)
-            pids = pdf["__pid"].to_numpy()
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])) + 1
             for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(keys)]):
-                k = keys[lo]
-                if cur is not None and k != cur:
-                    yield from segment_rows(cur, pid, np.concatenate(parts))
-                    parts = []
-                cur, pid = k, int(pids[lo])
-                parts.append(ts[lo:hi])
-        if parts:
-            yield from segment_rows(cur, pid, np.concatenate(parts))
+                found = (keys[lo], int(blocks[lo]))
+                if cur is not None and found != cur:
+                    yield from segment_rows(*cur, np.concatenate(ticks))
+                    ticks = []
+                cur = found
+                ticks.append(ts[lo:hi])
+        if ticks:
+            yield from segment_rows(*cur, np.concatenate(ticks))
 
     kt = t.schema[0].dataType.simpleString()
-    schema = (f"__k {kt}, __pid int, __t bigint, mask array<int>, case_starts array<bigint>, "
+    schema = (f"__k {kt}, __b bigint, __t bigint, mask array<int>, case_starts array<bigint>, "
               "case_lasts array<bigint>")
-    scanned = ranged.mapInPandas(scan, schema)
-    segs = scanned.filter(F.col("case_starts").isNotNull()).select("__k", "__pid", "case_starts", "case_lasts")
-    per_key = segs.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("__pid", "case_starts", "case_lasts")))
+    scanned = blocked.mapInPandas(scan, schema)
+    segs = scanned.filter(F.col("case_starts").isNotNull()).select("__k", "__b", "case_starts", "case_lasts")
+    per_key = segs.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("__b", "case_starts", "case_lasts")))
                                       .alias("segs"))
     g = long_lit(gap)
     init = F.struct(F.lit(None).cast("bigint").alias("last"),
-                    F.array().cast("array<struct<pid:int,case:int>>").alias("out"))
+                    F.array().cast("array<struct<block:bigint,case:int>>").alias("out"))
 
     def chain(acc, x):
         earliest = F.coalesce(acc["last"] + g, F.lit(-(2 ** 62)).cast("bigint"))
@@ -252,34 +252,18 @@ def throttle(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_
         idx = F.array_position(F.transform(x["case_starts"], lambda st: st >= earliest), True).cast("int")
         new_last = F.when(idx > 0, F.element_at(x["case_lasts"], F.greatest(idx, F.lit(1)))).otherwise(acc["last"])
         return F.struct(new_last.alias("last"),
-                        F.array_append(acc["out"], F.struct(x["__pid"].alias("pid"), idx.alias("case")))
+                        F.array_append(acc["out"], F.struct(x["__b"].alias("block"), idx.alias("case")))
                         .alias("out"))
 
     cases = per_key.select("__k", F.explode(F.aggregate("segs", init, chain)["out"]).alias("c")).select(
-        "__k", F.col("c.pid").alias("__pid"), F.col("c.case").alias("__case"))
-    ticks = scanned.filter(F.col("__t").isNotNull()).select("__k", "__pid", "__t", "mask")
-    sent = ticks.join(cases, ["__k", "__pid"], "inner").filter(
+        "__k", F.col("c.block").alias("__b"), F.col("c.case").alias("__case"))
+    ticks = scanned.filter(F.col("__t").isNotNull()).select("__k", "__b", "__t", "mask")
+    sent = ticks.join(cases, ["__k", "__b"], "inner").filter(
         (F.col("__case") > 0) & (F.array_contains("mask", F.lit(0)) | F.array_contains("mask", F.col("__case"))))
     return sent.select(F.col("__k").alias(key),
                        F.timestamp_micros(F.col("__t")).cast("timestamp_ntz").alias(ts_col))
 
 
-def throttle_fold(firing: DataFrame, key: str, ts_col: str, every_s: float = DEFAULT_THROTTLE_S) -> DataFrame:
-    """A7 as one fold over each key's sorted firing times (the plain form,
-    for small inputs and as a cross-check of ``throttle``)."""
-    gap = long_lit(int(every_s * 1_000_000))
-    per_key = firing.groupBy(key).agg(F.array_sort(F.collect_set(micros_col(ts_col))).alias("__ts"))
-    init = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("sent"))
-
-    def step(acc, x):
-        send = acc["last"].isNull() | (x >= acc["last"] + gap)
-        return F.when(send, F.struct(x.alias("last"), F.array_append(acc["sent"], x).alias("sent"))).otherwise(acc)
-
-    folded = per_key.select(key, F.aggregate("__ts", init, step)["sent"].alias("__sent"))
-    return folded.select(key, F.explode("__sent").alias("__t")).select(
-        key, F.timestamp_micros(F.col("__t")).cast("timestamp_ntz").alias(ts_col))
-
-
 def notifications(alerts: DataFrame, name_col: str, ts_col: str, label_col: str, label_value: str,
                   group_interval_s: float = 300, repeat_s: float = 12 * 3600) -> DataFrame:
     """Only alerts labelled as ours, grouped by name per group interval,

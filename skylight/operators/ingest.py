@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylight.functions.labels import COMPONENT_UID, ENVIRONMENT_UID, NAMESPACE, PROJECT_UID, label_key
@@ -129,7 +129,7 @@ def _trace_candidates(spans: DataFrame, wait_s: float, bucket_s: float, trace_co
 
 
 def tail_sample(spans: DataFrame, wait_s: float = 10, limit: int = 10, bucket_s: float = 1,
-                trace_col: str = "trace_id", ts_col: str = "start_ts", partitions: int | None = None,
+                trace_col: str = "trace_id", ts_col: str = "start_ts",
                 buckets: tuple[int | None, int | None] = (None, None)) -> DataFrame:
     """Per trace, the decision falls ``wait_s`` after its first span, in
     bucket ``floor((first_seen + wait) / bucket)``; within a bucket traces are
@@ -137,80 +137,25 @@ def tail_sample(spans: DataFrame, wait_s: float = 10, limit: int = 10, bucket_s:
     own stay within ``limit``.  Returns ``(trace_id, decision_ts, spans)`` of
     kept traces.
 
-    The greedy rule is a scan with a small state (spans used, 0..limit), so
-    it runs as a parallel prefix over a range partitioning: no bucket, however
-    hot, is ever one task or one array.
-
-    1. traces sorted by (bucket, first seen, id) across ``partitions`` ranges;
-    2. per range, for every possible starting state at once (a vector of
-       ``limit + 1``), which traces are kept and the state at the end
-       (``mapInPandas``, vectorised over the states);
-    3. per bucket, the ranges' end-state tables chained in range order (one
-       entry per range of that bucket) give each range's true start state;
-    4. a trace is kept when its mask holds at its range's start state.
-    Traces larger than ``limit`` can never be kept and are dropped first.
+    Spans used only grow within a bucket, so once a trace of ``n`` spans does
+    not fit, no later trace of ``n`` spans fits either: the kept traces of
+    one size are the first of that size, at most ``limit / n`` of them.  Those
+    are found by rank per (bucket, size), which Spark limits before the shuffle,
+    so a hot bucket never moves whole.  What is left is at most
+    ``limit * (1 + ln limit)`` traces a bucket whatever the data, and the rule
+    is folded over that array.  Traces larger than ``limit`` can never be kept.
     ``buckets=(lo, hi)`` decides only buckets lo..hi (inclusive; buckets are
     independent, so this is exact for them).
     """
-    import numpy as np
-    import pandas as pd
-
     cand = _bucket_range(_trace_candidates(spans, wait_s, bucket_s, trace_col, ts_col), buckets)
-    cand = cand.filter(F.col("n") <= limit)
-    parts = partitions or int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (cand.repartitionByRange(parts, "bucket", "first_us", trace_col)
-              .sortWithinPartitions("bucket", "first_us", trace_col)
-              .withColumn("pid", F.spark_partition_id()))
-    states = limit + 1
-
-    def scan(batches):
-        cur_bucket, used = None, None
-        start = np.arange(states, dtype=np.int64)
-        pid = None
-        for pdf in batches:
-            rows = []
-            for t, b, n, d, p in zip(pdf[trace_col], pdf["bucket"], pdf["n"], pdf["decision_us"], pdf["pid"]):
-                pid = int(p)
-                if b != cur_bucket:
-                    if cur_bucket is not None:
-                        rows.append((None, cur_bucket, pid, None, None, None, used.tolist()))
-                    cur_bucket, used = b, start.copy()
-                fits = used + int(n) <= limit
-                rows.append((t, b, pid, int(n), int(d), fits.tolist(), None))
-                used = np.where(fits, used + int(n), used)
-            if rows:
-                yield pd.DataFrame(rows, columns=[trace_col, "bucket", "pid", "n", "decision_us", "mask", "table"])
-        if cur_bucket is not None:
-            yield pd.DataFrame([(None, cur_bucket, pid, None, None, None, used.tolist())],
-                               columns=[trace_col, "bucket", "pid", "n", "decision_us", "mask", "table"])
-
-    out_schema = (f"{trace_col} string, bucket bigint, pid int, n bigint, decision_us bigint, "
-                  "mask array<boolean>, table array<bigint>")
-    scanned = ranged.select(trace_col, "bucket", "first_us", "n", "decision_us", "pid").mapInPandas(scan, out_schema)
-    segs = scanned.filter(F.col("table").isNotNull()).select("bucket", "pid", "table")
-    per_bucket = segs.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("pid", "table"))).alias("segs"))
-    init = F.struct(F.lit(0).cast("bigint").alias("u"),
-                    F.array().cast("array<struct<pid:int,u_in:bigint>>").alias("out"))
-
-    def chain(acc, x):
-        return F.struct(F.element_at(x["table"], (acc["u"] + 1).cast("int")).alias("u"),
-                        F.array_append(acc["out"], F.struct(x["pid"].alias("pid"), acc["u"].alias("u_in")))
-                        .alias("out"))
-
-    starts = per_bucket.select("bucket", F.explode(F.aggregate("segs", init, chain)["out"]).alias("s")).select(
-        "bucket", F.col("s.pid").alias("pid"), F.col("s.u_in").alias("u_in"))
-    cands = scanned.filter(F.col("table").isNull()).drop("table")
-    kept = cands.join(starts, ["bucket", "pid"], "inner").filter(
-        F.element_at("mask", (F.col("u_in") + 1).cast("int")))
-    return kept.select(trace_col, F.timestamp_micros("decision_us").cast("timestamp_ntz").alias("decision_ts"),
-                       F.col("n").alias("spans"))
-
-
-def tail_sample_fold(spans: DataFrame, wait_s: float = 10, limit: int = 10, bucket_s: float = 1,
-                     trace_col: str = "trace_id", ts_col: str = "start_ts") -> DataFrame:
-    """I9 as one fold per decision bucket (all of a bucket's traces in one
-    array): the plain form, for small inputs and as a cross-check."""
-    cand = _trace_candidates(spans, wait_s, bucket_s, trace_col, ts_col).filter(F.col("n") <= limit)
+    by_size = Window.partitionBy("bucket", "n").orderBy("first_us", trace_col)
+    first = (cand.filter(F.col("n") <= limit).withColumn("rank", F.row_number().over(by_size))
+             .filter((F.col("rank") <= limit) & (F.col("rank") * F.col("n") <= limit)).drop("rank"))
+    return _fold_buckets(first, limit, trace_col)
+
+
+def _fold_buckets(cand: DataFrame, limit: int, trace_col: str) -> DataFrame:
+    """The greedy rule over each bucket's candidates in one array."""
     per_bucket = cand.groupBy("bucket").agg(
         F.array_sort(F.collect_list(F.struct("first_us", trace_col, "n", "decision_us"))).alias("ts_"))
     init = F.struct(F.lit(0).cast("bigint").alias("used"),

@@ -6,13 +6,12 @@ evaluated on the grid ``start, start+step, .., end``:
 * **M1 range grid** - every sample is exploded to the grid points whose
   window contains it (``g - range < t <= g``); then an equi-``groupBy``
   on ``(series, g)``.  No range join, no cartesian product; the explode
-  factor is ``ceil(range/step)``; rates over long ranges of dense samples
-  combine samples per step first (``pre_aggregate``).
-* **M2 rate** - counter resets need the previous sample of the series; that
-  is a blocked lag (``prev_sample``): a window inside ``(series, day)`` plus
-  the last value of the previous non-empty day, so a huge series is never a
-  single task.  The per-window aggregates (count, first/last by time, sum of
-  reset corrections) are all decomposable: partial aggregation applies.
+  factor is ``ceil(range/step)``; rates whose windows overlap combine samples
+  per bucket first and explode buckets.
+* **M2 rate** - counter resets need the previous sample inside the window
+  only, so the lag runs per (series, grid point) or (series, bucket), on the
+  same partitioning as the aggregate: one shuffle per family, and a huge
+  series is never a single task.
 * **M3 instant** - latest sample within the lookback at each grid point.
 * **M5/M6/M8 label joins** - many-to-one joins with the pod-label dimension;
   the join is left to AQE, which broadcasts the dimension when its measured
@@ -21,11 +20,13 @@ evaluated on the grid ``start, start+step, .., end``:
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylight.functions.scope import Scope
 from skylight.functions.timeutil import epoch_micros, long_lit, micros_col
@@ -135,86 +136,94 @@ def _extrapolated(range_s: float) -> Column:
     return inc * (sampled + d_start + d_end) / sampled / F.lit(float(range_s))
 
 
-def _window_aggregates_by_step(samples: DataFrame, keys: list[str], grid: Grid, k: int, value_col: str,
-                               ts_col: str) -> DataFrame:
-    """Window aggregates when the range is ``k`` whole steps: samples are first
-    combined per (series, step bucket) - bucket ``j`` holds
-    ``start + (j-1)*step < t <= start + j*step`` - and only those partial
-    aggregates are exploded to the ``k`` grid points whose window they fill.
-    Every aggregate is decomposable, so the result equals the per-sample
-    form while the explode and the shuffle carry one row per bucket instead
-    of one per sample."""
-    t = micros_col(ts_col)
-    off = t - long_lit(grid.start_us)
-    bucket = -_floor_div(-off, grid.step_us)
-    b = samples.withColumn("__t_us", t).withColumn("__b", bucket)
-    per_bucket = b.groupBy(*keys, "__b").agg(
+def _with_resets(df: DataFrame, part: Sequence[str], order: str, first: str, last: str) -> DataFrame:
+    """Add ``__reset``: the last value before this row (in ``part``, by
+    ``order``) where this row starts lower, else 0."""
+    prev = F.lag(last).over(Window.partitionBy(*part).orderBy(order))
+    return df.withColumn("__reset", F.when(F.col(first) < prev, prev).otherwise(F.lit(0.0)))
+
+
+def _combine_samples(df: DataFrame, part: Sequence[str], value_col: str) -> DataFrame:
+    """Count, first and last sample and the increase of each group of samples,
+    counter resets inside the group included. The lag and the aggregate
+    share one shuffle by ``part``."""
+    d = _with_resets(df, part, "__t_us", value_col, value_col)
+    return d.groupBy(*part).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("__t_us").alias("first_us"),
         F.max("__t_us").alias("last_us"),
         F.min_by(value_col, "__t_us").alias("first_value"),
         F.max_by(value_col, "__t_us").alias("last_value"),
-        F.sum("__corr").alias("__corr_sum"),
-        F.min_by("__corr", "__t_us").alias("__corr_first"),
-    )
-    lo = F.greatest(F.col("__b"), F.lit(0).cast("bigint"))
-    hi = F.least(F.col("__b") + long_lit(k - 1), long_lit(grid.last_index))
+        F.sum("__reset").alias("resets"))
+
+
+def _combine_buckets(samples: DataFrame, keys: list[str], grid: Grid, range_us: int, value_col: str,
+                     ts_col: str) -> DataFrame:
+    """Window aggregates of a range longer than the step. Samples are combined
+    per (series, bucket), where bucket ``j`` holds
+    ``start + (j-1)*w < t <= start + j*w`` and ``w`` divides step and range, so
+    a window is a whole number of buckets; only buckets are exploded to the
+    grid points they feed, never samples. Resets between two neighbouring
+    buckets are found on the bucket rows of a series, of which there are at most
+    as many as the grid has; the window sums then stay on that partitioning."""
+    w = math.gcd(grid.step_us, range_us)
+    per_step, per_range = grid.step_us // w, range_us // w
+    t = micros_col(ts_col)
+    bucket = -_floor_div(-(t - long_lit(grid.start_us)), w)
+    b = _combine_samples(samples.withColumn("__t_us", t).withColumn("__b", bucket), keys + ["__b"], value_col)
+    # grid point g covers the buckets g*per_step - per_range + 1 .. g*per_step
+    lo = F.greatest(-_floor_div(-F.col("__b"), per_step), F.lit(0).cast("bigint"))
+    hi = F.least(_floor_div(F.col("__b") + long_lit(per_range - 1), per_step), long_lit(grid.last_index))
     gs = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-    x = per_bucket.withColumn("g", F.explode(gs))
+    x = _with_resets(b, keys, "__b", "first_value", "last_value").withColumn("g", F.explode(gs))
     return x.groupBy(*keys, "g").agg(
         F.sum("n").alias("n"),
         F.min("first_us").alias("first_us"),
         F.max("last_us").alias("last_us"),
-        F.min_by("first_value", "first_us").alias("first_value"),
-        F.max_by("last_value", "last_us").alias("last_value"),
-        F.sum("__corr_sum").alias("__corr_sum"),
-        F.min_by("__corr_first", "first_us").alias("__corr_first"),
-    )
+        F.min_by("first_value", "__b").alias("first_value"),
+        F.max_by("last_value", "__b").alias("last_value"),
+        # the first bucket's drop is against a sample before the window
+        (F.sum(F.col("resets") + F.col("__reset")) - F.min_by("__reset", "__b")).alias("resets"))
 
 
 def rate(samples: DataFrame, keys: Sequence[str], grid: Grid, range_s: float = DEFAULT_RATE_RANGE_S,
          mode: str = "extrapolated", value_col: str = "value", ts_col: str = "ts",
-         pre_aggregate: bool = False) -> DataFrame:
+         pre_aggregate: bool | None = None) -> DataFrame:
     """M2: per-second increase of a counter over ``range_s`` at each grid point.
 
     increase = last - first + values before each drop whose both samples lie
     in the window.  ``mode="simple"`` gives increase / range (cross-check).
     Windows with fewer than two samples produce no point.
 
-    ``pre_aggregate=True`` (range a whole number of steps) combines samples per
-    step bucket before the explode: worth it for dense samples over long
-    ranges; the default per-sample explode is already combined map-side.
+    A reset counts only where both samples lie in the window, so the previous
+    sample is looked up per (series, grid point): one shuffle, and no task
+    holds more of a series than one window. Ranges longer than the step are
+    first combined per bucket (``pre_aggregate``; unset, where windows
+    overlap), so overlapping windows never repeat samples.
     """
     keys = list(keys)
-    # Only samples newer than (first grid point - range) can share a window
-    # with another sample, so older ones are dropped before the lag.
-    lo_ts = F.timestamp_micros(long_lit(grid.start_us - int(range_s * 1_000_000))).cast("timestamp_ntz")
+    range_us = int(range_s * 1_000_000)
+    lo_ts = F.timestamp_micros(long_lit(grid.start_us - range_us)).cast("timestamp_ntz")
     hi_ts = F.timestamp_micros(long_lit(grid.end_us)).cast("timestamp_ntz")
-    window_rows = samples.select(*keys, ts_col, value_col).filter(
+    # numeric labels are grouped as text (a cast both ways keeps the value):
+    # Spark normalises floating keys in aggregates only and would shuffle twice
+    types = {k: samples.schema[k].dataType for k in keys}
+    as_text = [k for k, t in types.items() if isinstance(t, (T.DoubleType, T.FloatType))]
+    window_rows = samples.select(*[F.col(k).cast("string").alias(k) if k in as_text else k for k in keys], ts_col, value_col).filter(
         (F.col(ts_col) > lo_ts) & (F.col(ts_col) <= hi_ts))
-    with_prev = prev_sample(window_rows, keys, value_col, ts_col)
-    corr = F.when(F.col(value_col) < F.col("prev_value"), F.col("prev_value")).otherwise(F.lit(0.0))
-    samples = with_prev.withColumn("__corr", corr)
-    range_us = int(range_s * 1_000_000)
-    if pre_aggregate and range_us % grid.step_us == 0 and range_us // grid.step_us > 1:
-        agg = _window_aggregates_by_step(samples, keys, grid, range_us // grid.step_us, value_col, ts_col)
+    if pre_aggregate is None:
+        pre_aggregate = range_us > grid.step_us
+    if pre_aggregate:
+        agg = _combine_buckets(window_rows, keys, grid, range_us, value_col, ts_col)
     else:
-        x = explode_to_grid(samples, grid, range_s, ts_col)
-        agg = x.groupBy(*keys, "g").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("__t_us").alias("first_us"),
-            F.max("__t_us").alias("last_us"),
-            F.min_by(value_col, "__t_us").alias("first_value"),
-            F.max_by(value_col, "__t_us").alias("last_value"),
-            F.sum("__corr").alias("__corr_sum"),
-            F.min_by("__corr", "__t_us").alias("__corr_first"),
-        )
+        x = explode_to_grid(window_rows, grid, range_s, ts_col)
+        agg = _combine_samples(x, keys + ["g"], value_col)
     agg = agg.filter(F.col("n") >= 2)
-    agg = agg.withColumn("increase", F.col("last_value") - F.col("first_value")
-                         + F.col("__corr_sum") - F.col("__corr_first"))
+    agg = agg.withColumn("increase", F.col("last_value") - F.col("first_value") + F.col("resets"))
     agg = agg.withColumn("g_us", long_lit(grid.start_us) + F.col("g") * long_lit(grid.step_us))
     val = _extrapolated(range_s) if mode == "extrapolated" else F.col("increase") / F.lit(float(range_s))
-    return agg.select(*keys, grid.ts(F.col("g")).alias("ts"), val.alias("value"))
+    return agg.select(*[F.col(k).cast(types[k]).alias(k) if k in as_text else k for k in keys],
+                      grid.ts(F.col("g")).alias("ts"), val.alias("value"))
 
 
 def instant(samples: DataFrame, keys: Sequence[str], grid: Grid, value_cols: Sequence[str] = ("value",),

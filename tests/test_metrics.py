@@ -87,12 +87,19 @@ def test_rate_pre_aggregated_by_step_equals_per_sample(spark):
         pts.append((t, v))
     df = _samples(spark, pts)
     grid = _grid(3600, 4 * 3600, 300)
-    a = M.rate(df, ["series"], grid, range_s=900)
-    b = M.rate(df, ["series"], grid, range_s=900, pre_aggregate=True)
-    ra = {r.ts: r.value for r in a.collect()}
-    rb = {r.ts: r.value for r in b.collect()}
-    assert ra.keys() == rb.keys() and len(ra) > 0
-    assert all(abs(ra[k] - rb[k]) < 1e-9 for k in ra)
+    for range_s in (900, 700, 120):  # whole steps, a part of a step, windows apart
+        a = M.rate(df, ["series"], grid, range_s=range_s, mode="simple", pre_aggregate=False)
+        b = M.rate(df, ["series"], grid, range_s=range_s, mode="simple", pre_aggregate=True)
+        ra = {r.ts: r.value for r in a.collect()}
+        rb = {r.ts: r.value for r in b.collect()}
+        plain = {}
+        for g in range(3600, 4 * 3600 + 1, 300):
+            w = [v for t, v in pts if g - range_s < t <= g]
+            if len(w) >= 2:
+                plain[g] = sum(y if y < x else y - x for x, y in zip(w, w[1:])) / range_s
+        assert ra.keys() == rb.keys() and len(ra) == len(plain) > 0
+        assert all(abs(ra[k] - rb[k]) < 1e-9 for k in ra)
+        assert all(abs(x - y) < 1e-9 for x, y in zip([ra[k] for k in sorted(ra)], [plain[g] for g in sorted(plain)]))
 
 
 def test_series_identity_keeps_all_labels(spark):
