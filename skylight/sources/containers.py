@@ -39,6 +39,8 @@ def read_container_logs(spark: SparkSession, path: str, stream: bool = False,
         df = (spark.read.format("text").option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true").load(path))
     df = df.withColumn("file", F.input_file_name())
+    if stream:  # where a line's split starts in its file; batches number lines below
+        df = df.withColumn("block_start", F.col("_metadata.file_block_start"))
     df = df.filter(~F.col("file").rlike(SHIPPER_FILES))
     if max_line_bytes is not None:
         df = df.filter(F.octet_length("value") <= max_line_bytes)

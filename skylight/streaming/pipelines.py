@@ -1,10 +1,13 @@
 """Structured Streaming twins of the batch operators.
 
 * ``container_log_stream`` - S1 -> S2 -> I1 -> S3: new log files are read
-  as they appear, CRI fragments are stitched with per-(file, stream) state
-  (``applyInPandasWithState``: open fragments survive micro-batch ends),
+  as they appear, CRI fragments are stitched in line order with
+  per-(file, stream) state (``applyInPandasWithState``: open fragments survive
+  micro-batch ends and time out when their file goes quiet),
   lines are enriched with the pod dimension and appended to the
   day-partitioned store; the checkpoint replaces the shipper's offset DB.
+* ``rejected_log_stream`` - lines that S2 cannot decode, whole, in a sink of
+  their own.
 * ``sliding_log_counts`` - the A1 window as ``withWatermark`` + sliding
   ``window()``.  Buckets are half-open and empty ones are not emitted, so
   rules that fire on low counts use the batch form in ``foreachBatch``.
@@ -29,12 +32,13 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from skylight.functions.timeutil import rfc3339
-from skylight.sources.containers import CRI_RE, _docker, file_metadata
+from skylight.sources.containers import CRI_RE, _docker, file_metadata, read_container_logs, rejected_container_lines
 from skylight.sources.sinks import scratch_path
 
 
@@ -46,56 +50,85 @@ def to_event_time(df: DataFrame, col: str = "ts", out: str = "event_time") -> Da
 
 # --- S1 -> S2 -> I1 -> S3 ---------------------------------------------------------
 
-_FRAGMENT_OUT = "file string, stream string, ts timestamp, log string"
-_FRAGMENT_STATE = "pending string, first_ts timestamp"
-
-
-def _stitch(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Join ``P`` fragments to their closing ``F`` line; unfinished fragments
-    stay in the group state until a later micro-batch closes them."""
-    pending, first_ts = (state.get if state.exists else ("", None))
-    rows = []
-    for pdf in batches:
-        pdf = pdf.sort_values(["ts", "seq"], kind="stable")
-        for ts, flag, msg in zip(pdf["ts"], pdf["flag"], pdf["msg"]):
-            if first_ts is None:
-                first_ts = ts
-            pending += msg
+_FRAGMENT_OUT = "file string, stream string, ts timestamp, log string, complete boolean"
+_FRAGMENT_STATE = "pending string, last_ts timestamp"
+_FRAGMENT_COLS = ["file", "stream", "ts", "log", "complete"]
+DEFAULT_FRAGMENT_WAIT_S = 3600
+
+
+def _stitch_fn(wait_s: float | None):
+    """Join ``P`` fragments to their closing ``F`` line, in line order. An
+    unfinished message stays in the group state until a later micro-batch
+    closes it; after ``wait_s`` without a new line (a rotated or removed file)
+    it is emitted as it is, marked incomplete, and the state is freed."""
+
+    def fn(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            pending, last_ts = state.get
+            state.remove()
+            yield pd.DataFrame([(key[0], key[1], last_ts, pending, False)], columns=_FRAGMENT_COLS)
+            return
+        # one file's new lines: chunks come unordered, so they are put together first
+        lines = pd.concat(list(batches)).sort_values(["block_start", "line_no"], kind="stable")
+        open_parts, last_ts = ([state.get[0]], state.get[1]) if state.exists else ([], None)
+        rows = []
+        for ts, flag, msg in zip(lines["ts"], lines["flag"], lines["msg"]):
+            open_parts.append(msg)
+            last_ts = None if pd.isna(ts) else ts
             if flag == "F":
-                rows.append((key[0], key[1], ts, pending))
-                pending, first_ts = "", None
-    if pending:
-        state.update((pending, first_ts))
-    elif state.exists:
-        state.remove()
-    if rows:
-        yield pd.DataFrame(rows, columns=["file", "stream", "ts", "log"])
-
-
-def decode_stream(lines: DataFrame) -> DataFrame:
-    """Streaming S2 for CRI text lines (docker JSON lines carry whole
-    messages and pass straight through)."""
+                rows.append((key[0], key[1], last_ts, "".join(open_parts), True))
+                open_parts, last_ts = [], None
+        if open_parts:
+            state.update(("".join(open_parts), last_ts))
+            if wait_s is not None:
+                state.setTimeoutDuration(int(wait_s * 1000))
+        elif state.exists:
+            state.remove()
+        if rows:
+            yield pd.DataFrame(rows, columns=_FRAGMENT_COLS)
+    return fn
+
+
+def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number a task's lines in the order they are read (streams have no
+    ``monotonically_increasing_id``)."""
+    seen = 0
+    for b in batches:
+        numbers = pa.array(range(seen, seen + b.num_rows), pa.int64())
+        seen += b.num_rows
+        yield pa.RecordBatch.from_arrays([*b.columns, numbers], names=[*b.schema.names, "line_no"])
+
+
+def decode_stream(lines: DataFrame, fragment_wait_s: float | None = None) -> DataFrame:
+    """Streaming S2 for CRI and docker JSON lines; other lines are the rows of
+    ``rejected_container_lines``, which works on the same stream. A file's
+    lines keep their order by split offset and position, whatever their times.
+    ``fragment_wait_s`` is for streams that keep running: with it, a query has
+    always another batch to look for timeouts, so ``availableNow`` never ends."""
     v = F.col("value")
     j, is_json = _docker(v)
-    parsed = lines.select(
+    numbered = lines.select("file", "value", "block_start").mapInArrow(
+        _number_lines, "file string, value string, block_start bigint, line_no bigint")
+    parsed = numbered.select(
         "file",
         F.when(is_json, j["stream"]).otherwise(F.regexp_extract(v, CRI_RE, 2)).alias("stream"),
         F.when(is_json, F.lit("F")).otherwise(F.regexp_extract(v, CRI_RE, 3)).alias("flag"),
         F.when(is_json, F.regexp_replace(j["log"], "\n$", "")).otherwise(F.regexp_extract(v, CRI_RE, 4)).alias("msg"),
         rfc3339(F.when(is_json, j["time"]).otherwise(F.regexp_extract(v, CRI_RE, 1))).cast("timestamp").alias("ts"),
-        # P sorts before F for fragments sharing a timestamp
-        F.when(F.regexp_extract(v, CRI_RE, 3) == "P", 0).otherwise(1).alias("seq"),
+        "block_start", "line_no",
     ).filter(F.col("stream") != "")
     return parsed.groupBy("file", "stream").applyInPandasWithState(
-        _stitch, _FRAGMENT_OUT, _FRAGMENT_STATE, "append", GroupStateTimeout.NoTimeout)
+        _stitch_fn(fragment_wait_s), _FRAGMENT_OUT, _FRAGMENT_STATE, "append",
+        GroupStateTimeout.NoTimeout if fragment_wait_s is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def container_log_stream(spark: SparkSession, source: str, sink: str, pods: DataFrame,
-                         checkpoint: str | None = None, glob: str = "*.log", trigger_once: bool = True):
-    """Start S1 -> S2 -> I1 -> S3 and return the StreamingQuery."""
-    from skylight.sources.containers import read_container_logs
-    raw = read_container_logs(spark, source, stream=True, glob=glob)
-    decoded = file_metadata(decode_stream(raw))
+                         checkpoint: str | None = None, glob: str = "*.log", trigger_once: bool = True,
+                         max_files_per_trigger: int = 1000, fragment_wait_s: float = DEFAULT_FRAGMENT_WAIT_S):
+    """Start S1 -> S2 -> I1 -> S3 and return the StreamingQuery. Open fragments
+    time out in streams that keep running (``trigger_once=False``) only."""
+    raw = read_container_logs(spark, source, stream=True, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    decoded = file_metadata(decode_stream(raw, None if trigger_once else fragment_wait_s))
     dim = (pods.select("pod", "pod_namespace", "namespace", "project_uid",
                                          "environment_uid", "component_uid"))
     enriched = decoded.join(dim, ["pod", "pod_namespace"], "left").withColumn(
@@ -107,13 +140,26 @@ def container_log_stream(spark: SparkSession, source: str, sink: str, pods: Data
     return w.start()
 
 
-def _progress(spark: SparkSession, path: str, epoch_id: int):
+def rejected_log_stream(spark: SparkSession, source: str, sink: str, checkpoint: str | None = None,
+                        glob: str = "*.log"):
+    """Start the stream of undecodable lines (whole, with a reason) into its own
+    sink and return the StreamingQuery."""
+    raw = read_container_logs(spark, source, stream=True, glob=glob)
+    rejects = rejected_container_lines(raw).select("file", "value", "reason")
+    return (rejects.writeStream.format("parquet").option("path", sink)
+            .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-container-rejects"))
+            .outputMode("append").trigger(availableNow=True).start())
+
+
+def _progress(spark: SparkSession, path: str, epoch_id: int, upto_type: str):
     """How far earlier epochs got; None before the first. Any failure to read
     an existing file fails the batch, which is then retried."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
         return None
-    return spark.read.parquet(path).filter(F.col("epoch") < epoch_id).agg(F.max("upto")).first()[0]
+    # a stated schema: a first epoch that failed while writing leaves a folder without files
+    marks = spark.read.schema(f"upto {upto_type}, epoch bigint").parquet(path)
+    return marks.filter(F.col("epoch") < epoch_id).agg(F.max("upto")).first()[0]
 
 
 # --- A1 sliding window ------------------------------------------------------------
@@ -251,7 +297,7 @@ def alert_ticks_each_batch(rules: DataFrame, store: str, sink: str, anchor, late
             return
         (batch.withColumn(store_day_col, F.col("ts").cast("date")).write.mode("overwrite")
          .partitionBy(store_day_col).parquet(f"{store}/epoch={epoch_id}"))
-        done = _progress(spark, progress, epoch_id)
+        done = _progress(spark, progress, epoch_id, "timestamp_ntz")
         start = (done + _dt.timedelta(microseconds=1)) if done is not None else anchor_dt
         upto = (hi if not isinstance(hi, str) else parse_ts(hi)) - _dt.timedelta(seconds=lateness_s)
         if upto >= start:
@@ -277,32 +323,44 @@ def latest_alert_ticks(spark: SparkSession, sink: str) -> DataFrame:
 # --- I9 per micro-batch ---------------------------------------------------------------
 
 def tail_sample_each_batch(store: str, sink: str, wait_s: float = 10, limit: int = 10, bucket_s: float = 1,
-                           trace_col: str = "trace_id", ts_col: str = "start_ts"):
+                           trace_col: str = "trace_id", ts_col: str = "start_ts", max_trace_s: float | None = 86400):
     """A ``foreachBatch`` function: append the micro-batch's spans to a span
     store, then decide every decision bucket whose end has passed the newest
     span time (spans of a trace are assumed to arrive within ``wait_s`` of
     its first span, as the collector assumes) and that no earlier epoch
     decided.  Writes are keyed by epoch and overwrite it, so a re-run epoch
-    does not duplicate."""
+    does not duplicate.
+
+    The store is partitioned by span day, and a batch reads only the days from
+    its first open bucket less ``wait_s`` and ``max_trace_s``. A trace open for
+    longer than ``max_trace_s`` counts as a new one when it goes on (like a
+    watermark); None reads the whole store and has no such bound.
+    """
     import datetime as _dt
 
     from skylight.operators.ingest import tail_sample
     progress = sink.rstrip("/") + "_progress"
     b_us = int(bucket_s * 1_000_000)
+    epoch_0 = _dt.datetime(1970, 1, 1)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         hi = batch.agg(F.max(ts_col)).first()[0]
         if hi is None:
             return
-        batch.select(trace_col, ts_col).write.mode("overwrite").parquet(f"{store}/epoch={epoch_id}")
-        hi_us = (hi - _dt.datetime(1970, 1, 1)) // _dt.timedelta(microseconds=1)
+        (batch.select(trace_col, ts_col, F.col(ts_col).cast("date").alias("span_day"))
+         .write.mode("overwrite").partitionBy("span_day").parquet(f"{store}/epoch={epoch_id}"))
+        hi_us = (hi - epoch_0) // _dt.timedelta(microseconds=1)
         final = hi_us // b_us - 1          # buckets wholly before the newest span time
-        done = _progress(spark, progress, epoch_id)
+        done = _progress(spark, progress, epoch_id, "bigint")
         lo = None if done is None else done + 1
         if lo is None or final >= lo:
-            spans = spark.read.parquet(store).drop("epoch")
-            kept = tail_sample(spans, wait_s, limit, bucket_s, trace_col, ts_col, buckets=(lo, final))
+            spans = spark.read.parquet(store).filter(F.col("epoch") <= epoch_id)
+            if lo is not None and max_trace_s is not None:
+                oldest = epoch_0 + _dt.timedelta(microseconds=lo * b_us, seconds=-(wait_s + max_trace_s))
+                spans = spans.filter(F.col("span_day") >= F.lit(oldest.date()))
+            kept = tail_sample(spans.select(trace_col, ts_col), wait_s, limit, bucket_s, trace_col, ts_col,
+                               buckets=(lo, final))
             kept.write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
             mark = final
         else:

@@ -145,3 +145,100 @@ def test_late_rows_are_dropped_after_the_window_closed(spark):
     assert [n for w, n in rows if w == t0] == [2]
     # counted at the state operator, after partial aggregation merged the two late rows
     assert SP.late_rows(q) >= 1
+
+
+def test_container_log_stream_equals_batch(spark):
+    import os
+
+    from skylight.sources import containers as C
+    src = K.scratch_path(spark, "stream-container-logs")
+    t = "2024-01-01T00:00:00Z"
+    files = {
+        # equal times: only the line order tells which fragments belong together
+        "p1_ns_main-0a.log": [f"{t} stdout P a", f"{t} stdout F b", f"{t} stderr F e", f"{t} stdout P c", f"{t} stdout F d", "no format"],
+        "p2_ns_main-0b.log": ['{"log":"whole\\n","stream":"stdout","time":"2024-01-02T00:00:00.5Z"}', '{"message":"no stream"}',
+                              "2024-01-02T00:00:01+02:00 stdout P open"],
+    }
+    os.makedirs(src)
+    for name, lines in files.items():
+        with open(os.path.join(src, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    pods = spark.createDataFrame([("p1", "ns", "n", "pr", "e", "c")],
+                                 "pod string, pod_namespace string, namespace string, project_uid string, environment_uid string, component_uid string")
+    sink, rejects = K.scratch_path(spark, "stream-container-sink"), K.scratch_path(spark, "stream-container-rejects")
+    SP.container_log_stream(spark, src, sink, pods, K.scratch_path(spark, "ckpt-container"), max_files_per_trigger=1).awaitTermination()
+    SP.rejected_log_stream(spark, src, rejects, K.scratch_path(spark, "ckpt-rejects")).awaitTermination()
+    got = spark.read.parquet(sink)
+    found = sorted((r.pod, r.stream, r.log, r.component_uid) for r in got.collect())
+    assert found == [("p1", "stderr", "e", "c"), ("p1", "stdout", "ab", "c"), ("p1", "stdout", "cd", "c"), ("p2", "stdout", "whole", None)]
+    batch = C.read_container_logs(spark, src)
+    decoded = C.decode_container_lines(batch).filter("complete")
+    same = ["stream", "ts", "log"]
+    s = got.select("stream", F.col("ts").cast("timestamp_ntz").alias("ts"), "log")
+    assert s.exceptAll(decoded.select(same)).count() == 0 and decoded.select(same).exceptAll(s).count() == 0
+    want = sorted(r.value for r in C.rejected_container_lines(batch).collect())
+    assert sorted(r.value for r in spark.read.parquet(rejects).collect()) == want == ["no format", '{"message":"no stream"}']
+
+
+def test_fragments_survive_micro_batches(spark):
+    import time
+    src = K.scratch_path(spark, "stream-fragments")
+    schema = "file string, value string, block_start long"
+    t = "2024-01-01T00:00:0%dZ stdout %s %s"
+    for i, lines in enumerate([[(1, "F", "x"), (2, "P", "one ")], [(3, "P", "two ")], [(3, "F", "three"), (4, "F", "y")]]):
+        spark.createDataFrame([("f", t % x, 100 * i) for x in lines], schema).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    got = SP.run_to_memory(SP.decode_stream(stream), "fragments").collect()
+    assert sorted((r.log, r.ts.second, r.complete) for r in got) == [("one two three", 3, True), ("x", 1, True), ("y", 4, True)]
+
+
+def test_open_fragments_time_out():
+    import pandas as pd
+
+    class State:
+        exists, hasTimedOut, wait, get = False, False, None, None
+
+        def update(self, v):
+            self.exists, self.get = True, v
+
+        def remove(self):
+            self.exists, self.get = False, None
+
+        def setTimeoutDuration(self, ms):
+            self.wait = ms
+
+    fn, state = SP._stitch_fn(60), State()
+    t = pd.Timestamp("2024-01-01")
+    lines = pd.DataFrame({"ts": [t, t], "flag": ["P", "P"], "msg": ["b", "a"], "block_start": [0, 0], "line_no": [2, 1]})
+    assert list(fn(("f", "stdout"), iter([lines[:1], lines[1:]]), state)) == [] and state.get[0] == "ab" and state.wait == 60000
+    state.hasTimedOut = True
+    out = pd.concat(list(fn(("f", "stdout"), iter([]), state)))
+    assert out.values.tolist() == [["f", "stdout", t, "ab", False]] and not state.exists
+
+
+def test_windowed_increase_stream_equals_batch(spark):
+    v = Views(spark, SF_CHECK)
+    keys = ["pod", "container"]
+    samples = SP.to_event_time(v.cpu_samples().select(*keys, "ts", "value"))
+    stream = _as_stream(spark, samples.coalesce(1), "stream-increase")
+    got = SP.run_to_memory(SP.windowed_increase_stream(stream, keys, "1 day", "100 days"), "increase", mode="complete")
+    want = {}
+    for r in samples.collect():
+        day = r.event_time.replace(hour=0, minute=0, second=0, microsecond=0)
+        want.setdefault((r.pod, r.container, day), []).append((r.event_time, r.value))
+    rows = got.collect()
+    assert len(rows) == len(want) > 0
+    for r in rows:
+        pts = sorted(want[(r.pod, r.container, r.window_start)])
+        assert r.samples == len(pts) and abs(r.increase - (pts[-1][1] - pts[0][1])) < 1e-9
+
+
+def test_first_epoch_without_files_is_no_progress(spark):
+    import os
+    path = K.scratch_path(spark, "progress-empty")
+    assert SP._progress(spark, path, 0, "bigint") is None
+    os.makedirs(os.path.join(path, "epoch=0"))
+    assert SP._progress(spark, path, 1, "bigint") is None
+    spark.createDataFrame([(7,)], "upto bigint").write.parquet(f"{path}/epoch=1")
+    assert SP._progress(spark, path, 1, "bigint") is None and SP._progress(spark, path, 2, "bigint") == 7
