@@ -8,6 +8,14 @@ after a number is a unit, and capitalised words inside a sentence are a name
 hash-joined with the windows of all benchmark items; a window needs
 ``LITERALS`` words that are no placeholders.
 
+Exact items. An item without a full window of that kind (short questions,
+arithmetic, items in capitals), and one in a script without spaces, is also
+looked for as it stands: as its whole sequence of tokens (words, and every
+symbol and every character of three or four bytes by itself; symbols at the
+end go unless a digit is before them). Its first and its last 2^k tokens,
+which cover it, are hash-joined like windows, and both must match at one
+alignment. Case is folded from ``LITERALS`` tokens on; under that it counts.
+
 Slot consistency: matches of one document and item at one alignment count
 only if the slots' values map one to one: the same value of the item is
 always the same value of the document, and the other way round. A question
@@ -15,7 +23,8 @@ with new numbers and names passes; a text that merely shares its frame with
 changing fillers does not.
 
 A document is contaminated when consistent windows cover ``SHARE`` of an
-item's windows, or ``RUN`` windows match at one alignment.
+item's windows, or ``RUN`` windows match at one alignment, or an exact item
+stands in it.
 
 Scale. The documents are read once. A bitmap of the benchmark's window
 hashes, of the fixed size ``FILTER_BITS``, goes to the tasks, and only
@@ -24,8 +33,8 @@ Matches are grouped by (document, item), so an item found in a third of all
 documents is no hot group.
 
 Defined cases. NULL or empty texts match nothing. An item under ``WINDOW``
-words is one window of all its words; under ``LITERALS`` literals it matches
-nothing. Items equal as templates are all reported. Repeated documents are
+words is one window of all its words, if it has ``LITERALS`` literals, and an
+exact item. An item of one word is found in every text with that word. Items equal as templates are all reported. Repeated documents are
 all flagged. Empty tables: no rows, or nothing contaminated. NULL ids are
 carried as they are. Very long texts are whole. Other columns are passed
 through by ``drop_contaminated`` and never read.
@@ -60,6 +69,8 @@ _LETTER_OR_DIGIT = np.zeros(256, bool)
 _LETTER_OR_DIGIT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
+_SYMBOL = np.zeros(256, bool)
+_SYMBOL[33:128] = ~_LETTER_OR_DIGIT[33:128]
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:"]] = True
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
@@ -116,7 +127,11 @@ def template(s: tb.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, code, slot
 
 
-def windows(doc: np.ndarray, code: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+#: Kinds of rows: template windows, and tokens with case folded or kept.
+TEMPLATE, FOLDED, RAW = 0, 2, 3
+
+
+def windows(doc: np.ndarray, code: np.ndarray, slot: np.ndarray, size: int, way: int = TEMPLATE) -> tuple[np.ndarray, np.ndarray]:
     """First words and hashes of the windows of ``size`` words with enough
     literals and inside one text."""
     n = len(code) - size + 1
@@ -124,28 +139,79 @@ def windows(doc: np.ndarray, code: np.ndarray, slot: np.ndarray, size: int) -> t
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     literals = np.concatenate([[0], np.cumsum(slot == 0)])
     at = np.flatnonzero((doc[:n] == doc[size - 1:]) & (literals[size:] - literals[:n] >= min(size, LITERALS)))
-    return at, tb.window_hash(code, size)[at] ^ np.uint64(size)
-
-
-_WINDOWS = "id long, h long, pos int, window long, slots array<long>"
-
-
-def _window_rows(part: pa.RecordBatch, doc, code, slot, chosen: list[tuple[int, np.ndarray, np.ndarray]]):
-    """Rows of the chosen (size, first words, hashes)."""
+    return at, tb.window_hash(code, size)[at] ^ np.uint64(way << 32 | size)
+
+
+def tokens(s: tb.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of the tokens of exact items."""
+    n = len(s.buf)
+    if not n:
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    later = (s.buf >= 0x80) & (s.buf < 0xC0)  # bytes of a character after its first
+    wide = s.buf[np.maximum.accumulate(np.where(later, 0, np.arange(n)))] >= 0xE0
+    word = _LETTER_OR_DIGIT[s.buf] & ~wide
+    goes_on = wide & later
+    goes_on[1:] |= word[1:] & word[:-1]
+    goes_on[s.offsets[:-1][s.lengths > 0]] = False
+    solid = ~tb.SPACE[s.buf]
+    start = np.flatnonzero(solid & ~goes_on)
+    end = np.flatnonzero(solid & ~np.append(goes_on[1:], False)) + 1
+    return start, end, s.doc_of(start)
+
+
+def token_windows(s: tb.Slice, start: np.ndarray, end: np.ndarray, way: int, sizes: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, hash of each run of so many tokens) for the ``sizes``, powers of two."""
+    h = tb.range_hash(tb.prefix_hash(_fold(s.buf) if way == FOLDED else s.buf), start, end)
+    size, most = 1, max(sizes, default=0)
+    while size <= most and len(h):
+        if size in sizes:
+            yield size, tb.mix(h ^ np.uint64(way << 32 | size))
+        h = tb.mix(h[:-size] * np.uint64(0x9FB21C651E98DF25) + h[size:])
+        size *= 2
+
+
+def _exact_windows(s: tb.Slice, wanted: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(way, size, first tokens, hashes, text of each token) of the ``wanted`` texts as exact items."""
+    start, end, doc = tokens(s)
+    first = np.searchsorted(doc, np.arange(s.n + 1))
+    symbol = _SYMBOL[s.buf[start]] if len(start) else np.zeros(0, bool)
+    picked: dict[tuple[int, int], list[int]] = {}
+    for i in np.flatnonzero(wanted).tolist():
+        a, b = int(first[i]), int(first[i + 1])
+        solid = np.flatnonzero(~symbol[a:b])
+        if len(solid) and not _DIGIT[s.buf[end[a + solid[-1]] - 1]]:
+            b = a + int(solid[-1]) + 1
+        if a < b:
+            size = 1 << ((b - a).bit_length() - 1)
+            picked.setdefault((FOLDED if b - a >= LITERALS else RAW, size), []).extend({a, b - size})
+    for way in (FOLDED, RAW):
+        for size, h in token_windows(s, start, end, way, {k for w, k in picked if w == way}):
+            at = np.array(picked[way, size], np.int64)
+            yield way, size, at, h[at], doc
+
+
+_WINDOWS = "id long, h long, pos int, window long, slots array<long>, way int, k int"
+
+
+def _window_rows(part: pa.RecordBatch, doc, slot, way: int, chosen: list[tuple[int, np.ndarray, np.ndarray]]):
+    """Rows of the chosen (size, first words, hashes); no ``slot``: all are literals."""
     first = np.searchsorted(doc, np.arange(part.num_rows))
     for size, at, h in chosen:
-        values = slot[at[:, None] + np.arange(size)[None, :]]
+        values = slot[at[:, None] + np.arange(size)[None, :]] if slot is not None else np.zeros((len(at), 1), np.uint64)
         kept = values != 0
         offsets = np.concatenate([[0], np.cumsum(kept.sum(1))]).astype(np.int32)
         rows = pa.array(doc[at])
         yield pa.RecordBatch.from_arrays(
             [part.column("id").take(rows), part.column("h").take(rows), pa.array((at - first[doc[at]]).astype(np.int32)),
-             pa.array(h.view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[kept].view(np.int64)))],
-            names=["id", "h", "pos", "window", "slots"])
+             pa.array(h.view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[kept].view(np.int64))),
+             pa.array(np.full(len(at), way, np.int32)), pa.array(np.full(len(at), size, np.int32))],
+            names=["id", "h", "pos", "window", "slots", "way", "k"])
 
 
 def benchmark_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(id, h, pos, window, slots) of all items; short items as one window."""
+    """(id, h, pos, window, slots, way, k) of all items; short items as one
+    window, and exact items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,7 +223,11 @@ def benchmark_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
                     at, h = windows(doc, code, slot, k)
                     short = size[doc[at]] == k
                     chosen.append((k, at[short], h[short]))
-                yield from _window_rows(part, doc, code, slot, chosen)
+                yield from _window_rows(part, doc, slot, TEMPLATE, chosen)
+                # 0xE2 is mostly punctuation; the other wide characters are of scripts without spaces, or as good
+                exact = (s.count(doc[chosen[0][1]]) == 0) | (s.per_text((s.buf >= 0xE0) & (s.buf != 0xE2)) > 0)
+                for way, k, at, h, own in _exact_windows(s, exact):
+                    yield from _window_rows(part, own, None, way, [(k, at, h)])
 
     rows = items.select(F.col(item_id).cast("long").alias("id"), text_key(text).alias("h"), F.col(text).alias("text"))
     return rows.mapInArrow(run, _WINDOWS)
@@ -175,21 +245,34 @@ def _bitmap(bench: DataFrame) -> np.ndarray:
 
 
 def document_windows(docs: DataFrame, doc_id: str, text: str, bench: DataFrame) -> DataFrame:
-    """(id, h, pos, window, slots) of the documents' windows that may match."""
+    """(id, h, pos, window, slots, way, k) of the documents' windows that may match."""
     spark = docs.sparkSession
+    sizes: dict[int, set[int]] = {}
+    for r in bench.select("way", "k").distinct().collect():  # few: three sizes and powers of two
+        sizes.setdefault(r["way"], set()).add(r["k"])
     bits = spark.sparkContext.broadcast(_bitmap(bench))  # FILTER_BITS / 8 bytes, whatever the tables hold
 
+    def hits(h: np.ndarray) -> np.ndarray:
+        place = h & np.uint64(FILTER_BITS - 1)
+        return ((bits.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)) > 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, s in tb.bounded(batch, "text"):
-                doc, code, slot = template(s)
-                chosen = []
-                for k in range(LITERALS, WINDOW + 1):
-                    at, h = windows(doc, code, slot, k)
-                    place = h & np.uint64(FILTER_BITS - 1)
-                    hit = ((bits.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)) > 0
-                    chosen.append((k, at[hit], h[hit]))
-                yield from _window_rows(part, doc, code, slot, chosen)
+                if TEMPLATE in sizes:
+                    doc, code, slot = template(s)
+                    chosen = []
+                    for k in sorted(sizes[TEMPLATE]):
+                        at, h = windows(doc, code, slot, k)
+                        hit = hits(h)
+                        chosen.append((k, at[hit], h[hit]))
+                    yield from _window_rows(part, doc, slot, TEMPLATE, chosen)
+                ways = [w for w in (FOLDED, RAW) if w in sizes]
+                start, end, doc = tokens(s) if ways else (None, None, None)
+                for way in ways:
+                    for k, h in token_windows(s, start, end, way, sizes[way]):
+                        at = np.flatnonzero(hits(h) & (doc[:len(h)] == doc[k - 1:]))
+                        yield from _window_rows(part, doc, None, way, [(k, at, h[at])])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), text_key(text).alias("h"), F.col(text).alias("text"))
     return rows.mapInArrow(run, _WINDOWS)
@@ -201,9 +284,9 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     bench = stored(benchmark_windows(items, item_id, item_text), "benchmark").distinct()
     own = stored(document_windows(docs, doc_id, text, bench), "windows").distinct()
     b = bench.select(F.col("id").alias("item"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"), "window",
-                     F.col("slots").alias("item_slots"))
-    pairs = own.join(b, "window").withColumn("line", F.col("pos") - F.col("item_pos"))
-    key = ["id", "h", "item", "item_h", "line"]
+                     F.col("slots").alias("item_slots"), "way")
+    pairs = own.drop("way", "k").join(b, "window").withColumn("line", F.col("pos") - F.col("item_pos"))
+    key = ["id", "h", "item", "item_h", "way", "line"]
     slots = (pairs.filter(F.size("slots") > 0)
              .select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
              .select(*key, F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct())
@@ -214,15 +297,17 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
         c = pairs[k].eqNullSafe(torn[f"t_{k}"])
         cond = c if cond is None else cond & c
     sound = pairs.join(torn, cond, "left_anti")
-    sizes = b.groupBy("item", "item_h").agg(F.count_distinct("item_pos").alias("size")).withColumnsRenamed(
-        {"item": "s_item", "item_h": "s_h"})
+    sizes = b.groupBy("item", "item_h", "way").agg(F.count_distinct("item_pos").alias("size")).withColumnsRenamed(
+        {"item": "s_item", "item_h": "s_h", "way": "s_way"})
     lines = sound.groupBy(*key).agg(F.count_distinct("pos").alias("run"), F.collect_set("item_pos").alias("at"))
-    found = lines.groupBy("id", "h", "item", "item_h").agg(
+    found = lines.groupBy("id", "h", "item", "item_h", "way").agg(
         F.max("run").alias("run"), F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("covered"))
-    j = found.join(sizes, found["item"].eqNullSafe(sizes["s_item"]) & (found["item_h"] == sizes["s_h"]))
+    j = found.join(sizes, found["item"].eqNullSafe(sizes["s_item"]) & (found["item_h"] == sizes["s_h"])
+                   & (found["way"] == sizes["s_way"]))
     part = F.col("covered") / F.col("size")
-    return j.withColumn("share", part).filter((part >= share) | (F.col("run") >= run)).select(
-        "id", "h", "item", "item_h", "share")
+    # both ends of an exact item at one alignment
+    enough = F.when(F.col("way") >= FOLDED, F.col("run") == F.col("size")).otherwise((part >= share) | (F.col("run") >= run))
+    return j.withColumn("share", part).filter(enough).groupBy("id", "h", "item", "item_h").agg(F.max("share").alias("share"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

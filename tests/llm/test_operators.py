@@ -276,6 +276,20 @@ def test_decontamination_slots(spark, odd, empty):
     assert decontam.drop_contaminated(odd, items).columns == odd.columns
 
 
+def test_decontamination_exact_items(spark):
+    """Items without a literal-rich window are found as they stand."""
+    texts = ["Who wrote Hamlet?", "What is 12 + 7 * 3 - 4 / 2?", "THE CAPITAL OF FRANCE IS WHICH OF THESE CITIES TODAY?",
+             "What Is The Name Of The River That Runs Through London And Oxford?", "世界上最高的山峰是哪一座山？", "2 + 2"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(i, f"Some words stand before, {t} And some after it.") for i, t in enumerate(texts)]
+    rows += [(10, f"前文{texts[4]}后文"), (11, "What is 12 - 7 * 3 + 4 / 2?"), (12, "Who wrote it? Hamlet did."), (13, "世界上最高的"),
+             (14, texts[2].lower()), (15, "12 + 2"), (16, "THE CAPITAL OF FRANCE IS WHICH. IS WHICH OF THESE CITIES TODAY")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["item_ids"] for r in decontam.decontaminate(df, items).collect()}
+    assert got == {**{i: [i] for i in range(6)}, 10: [4], 11: [], 12: [], 13: [], 14: [2], 15: [], 16: []}
+    assert {r["doc_id"] for r in decontam.drop_contaminated(df, items).collect()} == {11, 12, 13, 15, 16}
+
+
 # operator 7
 
 def test_sharding(table):
