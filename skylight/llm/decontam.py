@@ -2,9 +2,12 @@
 
 Words are made canonical (case folded for ASCII and Latin-1, punctuation at
 their ends stripped) and replaced by typed placeholders where a question may
-be re-parameterised: a word that starts with a digit is a number, a unit word
-after a number is a unit, and capitalised words inside a sentence are a name
-(neighbours together one name). Windows of ``WINDOW`` template words are
+be re-parameterised: a word that starts with a digit is a number, and so are
+number words (neighbours together one number), a unit word after a number is a
+unit, and capitalised words inside a sentence are a name (neighbours together
+one name). The first word of a sentence may be a name or not, so there are two
+readings of each text, one with all capitalised first words as names and one
+with none; windows match within a reading. Windows of ``WINDOW`` template words are
 hash-joined with the windows of all benchmark items; a window needs
 ``LITERALS`` words that are no placeholders.
 
@@ -17,13 +20,12 @@ which cover it, are hash-joined like windows, and both must match at one
 alignment. Case is folded from ``LITERALS`` tokens on; under that it counts.
 
 Slot consistency: matches of one document and item at one alignment count
-only if the slots' values map one to one: the same value of the item is
-always the same value of the document, and the other way round. A question
-with new numbers and names passes; a text that merely shares its frame with
-changing fillers does not.
+only if each slot value of the item is always the same value of the document
+(two values of the item may become one). A question with new numbers and names
+passes; a text that merely shares its frame with changing fillers does not.
 
-A document is contaminated when consistent windows cover ``SHARE`` of an
-item's windows, or ``RUN`` windows match at one alignment, or an exact item
+A document is contaminated when consistent windows of a reading cover
+``SHARE`` of an item's windows, or ``RUN`` windows match at one alignment, or an exact item
 stands in it.
 
 Scale. The documents are read once. A bitmap of the benchmark's window
@@ -65,6 +67,12 @@ UNITS = ("percent % km kilometers kilometres kilometer m meters metres meter cm
          "year years dollar dollars usd euro euros eur cent cents mph kmh degrees degree celsius fahrenheit watt watts "
          "volt volts newton newtons joule joules hz mb gb tb").split()
 
+_TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+#: Number words (fixed values).
+NUMBERS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+           "eighteen nineteen hundred thousand million billion trillion dozen").split() + _TENS + [
+               f"{a}-{b}" for a in _TENS for b in "one two three four five six seven eight nine".split()]
+
 _LETTER_OR_DIGIT = np.zeros(256, bool)
 _LETTER_OR_DIGIT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _DIGIT = np.zeros(256, bool)
@@ -84,14 +92,15 @@ def _fold(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def _unit_hashes() -> np.ndarray:
-    s = tb.Slice(pa.array([" ".join(u for u in UNITS if u != "%")]))
+def _word_hashes(words: list[str]) -> np.ndarray:
+    s = tb.Slice(pa.array([" ".join(words)]))
     start, end, _ = s.words()
-    return np.sort(tb.range_hash(tb.prefix_hash(s.buf), start, end))
+    return np.sort(tb.range_hash(tb.prefix_hash(s.buf), start, end)) | np.uint64(1)
 
 
-def template(s: tb.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, template hash and slot value (0: literal) of each word."""
+def template(s: tb.Slice) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each reading: its way, and text number, template hash and slot value
+    (0: literal) of each word."""
     start, end, _ = s.words()
     solid = np.flatnonzero(_LETTER_OR_DIGIT[s.buf])
     a, b = np.searchsorted(solid, start), np.searchsorted(solid, end)
@@ -100,35 +109,41 @@ def template(s: tb.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first, last = solid[a], solid[b - 1] + 1
     doc = s.doc_of(first)
     h = tb.range_hash(tb.prefix_hash(_fold(s.buf)), first, last) | np.uint64(1)
-    number = _DIGIT[s.buf[first]]
+    digits = _DIGIT[s.buf[first]]
+    spelt = ~digits & np.isin(h, _word_hashes(NUMBERS))
+    number = digits | spelt
     same_doc = np.zeros(len(doc), bool)
     same_doc[1:] = doc[1:] == doc[:-1]
     after_number = np.zeros(len(doc), bool)
     after_number[1:] = number[:-1] & same_doc[1:]
-    units = _unit_hashes() | np.uint64(1)
-    unit = ~number & after_number & np.isin(h, units)
+    unit = ~number & after_number & np.isin(h, _word_hashes([u for u in UNITS if u != "%"]))
     breaks = np.concatenate([[0], np.cumsum(s.buf == 10)])
     inside = np.zeros(len(doc), bool)  # of a sentence
     inside[1:] = same_doc[1:] & ~_STOP[s.buf[end[:-1] - 1]] & (breaks[start[1:]] == breaks[end[:-1]])
     c0 = s.buf[first]
     c1 = s.buf[np.minimum(first + 1, len(s.buf) - 1)] if len(s.buf) else c0
     capital = ((c0 >= 65) & (c0 <= 90)) | ((c0 == 0xC3) & (c1 >= 0x80) & (c1 <= 0x9E) & (c1 != 0x97))
-    name = capital & inside & ~unit
-    code, slot = h.copy(), np.zeros(len(h), np.uint64)
-    for mask, mark in ((number, _NUMBER), (unit, _UNIT), (name, _NAME)):
-        code[mask] = mark
-        slot[mask] = h[mask]
-    follows = np.zeros(len(doc), bool)  # a name's further words
-    follows[1:] = name[1:] & name[:-1] & same_doc[1:]
-    if follows.any():
-        head = np.flatnonzero(~follows)
-        slot = np.add.reduceat(slot * np.where(follows, np.uint64(0x9FB21C651E98DF25), np.uint64(1)), head)
-        doc, code = doc[head], code[head]
-    return doc, code, slot
-
-
-#: Kinds of rows: template windows, and tokens with case folded or kept.
-TEMPLATE, FOLDED, RAW = 0, 2, 3
+    further = np.zeros(len(doc), bool)  # a number's further words
+    further[1:] = spelt[1:] & number[:-1] & inside[1:] & (last[:-1] == end[:-1])
+    for way in (TEMPLATE, NAMED):
+        name = capital & ~unit & ~number & (inside if way == TEMPLATE else True)
+        code, slot = h.copy(), np.zeros(len(h), np.uint64)
+        for mask, mark in ((number, _NUMBER), (unit, _UNIT), (name, _NAME)):
+            code[mask] = mark
+            slot[mask] = h[mask]
+        follows = further.copy()  # with a name's further words
+        follows[1:] |= name[1:] & name[:-1] & inside[1:]
+        own = doc
+        if follows.any():
+            head = np.flatnonzero(~follows)
+            slot = np.add.reduceat(slot * np.where(follows, np.uint64(0x9FB21C651E98DF25), np.uint64(1)), head)
+            own, code = doc[head], code[head]
+        yield way, own, code, slot
+
+
+#: Kinds of rows: template windows without and with names at the start of
+#: sentences, and tokens with case folded or kept.
+TEMPLATE, NAMED, FOLDED, RAW = 0, 1, 2, 3
 
 
 def windows(doc: np.ndarray, code: np.ndarray, slot: np.ndarray, size: int, way: int = TEMPLATE) -> tuple[np.ndarray, np.ndarray]:
@@ -216,16 +231,19 @@ def benchmark_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, s in tb.bounded(batch, "text"):
-                doc, code, slot = template(s)
-                chosen = [(WINDOW, *windows(doc, code, slot, WINDOW))]
-                size = s.count(doc)
-                for k in range(LITERALS, WINDOW):
-                    at, h = windows(doc, code, slot, k)
-                    short = size[doc[at]] == k
-                    chosen.append((k, at[short], h[short]))
-                yield from _window_rows(part, doc, slot, TEMPLATE, chosen)
+                full = np.zeros(s.n, np.int64)
+                for way, doc, code, slot in template(s):
+                    chosen = [(WINDOW, *windows(doc, code, slot, WINDOW, way))]
+                    if way == TEMPLATE:
+                        full = s.count(doc[chosen[0][1]])
+                    size = s.count(doc)
+                    for k in range(LITERALS, WINDOW):
+                        at, h = windows(doc, code, slot, k, way)
+                        short = size[doc[at]] == k
+                        chosen.append((k, at[short], h[short]))
+                    yield from _window_rows(part, doc, slot, way, chosen)
                 # 0xE2 is mostly punctuation; the other wide characters are of scripts without spaces, or as good
-                exact = (s.count(doc[chosen[0][1]]) == 0) | (s.per_text((s.buf >= 0xE0) & (s.buf != 0xE2)) > 0)
+                exact = (full == 0) | (s.per_text((s.buf >= 0xE0) & (s.buf != 0xE2)) > 0)
                 for way, k, at, h, own in _exact_windows(s, exact):
                     yield from _window_rows(part, own, None, way, [(k, at, h)])
 
@@ -248,7 +266,7 @@ def document_windows(docs: DataFrame, doc_id: str, text: str, bench: DataFrame)
     """(id, h, pos, window, slots, way, k) of the documents' windows that may match."""
     spark = docs.sparkSession
     sizes: dict[int, set[int]] = {}
-    for r in bench.select("way", "k").distinct().collect():  # few: three sizes and powers of two
+    for r in bench.select("way", "k").distinct().collect():  # few: up to WINDOW, and powers of two
         sizes.setdefault(r["way"], set()).add(r["k"])
     bits = spark.sparkContext.broadcast(_bitmap(bench))  # FILTER_BITS / 8 bytes, whatever the tables hold
 
@@ -259,14 +277,13 @@ def document_windows(docs: DataFrame, doc_id: str, text: str, bench: DataFrame)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, s in tb.bounded(batch, "text"):
-                if TEMPLATE in sizes:
-                    doc, code, slot = template(s)
+                for way, doc, code, slot in template(s) if TEMPLATE in sizes or NAMED in sizes else ():
                     chosen = []
-                    for k in sorted(sizes[TEMPLATE]):
-                        at, h = windows(doc, code, slot, k)
+                    for k in sorted(sizes.get(way, ())):
+                        at, h = windows(doc, code, slot, k, way)
                         hit = hits(h)
                         chosen.append((k, at[hit], h[hit]))
-                    yield from _window_rows(part, doc, slot, TEMPLATE, chosen)
+                    yield from _window_rows(part, doc, slot, way, chosen)
                 ways = [w for w in (FOLDED, RAW) if w in sizes]
                 start, end, doc = tokens(s) if ways else (None, None, None)
                 for way in ways:
@@ -290,8 +307,8 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     slots = (pairs.filter(F.size("slots") > 0)
              .select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
              .select(*key, F.col("z.item_slots").alias("x"), F.col("z.slots").alias("y")).distinct())
-    per_slot = lambda c: slots.groupBy(*key, c).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key)
-    torn = per_slot("x").unionByName(per_slot("y")).distinct().withColumnsRenamed({k: f"t_{k}" for k in key})
+    torn = (slots.groupBy(*key, "x").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key).distinct()
+            .withColumnsRenamed({k: f"t_{k}" for k in key}))
     cond = None
     for k in key:
         c = pairs[k].eqNullSafe(torn[f"t_{k}"])

@@ -290,6 +290,21 @@ def test_decontamination_exact_items(spark):
     assert {r["doc_id"] for r in decontam.drop_contaminated(df, items).collect()} == {11, 12, 13, 15, 16}
 
 
+def test_decontamination_readings(spark):
+    """Names at the start of sentences, number words, and two values that
+    become one are re-parameterised as well."""
+    first = "Betty saves 5 dollars of her pocket money every week. Betty has already spent 20 dollars on new books."
+    second = "The farmer sold 3 large boxes and 5 small boxes of ripe fruit to every shop along the road."
+    third = "The baker sells three loaves of fresh bread to each of forty customers who visit the shop before noon."
+    items = spark.createDataFrame([(1, first), (2, second), (3, third)], "item_id long, text string")
+    docs = [(1, first.replace("Betty", "Carlos")), (2, second.replace("3", "4").replace("5", "4")),
+            (3, third.replace("three", "twenty five").replace("forty", "ninety-one")), (4, third.replace("three", "7").replace("forty", "88")),
+            (5, "Betty reads the paper. Then the farmer and the baker close their shops and walk home along the road.")]
+    df = spark.createDataFrame([(i, f"Some text before. {t} And after.") for i, t in docs], "doc_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontam.decontaminate(df, items).collect()}
+    assert got == {1: [1], 2: [2], 3: [3], 4: [3], 5: []}
+
+
 # operator 7
 
 def test_sharding(table):
