@@ -4,8 +4,8 @@ A host's pages mostly share one template, so the place of the article is
 decided by the host, not page by page:
 
 1. Every page is parsed; each container element has a path of tags and
-   classes from the root, with digits generalised and numbered or one-off
-   classes dropped. A path's score on a page grows with the part of the
+   classes from the root, with digits generalised and numbered, tag or
+   one-off classes dropped. A path's score on a page grows with the part of the
    page's clean text (not in links, menus, forms, adverts, comments, ...) that
    lies in its elements, and with its depth.
 2. Scores are summed per (host, path) in Spark; the best path of a host wins.
@@ -13,11 +13,16 @@ decided by the host, not page by page:
    taken. A page without that path uses its own best path, and one without
    containers its whole clean text.
 
+Class, id and role words mark noise, but not against the page's text: an
+element so marked that holds most of the page's text is kept, unless an
+article stands outside it or, where it is no article and holds none, a tenth
+as much text does. A page whose text would be empty is read without these words.
+
 Votes are partially aggregated and one row per host joins back, so a host
 with a third of all pages is no hot group. Pages are parsed one at a time.
 
 Defined cases. NULL or empty html: the empty text. NULL or unreadable url:
-each page decides alone. Broken markup: unclosed and stray tags are accepted,
+each page decides alone. A ``hidden`` attribute hides, whatever its value. Broken markup: unclosed and stray tags are accepted,
 a tag cut off at the end is dropped. Ties between paths: the greater path
 string. Repeated rows vote and are returned each. Empty table: no rows.
 Nothing is capped. Other columns are not read.
@@ -65,53 +70,109 @@ NOISE_WORDS = frozenset(
     "related recommended recommendations trending popular widget widgets comment comments commentlist respond reply "
     "replies disqus discussion pagination pager skip hidden complementary contentinfo".split())
 
+#: First words of classes that say what a container has or lacks, not what it is.
+MODIFIERS = frozenset("has no with without".split())
+#: A noisily named container that is no article may leave out so much text for each character it holds.
+OUTSIDE = 0.1
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(sorted(RAW)) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _read_attributes(attrs: str) -> tuple[list[str], bool]:
-    """Classes (and the id, with #), and whether they mark noise."""
-    names, noise = [], False
+def _noisy(name: str, article: bool) -> bool:
+    """Whether a class, id or role marks noise; on an article by its first word only (tags are in its classes)."""
+    words = [w.lower() for w in _PARTS.findall(name)]
+    if not words or words[0] in MODIFIERS:
+        return False
+    return words[0] in NOISE_WORDS if article else any(w in NOISE_WORDS for w in words)
+
+
+def _read_attributes(attrs: str, article: bool = False) -> tuple[list[str], bool, bool]:
+    """Classes (and the id, with #), whether they mark noise, and whether the element is hidden."""
+    names, noise, hidden = [], False, False
     for m in _ATTRIBUTE.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
-            noise = True
+            hidden = True
         elif key in ("class", "id", "role"):
             for c in value.split():
-                noise = noise or any(w.lower() in NOISE_WORDS for w in _PARTS.findall(c))
+                noise = noise or _noisy(c, article)
                 if key == "class":
                     names.append(c)
                 elif key == "id":
                     names.append("#" + c)
-    return names, noise
+    return names, noise, hidden
 
 
 def _step(tag: str, names: list[str]) -> str:
     """A path step: digits generalised, names with several numbers dropped."""
-    kept = sorted({re.sub(r"\d+", "0", n.lower()) for n in names if len(re.findall(r"\d+", n)) < 2 and len(n) <= 40})
+    kept = sorted({re.sub(r"\d+", "0", n.lower()) for n in names if len(re.findall(r"\d+", n)) < 2 and len(n) <= 40
+                   and not n.lower().startswith(("tag-", "category-"))})
     return ".".join([tag, *kept])
 
 
 class _Element:
-    __slots__ = ("tag", "path", "noise", "link", "chars", "inside")
-
-    def __init__(self, tag: str, path: str, noise: bool, link: bool, inside: bool):
-        self.tag, self.path, self.noise, self.link, self.inside, self.chars = tag, path, noise, link, inside, 0
+    __slots__ = ("tag", "path", "noise", "hard", "link", "chars", "inside", "named", "article")
+
+    def __init__(self, tag: str, path: str, noise: bool, hard: bool, link: bool, inside: bool, named, article: int):
+        self.tag, self.path, self.noise, self.hard, self.link, self.inside, self.chars = tag, path, noise, hard, link, inside, 0
+        self.named, self.article = named, article
+
+
+class _Named:
+    """A noisily named element: its number, the one around it, the articles
+    open at its start, and its own text by article (0: in none)."""
+    __slots__ = ("number", "around", "articles", "container", "article", "own")
+
+    def __init__(self, number: int, around, articles: frozenset[int], container: bool, article: bool):
+        self.number, self.around, self.articles, self.container, self.article = number, around, articles, container, article
+        self.own: dict[int, int] = defaultdict(int)
+
+
+def _dominant(named: list[_Named]) -> frozenset[int]:
+    """Numbers of the noisily named elements that the page's text says to keep."""
+    whole = [sum(e.own.values()) for e in named]
+    for e in reversed(named[1:]):  # inner ones stand later
+        whole[e.around.number] += whole[e.number]
+        e.around.article = e.around.article or e.article
+    kept = {0}
+    outside = dict(named[0].own)
+    for e in named[1:]:  # those with over half of the text lie in each other
+        if 2 * whole[e.number] <= whole[0] or e.around.number not in kept or not e.container:
+            continue
+        if any(n for a, n in outside.items() if a and a not in e.articles):
+            continue
+        if not e.article and sum(outside.values()) > OUTSIDE * whole[e.number]:
+            continue
+        kept.add(e.number)
+        for a, n in e.own.items():
+            outside[a] = outside.get(a, 0) + n
+    return frozenset(kept - {0})
+
+
+def parse(page: str, target: str | None = None, names: bool = True) -> tuple[dict[str, int], list[str]]:
+    """(characters of clean text by container path, blocks of the elements at
+    path ``target``; an empty target takes all clean text). Without ``names``
+    class, id and role words mark nothing."""
+    found, blocks, kept = _parse(page, target, None if not names else frozenset())
+    return _parse(page, target, kept)[:2] if kept else (found, blocks)
 
 
-def parse(page: str, target: str | None = None) -> tuple[dict[str, int], list[str]]:
-    """(characters of clean text by container path, blocks of the elements at
-    path ``target``; an empty target takes all clean text)."""
+def _parse(page: str, target: str | None, kept: frozenset[int] | None) -> tuple[dict[str, int], list[str], frozenset[int]]:
+    """``parse`` with the noisily named elements of the numbers ``kept`` taken
+    as clean (None: all), and the numbers that should be."""
     found: dict[str, int] = defaultdict(int)
     blocks: list[str] = []
     block: list[str] = []
     whole = target == ""
-    stack = [_Element("", "", False, False, whole)]
+    named = [_Named(0, None, frozenset(), True, False)]
+    articles = 0
+    stack = [_Element("", "", False, False, False, whole, named[0], 0)]
 
     def flush() -> None:
         text = " ".join("".join(block).split())
@@ -141,8 +202,12 @@ def parse(page: str, target: str | None = None) -> tuple[dict[str, int], list[st
         kind = m.lastgroup
         if kind == "text":
             top = stack[-1]
-            if not top.noise:
+            if not top.hard:
                 text = entities.unescape(m["text"])
+                if not top.link:
+                    top.named.own[top.article] += len(text) - text.count(" ")
+                if top.noise:
+                    continue
                 if not top.link:
                     top.chars += len(text) - text.count(" ")
                 if top.inside:
@@ -162,19 +227,32 @@ def parse(page: str, target: str | None = None) -> tuple[dict[str, int], list[st
             if tag in VOID or m["attrs"].endswith("/") and tag not in BLOCK:
                 continue
             parent = stack[-1]
-            names, noise = _read_attributes(m["attrs"]) if m["attrs"] else ([], False)
-            noise = parent.noise or tag in NOISE_TAGS or (noise and tag not in ("html", "body", "article", "main"))
-            if tag in ("article", "main") and names and not noise:
-                noise = _read_attributes(m["attrs"])[1]
-            if tag == "header" and not any(e.tag in ("article", "main") for e in stack):
-                noise = True
+            article = tag in ("article", "main")
+            names, noise, hard = _read_attributes(m["attrs"], article) if m["attrs"] else ([], False, False)
+            if tag in ("html", "body"):
+                noise = hard = False
+            hard = parent.hard or hard or tag in NOISE_TAGS or (
+                tag == "header" and not any(e.tag in ("article", "main") for e in stack))
+            own = parent.named
+            if noise and not hard and kept is not None:
+                own = _Named(len(named), own, frozenset(e.article for e in stack if e.article), tag in CONTAINER, article)
+                named.append(own)
+                noise = own.number not in kept
+            elif article:
+                parent.named.article = parent.named.article or own.number > 0
+                noise = False
+            else:
+                noise = False
+            noise = parent.noise or hard or noise
+            if article:
+                articles += 1
             path = f"{parent.path}>{_step(tag, names)}" if tag in CONTAINER or tag in BLOCK else parent.path
             inside = not noise and (parent.inside or whole or target is not None and tag in CONTAINER and path == target)
-            stack.append(_Element(tag, path, noise, parent.link or tag == "a", inside))
+            stack.append(_Element(tag, path, noise, hard, parent.link or tag == "a", inside, own, articles if article else parent.article))
     while len(stack) > 1:
         pop()
     flush()
-    return found, blocks
+    return found, blocks, _dominant(named) if not kept and len(named) > 1 else frozenset()
 
 
 def weight(path: str) -> float:
@@ -208,7 +286,11 @@ def extract(page: str, path: str | None) -> str:
             return "\n\n".join(blocks)
     else:
         found, _ = parse(page)
-    return "\n\n".join(parse(page, best(votes(found)))[1])
+    text = "\n\n".join(parse(page, best(votes(found)))[1])
+    if not text and page:
+        found, _ = parse(page, None, False)
+        text = "\n\n".join(parse(page, best(votes(found)), False)[1])
+    return text
 
 
 def host_of(url: str):

@@ -379,6 +379,22 @@ def test_html_table(spark):
         assert got[r["page_id"]] == "\n\n".join(b for b in blocks if b)
 
 
+def test_html_noisy_names(spark):
+    """Names of classes do not hide a page's text, and values are no attributes."""
+    text = "<p>" + "The article text goes on. " * 12 + "</p>"
+    want = " ".join(["The article text goes on."] * 12)
+    bodies = [f'<article class="post tag-privacy">{text}</article><div class="comments"><p>{"Reader said so. " * 60}</p></div>',
+              f'<div class="content has-sidebar">{text}<div class="sidebar"><p>Side.</p></div></div>',
+              f'<section class="discussion">{text}</section>', f'<main class="search-page"><article>{text}</article></main>',
+              f'<div title="a hidden gem" data-hidden="false" data-class="ad">{text}</div>', f'<div class="sidebar">{text}</div>',
+              f'<article><div class="story">{text}</div><section class="comments"><p>{"Reader said so. " * 60}</p></section></article>',
+              f'<article>{text}</article><article class="comment"><p>{"Reader said so. " * 60}</p></article>',
+              f'<p class="notice">{text[3:-4]}</p>', f'<div hidden><p>No.</p></div><div>{text}</div>']
+    rows = [(i, f"http://h{i}.example/", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_extract.main_text(df).collect()} == {i: want for i in range(len(bodies))}
+
+
 # operator 9
 
 def test_licenses(table):
