@@ -23,7 +23,8 @@ with a third of all pages is no hot group. Pages are parsed one at a time.
 
 Defined cases. NULL or empty html: the empty text. NULL or unreadable url:
 each page decides alone. A ``hidden`` attribute hides, whatever its value. Broken markup: unclosed and stray tags are accepted,
-a tag cut off at the end is dropped. Ties between paths: the greater path
+a tag cut off at the end is dropped; an unclosed script or style reaches to
+the end, any other element of raw text is dropped up to its start tag's end. Ties between paths: the greater path
 string. Repeated rows vote and are returned each. Empty table: no rows.
 Nothing is capped. Other columns are not read.
 """
@@ -76,7 +77,9 @@ MODIFIERS = frozenset("has no with without".split())
 OUTSIDE = 0.1
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(sorted(RAW)) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"<!--.*?(?:-->|\Z)|<(?P<script>script|style)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</(?P=script)(?=[\s/>])[^>]*>|\Z))"
+    r"|<(?P<raw>" + "|".join(sorted(RAW - {"script", "style"})) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+    r"(?:(?<=/)>|>(?:.*?</(?P=raw)(?=[\s/>])[^>]*>)?)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")

@@ -395,6 +395,15 @@ def test_html_noisy_names(spark):
     assert {r["page_id"]: r["text"] for r in html_extract.main_text(df).collect()} == {i: want for i in range(len(bodies))}
 
 
+def test_html_raw_names(spark):
+    """Custom elements named like raw ones, and unclosed raw ones, leave the article."""
+    bodies = ['<svg-icon name="x"></svg-icon>{}', "<template-card>{}</template-card>", "<title-bar>T</title-bar>{}", "<svg><path d=x>{}",
+              "<math>{}", "<noscript>{}", "<svg><text>No</text></svg >{}", "<iframe-resizer/>{}", "{}<script>var a = 1;"]
+    rows = [(i, f"http://h{i}.example/", "<body>" + b.format("<article><p>All of it.</p></article>")) for i, b in enumerate(bodies)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["text"] for r in html_extract.main_text(df).collect()} == {"All of it."}
+
+
 # operator 9
 
 def test_licenses(table):
