@@ -7,11 +7,16 @@ decided by the host, not page by page:
    classes from the root, with digits generalised and numbered, tag or
    one-off classes dropped. A path's score on a page grows with the part of the
    page's clean text (not in links, menus, forms, adverts, comments, ...) that
-   lies in its elements, and with its depth.
+   lies in its elements, and with its depth, as
+   far as no text of the container around is lost.
 2. Scores are summed per (host, path) in Spark; the best path of a host wins.
 3. Pages are parsed again and the text of the elements on the winning path is
-   taken. A page without that path uses its own best path, and one without
-   containers its whole clean text.
+   taken, if it is half of the page's clean text. Otherwise another path with
+   half of it is taken, unless the host speaks against that path (it holds
+   half on fewer than half of the host's pages that have it); where text
+   beside the winning path and such paths makes up half, the next container
+   around the winning path; else the winning path. A page without the winning
+   path uses its own best path, and one without containers its whole clean text.
 
 Class, id and role words mark noise, but not against the page's text: an
 element so marked that holds most of the page's text is kept, unless an
@@ -258,7 +263,21 @@ def _parse(page: str, target: str | None, kept: frozenset[int] | None) -> tuple[
     return found, blocks, _dominant(named) if not kept and len(named) > 1 else frozenset()
 
 
-def weight(path: str) -> float:
+def lossless_depth(path: str, found: dict[str, int]) -> int:
+    """Steps of a path, without those into a container with less text than
+    the one around it (main elements apart)."""
+    depth, pending, around, at = 0, 0, None, ""
+    for step in path.split(">")[1:]:
+        at += ">" + step
+        pending += 1
+        if at in found:
+            if around is None or found[at] >= around or step.split(".")[0] == "main":
+                depth += pending
+            pending, around = 0, found[at]
+    return depth
+
+
+def weight(path: str, found: dict[str, int]) -> float:
     """What a path's place and names add to its part of the text."""
     steps = path.split(">")[1:]
     article = next((i for i, x in enumerate(steps) if x.split(".")[0] == "article"), None)
@@ -268,25 +287,45 @@ def weight(path: str) -> float:
         w in ARTICLE_WORDS for n in x.split(".")[1:] for w in _PARTS.findall(n))), None)
     if named is not None:
         return 1 + DEPTH_BONUS * (named + 1) + WORD_BONUS
-    return 1 + DEPTH_BONUS * len(steps)
+    return 1 + DEPTH_BONUS * lossless_depth(path, found)
 
 
 def votes(found: dict[str, int]) -> dict[str, int]:
     """Whole-number score of every container path of a page."""
     most = max(found.values(), default=0)
-    return {p: round(VOTE * (c / most) ** 2 * weight(p)) for p, c in found.items() if c} if most else {}
+    return {p: round(VOTE * (c / most) ** 2 * weight(p, found)) for p, c in found.items() if c} if most else {}
 
 
 def best(scores: dict[str, int]) -> str:
     return max(scores, key=lambda p: (scores[p], p), default="")
 
 
-def extract(page: str, path: str | None) -> str:
+def page_path(found: dict[str, int], path: str, small: list[str]) -> str:
+    """The path to read on a page that has its host's ``path``; ``small`` are
+    the paths that the host speaks against."""
+    most = max(found.values())
+    if 2 * found[path] >= most:
+        return path
+    around = [p for p in found if path.startswith(p + ">")]
+    against = [p for p in small if p in found and p not in around and not p.startswith(path + ">")]
+    under = lambda p: any(p == x or p.startswith(x + ">") for x in against)
+    scores = votes(found)
+    other = {p: s for p, s in scores.items() if 2 * found[p] >= most and p not in around and p != path and not under(p)}
+    if other:
+        return best(other)
+    aside = sum(found[p] for p in against if not any(p.startswith(x + ">") for x in against))
+    if 2 * (most - found[path] - aside) >= most:
+        return max((p for p in around if 2 * found[p] >= most), key=len, default=path)
+    return path
+
+
+def extract(page: str, path: str | None, small: list[str] | None = None) -> str:
     """The text at ``path``, or at the page's own best path."""
     if path:
         found, blocks = parse(page, path)
         if found.get(path):
-            return "\n\n".join(blocks)
+            own = page_path(found, path, small or [])
+            return "\n\n".join(blocks if own == path else parse(page, own)[1])
     else:
         found, _ = parse(page)
     text = "\n\n".join(parse(page, best(votes(found)))[1])
@@ -303,40 +342,50 @@ def host_of(url: str):
 
 
 def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path): the winning container path of each host."""
+    """(host, path, small): the winning container path of each host, and the
+    paths that hold half of the text on some of its pages, but on fewer than
+    half of the pages that have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                sums: dict[tuple[str, str], int] = defaultdict(int)
+                sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0])
                 for host, page in zip(part.column("host").to_pylist(), part.column("html")):
-                    for path, score in votes(parse(page.as_py() or "")[0]).items():
-                        sums[host, path] += score
+                    found = parse(page.as_py() or "")[0]
+                    most = max(found.values(), default=0)
+                    for path, score in votes(found).items():
+                        own = sums[host, path]
+                        own[0] += score
+                        own[1] += 1
+                        own[2] += 2 * found[path] >= most
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.string()),
-                     pa.array(list(sums.values()), pa.int64())], names=["host", "path", "score"])
+                     *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(3))],
+                    names=["host", "path", "score", "n", "big"])
 
     p = pages.select(host_of(url).alias("host"), F.col(html).alias("html")).filter("host IS NOT NULL")
-    summed = (p.mapInArrow(run, "host string, path string, score long").groupBy("host", "path")
-              .agg(F.sum("score").alias("score")))
+    summed = (p.mapInArrow(run, "host string, path string, score long, n long, big long").groupBy("host", "path")
+              .agg(F.sum("score").alias("score"), F.sum("n").alias("n"), F.sum("big").alias("big")))
     # stored, so that the join sees its real size: one that may be broadcast leaves the pages in place
-    return stored(summed.groupBy("host").agg(F.max_by("path", F.struct("score", "path")).alias("path")), "paths")
+    return stored(summed.groupBy("host").agg(
+        F.max_by("path", F.struct("score", "path")).alias("path"),
+        F.collect_list(F.when(F.expr("big > 0 AND 2 * big < n"), F.col("path"))).alias("small")), "paths")
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
     paths = host_paths(pages, url, html).withColumnRenamed("host", "w_host")
     p = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host_of(url).alias("host"))
-    joined = p.join(paths, F.col("host") == F.col("w_host"), "left").select("page_id", "url", "html", "path")
+    joined = p.join(paths, F.col("host") == F.col("w_host"), "left").select("page_id", "url", "html", "path", "small")
     kind = pages.schema[page_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                texts = [extract(page.as_py() or "", path) for page, path in
-                         zip(part.column("html"), part.column("path").to_pylist())]
+                texts = [extract(page.as_py() or "", path, small) for page, path, small in
+                         zip(part.column("html"), part.column("path").to_pylist(), part.column("small").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

@@ -404,6 +404,23 @@ def test_html_raw_names(spark):
     assert {r["text"] for r in html_extract.main_text(df).collect()} == {"All of it."}
 
 
+def test_html_two_templates(spark):
+    """A minority page keeps its article; a title beside the text block stays."""
+    major = '<body><div class="story"><p>{}</p></div><div class="foot"><p>Fine print.</p></div></body>'
+    minor = '<body><div class="story"><p>A small block.</p></div><div class="longread"><p>{}</p></div></body>'
+    plain = '<body><div class="story"><p>A small block.</p></div><p>{}</p></body>'
+    titled = "<html><body><main><h1>Title</h1><div><p>{}</p></div></main></body></html>"
+    long = " ".join(["Article text."] * 60)
+    rows = [(i, f"http://two.example/{i}", major.format(long)) for i in range(9)]
+    rows += [(20, "http://two.example/20", minor.format(long)), (21, "http://two.example/21", plain.format(long))]
+    rows += [(i, f"http://main.example/{i}", titled.format(long)) for i in range(30, 34)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(df).collect()}
+    assert all(long in t for t in got.values())
+    assert got[20] == long and got[21] == f"A small block.\n\n{long}"
+    assert all(got[i] == f"Title\n\n{long}" for i in range(30, 34))
+
+
 # operator 9
 
 def test_licenses(table):
