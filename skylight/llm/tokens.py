@@ -11,15 +11,15 @@ or only the metadata skips the other pages.
 Encoding: a text is cut before every white-space character that follows a
 character that is not white space. The tokenizer's own splitter always starts
 a new piece there, so the pieces encode independently; a worker encodes each
-distinct piece once. Texts with white space beyond ASCII are encoded
-whole.
+distinct piece once. Texts with white space beyond ASCII, or with the string
+of one of the tokenizer's added tokens, are encoded whole.
 
 ``read_tokens`` reads the files: the start of each document comes from
 per-file totals of the metadata column (one row per file) and running sums
 within a file; checksums come from the ids read.
 
-Defined cases. NULL or empty text: the end id alone. Special tokens' strings
-are ordinary text. Repeated rows and equal ids: each row is written; equal
+Defined cases. NULL or empty text: the end id alone. An added token's
+string in a text gets that token's id, as the library gives it. Repeated rows and equal ids: each row is written; equal
 ids are ordered by text hash. NULL ids come first. Empty table: no files, no
 rows. Other columns are not read.
 """
@@ -56,17 +56,24 @@ JOINED = 500
 
 _tokenizers: dict[str, object] = {}
 _coded: dict[str, "Coded"] = {}
+_whole: dict[str, re.Pattern] = {}
 
 
 def tokenizer(path: str):
     if path not in _tokenizers:
         from tokenizers import Tokenizer
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        _tokenizers[path] = t
+        _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
+def whole_texts(path: str) -> re.Pattern:
+    """What a text holds that must be encoded whole."""
+    if path not in _whole:
+        added = [re.escape(t.content) for t in tokenizer(path).get_added_tokens_decoder().values()]
+        _whole[path] = re.compile("|".join([_OTHER_SPACE.pattern, *added]))
+    return _whole[path]
+
+
 def gather(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Indices starts[i], starts[i] + 1, ... (lengths[i] of them), in a row."""
     end = np.cumsum(lengths)
@@ -166,9 +173,19 @@ def encode_slice(path: str, s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(path: str, part: pa.RecordBatch, column: str, s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
-    """``encode_slice`` with the texts that hold other white space encoded whole."""
-    odd = [i for i in np.flatnonzero(s.per_text(s.buf >= 0xC2) > 0).tolist()
-           if _OTHER_SPACE.search(part.column(column)[i].as_py())]
+    """``encode_slice`` with the texts that hold other white space or an added
+    token's string encoded whole."""
+    pattern = whole_texts(path)
+    marks = {t.content.encode()[0] for t in tokenizer(path).get_added_tokens_decoder().values()}
+    may = s.buf >= 0xC2
+    for c in marks:
+        may |= s.buf == c
+    odd = [i for i in np.flatnonzero(s.per_text(may) > 0).tolist() if pattern.search(part.column(column)[i].as_py())]
+    if odd:  # nothing of them goes to the coded pieces
+        left = part.column(column).to_pylist()
+        for i in odd:
+            left[i] = None
+        s = tb.Slice(pa.array(left, pa.string()))
     ids, n = encode_slice(path, s)
     if odd:
         texts = [part.column(column)[i].as_py() for i in odd]

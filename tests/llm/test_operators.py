@@ -121,6 +121,21 @@ def test_tokens(table, spark, tmp_path):
         assert {r[0]: list(r[1]) for r in tokens.read_ids(spark, out, 5, 10).filter("doc_id in (5, 10)").collect()} == want
 
 
+def test_tokens_as_the_library(spark, tmp_path):
+    """Added tokens' strings give the ids of the unaltered library."""
+    from tokenizers import Tokenizer
+    path = tokenizer_path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["x <|endoftext|> y", "plain text  here\n", "<|endoftext|>", "a<|endoftext|>\n\nb <|endoftext|", "é <|endoftext|>\u00a0x", "y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    tokens.write_tokens(df, f"{tmp_path}/t", path)
+    want = [[*t.encode(x, add_special_tokens=False).ids, 2] for x in texts]
+    assert want[0] == [87, 220, 50256, 331, 2]
+    rows = tokens.read_tokens(spark, f"{tmp_path}/t").orderBy("doc_id").collect()
+    starts = [0, *itertools.accumulate(map(len, want))][:-1]
+    assert [tuple(r) for r in rows] == [(i, a, len(c), brute.crc(c)) for i, (a, c) in enumerate(zip(starts, want))]
+
+
 def test_token_files_have_indexes(docs, spark, tmp_path):
     import glob
 
