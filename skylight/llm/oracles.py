@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_rules, licenses, lines, quality
+from . import license_rules, licenses, lines, quality, trie
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -75,7 +75,8 @@ SELECT d.doc_id, d.source, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, ''
   coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped FROM d LEFT JOIN k ON d.r = k.r"""
 
 
-def op5() -> str:
+def near_classes(percent: int, last: str) -> str:
+    """Components of documents whose shingle sets are ``percent`` similar."""
     return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
@@ -83,13 +84,21 @@ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) <
         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
-e AS (SELECT a, b FROM c JOIN n x ON c.a = x.doc_id JOIN n y ON c.b = y.doc_id WHERE 100 * k >= 75 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM c JOIN n x ON c.a = x.doc_id JOIN n y ON c.b = y.doc_id WHERE 100 * k >= {percent} * (x.n + y.n - k)),
 r(a, b) AS (SELECT DISTINCT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
 m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id{last}
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN m ON d.doc_id = m.a"""
 
 
+def op5() -> str:
+    return near_classes(75, ", d.doc_id = m.component_id AS kept")
+
+
+def op12() -> str:
+    return near_classes(80, "")
+
+
 def op9() -> str:
     rules = ",\n".join(f"({i}, {_text(label)}, {p}, CAST({w} AS DOUBLE), {_text(k.replace(' ', '  '))}, {_text('(' + licenses.spaced(x) + ')')})"
                        for i, label, p, w, k, x in license_rules.rules())
@@ -129,5 +138,78 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_base AS BIGINT) AS n_b
 FROM base LEFT JOIN kept ON base.r = kept.r"""
 
 
+def _crc32(x: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    return f"""xor(list_reduce(list_concat([4294967295], list_transform(string_split({x}, ''), lambda b: ord(b)::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda v, j: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+
+def op11() -> str:
+    white = r"[\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE
+-- states: 0 nothing, 1 s, 2 u, 3 a
+ins(st, ins, n, mid) AS (VALUES (0, '', 0, 0), (0, 'I', 1, 2), (0, 'II', 2, 3), (1, '', 0, 1), (1, 'I', 1, 2), (1, 'II', 2, 3),
+  (2, '', 0, 2), (2, 'I', 1, 3), (2, 'II', 2, 2), (3, '', 0, 3), (3, 'I', 1, 2), (3, 'II', 2, 3)),
+con(mid, x, st2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+src AS (SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+how AS (SELECT *, {_crc32('name')} % 20 AS how FROM src),
+hurt AS (SELECT r, conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+  CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE WHEN how = 3 THEN 2 ELSE 1 END)) AS copy FROM how WHERE how <> 0),
+seq AS (SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), r, copy) AS i FROM hurt),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  regexp_replace(text, '{white}+', '', 'g') AS bare, left(role, 1) AS x, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS x0 FROM seq),
+rows AS (SELECT *, bare = '' AS blank, bare <> '' AND again AS dup, bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut FROM seen),
+act AS (SELECT c, i, blank OR dup AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS more, x FROM rows),
+opt AS (SELECT st, x, ins || 'K' AS letters, 3 * n AS cost, st2, true AS keeps FROM ins JOIN con USING (mid)
+  UNION ALL SELECT st, NULL, ins || 'R', 3 * n + 3, st2, true FROM ins JOIN con USING (mid) WHERE x <> 's'
+  UNION ALL SELECT DISTINCT st, NULL, 'D', 4, st, false FROM ins),
+run(c, i, st, best) AS (SELECT DISTINCT c, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': ''}} FROM act
+  UNION ALL SELECT run.c, act.i, opt.st2, min({{'cost': run.best.cost + opt.cost + CASE WHEN keeps THEN more ELSE 0 END, 'audit': run.best.audit || opt.letters}})
+  FROM run JOIN act ON act.c = run.c AND act.i = run.i + 1 JOIN opt ON opt.st = run.st AND (opt.x IS NULL OR opt.x = act.x) AND NOT (keeps AND gone)
+  GROUP BY run.c, act.i, opt.st2),
+size AS (SELECT c, max(i) AS n FROM act GROUP BY c),
+fin AS (SELECT run.c, min({{'cost': best.cost + 3 * ins.n, 'audit': best.audit || ins.ins}}) AS best
+  FROM run JOIN size ON size.c = run.c AND size.n = run.i JOIN ins ON ins.st = run.st AND ins.mid IN (0, 3) GROUP BY run.c),
+edit AS (SELECT c, unnest(string_split(best.audit, '')) AS e, generate_subscripts(string_split(best.audit, ''), 1) AS p FROM fin WHERE best.audit <> ''),
+place AS (SELECT *, sum(CASE WHEN e = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY c ORDER BY p) AS i FROM edit),
+put AS (SELECT place.*, role, text, x, sum(CASE WHEN e = 'D' OR (e = 'K' AND x = 's') THEN 0 ELSE 1 END) OVER (PARTITION BY place.c ORDER BY p) AS k
+  FROM place LEFT JOIN rows ON rows.c = place.c AND rows.i = place.i),
+made AS (SELECT c, string_agg(CASE WHEN e = 'K' THEN role WHEN k % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END,
+  chr(10) ORDER BY p) AS lines FROM put WHERE e <> 'D' GROUP BY c),
+counts AS (SELECT conv_id, c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+  count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+  count(*) FILTER (WHERE x0 IS NOT NULL AND x0 || x NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv_id, c)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(fin.best.cost, 0)::BIGINT AS cost, coalesce(fin.best.audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN fin ON fin.c = counts.c LEFT JOIN made ON made.c = counts.c"""
+
+
+def op13() -> str:
+    return rf"""
+WITH own AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS place,
+  length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || sha256(coalesce(text, '')) AS id,
+  octet_length(encode(coalesce(text, '')))::BIGINT AS bytes FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT conv_id, conv_id - conv_id % {trie.FAMILY} AS base, {_crc32('conv_id::VARCHAR')} % {trie.HEAD} AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+turn AS (SELECT c.conv_id, 0 AS part, place, id, bytes FROM conv c JOIN own o ON o.conv_id = c.base AND place <= h
+  UNION ALL SELECT c.conv_id, 1, place, id, bytes FROM conv c JOIN own o ON o.conv_id = c.conv_id AND place > h),
+path AS (SELECT conv_id, list(id) OVER w AS key, bytes FROM turn WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+member AS (SELECT conv_id, key, bytes FROM path UNION ALL SELECT conv_id, [], 0 FROM conv),
+node AS (SELECT key, min(conv_id) AS conv_id, count(*) AS n, max(bytes) AS bytes, len(key) AS depth FROM member GROUP BY key),
+child AS (SELECT key[:-2] AS key, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+below AS (SELECT node.key[:d] AS key, sum((node.n - 1) * bytes) AS saved, count(*) FILTER (WHERE child.n IS NULL) AS leaves
+  FROM node LEFT JOIN child USING (key), LATERAL (SELECT unnest(range(0, depth + 1)) AS d) GROUP BY ALL),
+whole AS (SELECT conv_id, arg_max(key, len(key)) AS key FROM member GROUP BY conv_id),
+fin AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM whole GROUP BY key)
+SELECT node.conv_id, node.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(child.n, 0) AS n_children,
+  leaves AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM node JOIN below USING (key) LEFT JOIN child USING (key) LEFT JOIN fin USING (key) LEFT JOIN node up ON node.depth > 0 AND up.key = node.key[:-2]"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1(), "op2_line_dedup": op2(), "op5_minhash_near_dedup": op5(), "op9_license_scan": op9()}
+    return {"op11_conversation_repair": op11(), "op12_ngram_join": op12(), "op13_prefix_trie": op13(), "op1_quality_rules": op1(), "op2_line_dedup": op2(), "op5_minhash_near_dedup": op5(), "op9_license_scan": op9()}

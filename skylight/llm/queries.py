@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, licenses, lines, minhash, oracles, pieces, quality, sharding, suffix, tokens
+from . import (decontam, html_extract, licenses, lines, minhash, ngram_join, oracles, pieces, quality, repair, sharding,
+               suffix, tokens, trie)
 from .common import table
 
 
@@ -63,9 +64,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"), family=trie.FAMILY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_token_binary, op4_suffix_dedup, op5_minhash_near_dedup,
-                            op6_decontamination, op7_sharding, op8_html_extraction, op9_license_scan, op10_sentencepiece)}
+                            op6_decontamination, op7_sharding, op8_html_extraction, op9_license_scan, op10_sentencepiece,
+                            op11_conversation_repair, op12_ngram_join, op13_prefix_trie)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -73,6 +87,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for operators 1, 2, 5 and 9. The others (tokenizers, byte strings of
+    """SQL for operators 1, 2, 5, 9, 11, 12 and 13. The others (tokenizers, byte strings of
     any place, HTML, checksums that the engine lacks) are tested by brute force."""
     return oracles.oracle_sql()
