@@ -30,16 +30,23 @@ def read_container_logs(spark: SparkSession, path: str, stream: bool = False,
     """Every ``*.log`` under ``path`` (recursively), read from the start,
     the shipper's own files skipped (by file name, not folder); one row per
     line with its file name. No line is dropped unless ``max_line_bytes`` asks
-    for it; ``overlong_lines`` counts what it would skip."""
-    if stream:
+    for it; ``overlong_lines`` counts what it would skip. A stream of ``*.log``
+    files follows what is appended and rotated (``sources/tail.py``); with
+    another ``glob`` files are read once, as they are when first seen."""
+    follow = stream and glob == "*.log"
+    if follow:
+        from .tail import tail_container_logs
+        df = tail_container_logs(spark, path)
+    elif stream:
         reader = (spark.readStream.format("text").option("pathGlobFilter", glob)
                   .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files_per_trigger))
         df = reader.load(path)
     else:
         df = (spark.read.format("text").option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true").load(path))
-    df = df.withColumn("file", F.input_file_name())
-    if stream:  # where a line's split starts in its file; batches number lines below
+    if not follow:
+        df = df.withColumn("file", F.input_file_name())
+    if stream and not follow:  # where a line's split starts in its file; batches number lines below
         df = df.withColumn("block_start", F.col("_metadata.file_block_start"))
     df = df.filter(~F.col("file").rlike(SHIPPER_FILES))
     if max_line_bytes is not None:
