@@ -26,6 +26,7 @@ _MODULES = (
     "skylight.plans.q_alerts",
     "skylight.plans.q_ingest",
     "skylight.plans.q_governance",
+    "skylight.plans.q_streaming",
 )
 
 

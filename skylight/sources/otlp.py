@@ -95,7 +95,7 @@ def decode_otlp(payloads: DataFrame, column: str = "payload") -> DataFrame:
     return s.select(
         *others, F.lower(sp["traceId"]).alias("trace_id"), F.lower(sp["spanId"]).alias("span_id"),
         F.lower(F.coalesce(sp["parentSpanId"], F.lit(""))).alias("parent_span_id"), sp["name"].alias("name"), _kind(sp["kind"]).alias("kind"),
-        F.timestamp_micros(F.floor(F.col("start_ns") / 1000).cast("bigint")).cast("timestamp_ntz").alias("start_ts"),
+        F.timestamp_micros(F.expr("start_ns div 1000")).cast("timestamp_ntz").alias("start_ts"),
         "start_ns", "end_ns", (F.col("end_ns") - F.col("start_ns")).alias("duration_ns"),
         _status(sp["status"]["code"]).alias("status_code"), sp["status"]["message"].alias("status_message"),
         F.col("ss.scope.name").alias("scope_name"), F.col("ss.scope.version").alias("scope_version"),

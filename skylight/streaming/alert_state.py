@@ -50,7 +50,7 @@ class OrderedFold(StatefulProcessor):
         self.fold = handle.getValueState("fold", "a bigint, b bigint, last bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(us), bool(c)) for pdf in rows for us, c in zip(pdf["__us"], pdf["__cond"])]
+        new = [(int(us), bool(c)) for pdf in rows for us, c in zip(pdf["evaluated_us"], pdf["is_true"])]
         held = [tuple(r) for r in self.waiting.get()]
         if new:
             self.waiting.appendList(new)
@@ -124,8 +124,8 @@ def throttle_step(every_s: float) -> Callable:
 
 def _ordered(evals: DataFrame, keys: list[str], ts_col: str, cond, step: Callable, out: str, lateness: str, forget_s: float) -> DataFrame:
     require_rocksdb(evals.sparkSession)
-    d = evals.select(*keys, F.col(ts_col).cast("timestamp").alias("__t"), F.coalesce(cond, F.lit(False)).alias("__cond")).withWatermark("__t", lateness)
-    d = d.withColumn("__us", F.unix_micros("__t"))
+    d = evals.select(*keys, F.col(ts_col).cast("timestamp").alias("evaluated_at"), F.coalesce(cond, F.lit(False)).alias("is_true")).withWatermark("evaluated_at", lateness)
+    d = d.withColumn("evaluated_us", F.unix_micros("evaluated_at"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in evals.select(*keys).schema.fields)
     names = [*keys, *[x.split()[0] for x in out.split(", ")]]
     return d.groupBy(*keys).transformWithStateInPandas(
