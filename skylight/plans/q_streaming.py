@@ -11,17 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylight.functions.scope import Scope
 from skylight.operators import alerts as A
+from skylight.operators import trace_sketches as TS
+from skylight.operators import traces as T
 from skylight.plans import params as P
 from skylight.plans.q_alerts import FOR_S, THROTTLE_S, _throttle_sql, _ticks_sql
 from skylight.plans.q_ingest import LOG_COLS
+from skylight.plans.q_metrics import CONTAINER, GRID, GRID_CTE, RANGE, rate_sql
 from skylight.plans.registry import register
 from skylight.sources import commits as C
 from skylight.sources import sinks as K
 from skylight.sources.fixtures import Views
+from skylight.functions.numeric import round6
 from skylight.sources.otlp import decode_otlp, otlp_rejects
 from skylight.streaming import alert_state as S
 from skylight.streaming import pipelines as SP
+from skylight.streaming import rates as R
 
 SPAN = "400 days"
 _AHEAD = "TIMESTAMP '2030-01-01 00:00:00'"
@@ -154,3 +160,39 @@ def otlp_spans_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'bad trace id' AS reason, left(md5(span_id), 16) AS span_id FROM spans WHERE event_id % 50 = 0""")
 def otlp_spans_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return otlp_rejects(_payloads(spark, sf_dir)).select("reason", F.get_json_object("raw", "$.spanId").alias("span_id"))
+
+
+@register("trace_total_sketched", oracle=f"""
+SELECT namespace, count(DISTINCT trace_id) AS exact_total, true AS within_bound FROM spans
+WHERE start_ts >= TIMESTAMP '{P.TRACE_START}' + INTERVAL 5 HOUR AND start_ts < TIMESTAMP '{P.TRACE_END}' + INTERVAL 7 HOUR GROUP BY namespace""")
+def trace_total_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The approximate total from stored sketches beside the exact one: the
+    oracle states that it lies within the documented bound."""
+    spans = Views(spark, sf_dir).spans()
+    path = K.scratch_path(spark, "trace-sketches")
+    TS.write_trace_sketches(spans.filter("event_id % 3 > 0"), path)
+    TS.write_trace_sketches(spans.filter("event_id % 2 = 0"), path)  # late spans, some for the second time
+    TS.write_trace_sketches(spans.filter("event_id % 6 = 3"), path)
+    stored = spark.read.parquet(path)
+    start, end = P.TRACE_START.replace("00:00:00", "05:00:00"), P.TRACE_END.replace("00:00:00", "07:00:00")
+    out = None
+    for ns in ("ns-0", "ns-1", "ns-2"):
+        scope = Scope(ns)
+        one = (TS.approximate_trace_total(stored, spans, scope, start, end)
+               .unionByName(T.trace_total_exact(spans, scope, start, end).withColumnRenamed("total", "exact_total"), allowMissingColumns=True)
+               .agg(F.max("total").alias("total"), F.max("exact_total").alias("exact_total")))
+        one = one.select(F.lit(ns).alias("namespace"), "exact_total", (F.abs(F.col("total") - F.col("exact_total")) <= F.col("exact_total") * TS.BOUND + 1).alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("stream_metric_rate", oracle=f"""
+WITH {GRID_CTE}
+SELECT pod, pod_namespace, container, ts, round((value) + 1e-9, 6) AS value FROM {rate_sql('cpu_samples', CONTAINER)} r""")
+def stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """St6: the batch rate's rows from a stream mixed in time."""
+    cpu = Views(spark, sf_dir).cpu_samples().select(*CONTAINER, F.col("ts").cast("timestamp").alias("ts"), "value")
+    last = spark.range(1).select(*[F.lit("").alias(c) for c in CONTAINER], F.expr(_AHEAD).alias("ts"), F.lit(0.0).alias("value"))
+    got = _drained(R.rate_stream(_stream(cpu, "rate-src", last), CONTAINER, P.GRID_START, P.GRID_STEP_S, RANGE, lateness=SPAN), "rate")
+    inside = F.col("ts").cast("timestamp_ntz").between(F.lit(P.GRID_START).cast("timestamp_ntz"), F.lit(P.GRID_END).cast("timestamp_ntz"))
+    return got.filter(inside).select(*CONTAINER, F.col("ts").cast("timestamp_ntz").alias("ts"), round6("value").alias("value"))
