@@ -76,7 +76,7 @@ bsd-3-clause | 1 | 1.0 | bsd 3 | bsd 3 clause(?: license)?
 bsd-3-clause | 1 | 1.0 | 3 clause | 3 clause bsd(?: license)?
 bsd-3-clause | 1 | 1.0 | three clause | three clause bsd(?: license)?
 bsd-3-clause | 1 | 1.0 | bsd | (?:new|modified|revised) bsd license
-bsd-3-clause | 2 | 0.9 | neither the name of | neither the name of .{1,200}? nor the names of its contributors may be used to endorse or promote products
+bsd-3-clause | 2 | 0.9 | neither the name of | neither the name of .{1,}? nor the names of its contributors may be used to endorse or promote products
 bsd-4-clause | 1 | 1.0 | bsd | (?:original|old) bsd license
 bsd-4-clause | 1 | 1.0 | 4 clause | 4 clause bsd(?: license)?
 bsd-0-clause | 1 | 1.0 | zero clause | (?:bsd )?zero clause bsd(?: license)?
@@ -185,7 +185,7 @@ public-domain | 2 | 0.9 | public domain | (?:released|placed|dedicated) (?:in|in
 public-domain | 4 | 0.5 | public domain | public domain
 all-rights-reserved | 2 | 0.9 | all rights reserved | all rights reserved
 proprietary | 2 | 0.9 | proprietary and confidential | proprietary and confidential
-proprietary | 2 | 0.9 | without the prior written | (?:may not be|no part of this [a-z]+ may be) reproduced .{1,120}? without the prior written (?:permission|consent)
+proprietary | 2 | 0.9 | without the prior written | (?:may not be|no part of this [a-z]+ may be) reproduced .{1,}? without the prior written (?:permission|consent)
 commercial | 3 | 0.8 | commercial license | commercial license
 eula | 3 | 0.8 | end user licen | end user licen[cs]e agreement
 copyright | 4 | 0.3 | copyright | copyright (?:c )?(?:19|20)[0-9][0-9]

@@ -79,7 +79,7 @@ def shingles(s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
     low = tb.Slice.__new__(tb.Slice)
     low.n, low.offsets, low.lengths, low.buf = s.n, s.offsets, s.lengths, tb.LOWER[s.buf]
     start, end, doc = low.words()
-    word = tb.range_hash(tb.prefix_hash(low.buf), start, end)
+    word = tb.span_hash(low.buf, start, end)
     n_words = low.count(doc)
     n = max(0, len(start) - SHINGLE + 1)
     at = np.flatnonzero(doc[:n] == doc[SHINGLE - 1:]) if n else np.zeros(0, np.int64)

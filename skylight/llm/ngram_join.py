@@ -50,8 +50,9 @@ from pyspark.sql import functions as F
 from . import textbatch as tb
 from .common import stored
 from .components import components
-from .minhash import _minima, agreement_bound, shingles
+from .minhash import _minima, agreement_bound
 
+SHINGLE = 5
 PERCENT = 80
 #: Sets that hold a token which is indexed alone.
 RARE = 16
@@ -70,6 +71,36 @@ def needed(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def shingles(s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens of every text of a slice: (text number, hash), by text,
+    hashes ascending."""
+    low = tb.LOWER[s.buf]
+    inside = tb.Slice.__new__(tb.Slice)
+    inside.n, inside.offsets, inside.lengths, inside.buf = s.n, s.offsets, s.lengths, low
+    start, end, doc = inside.words()
+    word = tb.span_hash(low, start, end)
+    n_words = inside.count(doc)
+    docs, hashes = [], []
+    n = max(0, len(word) - SHINGLE + 1)
+    at = np.flatnonzero(doc[:n] == doc[SHINGLE - 1:]) if n else np.zeros(0, np.int64)
+    docs.append(doc[at])
+    hashes.append(tb.window_hash(word, SHINGLE)[at])
+    first = np.cumsum(n_words) - n_words
+    for k in range(1, SHINGLE):  # texts of fewer words: all of them are one token
+        short = np.flatnonzero(n_words == k)
+        h = np.full(len(short), k, np.uint64)
+        for j in range(k):
+            h = tb.mix(h ^ word[first[short] + j])
+        docs.append(short)
+        hashes.append(h)
+    d, h = np.concatenate(docs), np.concatenate(hashes)
+    order = np.lexsort((h, d))
+    d, h = d[order], h[order]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1])
+    return d[new], h[new]
+
+
 def _sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 

@@ -188,7 +188,7 @@ class Pieces:
         at_start = np.zeros(len(s.buf), bool)
         at_start[first] = True
         lead = at_start[start]
-        key = tb.range_hash(tb.prefix_hash(s.buf), start, end) ^ lead.astype(np.uint64)
+        key = tb.span_hash(s.buf, start, end) ^ lead.astype(np.uint64)
         keys, at, inverse = np.unique(key, return_index=True, return_inverse=True)
         new = self.store.missing(keys)
         if len(new):

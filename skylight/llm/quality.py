@@ -55,7 +55,6 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 def measure(s: tb.Slice) -> dict[str, np.ndarray]:
     """The counts of every text of a slice."""
     start, end, doc = s.words()
-    prefix = tb.prefix_hash(s.buf)
     word_byte = np.zeros(len(s.buf) + 1, np.int32)
     word_byte[start] += 1
     word_byte[end] -= 1
@@ -69,12 +68,12 @@ def measure(s: tb.Slice) -> dict[str, np.ndarray]:
     l_start, l_end, l_doc = s.words(_newline)
     has_word = np.searchsorted(start, l_end) > np.searchsorted(start, l_start)
     l_start, l_end, l_doc = l_start[has_word], l_end[has_word], l_doc[has_word]
-    key = tb.keyed(l_doc, tb.range_hash(prefix, l_start, l_end))
+    key = tb.keyed(l_doc, tb.span_hash(s.buf, l_start, l_end))
     _, first = np.unique(key, return_index=True)
     out["n_lines"] = s.count(l_doc)
     out["n_dup_lines"] = out["n_lines"] - s.count(l_doc[first])
     # words equal to the word before
-    word = tb.range_hash(prefix, start, end)
+    word = tb.span_hash(s.buf, start, end)
     again = np.flatnonzero((word[1:] == word[:-1]) & (doc[1:] == doc[:-1])) + 1
     out["n_stutter"] = s.count(doc[again])
     # words covered by a window that occurs twice or more

@@ -160,7 +160,7 @@ def encode_slice(path: str, s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
     cut[s.offsets[:-1][s.lengths > 0]] = True
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(s.buf))
-    keys, at, inverse = np.unique(tb.range_hash(tb.prefix_hash(s.buf), start, end), return_index=True, return_inverse=True)
+    keys, at, inverse = np.unique(tb.span_hash(s.buf, start, end), return_index=True, return_inverse=True)
     if path not in _coded:
         _coded[path] = Coded(path)
     coded = _coded[path]
