@@ -19,8 +19,8 @@ any order that all sets use.
    n / 5; also the next one, if a partner may be in it) and a prefix extended
    to g (k - 1) + 1 common tokens, so that k of them fall in one class.
 4. Verification, never all pairs of a bucket: each set with the least set of
-   its buckets, first one candidate per set, then those that still lie in
-   another component.
+   its buckets, first one candidate per set, then with ``PIVOTS`` sets of each
+   bucket where they still lie in another component.
 5. Buckets that hold several components may hide a link between them. Their
    rows outside the largest component are held against the others in blocks
    of ``BLOCK``, by size and by 1-bit minima; the pairs that are left are
@@ -59,6 +59,8 @@ RARE = 16
 #: Tokens of a combination.
 COMBINE = 2
 BLOCK = 512
+#: Sets of a bucket that every other one is held against.
+PIVOTS = 4
 #: Signature bound, in standard deviations below the threshold.
 SLACK = 7.0
 #: A smaller set that is not equal to another one has no partner.
@@ -244,8 +246,9 @@ def buckets(nodes: DataFrame, percent: int, rare: int, k: int) -> DataFrame:
                                               pa.array(np.repeat(n, sizes))], names=["key", "s", "n"])
 
     rows = stored(shared.mapInArrow(run, "key long, s long, n long"), "index")
-    several = rows.groupBy("key").agg(F.min("s").alias("pivot"), F.max("s").alias("top")).filter("pivot < top")
-    return rows.join(several.select("key", "pivot"), "key")
+    mixed = [F.min_by("s", F.xxhash64(F.lit(seed), "s")).alias(f"pivot{seed}") for seed in range(1, PIVOTS)]
+    several = rows.groupBy("key").agg(F.min("s").alias("pivot"), F.max("s").alias("top"), *mixed).filter("pivot < top").drop("top")
+    return rows.join(several, "key")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -353,7 +356,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     several = own.groupBy("doc_id").agg(F.min("s").alias("v"), F.max("s").alias("top")).filter("v < top").select("doc_id", "v")
     links = links.unionByName(own.join(several, "doc_id").select(F.col("s").alias("u"), "v").filter("u <> v"))
     label = components(links)
-    more = stored(verified(_apart(star.distinct(), label), nodes, percent), "links")
+    # then the other pivots of its buckets, where they lie in another component
+    stars = index.select(F.col("s").alias("u"), F.explode(F.array("pivot", *[f"pivot{seed}" for seed in range(1, PIVOTS)])).alias("v")).filter("u <> v")
+    more = stored(verified(_apart(stars.distinct(), label), nodes, percent), "links")
     links = links.unionByName(more)
     if not more.isEmpty():
         label = components(links)
