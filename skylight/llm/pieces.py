@@ -180,7 +180,9 @@ class Pieces:
         space = s.buf == 32
         cut = np.empty(len(s.buf), bool)
         cut[0] = True
-        cut[1:] = space[1:] & ~space[:-1]
+        mark_end = np.zeros(len(s.buf), bool)  # a literal mark is one run with the spaces after it
+        mark_end[2:] = (s.buf[:-2] == 0xE2) & (s.buf[1:-1] == 0x96) & (s.buf[2:] == 0x81)
+        cut[1:] = space[1:] & ~space[:-1] & ~mark_end[:-1]
         first = s.offsets[:-1][s.lengths > 0]
         cut[first] = True
         start = np.flatnonzero(cut)

@@ -519,6 +519,19 @@ def test_pieces(table):
             assert r["decoded"] == r["text"]
 
 
+def test_pieces_literal_marks(spark):
+    """A literal mark before spaces is one run with them, as in the library."""
+    import sentencepiece
+    model = tokenizer_path("piece_bpe_32k.model")
+    m = sentencepiece.SentencePieceProcessor(model_file=model)
+    r = random.Random(5)
+    texts = ["!▁ 0", "x▁ ", "▁", " ▁", "▁ a", "a ▁ ▁b"]
+    texts += ["".join(r.choice("ab!0 ▁▂é") for _ in range(r.randint(0, 12))) for _ in range(10000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: list(x["piece_ids"]) for x in pieces.encode(df, model).collect()}
+    assert [i for i, t in enumerate(texts) if got[i] != m.encode(t)] == []
+
+
 def test_viterbi_is_best():
     """Unigram: no segmentation scores higher; shared prefixes change nothing."""
     p = pieces.Pieces(tokenizer_path("piece_bpe_32k.model"), "unigram")
@@ -551,4 +564,4 @@ def test_empty_tables(empty, spark, tmp_path):
 
 
 def test_queries_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
