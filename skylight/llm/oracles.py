@@ -13,10 +13,14 @@ def _text(x: str) -> str:
 
 def op1() -> str:
     g = f"CAST({quality._LOG_GAMMA!r} AS DOUBLE)"
-    per = {"symbol_ratio": "n_symbols / n_words", "dup_line_ratio": "CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END",
-           "repeat_ratio": "n_repeat_words / n_words", "stutter_ratio": "n_stutter / n_words", "word_length": "word_chars / n_words"}
-    rules = " UNION ALL ".join(f"SELECT r, lang, source, '{k}' AS rule, CAST({m} AS DOUBLE) AS margin, CAST({per[k]} AS DOUBLE) AS v FROM good"
-                               for k, m in quality.RULES.items())
+    rules = " UNION ALL ".join(
+        f"SELECT r, lang, source, '{x}' AS rule, CASE WHEN {k} > 0 THEN {k} / {n} ELSE 0 END AS v, "
+        f"CASE WHEN {k} > 0 THEN CAST({quality.SIGMAS} AS DOUBLE) / sqrt({e} / CAST({u} AS DOUBLE)) ELSE 0 END AS part FROM good"
+        for x, (k, n, e, u) in quality.RULES.items())
+    value = lambda b: f"CASE WHEN {b} = 0 THEN 0 ELSE CAST({quality._SMALLEST * 2} AS DOUBLE) / (1 + exp({g})) * exp({b} * {g}) END"
+    spread = f"CAST({quality.SPREAD} AS DOUBLE)"
+    part = lambda by: (f"CAST(floor({float(quality.PRIOR * quality._PARTS)} * (CAST(n AS DOUBLE) / CAST(sum(n) OVER "
+                       f"(PARTITION BY {by}) AS DOUBLE))) AS BIGINT)")
     space = r"[^\x20\x09-\x0D]+"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
@@ -26,35 +30,40 @@ x AS (SELECT *, lag(word) OVER o AS before, CASE WHEN lead(k, 4) OVER o IS NOT N
         word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o END AS win
       FROM u WINDOW o AS (PARTITION BY r ORDER BY k)),
 y AS (SELECT *, win IS NOT NULL AND count(*) OVER (PARTITION BY r, win) > 1 AS again FROM x),
-z AS (SELECT *, bool_or(again) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS covered FROM y),
+z0 AS (SELECT *, bool_or(again) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS covered FROM y),
+z AS (SELECT *, covered AND NOT coalesce(lag(covered) OVER (PARTITION BY r ORDER BY k), false) AS run FROM z0),
 c AS (SELECT r, count(*) AS n_words, sum(len(word)) AS word_chars, count(*) FILTER (WHERE covered) AS n_repeat_words,
-        count(*) FILTER (WHERE word = before) AS n_stutter FROM z GROUP BY r),
+        count(*) FILTER (WHERE word = before) AS n_stutter,
+        count(*) FILTER (WHERE run) AS n_repeat_runs FROM z GROUP BY r),
 l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
 n AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '{space}') GROUP BY r),
 m AS (SELECT d.r, doc_id, lang, source, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
         len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
-        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_stutter, 0) AS n_stutter
+        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_stutter, 0) AS n_stutter,
+        coalesce(n_repeat_runs, 0) AS n_repeat_runs
       FROM d LEFT JOIN c ON d.r = c.r LEFT JOIN n ON d.r = n.r),
 f AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words AS base_failed FROM m),
 good AS (SELECT * FROM f WHERE NOT base_failed),
 v AS ({rules}),
 b AS (SELECT *, CASE WHEN v <= {quality._SMALLEST} THEN 0 ELSE CAST(ceil(ln(v / CAST({quality._SMALLEST} AS DOUBLE)) / {g}) AS INT) END AS bucket FROM v),
-s AS (SELECT 0 AS level, lang, source, rule, margin, bucket, count(*) AS n FROM b GROUP BY ALL
-      UNION ALL SELECT 1, lang, NULL, rule, margin, bucket, count(*) FROM b GROUP BY ALL
-      UNION ALL SELECT 2, NULL, NULL, rule, margin, bucket, count(*) FROM b GROUP BY ALL),
-q AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rule) AS total,
-        sum(n) OVER (PARTITION BY level, lang, source, rule ORDER BY bucket) AS upto FROM s),
-e AS (SELECT level, lang, source, rule, margin, max(total) AS total, min(CASE WHEN upto >= CAST(0.25 AS DOUBLE) * total THEN bucket END) AS b25,
-        min(CASE WHEN upto >= CAST(0.75 AS DOUBLE) * total THEN bucket END) AS b75 FROM q GROUP BY level, lang, source, rule, margin),
-val AS (SELECT *, CASE WHEN b25 = 0 THEN 0 ELSE CAST({quality._SMALLEST * 2} AS DOUBLE) / (1 + exp({g})) * exp(b25 * {g}) END AS q25,
-        CASE WHEN b75 = 0 THEN 0 ELSE CAST({quality._SMALLEST * 2} AS DOUBLE) / (1 + exp({g})) * exp(b75 * {g}) END AS q75 FROM e),
-lim AS (SELECT *, q75 + greatest(margin, CAST({quality.SPREAD} AS DOUBLE) * (q75 - q25)) AS lim FROM val),
-own AS (SELECT a.lang, a.source, a.rule, CASE WHEN a.total >= {quality.MIN_GROUP} THEN a.lim WHEN l1.total >= {quality.MIN_GROUP} THEN l1.lim ELSE l2.lim END AS lim
-        FROM lim a JOIN lim l1 ON l1.level = 1 AND l1.rule = a.rule AND l1.lang IS NOT DISTINCT FROM a.lang
-        JOIN lim l2 ON l2.level = 2 AND l2.rule = a.rule WHERE a.level = 0),
+s0 AS (SELECT lang, source, rule, bucket, {quality._PARTS} * count(*) AS n FROM b GROUP BY ALL),
+s2 AS (SELECT rule, bucket, {part('rule')} AS n FROM (SELECT rule, bucket, sum(n) AS n FROM s0 GROUP BY ALL)),
+s1 AS (SELECT lang, rule, bucket, sum(n) AS n FROM (SELECT lang, rule, bucket, n FROM s0
+        UNION ALL SELECT x.lang, s2.rule, s2.bucket, s2.n FROM s2 JOIN (SELECT DISTINCT lang, rule FROM s0) x ON x.rule = s2.rule) GROUP BY ALL),
+s3 AS (SELECT lang, rule, bucket, {part('lang, rule')} AS n FROM s1),
+s AS (SELECT lang, source, rule, bucket, sum(n) AS n FROM (SELECT * FROM s0 UNION ALL SELECT x.lang, x.source, s3.rule, s3.bucket, s3.n
+        FROM s3 JOIN (SELECT DISTINCT lang, source, rule FROM s0) x ON x.rule = s3.rule AND x.lang IS NOT DISTINCT FROM s3.lang) GROUP BY ALL),
+q AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, rule) AS total,
+        sum(n) OVER (PARTITION BY lang, source, rule ORDER BY bucket) AS upto FROM s),
+p AS (SELECT lang, source, rule,
+        min(CASE WHEN upto >= CAST(0.25 AS DOUBLE) * total THEN bucket END) AS b25,
+        min(CASE WHEN upto >= CAST(0.5 AS DOUBLE) * total THEN bucket END) AS b50,
+        min(CASE WHEN upto >= CAST(0.75 AS DOUBLE) * total THEN bucket END) AS b75 FROM q GROUP BY lang, source, rule),
+val AS (SELECT *, {value('b25')} AS q25, {value('b50')} AS q50, {value('b75')} AS q75 FROM p),
+own AS (SELECT *, q50 - {spread} * (q50 - q25) AS lo, q50 + {spread} * (q75 - q50) AS hi FROM val),
 bad AS (SELECT DISTINCT v.r FROM v JOIN own ON v.rule = own.rule AND v.lang IS NOT DISTINCT FROM own.lang
-        AND v.source IS NOT DISTINCT FROM own.source WHERE v.v > own.lim)
-SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stutter, base_failed,
+        AND v.source IS NOT DISTINCT FROM own.source WHERE v * (1 - part) > hi OR v * (1 + part) < lo)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stutter, n_repeat_runs, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM bad) AS kept FROM f"""
 
 

@@ -2,10 +2,16 @@
 
 Per document, word-level measures are taken of the whole text. Fixed base
 rules (too few words, too many repeated words) fail a document outright.
-Every further rule has no fixed cutoff: its threshold is read from a
-mergeable quantile sketch of the measure for the document's (lang, source),
-falling back to the language and then to the whole corpus where a group has
-under ``min_group`` documents. The filter is then a join with the thresholds.
+Every further rule compares a ratio (symbols, repeated lines, repeated words,
+stutter, word length) with a lower and an upper threshold that come from a
+mergeable quantile sketch of the ratio for the document's (lang, source):
+``q50 + SPREAD * (q75 - q50)`` and ``q50 - SPREAD * (q50 - q25)``. No cutoff of
+a ratio is fixed. Small groups shrink: ``PRIOR`` documents distributed as the
+language's sketch are merged into a group's sketch, and as many of the
+corpus's into a language's, so that they fade as a group grows. A document goes only if its
+ratio is beyond the threshold by more than ``SIGMAS`` standard errors of a count
+of its size, so a short text with one repeated line stays. The filter is a
+join with the thresholds.
 
 The sketch is a logarithmic histogram (relative error below
 ``SKETCH_ERROR``): bucket counts by group, so sketches merge by adding, rows
@@ -36,17 +42,21 @@ MIN_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW = 5
 
-#: Measures with an adaptive upper threshold, each with the smallest margin
-#: above the group's upper quartile.
-RULES = {"symbol_ratio": 0.1, "dup_line_ratio": 0.4, "repeat_ratio": 0.15, "stutter_ratio": 0.15, "word_length": 3.0}
-#: A threshold is q75 + max(margin, SPREAD * (q75 - q25)).
+#: Ratios with adaptive thresholds: counted, out of, and the events behind the
+#: count (a passage that stands twice is one event, however long) by how many of them are one.
+RULES = {"symbol_ratio": ("n_symbols", "n_words", "n_symbols", 1), "dup_line_ratio": ("n_dup_lines", "n_lines", "n_dup_lines", 1),
+         "repeat_ratio": ("n_repeat_words", "n_words", "n_repeat_runs", 2),
+         "stutter_ratio": ("n_stutter", "n_words", "n_stutter", 1), "word_length": ("word_chars", "n_words", "word_chars", 1)}
 SPREAD = 6.0
-MIN_GROUP = 200
+SIGMAS = 2.0
+PRIOR = 100
+#: Parts of a document in which sketches with a prior count.
+_PARTS = 1024
 SKETCH_ERROR = 0.01
 _SMALLEST = 1e-6
 _LOG_GAMMA = math.log((1 + SKETCH_ERROR) / (1 - SKETCH_ERROR))
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stutter")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stutter", "n_repeat_runs")
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -86,7 +96,11 @@ def measure(s: tb.Slice) -> dict[str, np.ndarray]:
         at = at[tb.repeated(tb.keyed(doc[at], h))]
         covered[at] += 1
         covered[at + WINDOW] -= 1
-    out["n_repeat_words"] = s.count(doc[np.cumsum(covered[:-1]) > 0])
+    covered = np.cumsum(covered[:-1]) > 0
+    out["n_repeat_words"] = s.count(doc[covered])
+    goes_on = np.zeros(len(covered), bool)
+    goes_on[1:] = covered[:-1] & (doc[1:] == doc[:-1])
+    out["n_repeat_runs"] = s.count(doc[covered & ~goes_on])
     return out
 
 
@@ -113,12 +127,11 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < MIN_WORDS) | (F.lit(100) * n_repeat_words > F.lit(REPEAT_PERCENT) * n_words)
 
 
-def ratios(c: dict) -> dict:
-    """The measures that have adaptive thresholds, from count columns."""
-    per = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-    return {"symbol_ratio": per(c["n_symbols"], c["n_words"]), "dup_line_ratio": per(c["n_dup_lines"], c["n_lines"]),
-            "repeat_ratio": per(c["n_repeat_words"], c["n_words"]), "stutter_ratio": per(c["n_stutter"], c["n_words"]),
-            "word_length": per(c["word_chars"], c["n_words"])}
+def _ratio(c: dict, rule: str, sigmas: float = 0.0):
+    """The rule's ratio, moved by so many standard errors of its count of events."""
+    k, n, events, unit = RULES[rule]
+    part = F.lit(1.0) if not sigmas else F.lit(1.0) + F.lit(sigmas) / F.sqrt(c[events] / F.lit(float(unit)))
+    return F.when((c[n] > 0) & (c[k] > 0), c[k] / c[n] * part).otherwise(F.lit(0.0))
 
 
 def _bucket(value):
@@ -132,72 +145,74 @@ def _value(bucket):
         F.lit(_SMALLEST * 2 / (1 + math.exp(_LOG_GAMMA))) * F.exp(bucket * F.lit(_LOG_GAMMA)))
 
 
-def thresholds(measured: DataFrame, lang: str, source: str, counts: dict[str, str],
-               min_group: int = MIN_GROUP, spread: float = SPREAD) -> DataFrame:
-    """One row per (lang, source): ``t_<rule>`` upper thresholds.
+def thresholds(measured: DataFrame, lang: str, source: str, counts: dict[str, str], spread: float = SPREAD,
+               prior: int = PRIOR) -> DataFrame:
+    """One row per (lang, source): ``lo_<rule>`` and ``hi_<rule>``.
 
     Sketches are built once per (lang, source) and merged upwards; only
     documents that pass the base rules count.
     """
     c = {k: F.col(v) for k, v in counts.items()}
-    values = ratios(c)
     good = measured.filter(~base_failed(c["n_words"], c["n_repeat_words"]))
     sketch = (good.select(F.col(lang).alias("lang"), F.col(source).alias("source"),
-                          F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _bucket(values[r]).alias("bucket"))
+                          F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _bucket(_ratio(c, r)).alias("bucket"))
                                               for r in RULES])).alias("m"))
               .groupBy("lang", "source", "m.rule", "m.bucket").agg(F.count(F.lit(1)).alias("n")))
-    # level 0: (lang, source); 1: lang; 2: all
-    merged = (sketch.withColumn("level", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-              .groupBy("level", F.when(F.col("level") < 2, F.col("lang")).alias("lang"),
-                       F.when(F.col("level") < 1, F.col("source")).alias("source"), "rule", "bucket")
-              .agg(F.sum("n").alias("n")))
-    group = Window.partitionBy("level", "lang", "source", "rule")
+    own = sketch.select("lang", "source", "rule", "bucket", (F.col("n") * _PARTS).alias("n"))
+    by_lang = own.groupBy("lang", "rule", "bucket").agg(F.sum("n").alias("n"))
+    every = own.groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
+    by_lang = _with_prior(by_lang, every, ["lang"], [], prior)
+    merged = _with_prior(own, by_lang, ["lang", "source"], ["lang"], prior)
+    group = Window.partitionBy("lang", "source", "rule")
     ranked = (merged.withColumn("total", F.sum("n").over(group))
               .withColumn("upto", F.sum("n").over(group.orderBy("bucket"))))
     at = lambda q: F.min(F.when(F.col("upto") >= F.lit(q) * F.col("total"), F.col("bucket")))
-    q = (ranked.groupBy("level", "lang", "source", "rule")
-         .agg(F.first("total").alias("total"), _value(at(0.25)).alias("q25"), _value(at(0.75)).alias("q75")))
-    margin = F.create_map(*[F.lit(x) for r, m in RULES.items() for x in (r, m)])
-    limit = F.col("q75") + F.greatest(margin[F.col("rule")], F.lit(spread) * (F.col("q75") - F.col("q25")))
-    wide = (q.groupBy("level", "lang", "source").agg(
-        F.max("total").alias("total"),
-        F.struct(*[F.max(F.when(F.col("rule") == r, limit)).alias(r) for r in RULES]).alias("t")))
-    level = [wide.filter(F.col("level") == i) for i in range(3)]
-    own = level[0].select("lang", "source", "total", F.col("t").alias("t0"))
-    by_lang = level[1].select(F.col("lang").alias("l1"), F.col("total").alias("n1"), F.col("t").alias("t1"))
-    every = level[2].select("t").scalar()  # one row
-    t = own.join(by_lang, own["lang"].eqNullSafe(by_lang["l1"]), "left")
-    chosen = (F.when(F.col("total") >= min_group, F.col("t0")).when(F.col("n1") >= min_group, F.col("t1"))
-              .otherwise(every))
+    q = (ranked.groupBy("lang", "source", "rule")
+         .agg(*[_value(at(x)).alias(f"q{int(100 * x)}") for x in (0.25, 0.5, 0.75)]))
+    lo = F.col("q50") - F.lit(spread) * (F.col("q50") - F.col("q25"))
+    hi = F.col("q50") + F.lit(spread) * (F.col("q75") - F.col("q50"))
     # stored, so that the join sees its real size: one that may be broadcast leaves the texts in place
-    return stored(t.select("lang", "source", chosen.alias("t")).select(
-        "lang", "source", *[F.col(f"t.{r}").alias(f"t_{r}") for r in RULES]), "thresholds")
+    return stored(q.groupBy("lang", "source").agg(
+        *[F.max(F.when(F.col("rule") == r, x)).alias(f"{side}_{r}") for r in RULES for side, x in (("lo", lo), ("hi", hi))]),
+        "thresholds")
+
+
+def _with_prior(own: DataFrame, parent: DataFrame, keys: list[str], shared: list[str], prior: int) -> DataFrame:
+    """Sketches ``own`` by ``keys`` with ``prior`` documents as in ``parent``
+    merged in, in whole parts; rows: groups x a sketch's buckets."""
+    up = parent.withColumn("total", F.sum("n").over(Window.partitionBy(*shared, "rule"))).select(
+        *[F.col(k).alias(f"up_{k}") for k in shared], F.col("rule").alias("up_rule"), "bucket",
+        F.floor(F.lit(float(prior * _PARTS)) * (F.col("n").cast("double") / F.col("total").cast("double"))).alias("n"))
+    groups = own.select(*keys, "rule").distinct()
+    cond = groups["rule"] == up["up_rule"]
+    for k in shared:
+        cond = cond & groups[k].eqNullSafe(up[f"up_{k}"])
+    added = groups.join(up, cond).select(*keys, "rule", "bucket", "n")
+    return own.unionByName(added).groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
 
 
 def judge(measured: DataFrame, lang: str, source: str, counts: dict[str, str], failed: str, kept: str,
-          **options) -> DataFrame:
+          sigmas: float = SIGMAS, **options) -> DataFrame:
     """``measured`` with boolean columns ``failed`` (base rules) and ``kept``."""
     t = thresholds(measured, lang, source, counts, **options)
-    own = {r: unused(measured.columns, f"t_{r}") for r in RULES}
-    t = t.select(F.struct("lang", "source").alias("group"), *[F.col(f"t_{r}").alias(own[r]) for r in RULES])
-    group = unused(measured.columns + list(own.values()), "group")
-    t = t.withColumnRenamed("group", group)
+    group, limit = unused(measured.columns, "group"), unused([*measured.columns, "group"], "limit")
+    t = t.select(F.struct("lang", "source").alias(group), F.struct(*t.columns[2:]).alias(limit))
     joined = measured.join(t, measured[lang].eqNullSafe(t[group]["lang"])
                            & measured[source].eqNullSafe(t[group]["source"]), "left")
     c = {k: F.col(v) for k, v in counts.items()}
-    values = ratios(c)
     ok = F.lit(True)
     for r in RULES:
-        ok = ok & (values[r] <= F.coalesce(F.col(own[r]), values[r]))
+        ok = ok & ~((_ratio(c, r, -sigmas) > F.col(limit)[f"hi_{r}"]) | (_ratio(c, r, sigmas) < F.col(limit)[f"lo_{r}"]))
     bad = base_failed(c["n_words"], c["n_repeat_words"])
-    return joined.withColumn(failed, bad).withColumn(kept, ~bad & ok).drop(group, *own.values())
+    # a group without limits has no document that passes the base rules
+    return joined.withColumn(failed, bad).withColumn(kept, ~bad & F.coalesce(ok, F.lit(True))).drop(group, limit)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
                   **options) -> DataFrame:
     """``docs`` with the counts, ``base_failed`` and ``kept`` appended; a name
     that ``docs`` already has gets a number (``kept_1``). Options:
-    ``min_group``, ``spread``."""
+    ``spread``, ``prior``, ``sigmas``."""
     names, taken = {}, list(docs.columns)
     for c in (*COUNTS, "base_failed", "kept"):
         names[c] = unused(taken, c)

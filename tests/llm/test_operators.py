@@ -77,6 +77,40 @@ def test_quality_thresholds_follow_the_group(spark):
     assert kept == set(range(600))
 
 
+def test_quality_thresholds_from_quantiles(spark):
+    """Thresholds differ between unlike sources, lie on both sides, shrink for
+    small groups, and hold back short texts with a single event."""
+    r, words = random.Random(3), ["lorem", "ipsum", "dolor", "sit", "amet", "elit"]
+    line = lambda n, tail="": " ".join(r.choice(words) + f"{r.randint(0, 99)}" for _ in range(n)) + tail
+    rows = [(i, line(r.randint(40, 60), " #" * r.randint(0, 1)), "en", "web") for i in range(300)]
+    code = lambda: " ".join(f"{r.choice('abcdef')}{r.randint(0, 999)}" + "#" * (r.random() < 0.4) for _ in range(r.randint(40, 60)))
+    rows += [(i, code(), "en", "code") for i in range(300, 600)]
+    rows += [(i, line(50), "en", "tiny") for i in range(600, 603)]
+    rows += [(1000, code(), "en", "web"), (1001, line(30) + "\nsame line\nsame line", "en", "web"),
+             (1002, " ".join(f"ab{c}" for c in "abcdefghijklmnopqrstuvwxyz" * 4), "en", "web"),
+             (1003, " ".join(f"a{c}" for c in "abcdefghijklmnopqrstuvwxyz0123456789" * 1), "en", "web"),
+             (1004, " ".join(f"{w}wordwordwordword{i}" for i, w in enumerate(words * 8)), "en", "code")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    names = {c: c for c in quality.COUNTS}
+    t = {x["source"]: x for x in quality.thresholds(quality.with_counts(df, "text", names), "lang", "source", names).collect()}
+    assert t["code"]["hi_symbol_ratio"] > 1.5 * t["web"]["hi_symbol_ratio"] > 0
+    assert t["code"]["lo_word_length"] < t["web"]["lo_word_length"] < t["web"]["hi_word_length"]
+    # three documents without symbols hardly move the language's threshold
+    assert t["tiny"]["hi_symbol_ratio"] > 0.5 * t["code"]["hi_symbol_ratio"]
+    kept = {x[0] for x in quality.keep_good(df).select("doc_id").collect()}
+    assert {x for x in range(603)} - kept == set() and kept - set(range(603)) == {1001}
+
+
+def test_quality_clean_documents_stay(spark):
+    base = "/root/testdata/sf0.01"
+    d = spark.read.parquet(f"{base}/documents.parquet")
+    judged = quality.quality_rules(d.select("doc_id", "text", "lang", "source")).filter("not base_failed")
+    labels = spark.read.parquet(f"{base}/labels.parquet")
+    share = {r["quality"]: r["kept"] for r in judged.join(labels, "doc_id").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] >= 0.99 and share[0] <= 0.05
+
+
 def test_quality_sketch_error(spark):
     vals = [0.0, 1e-7, 0.001, 0.02, 0.5, 3.7, 91.0]
     df = spark.createDataFrame([(v,) for v in vals], "x double").select("x", quality._value(quality._bucket(F.col("x"))).alias("y"))
