@@ -1,7 +1,7 @@
 """Operator 2: site-relative line deduplication (DataFrame functions only).
 
-A line is boilerplate of a site when it stands on at least ``min_pages`` of
-its pages and on more than ``ratio`` of them. Such lines are dropped from
+A line is boilerplate of a site when it repeats (stands on ``min_pages`` or more
+of its pages, two unless told otherwise) and stands on more than ``ratio`` of them. Such lines are dropped from
 every page of that site; a line common elsewhere stays.
 
 Only (site, line hash) pairs are shuffled, deduplicated within a page and
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import stored, unused
 
 RATIO = 0.05
-MIN_PAGES = 5
+#: A line on one page does not repeat, whatever the size of its site.
+MIN_PAGES = 2
 
 
 def _line_key(line: Column) -> Column:

@@ -136,6 +136,18 @@ def test_lines(odd, docs):
         assert sorted(((r["doc_id"], r["text"], r["gone"]) for r in got.collect()), key=key) == sorted(want, key=key)
 
 
+def test_lines_of_small_sites(spark):
+    """No site is too small: a line on all of its pages goes, its own lines stay."""
+    rows = [(i, f"menu of {s}\nown line {i}\n" + ("twice" if i % n < 2 else f"x{i}"), s)
+            for s, n, at in (("four", 4, 0), ("two", 2, 4), ("one", 1, 6), ("big", 40, 40)) for i in range(at, at + n)]
+    got = {r["doc_id"]: r["text"] for r in lines.drop_boilerplate(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0] == "own line 0" and got[3] == "own line 3\nx3" and got[5] == "own line 5"
+    assert got[6] == "menu of one\nown line 6\ntwice"
+    # two of 40 pages are not more than a twentieth
+    assert got[40] == "own line 40\ntwice" and got[45] == "own line 45\nx45"
+
+
 # operator 3
 
 def test_tokens(table, spark, tmp_path):
