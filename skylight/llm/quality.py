@@ -158,7 +158,8 @@ def thresholds(measured: DataFrame, lang: str, source: str, counts: dict[str, st
                           F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _bucket(_ratio(c, r)).alias("bucket"))
                                               for r in RULES])).alias("m"))
               .groupBy("lang", "source", "m.rule", "m.bucket").agg(F.count(F.lit(1)).alias("n")))
-    own = sketch.select("lang", "source", "rule", "bucket", (F.col("n") * _PARTS).alias("n"))
+    # stored, as it is read several times and the texts should be read once
+    own = stored(sketch.select("lang", "source", "rule", "bucket", (F.col("n") * _PARTS).alias("n")), "sketch")
     by_lang = own.groupBy("lang", "rule", "bucket").agg(F.sum("n").alias("n"))
     every = own.groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
     by_lang = _with_prior(by_lang, every, ["lang"], [], prior)
