@@ -21,6 +21,27 @@ def enrich_logs(lines: DataFrame, pods: DataFrame, file_col: str = "file",
     return meta.join(dim, ["pod", "pod_namespace"], "left")
 
 
+def drop_opted_out(lines: DataFrame, pods: DataFrame, annotation: str, annotations_col: str = "annotations",
+                   container_col: str = "container", stream_col: str = "stream") -> DataFrame:
+    """Lines of pods that opt out by ``annotation[_stream][-container]``
+    are dropped: all of a pod's, or one stream's (``stdout`` or ``stderr``) or
+    one container's. The value ``true`` (any case) opts out, any other keeps.
+    Lines without a known pod, or of a pod without annotations, stay. The pods
+    that opt out are found first, so an anti-join with those few is all that
+    lines see."""
+    rest = F.substring("__key", len(annotation) + 1, 1 << 20)
+    form = r"^(?:_(stdout|stderr))?(?:-(.+))?$"
+    part = lambda i: F.nullif(F.regexp_extract(rest, form, i), F.lit(""))
+    marked = (pods.select(F.col("pod").alias("__pod"), F.col("pod_namespace").alias("__ns"),
+                          F.explode(annotations_col).alias("__key", "__value"))
+              .filter((F.lower(F.trim("__value")) == "true") & F.startswith("__key", F.lit(annotation)) & rest.rlike(form))
+              .select("__pod", "__ns", part(1).alias("__stream"), part(2).alias("__container")).distinct())
+    cond = (lines["pod"] == marked["__pod"]) & (lines["pod_namespace"] == marked["__ns"])
+    for own, col in (("__stream", stream_col), ("__container", container_col)):
+        cond = cond & (marked[own].isNull() | (marked[own] == lines[col]))
+    return lines.join(marked, cond, "left_anti")
+
+
 def enrich_spans(spans: DataFrame, pods: DataFrame, resource_col: str = "resource",
                  label_cols: Sequence[str] = ("component_uid", "project_uid", "environment_uid", "namespace")) -> DataFrame:
     """Every pod label under its own key plus the five ``k8s.*`` fields
