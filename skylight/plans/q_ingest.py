@@ -290,7 +290,7 @@ def metric_allowlist(spark, sf_dir):
     return kept.select("pod", "ts", "metric", F.explode("labels").alias("key", "value"))
 
 
-@register("tail_sampled_traces", oracle="""
+TAIL_SQL = """
 WITH RECURSIVE t AS (SELECT trace_id, min(epoch_us(start_ts)) AS first_us, count(*) AS n FROM spans GROUP BY trace_id),
 c AS (SELECT *, (first_us + 10000000) // 86400000000 AS bucket FROM t),
 o AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY first_us, trace_id) AS rn FROM c WHERE n <= 20),
@@ -299,7 +299,10 @@ walk AS (SELECT bucket, rn, trace_id, n AS used, true AS kept FROM o WHERE rn =
   SELECT o.bucket, o.rn, o.trace_id, CASE WHEN w.used + o.n <= 20 THEN w.used + o.n ELSE w.used END,
          w.used + o.n <= 20 FROM walk w JOIN o ON o.bucket = w.bucket AND o.rn = w.rn + 1)
 SELECT c.trace_id, make_timestamp(c.first_us + 10000000) AS decision_ts, c.n AS spans
-FROM c JOIN walk ON walk.trace_id = c.trace_id WHERE walk.kept""")
+FROM c JOIN walk ON walk.trace_id = c.trace_id WHERE walk.kept"""
+
+
+@register("tail_sampled_traces", oracle=TAIL_SQL)
 def tail_sampled_traces(spark, sf_dir):
     return I.tail_sample(Views(spark, sf_dir).spans(), wait_s=10, limit=20, bucket_s=86400)
 

@@ -17,7 +17,7 @@ from skylight.operators import trace_sketches as TS
 from skylight.operators import traces as T
 from skylight.plans import params as P
 from skylight.plans.q_alerts import FOR_S, THROTTLE_S, _throttle_sql, _ticks_sql
-from skylight.plans.q_ingest import LOG_COLS
+from skylight.plans.q_ingest import LOG_COLS, TAIL_SQL
 from skylight.plans.q_metrics import CONTAINER, GRID, GRID_CTE, RANGE, rate_sql
 from skylight.plans.registry import register
 from skylight.sources import commits as C
@@ -28,6 +28,7 @@ from skylight.sources.otlp import decode_otlp, otlp_rejects
 from skylight.streaming import alert_state as S
 from skylight.streaming import pipelines as SP
 from skylight.streaming import rates as R
+from skylight.streaming.tail_state import tail_sample_stream
 
 SPAN = "400 days"
 _AHEAD = "TIMESTAMP '2030-01-01 00:00:00'"
@@ -196,3 +197,13 @@ def stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = _drained(R.rate_stream(_stream(cpu, "rate-src", last), CONTAINER, P.GRID_START, P.GRID_STEP_S, RANGE, lateness=SPAN), "rate")
     inside = F.col("ts").cast("timestamp_ntz").between(F.lit(P.GRID_START).cast("timestamp_ntz"), F.lit(P.GRID_END).cast("timestamp_ntz"))
     return got.filter(inside).select(*CONTAINER, F.col("ts").cast("timestamp_ntz").alias("ts"), round6("value").alias("value"))
+
+
+@register("stream_tail_sampled", oracle=TAIL_SQL)
+def stream_tail_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I9 in keyed state: the batch rule's traces from a stream mixed in time."""
+    spans = Views(spark, sf_dir).spans().select("trace_id", F.col("start_ts").cast("timestamp").alias("start_ts"))
+    last = spark.range(1).select(F.lit("").alias("trace_id"), F.expr(_AHEAD).alias("start_ts"))
+    got = _drained(tail_sample_stream(_stream(spans, "tail-src", last), wait_s=10, limit=20, bucket_s=86400,
+                                      max_trace_s=366 * 86400, lateness=SPAN), "tail")
+    return got.filter("trace_id <> ''").withColumn("decision_ts", F.col("decision_ts").cast("timestamp_ntz"))
