@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skylight.functions.numeric import round6
 from skylight.operators import alerts as A
 from skylight.operators import metrics as M
+from skylight.operators.grouping import grouped_notices
 from skylight.plans import params as P
 from skylight.plans.registry import register
 from skylight.sources.fixtures import Views
@@ -152,6 +153,30 @@ def alert_notifications(spark, sf_dir):
     return A.notifications(labelled, "rule_name", "tick", "managed", "true", 300, 12 * 3600)
 
 
+# every user's events above 20 are sightings of that user's alerts, one per type; those of every seventh user are not ours
+@register("alert_grouped_notices", oracle="""
+WITH RECURSIVE seen AS (SELECT user_id, event_type, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER w AS before FROM events
+  WHERE value > 20 AND user_id % 7 <> 0 AND event_type IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts)),
+isl AS (SELECT *, sum(CASE WHEN us - before <= 259200000000 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, event_type ORDER BY us) AS island FROM seen),
+iv AS MATERIALIZED (SELECT user_id, event_type, min(us) AS s, max(us) + 259200000000 AS e FROM isl GROUP BY user_id, event_type, island),
+walk AS (
+  SELECT user_id, min(s) + 30000000 AS f0, min(s) + 30000000 AS f, CAST([] AS VARCHAR[]) AS told, CAST(NULL AS BIGINT) AS last,
+    CAST(NULL AS BIGINT) AS sent, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS n_active, CAST(NULL AS BIGINT) AS n_new FROM iv GROUP BY user_id
+  UNION ALL
+  SELECT user_id, CASE WHEN n = 0 THEN later + 30000000 ELSE f0 END,
+    CASE WHEN n = 0 THEN later + 30000000 ELSE f0 + CAST(ceil((least(coalesce(later, ends), ends, CASE WHEN send THEN f ELSE last END + 43200000000) - f0) / 300000000.0) AS BIGINT) * 300000000 END,
+    CASE WHEN n = 0 THEN [] WHEN send THEN act ELSE told END, CASE WHEN n = 0 THEN NULL WHEN send THEN f ELSE last END,
+    CASE WHEN send THEN f END, CASE WHEN send THEN CASE WHEN n_fresh > 0 THEN 'new' ELSE 'repeat' END END, n, n_fresh
+  FROM (SELECT *, n > 0 AND (n_fresh > 0 OR f - last >= 43200000000) AS send FROM (
+    SELECT walk.user_id, f0, f, told, last, count(*) FILTER (s <= f AND e > f) AS n, coalesce(list(event_type) FILTER (s <= f AND e > f), []) AS act,
+      count(*) FILTER (s <= f AND e > f AND NOT list_contains(told, event_type)) AS n_fresh, min(s) FILTER (s > f) AS later, min(e) FILTER (e > f) AS ends
+    FROM walk JOIN iv ON iv.user_id = walk.user_id WHERE f IS NOT NULL GROUP BY walk.user_id, f0, f, told, last) x) y)
+SELECT user_id, make_timestamp(sent) AS notified_at, reason, n_active, n_new FROM walk WHERE sent IS NOT NULL""")
+def alert_grouped_notices(spark, sf_dir):
+    seen = _v(spark, sf_dir).events.filter("value > 20").withColumn("ours", F.when(F.col("user_id") % 7 != 0, "true").otherwise("false"))
+    return grouped_notices(seen.filter("ours = 'true'"), "user_id", "event_type", "ts", resolve_s=3 * 86400)
+
+
 _ALERTS_JSON = ('[{"status":"VARCHAR","startsAt":"VARCHAR","annotations":'
                 '{"rule_name":"VARCHAR","rule_namespace":"VARCHAR","alert_value":"VARCHAR"}}]')
 WEBHOOKS_SQL = f"""
