@@ -42,7 +42,7 @@ from .common import new_folder, text_key
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-ENCODE_SLICE = 2 << 20
+ENCODE_SLICE = 1 << 20
 FILE_SCHEMA = "doc_id long, ord long, n_tokens int, ids array<int>"
 
 #: Unicode white space other than ASCII's (fixed values of the standard).
@@ -51,7 +51,7 @@ _OTHER_SPACE = re.compile("[\u0085   -     　]")
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 #: Pieces a worker keeps coded (emptied when full; speed only), and pieces encoded in one string.
-KEEP = 1_500_000
+KEEP = 400_000
 JOINED = 500
 
 _tokenizers: dict[str, object] = {}
