@@ -21,11 +21,13 @@ any order that all sets use.
 4. Verification, never all pairs of a bucket: each set with the least set of
    its buckets, first one candidate per set, then with ``PIVOTS`` sets of each
    bucket where they still lie in another component.
-5. Buckets that hold several components may hide a link between them. Their
-   rows outside the largest component are held against the others in blocks
-   of ``BLOCK``, by size and by 1-bit minima; the pairs that are left are
-   verified on the whole sets. Rows, not token lists, are dealt to the blocks.
-   The bits lose a pair at the threshold with probability under 1e-11.
+5. Buckets that hold several components may hide a link between them. Such
+   buckets are gathered by their largest component; rows of other components
+   there are held against all rows there in blocks of ``BLOCK`` rows or
+   ``BLOCK_TOKENS`` tokens. A block counts the common tokens of all its pairs
+   (products of 0/1 matrices for tokens in many of its rows, pair lists for
+   the others), so nothing is guessed, and only a spanning forest of its links
+   leaves it.
 
 So a pair that links shares a bucket, and every pair that shares a bucket is
 linked, in one component already, or too unlike. Nothing is capped.
@@ -50,7 +52,7 @@ from pyspark.sql import functions as F
 from . import textbatch as tb
 from .common import stored
 from .components import components
-from .minhash import _minima, agreement_bound
+from .tokens import gather
 
 SHINGLE = 5
 PERCENT = 80
@@ -58,11 +60,14 @@ PERCENT = 80
 RARE = 16
 #: Tokens of a combination.
 COMBINE = 2
-BLOCK = 512
+#: Rows, and tokens, on either side of a block in which late links are sought.
+BLOCK = 2048
+BLOCK_TOKENS = 1 << 21
+#: A token that is common to more than 1 / DENSE of a block's pairs is a column
+#: of a matrix product.
+DENSE = 128
 #: Sets of a bucket that every other one is held against.
 PIVOTS = 4
-#: Signature bound, in standard deviations below the threshold.
-SLACK = 7.0
 #: A smaller set that is not equal to another one has no partner.
 LEAST = 4
 _CHUNK = 1 << 20
@@ -159,7 +164,7 @@ def partnered(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, percent:
 
 
 def token_lists(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(s, n, tokens, sig) of the chosen sets; tokens ascend."""
+    """(s, n, tokens) of the chosen sets; tokens ascend."""
     want = chosen.select(F.col("doc").alias("doc_id"), F.col("s").alias("want"))
     texts = _sets(docs, doc_id, text).join(want, "doc_id").select("want", "text")
 
@@ -173,18 +178,12 @@ def token_lists(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> D
                     continue
                 offsets = np.concatenate([[0], np.cumsum(size[has])])
                 digest = _digest(h, offsets)
-                m = _minima(h, offsets)
-                words = len(m) // 64
-                bit = (tb.mix(m) & np.uint64(1)).reshape(words, 64, len(has))
-                sig = (bit << np.arange(64, dtype=np.uint64)[None, :, None]).sum(1, dtype=np.uint64)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(h.view(np.int64)))
-                sigs = pa.ListArray.from_arrays(pa.array(np.arange(len(has) + 1, dtype=np.int32) * words),
-                                                pa.array(np.ascontiguousarray(sig.T).reshape(-1).view(np.int64)))
-                out = pa.RecordBatch.from_arrays([pa.array(digest), pa.array(size[has], pa.int64()), lists, sigs], names=["s", "n", "tokens", "sig"])
+                out = pa.RecordBatch.from_arrays([pa.array(digest), pa.array(size[has], pa.int64()), lists], names=["s", "n", "tokens"])
                 # a doc_id may have other sets than the one asked for
                 yield out.filter(pa.array(digest == np.asarray(part.column("want"), np.int64)[has]))
 
-    return texts.mapInArrow(run, "s long, n long, tokens array<long>, sig array<long>").dropDuplicates(["s"])
+    return texts.mapInArrow(run, "s long, n long, tokens array<long>").dropDuplicates(["s"])
 
 
 def _classes(n: int, percent: int) -> list[int]:
@@ -238,12 +237,15 @@ def buckets(nodes: DataFrame, percent: int, rare: int, k: int) -> DataFrame:
         for batch in batches:
             s, n = (batch.column(c).to_numpy() for c in ("s", "n"))
             counts, tokens = batch.column("counts"), batch.column("tokens")
-            found = [np.zeros(0, np.uint64)]
+            found, first, held = [], 0, 0
             for i in range(batch.num_rows):
                 found.append(index_keys(int(n[i]), counts[i].values.to_numpy(), tokens[i].values.to_numpy().view(np.uint64), percent, rare, k))
-            sizes = np.array([len(x) for x in found[1:]], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(s, sizes)),
-                                              pa.array(np.repeat(n, sizes))], names=["key", "s", "n"])
+                held += len(found[-1])
+                if held > _CHUNK or i == batch.num_rows - 1:
+                    sizes = np.array([len(x) for x in found], np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(s[first:i + 1], sizes)),
+                                                      pa.array(np.repeat(n[first:i + 1], sizes))], names=["key", "s", "n"])
+                    found, first, held = [], i + 1, 0
 
     rows = stored(shared.mapInArrow(run, "key long, s long, n long"), "index")
     mixed = [F.min_by("s", F.xxhash64(F.lit(seed), "s")).alias(f"pivot{seed}") for seed in range(1, PIVOTS)]
@@ -290,54 +292,102 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
             .filter(F.coalesce("c_u", "u") != F.coalesce("c_v", "v")).select("u", "v"))
 
 
-def late_pairs(rows: DataFrame, label: DataFrame, nodes: DataFrame, percent: int, slack: float) -> DataFrame:
-    """(u, v): pairs of different components that share a bucket of ``rows``
-    and may link by size and signature."""
+def common_counts(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Common tokens of every row of ``a`` with every row of ``b``; a side is
+    the tokens of its rows in a row, and how many each row has (one at least).
+    Exact while a set has under 2^24 tokens that are common."""
+    (ta, na), (tb_, nb) = a, b
+    shared = np.intersect1d(ta, tb_)
+    sides = []
+    for t, n in (a, b):
+        at = np.minimum(np.searchsorted(shared, t), max(0, len(shared) - 1))
+        ok = np.flatnonzero(shared[at] == t) if len(shared) else np.zeros(0, np.int64)
+        at, row = at[ok], np.repeat(np.arange(len(n)), n)[ok]
+        by = np.argsort(at, kind="stable")
+        size = np.bincount(at, minlength=len(shared))
+        sides.append((row[by], size, np.cumsum(size) - size))
+    (ra, sa, fa), (rb, sb, fb) = sides
+    out = np.zeros((len(na), len(nb)), np.float32)
+    often = sa * sb * DENSE > out.size
+    dense = np.flatnonzero(often)
+    for i in range(0, len(dense), BLOCK):
+        part = dense[i:i + BLOCK]
+        of = []
+        for row, size, first, rows in ((ra, sa, fa, len(na)), (rb, sb, fb, len(nb))):
+            m = np.zeros((rows, len(part)), np.float32)
+            m[row[gather(size[part], first[part])], np.repeat(np.arange(len(part)), size[part])] = 1
+            of.append(m)
+        out += of[0] @ of[1].T
+    few = np.flatnonzero(~often)
+    total = np.cumsum(sa[few] * sb[few])
+    at = 0
+    while at < len(few):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + 4 * _CHUNK, side="right")))
+        part = few[at:to]
+        left = gather(sa[part], fa[part])  # places of the rows of a, each against its token's rows of b
+        each = np.repeat(sb[part], sa[part])
+        right = gather(each, np.repeat(fb[part], sa[part]))
+        out += np.bincount(np.repeat(ra[left], each) * len(nb) + rb[right], minlength=out.size).reshape(out.shape)
+        at = to
+    return out
+
+
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of links of a block that hold together what all its
+    links do: a spanning forest, under one link per row and column."""
+    rows, cols = np.zeros(linked.shape[0], bool), np.zeros(linked.shape[1], bool)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for i in np.flatnonzero(linked.any(1)):
+        front = np.array([] if rows[i] else [i], np.int64)
+        rows[i] = True
+        while len(front):
+            new = np.flatnonzero(linked[front].any(0) & ~cols)
+            cols[new] = True
+            found.append((front[linked[np.ix_(front, new)].argmax(0)] if len(new) else new, new))
+            front = np.flatnonzero(linked[:, new].any(1) & ~rows)
+            rows[front] = True
+            found.append((front, new[linked[np.ix_(front, new)].argmax(1)] if len(front) else front))
+    return np.concatenate([r for r, _ in found]), np.concatenate([c for _, c in found])
+
+
+def late_links(rows: DataFrame, label: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(u, v): links that join all different components of which two sets that
+    link share a bucket of ``rows``."""
     named = (rows.select("key", "s", "n").join(label.select(F.col("node").alias("s"), F.col("component").alias("c")), "s", "left")
              .withColumn("c", F.coalesce("c", "s")))
     per = named.groupBy("key", "c").agg(F.count(F.lit(1)).alias("rows"))
-    mixed = (per.groupBy("key").agg(F.max(F.struct("rows", "c")).alias("most"), F.sum("rows").alias("all"), F.count(F.lit(1)).alias("parts"))
-             .filter("parts > 1").select("key", F.col("most.c").alias("most"), F.expr("cast(ceil(all / %d) as int)" % BLOCK).alias("j_n"),
-                                         F.expr("cast(ceil((all - most.rows) / %d) as int)" % BLOCK).alias("i_n")))
-    inside = named.join(mixed, "key")
-    # buckets with the same rows are compared once
-    same = inside.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.xxhash64(F.lit(seed), "s").cast("decimal(38,0)")).alias(f"x{seed}") for seed in (1, 2)])
-    once = same.groupBy("rows", "x1", "x2").agg(F.min("key").alias("key")).select("key")
-    dealt = inside.join(once, "key").join(nodes.select("s", "sig"), "s")
+    mixed = (per.groupBy("key").agg(F.max_by("c", F.struct("rows", "c")).alias("k"), F.count(F.lit(1)).alias("parts"))
+             .filter("parts > 1").select("key", "k"))
+    members = stored(named.join(mixed, "key").select("k", "s", "c", "n").distinct(), "mixed")
+    query = F.col("c") != F.col("k")
+    parts = lambda rows, tokens: F.greatest(F.ceil(rows / BLOCK), F.ceil(tokens / BLOCK_TOKENS)).cast("int")
+    blocks = members.groupBy("k").agg(parts(F.count(F.lit(1)), F.sum("n")).alias("j_n"),
+                                      parts(F.count(F.when(query, 1)), F.sum(F.when(query, F.col("n")))).alias("i_n"))
+    dealt = members.join(blocks, "k")
     own = lambda n: F.pmod(F.xxhash64("s"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    item = F.struct("s", "c", "n", "sig").alias("x")
-    left = dealt.filter("c <> most").select("key", own("i_n").alias("i"), every("j_n").alias("j"), F.lit(0).alias("side"), item)
-    right = dealt.select("key", every("i_n").alias("i"), own("j_n").alias("j"), F.lit(1).alias("side"), item)
-    side = lambda k: F.collect_list(F.when(F.col("side") == k, F.col("x")))
-    blocks = left.unionByName(right).groupBy("key", "i", "j").agg(side(0).alias("a"), side(1).alias("b")).filter("size(a) > 0 AND size(b) > 0")
-    bound = agreement_bound(percent, slack)
-
-    def parts(rows: pa.ListArray) -> tuple[np.ndarray, ...]:
-        flat = rows.flatten()
-        s, c, n = (flat.field(i).to_numpy() for i in range(3))
-        sig = flat.field(3)
-        return s, c, n, np.asarray(sig.flatten()).view(np.uint64).reshape(len(s), -1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.zeros((0, 2), np.int64)]
-            for i in range(batch.num_rows):
-                a, b = (parts(batch.column(c).slice(i, 1)) for c in ("a", "b"))
-                for s, c, n, sig in zip(*a):
-                    ok = (b[1] != c) & (np.minimum(b[2], n) * 100 >= np.maximum(b[2], n) * percent)
-                    at = np.flatnonzero(ok)
-                    at = at[np.bitwise_count(sig ^ b[3][at]).sum(1, dtype=np.int64) <= bound]
-                    v = b[0][at]
-                    found.append(np.stack([np.minimum(s, v), np.maximum(s, v)], 1))
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
-
-    return blocks.select("a", "b").mapInArrow(run, "u long, v long").distinct()
-
-
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, rare: int = RARE, k: int = COMBINE,
-            slack: float = SLACK) -> DataFrame:
+    left = dealt.filter(query).select("k", own("i_n").alias("i"), every("j_n").alias("j"), "s", "c")
+    right = dealt.select("k", every("i_n").alias("i"), own("j_n").alias("j"), "s", "c")
+    key = ["k", "i", "j"]
+    # fresh attributes: both sides come from the same rows
+    a, b = (x.join(nodes.select("s", "tokens"), "s").select(*[F.col(c).alias(c) for c in (*key, "s", "c", "tokens")]) for x in (left, right))
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        u = v = np.zeros(0, np.int64)
+        if a.num_rows and b.num_rows:
+            lists = [t.column("tokens").combine_chunks() for t in (a, b)]
+            sets = [(x.flatten().to_numpy(), np.asarray(x.value_lengths(), np.int64)) for x in lists]
+            n = sets[0][1][:, None] + sets[1][1][None, :]
+            linked = common_counts(*sets) >= -(-percent * n // (100 + percent))
+            linked &= a.column("c").to_numpy()[:, None] != b.column("c").to_numpy()[None, :]
+            i, j = forest(linked)
+            u, v = a.column("s").to_numpy()[i], b.column("s").to_numpy()[j]
+        return pa.table({"u": u, "v": v})
+
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(compare, "u long, v long")
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, rare: int = RARE, k: int = COMBINE) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``."""
     if not 50 <= percent <= 100:
         raise ValueError("prefixes are made for 50 to 100 percent")
@@ -362,7 +412,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     links = links.unionByName(more)
     if not more.isEmpty():
         label = components(links)
-    late = stored(verified(late_pairs(index, label, nodes, percent, slack), nodes, percent), "links")
+    late = stored(late_links(index, label, nodes, percent), "links")
     if not late.isEmpty():
         label = components(links.unionByName(late))
     group = (sets.join(label.select(F.col("node").alias("s"), "component"), "s", "left")

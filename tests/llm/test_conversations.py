@@ -159,6 +159,24 @@ def test_ngram_join_families_of_edited_copies(spark):
         assert sorted((tuple(x) for x in ngram_join.classes(t, rare=rare).collect()), key=key) == near80(rows)
 
 
+@pytest.mark.parametrize("block,dense", [(2048, 128), (7, 1 << 40), (7, 0)])
+def test_ngram_join_late_links_are_a_forest(spark, monkeypatch, block, dense):
+    """Two components of 30 copies each, any two of which link, and sets of
+    their own in one bucket: a link per set is enough, and none is lost."""
+    for name, value in (("BLOCK", block), ("DENSE", dense)):
+        monkeypatch.setattr(ngram_join, name, value)
+    near = [(s, 100, [*range(95), *range(1000 + 5 * s, 1005 + 5 * s)]) for s in range(60)]
+    far = [(100 + s, 100, [*range(60), *range(9000 + 40 * s, 9040 + 40 * s)]) for s in range(20)]
+    nodes = spark.createDataFrame(near + far, "s long, n long, tokens array<long>")
+    rows = nodes.selectExpr("1L AS key", "s", "n").unionByName(nodes.selectExpr("2L AS key", "s", "n"))
+    label = spark.createDataFrame([(s, 0 if s < 30 else 30) for s in range(60)], "node long, component long")
+    got = [tuple(r) for r in ngram_join.late_links(rows, label, nodes, 80).collect()]
+    assert got and all(min(p) < 30 <= max(p) < 60 for p in got)
+    if block > 60:
+        assert len(got) < 60
+        assert len({x for p in got for x in p}) == 60
+
+
 def test_ngram_join_empty(empty):
     assert ngram_join.classes(empty).collect() == []
 
