@@ -136,6 +136,13 @@ def _extrapolated(range_s: float) -> Column:
     return inc * (sampled + d_start + d_end) / sampled / F.lit(float(range_s))
 
 
+def _spread(df: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Rows of equal ``part`` together, in all of the session's shuffle
+    partitions. AQE would merge partitions by the bytes that they shuffle, and
+    the aggregates of a merged task hold many times as much."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *part)
+
+
 def _with_resets(df: DataFrame, part: Sequence[str], order: str, first: str, last: str) -> DataFrame:
     """Add ``__reset``: the last value before this row (in ``part``, by
     ``order``) where this row starts lower, else 0."""
@@ -147,7 +154,7 @@ def _combine_samples(df: DataFrame, part: Sequence[str], value_col: str) -> Data
     """Count, first and last sample and the increase of each group of samples,
     counter resets inside the group included. The lag and the aggregate
     share one shuffle by ``part``."""
-    d = _with_resets(df, part, "__t_us", value_col, value_col)
+    d = _with_resets(_spread(df, part), part, "__t_us", value_col, value_col)
     return d.groupBy(*part).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("__t_us").alias("first_us"),
@@ -175,7 +182,7 @@ def _combine_buckets(samples: DataFrame, keys: list[str], grid: Grid, range_us:
     lo = F.greatest(-_floor_div(-F.col("__b"), per_step), F.lit(0).cast("bigint"))
     hi = F.least(_floor_div(F.col("__b") + long_lit(per_range - 1), per_step), long_lit(grid.last_index))
     gs = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-    x = _with_resets(b, keys, "__b", "first_value", "last_value").withColumn("g", F.explode(gs))
+    x = _with_resets(_spread(b, keys), keys, "__b", "first_value", "last_value").withColumn("g", F.explode(gs))
     return x.groupBy(*keys, "g").agg(
         F.sum("n").alias("n"),
         F.min("first_us").alias("first_us"),

@@ -36,10 +36,23 @@ def _scoped_sum(series: DataFrame, pods: DataFrame, scope: Scope, on=POD_KEYS, r
     return M.sum_by(j, labels)
 
 
+def _in_scope(samples: DataFrame, pods: DataFrame, scope: Scope, on=POD_KEYS, rename=None) -> DataFrame:
+    """The samples of the scope's pods: the others leave before the rate, and
+    are neither shuffled nor held."""
+    right = M.pod_labels(pods, scope)
+    for a, b in (rename or {}).items():
+        right = right.withColumnRenamed(a, b)
+    return samples.join(right.select(*on), list(on), "left_semi").select(*samples.columns)
+
+
+def _dest_in_scope(samples: DataFrame, pods: DataFrame, scope: Scope) -> DataFrame:
+    return _in_scope(samples, pods, scope, DEST_KEYS, DEST_RENAME)
+
+
 def cpu_usage(cpu: DataFrame, pods: DataFrame, scope: Scope, grid: M.Grid,
               range_s: float = M.DEFAULT_RATE_RANGE_S) -> DataFrame:
     """M10 usage: rate of the CPU counter x pod labels, summed by scope labels."""
-    c = containers(cpu)
+    c = _in_scope(containers(cpu), pods, scope)
     return _scoped_sum(M.rate(c, M.series_keys(c), grid, range_s), pods, scope)
 
 
@@ -95,7 +108,7 @@ def _http_rate(http: DataFrame, grid: M.Grid, range_s: float, status_regex: str
 
 def http_requests(http, pods, scope, grid, range_s=M.DEFAULT_RATE_RANGE_S, status_regex=None):
     """Request rate (all / success / failed), destination-pod labels, >= 0."""
-    r = _http_rate(http, grid, range_s, status_regex)
+    r = _http_rate(_dest_in_scope(http, pods, scope), grid, range_s, status_regex)
     return M.nonnegative(_scoped_sum(r, pods, scope, on=DEST_KEYS, rename=DEST_RENAME))
 
 
@@ -103,9 +116,9 @@ def http_latency_mean(latency_sum: DataFrame, http: DataFrame, pods: DataFrame,
                       grid: M.Grid, range_s: float = M.DEFAULT_RATE_RANGE_S) -> DataFrame:
     """Sum of duration-sum rates / sum of request rates, >= 0."""
     labels = scope.label_columns()
-    num = _scoped_sum(M.rate(_client(latency_sum), M.series_keys(latency_sum), grid, range_s),
+    num = _scoped_sum(M.rate(_dest_in_scope(_client(latency_sum), pods, scope), M.series_keys(latency_sum), grid, range_s),
                       pods, scope, on=DEST_KEYS, rename=DEST_RENAME).withColumnRenamed("value", "num")
-    den = _scoped_sum(_http_rate(http, grid, range_s, None), pods, scope, on=DEST_KEYS,
+    den = _scoped_sum(_http_rate(_dest_in_scope(http, pods, scope), grid, range_s, None), pods, scope, on=DEST_KEYS,
                       rename=DEST_RENAME).withColumnRenamed("value", "den")
     j = num.join(den, labels + ["ts"], "inner")
     return M.nonnegative(j.select(*labels, "ts", M.ratio(F.col("num"), F.col("den")).alias("value")))
@@ -115,7 +128,7 @@ def http_latency_quantile(buckets: DataFrame, pods: DataFrame, scope: Scope, gri
                           range_s: float = M.DEFAULT_RATE_RANGE_S) -> DataFrame:
     """Histogram quantile of bucket rates summed by scope labels and le, >= 0."""
     labels = scope.label_columns()
-    r = M.rate(_client(buckets), M.series_keys(buckets), grid, range_s)
+    r = M.rate(_dest_in_scope(_client(buckets), pods, scope), M.series_keys(buckets), grid, range_s)
     j = M.join_pod_labels(r, M.pod_labels(pods, scope), on=DEST_KEYS, carry=labels, rename=DEST_RENAME)
     summed = j.groupBy(*labels, "le", "ts").agg(F.sum("value").alias("value"))
     return M.nonnegative(M.histogram_quantile(summed, q, labels))
@@ -158,7 +171,7 @@ def http_metrics(http, latency_sum, buckets, pods, scope, grid, range_s=M.DEFAUL
     three quantiles read the same bucket array.
     """
     labels = scope.label_columns()
-    req = M.join_pod_labels(_http_rate(http, grid, range_s, None), M.pod_labels(pods, scope), on=DEST_KEYS,
+    req = M.join_pod_labels(_http_rate(_dest_in_scope(http, pods, scope), grid, range_s, None), M.pod_labels(pods, scope), on=DEST_KEYS,
                             carry=labels, rename=DEST_RENAME)
     st = F.col("status")
     ok = st.rlike(SUCCESS_STATUS)
@@ -166,11 +179,11 @@ def http_metrics(http, latency_sum, buckets, pods, scope, grid, range_s=M.DEFAUL
     req_sum = req.groupBy(*labels, "ts").agg(
         F.sum("value").alias("requests"), F.sum(F.when(ok, F.col("value"))).alias("requests_success"),
         F.sum(F.when(bad, F.col("value"))).alias("requests_failed"))
-    num = _scoped_sum(M.rate(_client(latency_sum), M.series_keys(latency_sum), grid, range_s),
+    num = _scoped_sum(M.rate(_dest_in_scope(_client(latency_sum), pods, scope), M.series_keys(latency_sum), grid, range_s),
                       pods, scope, on=DEST_KEYS, rename=DEST_RENAME).withColumnRenamed("value", "__num")
     with_lat = req_sum.join(num, labels + ["ts"], "left").withColumn(
         "latency_mean", F.when(F.col("__num").isNotNull(), M.ratio(F.col("__num"), F.col("requests"))))
-    r = M.rate(_client(buckets), M.series_keys(buckets), grid, range_s)
+    r = M.rate(_dest_in_scope(_client(buckets), pods, scope), M.series_keys(buckets), grid, range_s)
     jb = M.join_pod_labels(r, M.pod_labels(pods, scope), on=DEST_KEYS, carry=labels, rename=DEST_RENAME)
     summed = jb.groupBy(*labels, "le", "ts").agg(F.sum("value").alias("value"))
     arrays = M.bucket_arrays(summed, labels)

@@ -139,3 +139,12 @@ def test_long_range_over_short_step(spark):
     df = spark.createDataFrame([("a", "2024-01-01 00:00:30")], "k string, t string").select("k", F.col("t").cast("timestamp_ntz").alias("ts"))
     grid = M.Grid.of("2024-01-01 00:00:00", "2024-01-01 23:59:00", 60)
     assert M.explode_to_grid(df, grid, 2 * 86400).count() == 1439
+
+
+def test_rate_is_not_merged_into_few_tasks(spark):
+    """The aggregates keep all shuffle partitions, however little is shuffled."""
+    rows = [(f"p{i % 40}", dt.datetime(2024, 1, 3) + dt.timedelta(hours=i // 40), float(i)) for i in range(400)]
+    samples = spark.createDataFrame(rows, "pod string, ts timestamp_ntz, value double")
+    for range_s in (7200, 3600):
+        r = M.rate(samples, ["pod"], M.Grid.of("2024-01-03 00:00:00", "2024-01-03 09:00:00", 3600), range_s)
+        assert r.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
