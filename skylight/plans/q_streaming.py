@@ -46,11 +46,19 @@ def _stream(df: DataFrame, name: str, last: DataFrame | None = None, files: int
 
 
 def _drained(df: DataFrame, name: str) -> DataFrame:
-    """The rows that the stream has put into its sink at its end."""
+    """The rows that the stream has put into its sink at its end. A state
+    partition costs a Python worker per micro-batch, with rows or without, so
+    there are no more of them than cores."""
     spark = df.sparkSession
     out = K.scratch_path(spark, name)
-    (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", K.scratch_path(spark, f"ckpt-{name}"))
-     .trigger(availableNow=True).start().awaitTermination())
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(parts), max(1, spark.sparkContext.defaultParallelism)))
+    try:  # a query keeps the settings of its start
+        query = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", K.scratch_path(spark, f"ckpt-{name}"))
+                 .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    query.awaitTermination()
     return spark.read.schema(df.schema).parquet(out)
 
 
