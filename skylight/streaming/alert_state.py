@@ -1,14 +1,16 @@
 """A6 and A7 on streams, with timers: results do not depend on arrival order.
 
 Both rules fold over one key's evaluations in time order. ``OrderedFold`` is a
-``transformWithState`` processor that does so on a shuffled stream:
-
-* a list state holds the evaluations that the watermark has not passed yet;
-* a timer at the least of them fires once the watermark passes it; what is
-  then in the past is sorted and folded, and the timer moves on;
-* a value state holds the fold (start of the current run, last sent time);
-* ``forget_s`` after the last folded evaluation a timer clears the key, so
-  rules that are gone leave no state behind. A run, or a throttle, that would
+``transformWithState`` processor that does so on a shuffled stream, for all
+keys of a shard at once (``shards.py``):
+
+* the shard's rows are the evaluations that the watermark has not passed yet;
+* its timer fires once the watermark passes the least of them; what is then in
+  the past is folded in time order;
+* a value state holds the fold of each key (start of the current run, last
+  sent time);
+* ``forget_s`` after the last folded evaluation a key's fold goes, so rules
+  that are gone leave no state behind. A run, or a throttle, that would
   go on after such a silence starts anew.
 
 Rows older than the watermark are dropped and counted by Spark
@@ -20,11 +22,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from .shards import SHARDS, Shard, key_columns, key_schema, packed, shard_of, to_ms, typed_back, unpacked
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -32,73 +38,77 @@ def require_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def _ms(us: int) -> int:
-    """The first millisecond that is not before a microsecond time."""
-    return -(-us // 1000)
-
-
 class OrderedFold(StatefulProcessor):
-    """``step(fold, us, cond) -> (fold, row or None)`` over a key's evaluations
-    in time order; ``fold`` is a pair of microsecond times or NULLs."""
+    """``step(fold, us, cond) -> (fold, row or None)`` over each key's evaluations
+    in time order; ``fold`` is a pair of microsecond times or NULLs, as are the
+    ``times`` among the row's columns."""
 
-    def __init__(self, step: Callable, columns: list[str], n_keys: int, forget_s: float):
-        self.step, self.columns, self.n_keys, self.forget_ms = step, columns, n_keys, int(forget_s * 1000)
+    def __init__(self, step: Callable, columns: list[str], times: list[str], n_keys: int, forget_s: float):
+        self.step, self.columns, self.times, self.forget_ms = step, columns, times, int(forget_s * 1000)
+        self.n_keys = n_keys
+        # names of their own, as a key may have any name
+        self.held = [*(f"k{i}" for i in range(n_keys)), "us", "cond"]
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "us bigint, cond boolean")
-        self.fold = handle.getValueState("fold", "a bigint, b bigint, last bigint")
+        self.shard = Shard(handle)
+        self.folds = handle.getValueState("folds", "chunk binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(us), bool(c)) for pdf in rows for us, c in zip(pdf["evaluated_us"], pdf["is_true"])]
-        held = [tuple(r) for r in self.waiting.get()]
-        if new:
-            self.waiting.appendList(new)
-            self._move_timer(held, held + new)
+        parts = [pdf[[*self.columns[:self.n_keys], "evaluated_us", "is_true"]] for pdf in rows if len(pdf)]
+        if parts:
+            new = pd.concat(parts).set_axis(self.held, axis=1)
+            self.shard.add(new)
+            self.shard.wake(to_ms(int(new["us"].min())))
         yield pd.DataFrame(columns=self.columns)
 
-    def _move_timer(self, before: list, after: list) -> None:
-        """One timer, at the least waiting time."""
-        was, now = (min((_ms(us) for us, _ in x), default=None) for x in (before, after))
-        if was != now:
-            if was is not None:
-                self.handle.deleteTimer(was)
-            if now is not None:
-                self.handle.registerTimer(now)
+    def _load(self) -> dict:
+        t = unpacked([bytes(self.folds.get()[0])]) if self.folds.exists() else None
+        if t is None:
+            return {}
+        *keys, a, b, last = (c.to_pylist() for c in t.columns)
+        return dict(zip(zip(*keys), zip(a, b, last)))
+
+    def _save(self, folds: dict) -> None:
+        if not folds:
+            self.folds.clear()
+            return
+        columns = [*(pa.array(c) for c in zip(*folds)), *(pa.array(c, pa.int64()) for c in zip(*folds.values()))]
+        self.folds.update((packed(pa.table(columns, names=[*self.held[:self.n_keys], "a", "b", "last"])),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        held = sorted(tuple(r) for r in self.waiting.get())
-        ready = [r for r in held if _ms(r[0]) <= passed]
-        left = held[len(ready):]
-        fold = self.fold.get() if self.fold.exists() else None
-        state, last = ((fold[0], fold[1]), fold[2]) if fold else ((None, None), None)
-        rows = []
-        for us, cond in ready:
+        held = self.shard.held(self.held)
+        past = to_ms(held["us"]) <= passed
+        left = held[~past]
+        folds, rows = self._load(), []
+        for *k, us, cond in held[past].sort_values(["us", "cond"], kind="stable").itertuples(index=False, name=None):
+            k = tuple(k)
+            a, b, last = folds.get(k, (None, None, None))
             if last is not None and us - last > self.forget_ms * 1000:
-                state = (None, None)
-            state, row = self.step(state, us, cond)
-            last = us
+                a = b = None
+            state, row = self.step((a, b), us, cond)
+            folds[k] = (*state, us)
             if row is not None:
-                rows.append((*key[:self.n_keys], *row))
-        if ready:
-            self.waiting.clear()
-            if left:
-                self.waiting.put(left)
-                self.handle.registerTimer(_ms(left[0][0]))
-            self.fold.update((*state, last))
-            if _ms(last) + self.forget_ms > passed:
-                self.handle.registerTimer(_ms(last) + self.forget_ms)
-        if last is not None and not left and _ms(last) + self.forget_ms <= passed:
-            self.fold.clear()
-        yield pd.DataFrame(rows, columns=self.columns)
+                rows.append((*k, *row))
+        folds = {k: f for k, f in folds.items() if to_ms(f[2]) + self.forget_ms > passed}
+        self._save(folds)
+        due = [to_ms(f[2]) + self.forget_ms for f in folds.values()]
+        if len(left):
+            due.append(to_ms(int(left["us"].min())))
+        self.shard.keep(left, min(due, default=None))
+        out = pd.DataFrame(rows, columns=self.columns)
+        if rows:
+            for c in self.times:
+                at = self.columns.index(c)
+                out[c] = np.array([_NONE if r[at] is None else r[at] for r in rows], np.int64).view("datetime64[us]")
+        yield out
 
     def close(self) -> None:
         pass
 
 
-def _time(us: int | None):
-    return None if us is None else pd.Timestamp(us, unit="us")
+#: NaT as a number.
+_NONE = np.iinfo(np.int64).min
 
 
 def pending_step(for_s: float) -> Callable:
@@ -107,7 +117,7 @@ def pending_step(for_s: float) -> Callable:
 
     def step(state, us, cond):
         start = (us if state[0] is None else state[0]) if cond else None
-        return (start, None), (_time(us), _time(start), cond and us - start >= hold)
+        return (start, None), (us, start, cond and us - start >= hold)
     return step
 
 
@@ -118,29 +128,32 @@ def throttle_step(every_s: float) -> Callable:
     def step(state, us, cond):
         if not cond or (state[0] is not None and us < state[0] + gap):
             return state, None
-        return (us, None), (_time(us),)
+        return (us, None), (us,)
     return step
 
 
-def _ordered(evals: DataFrame, keys: list[str], ts_col: str, cond, step: Callable, out: str, lateness: str, forget_s: float) -> DataFrame:
+def _ordered(evals: DataFrame, keys: list[str], ts_col: str, cond, step: Callable, out: str, lateness: str, forget_s: float,
+             shards: int = SHARDS) -> DataFrame:
     require_rocksdb(evals.sparkSession)
-    d = evals.select(*keys, F.col(ts_col).cast("timestamp").alias("evaluated_at"), F.coalesce(cond, F.lit(False)).alias("is_true")).withWatermark("evaluated_at", lateness)
-    d = d.withColumn("evaluated_us", F.unix_micros("evaluated_at"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in evals.select(*keys).schema.fields)
-    names = [*keys, *[x.split()[0] for x in out.split(", ")]]
-    return d.groupBy(*keys).transformWithStateInPandas(
-        OrderedFold(step, names, len(keys), forget_s), f"{kinds}, {out}", "Append", "eventTime")
+    d = evals.select(*key_columns(evals, keys), F.col(ts_col).cast("timestamp").alias("evaluated_at"), F.coalesce(cond, F.lit(False)).alias("is_true"))
+    d = d.filter("evaluated_at IS NOT NULL").withWatermark("evaluated_at", lateness)
+    d = d.withColumn("evaluated_us", F.unix_micros("evaluated_at")).withColumn("shard", shard_of(keys, shards))
+    fields = [x.split() for x in out.split(", ")]
+    got = d.groupBy("shard").transformWithStateInPandas(
+        OrderedFold(step, [*keys, *[x[0] for x in fields]], [x[0] for x in fields if x[1] == "timestamp"], len(keys), forget_s),
+        f"{key_schema(evals, keys)}, {out}", "Append", "eventTime")
+    return typed_back(got, evals, keys)
 
 
 def pending_ordered(evals: DataFrame, keys: list[str], ts_col: str, cond, for_s: float, lateness: str = "10 minutes",
-                    forget_s: float = 86400) -> DataFrame:
+                    forget_s: float = 86400, shards: int = SHARDS) -> DataFrame:
     """A6 on a stream in any order: (keys, ts, island_start, firing)."""
     return _ordered(evals, list(keys), ts_col, cond, pending_step(for_s),
-                    f"{ts_col} timestamp, island_start timestamp, firing boolean", lateness, forget_s)
+                    f"{ts_col} timestamp, island_start timestamp, firing boolean", lateness, forget_s, shards)
 
 
 def throttle_ordered(firing: DataFrame, key: str = "rule_name", ts_col: str = "tick", every_s: float = 3600, lateness: str = "10 minutes",
-                     forget_s: float = 86400) -> DataFrame:
+                     forget_s: float = 86400, shards: int = SHARDS) -> DataFrame:
     """A7 on a stream in any order: (key, ts) of the notices that are sent;
     ``forget_s`` is at least ``every_s``."""
-    return _ordered(firing, [key], ts_col, F.lit(True), throttle_step(every_s), f"{ts_col} timestamp", lateness, max(forget_s, every_s))
+    return _ordered(firing, [key], ts_col, F.lit(True), throttle_step(every_s), f"{ts_col} timestamp", lateness, max(forget_s, every_s), shards)
