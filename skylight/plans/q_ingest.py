@@ -55,14 +55,16 @@ def _write_container_files(spark, sf_dir) -> str:
         .alias("value"))))
     lines = base.select("logfile", "ts", F.explode(frag).alias("l")).select("logfile", "ts", "l.o", "l.value")
     path = K.scratch_path(spark, "container-logs")
-    (lines.repartition("logfile").sortWithinPartitions("logfile", "ts", "o")
-     .select("logfile", "value").write.partitionBy("logfile").text(path))
+    # by number: small rows in many files must not be coalesced into few tasks
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    K.write_text_files(lines.repartition(n, "logfile").sortWithinPartitions("logfile", "ts", "o").select("logfile", "value"),
+                       path, "logfile")
     return path
 
 
 def _decoded(spark, sf_dir):
     path = _container_files(spark, sf_dir)
-    raw = C.read_container_logs(spark, path, glob="*.txt")
+    raw = C.read_container_logs(spark, path, glob="*.{log,txt}")
     return C.decode_container_lines(raw)
 
 

@@ -7,9 +7,13 @@ cluster), never a machine-local temporary folder.
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Iterator
 from typing import Sequence
+from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +30,53 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/skylight/{name}/{uuid.uuid4().hex}"
 
 
+def _mounted(path: str) -> str | None:
+    """``path`` as the operating system knows it; None on another file system."""
+    parts = urlsplit(path)
+    return path if not parts.scheme else unquote(parts.path) if parts.scheme == "file" else None
+
+
+def write_text_files(df: DataFrame, path: str, name_col: str, value_col: str = "value") -> None:
+    """One text file per ``name_col``, a line per row. The rows of a name lie
+    in one partition, together and in file order (repartition and sort first).
+
+    On a folder that is mounted the tasks write ``<path>/<name>`` themselves:
+    without its native library, Hadoop's local file system starts four
+    processes a file to set permissions, and the driver then moves all files
+    alone. A file gets its name when it is complete, so a repeated task does no
+    harm. On other file systems Spark writes a folder ``name_col=<name>``."""
+    base = _mounted(path)
+    rows = df.select(F.col(name_col).cast("string").alias("name"), F.col(value_col).cast("string").alias("value"))
+    if base is None:
+        rows.withColumnRenamed("name", name_col).write.partitionBy(name_col).text(path)
+        return
+    os.makedirs(base, exist_ok=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(base, exist_ok=True)
+        name, out, n = None, None, 0
+        try:
+            for batch in batches:
+                for to, value in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist()):
+                    to = "unnamed.txt" if to is None else to.replace("/", "%2F")
+                    if to != name:
+                        if out is not None:
+                            out.close()
+                            os.replace(out.name, f"{base}/{name}")
+                        name, n = to, n + 1
+                        out = open(f"{base}/.{uuid.uuid4().hex}", "wb", 1 << 16)  # noqa: SIM115 - spans batches
+                    out.write((value or "").encode() + b"\n")
+            if out is not None:
+                out.close()
+                os.replace(out.name, f"{base}/{name}")
+        finally:
+            if out is not None:
+                out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["files"])
+
+    rows.mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
 def with_day(df: DataFrame, ts_col: str = "ts", day_col: str = "log_date") -> DataFrame:
     return df.withColumn(day_col, F.col(ts_col).cast("date"))
 
