@@ -48,9 +48,10 @@ FILE_SCHEMA = "doc_id long, ord long, n_tokens int, ids array<int>"
 #: Unicode white space other than ASCII's (fixed values of the standard).
 _OTHER_SPACE = re.compile("[\u0085   -     　]")
 
-_ASCII_SPACE = " \t\n\x0b\x0c\r"
+#: The first two bytes of each of them.
+_OTHER_PAIRS = np.array(sorted({int.from_bytes(c.encode()[:2], "big") for c in map(chr, range(0x80, 0xD800)) if _OTHER_SPACE.match(c)}), np.int64)
 
-#: Pieces a worker keeps coded (emptied when full; speed only), and pieces encoded in one string.
+#: Pieces a worker keeps coded (thinned when full; speed only), and pieces encoded in one string.
 KEEP = 400_000
 JOINED = 500
 
@@ -90,15 +91,29 @@ class Store:
     def _clear(self) -> None:
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.again = np.zeros(0, bool)
+
+    def _thin(self) -> None:
+        """Leave the keys that were met again since the last time, unless they
+        are over half the limit."""
+        kept = np.flatnonzero(self.again[self.slots])
+        if len(kept) > self.limit // 2:
+            return self._clear()
+        keys, slot = self.keys[kept], self.slots[kept]
+        sizes = self.sizes[slot]
+        ids = self.ids[gather(sizes.astype(np.int64), self.starts[slot])]
+        self._clear()
+        self.put(keys, sizes, ids)
 
     def missing(self, keys: np.ndarray) -> np.ndarray:
-        """Which of the sorted ``keys`` are not held; a full store is emptied first."""
+        """Which of the sorted ``keys`` are not held; a full store is thinned first."""
         if len(self.keys) > self.limit:
-            self._clear()
+            self._thin()
         at = np.searchsorted(self.keys, keys)
         held = np.zeros(len(keys), bool)
         inside = at < len(self.keys)
         held[inside] = self.keys[at[inside]] == keys[inside]
+        self.again[self.slots[at[held]]] = True
         return np.flatnonzero(~held)
 
     def put(self, keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
@@ -109,6 +124,7 @@ class Store:
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
         self.ids = np.concatenate([self.ids, ids])
+        self.again = np.concatenate([self.again, np.zeros(len(keys), bool)])
 
     def get(self, keys: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``keys[inverse]`` in a row, and how many each has."""
@@ -127,24 +143,30 @@ class Coded:
         self.width = np.array([len(self.t.id_to_token(i) or "") for i in range(size)], np.int64)
         self.store = Store(KEEP)
 
-    def add(self, keys: np.ndarray, pieces: list[str]) -> None:
-        """Encode ``pieces``. Those that start with white space and end with
-        another character are encoded joined, since the splitter cuts between
-        them, and told apart by their bytes; the others one by one."""
-        joins = np.array([len(p) > 1 and p[0] in _ASCII_SPACE and p[-1] not in _ASCII_SPACE for p in pieces], bool)
-        single, many = np.flatnonzero(~joins).tolist(), np.flatnonzero(joins).tolist()
-        texts = [pieces[i] for i in single]
-        texts += ["".join(pieces[i] for i in many[a:a + JOINED]) for a in range(0, len(many), JOINED)]
-        own = [np.array(e.ids, np.int32) for e in self.t.encode_batch(texts, add_special_tokens=False)]
-        sizes = np.zeros(len(pieces), np.int64)
+    def add(self, keys: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Encode the pieces [start, end) of ``buf``. Those that start with
+        white space and end with another character are encoded joined, since
+        the splitter cuts between them, and told apart by their bytes; the
+        others one by one."""
+        joins = tb.SPACE[buf[start]] & ~tb.SPACE[buf[end - 1]]
+        single, many = np.flatnonzero(~joins), np.flatnonzero(joins)
+        wide = (end - start)[many]
+        until = np.cumsum(wide)
+        texts = [buf[x:y].tobytes().decode() for x, y in zip(start[single].tolist(), end[single].tolist())]
+        row = buf[gather(wide, start[many])].tobytes()
+        cuts = [0, *until[JOINED - 1::JOINED].tolist()]
+        cuts += [len(row)] * (cuts[-1] < len(row))
+        texts += [row[x:y].decode() for x, y in zip(cuts[:-1], cuts[1:])]
+        # places of the tokens in the text are not asked for
+        own = [np.array(e.ids, np.int32) for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.zeros(len(keys), np.int64)
         sizes[~joins] = [len(c) for c in own[:len(single)]]
         flat = np.concatenate([np.zeros(0, np.int32), *own])
-        if many:
-            wide = np.fromiter((len(pieces[i].encode()) for i in many), np.int64, len(many))
+        if len(many):
             joined = flat[sizes.sum():]
-            sizes[joins] = np.diff(np.searchsorted(np.cumsum(self.width[joined]), np.cumsum(wide)) + 1, prepend=0)
-        order = np.concatenate([single, many]).astype(np.int64)
-        starts = np.zeros(len(pieces), np.int64)
+            sizes[joins] = np.diff(np.searchsorted(np.cumsum(self.width[joined]), until) + 1, prepend=0)
+        order = np.concatenate([single, many])
+        starts = np.zeros(len(keys), np.int64)
         starts[order] = np.cumsum(sizes[order]) - sizes[order]
         self.store.put(keys, sizes, flat[gather(sizes, starts)])
 
@@ -166,8 +188,7 @@ def encode_slice(path: str, s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
     coded = _coded[path]
     new = coded.store.missing(keys)
     if len(new):
-        raw = s.buf.tobytes()
-        coded.add(keys[new], [raw[x:y].decode() for x, y in zip(start[at[new]].tolist(), end[at[new]].tolist())])
+        coded.add(keys[new], s.buf, start[at[new]], end[at[new]])
     ids, each = coded.store.get(keys, inverse)
     return ids, s.count(s.doc_of(start), each)
 
@@ -177,7 +198,9 @@ def encode(path: str, part: pa.RecordBatch, column: str, s: tb.Slice) -> tuple[n
     token's string encoded whole."""
     pattern = whole_texts(path)
     marks = {t.content.encode()[0] for t in tokenizer(path).get_added_tokens_decoder().values()}
-    may = s.buf >= 0xC2
+    lead = np.flatnonzero(s.buf[:-1] >= 0xC2)
+    may = np.zeros(len(s.buf), bool)
+    may[lead[np.isin(s.buf[lead].astype(np.int64) << 8 | s.buf[lead + 1], _OTHER_PAIRS)]] = True
     for c in marks:
         may |= s.buf == c
     odd = [i for i in np.flatnonzero(s.per_text(may) > 0).tolist() if pattern.search(part.column(column)[i].as_py())]
@@ -189,7 +212,7 @@ def encode(path: str, part: pa.RecordBatch, column: str, s: tb.Slice) -> tuple[n
     ids, n = encode_slice(path, s)
     if odd:
         texts = [part.column(column)[i].as_py() for i in odd]
-        whole = {i: e.ids for i, e in zip(odd, tokenizer(path).encode_batch(texts, add_special_tokens=False))}
+        whole = {i: e.ids for i, e in zip(odd, tokenizer(path).encode_batch_fast(texts, add_special_tokens=False))}
         at = np.cumsum(n) - n
         pieces = [np.array(whole[i], np.int32) if i in whole else ids[at[i]:at[i] + n[i]] for i in range(s.n)]
         ids, n = np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)

@@ -611,3 +611,22 @@ def test_empty_tables(empty, spark, tmp_path):
 
 def test_queries_registered():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
+
+
+def test_op3_full_store_leaves_pieces_met_again():
+    """A full store of coded pieces gave up all of them, and coded them anew."""
+    import numpy as np
+
+    from skylight.llm.tokens import Store
+    s = Store(4)
+    put = lambda *keys: s.put(np.array(keys, np.uint64), np.array([k % 3 for k in keys]),
+                              np.array([k for k in keys for _ in range(k % 3)], np.int32))
+    ask = lambda *keys: s.missing(np.array(keys, np.uint64)).tolist()
+    assert ask(1, 2, 5) == [0, 1, 2]
+    put(1, 2, 5)
+    assert ask(2, 4, 7, 8) == [1, 2, 3]
+    put(4, 7, 8)
+    assert ask(2, 5) == [1]  # thinned: only 2 was met again
+    put(5)
+    ids, each = s.get(np.array([2, 5], np.uint64), np.array([1, 0, 1]))
+    assert ids.tolist() == [5, 5, 2, 2, 5, 5] and each.tolist() == [2, 2, 2]
