@@ -70,6 +70,10 @@ DENSE = 128
 PIVOTS = 4
 #: A smaller set that is not equal to another one has no partner.
 LEAST = 4
+#: Bits a key in the bitmap of chosen rows, and at most (its size only decides
+#: how many rows are shuffled in vain).
+MAP_BITS = 16
+MOST_BITS = 1 << 28
 _CHUNK = 1 << 20
 
 
@@ -163,10 +167,23 @@ def partnered(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, percent:
             .filter(seen - F.coalesce("alone", F.lit(0)) >= F.expr("n div 20 + 1")).select("s", "n", "doc"))
 
 
+def among(rows: DataFrame, key: str, some: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is no key of ``some``, by a
+    broadcast bitmap of hashes (``MAP_BITS`` bits a key, ``MOST_BITS`` in all):
+    rows that a join would drop stay out of its shuffle. None that it keeps is lost."""
+    size = min(MOST_BITS, max(1 << 15, MAP_BITS * some.count()))
+    at = F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(size))
+    maps = (some.select(at.alias("__at")).withColumn("__map", F.expr("__at div 32768")).repartition("__map")
+            .groupBy("__map").agg(F.expr("bitmap_construct_agg(__at % 32768)").alias("__bits")))
+    byte = F.expr("cast(conv(hex(substring(__bits, cast(__at % 32768 div 8 as int) + 1, 1)), 16, 10) as int)")
+    return (rows.withColumn("__at", at).withColumn("__map", F.expr("__at div 32768")).join(F.broadcast(maps), "__map")
+            .filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(__at % 8 as int))")) != 0).select(*rows.columns))
+
+
 def token_lists(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(s, n, tokens) of the chosen sets; tokens ascend."""
-    want = chosen.select(F.col("doc").alias("doc_id"), F.col("s").alias("want"))
-    texts = _sets(docs, doc_id, text).join(want, "doc_id").select("want", "text")
+    want = chosen.select("s", F.col("doc").alias("doc_id"))
+    texts = among(_sets(docs, doc_id, text), "doc_id", want)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,13 +194,14 @@ def token_lists(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> D
                 if not len(has):
                     continue
                 offsets = np.concatenate([[0], np.cumsum(size[has])])
-                digest = _digest(h, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(h.view(np.int64)))
-                out = pa.RecordBatch.from_arrays([pa.array(digest), pa.array(size[has], pa.int64()), lists], names=["s", "n", "tokens"])
-                # a doc_id may have other sets than the one asked for
-                yield out.filter(pa.array(digest == np.asarray(part.column("want"), np.int64)[has]))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(has)), pa.array(_digest(h, offsets)),
+                                                  pa.array(size[has], pa.int64()), lists], names=["doc_id", "s", "n", "tokens"])
 
-    return texts.mapInArrow(run, "s long, n long, tokens array<long>").dropDuplicates(["s"])
+    # a doc_id may have other sets than the one asked for, and that one several times;
+    # the join and the distinct rows share one shuffle, of token lists, not of texts
+    lists = texts.mapInArrow(run, "doc_id long, s long, n long, tokens array<long>")
+    return lists.join(want, ["s", "doc_id"]).dropDuplicates(["s", "doc_id"]).select("s", "n", "tokens")
 
 
 def _classes(n: int, percent: int) -> list[int]:

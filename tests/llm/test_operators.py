@@ -630,3 +630,18 @@ def test_op3_full_store_leaves_pieces_met_again():
     put(5)
     ids, each = s.get(np.array([2, 5], np.uint64), np.array([1, 0, 1]))
     assert ids.tolist() == [5, 5, 2, 2, 5, 5] and each.tolist() == [2, 2, 2]
+
+
+def test_op12_texts_without_partner_stay_out_of_the_shuffle(spark):
+    """All texts were shuffled to find those of the chosen sets."""
+    from skylight.llm import ngram_join
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(4000)] + [(7, "other words of an equal id"), (None, "a b")],
+                                 "doc_id long, text string")
+    docs = docs.unionByName(docs.filter("doc_id = 40"))
+    want = spark.createDataFrame([(i,) for i in range(0, 4000, 20)], "doc_id long")
+    left = [r.doc_id for r in ngram_join.among(docs, "doc_id", want).collect()]
+    assert {*range(0, 4000, 20)} <= set(left) and left.count(40) == 2 and len(left) < 800
+    assert ngram_join.among(docs, "doc_id", want.filter("false")).count() == 0
+    sets = ngram_join.light(docs).filter("doc_id % 20 = 0").selectExpr("s", "doc_id as doc").distinct()
+    lists = ngram_join.token_lists(docs, sets, "doc_id", "text").collect()
+    assert sorted(r.s for r in lists) == sorted(r.s for r in sets.collect()) and all(r.n == len(r.tokens) == 5 for r in lists)
