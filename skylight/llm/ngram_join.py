@@ -200,7 +200,7 @@ def token_lists(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> D
 
     # a doc_id may have other sets than the one asked for, and that one several times;
     # the join and the distinct rows share one shuffle, of token lists, not of texts
-    lists = texts.mapInArrow(run, "doc_id long, s long, n long, tokens array<long>")
+    lists = among(texts.mapInArrow(run, "doc_id long, s long, n long, tokens array<long>"), "s", want)
     return lists.join(want, ["s", "doc_id"]).dropDuplicates(["s", "doc_id"]).select("s", "n", "tokens")
 
 
